@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cuelake.llm import bpe, fingerprints, quality
+from cuelake.llm import bpe, fingerprints, mixing, quality
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +24,10 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_likeness(_table(spark, sf_dir, "documents"))
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return quality.score(docs, quality.train(docs, _table(spark, sf_dir, "labels")))
@@ -34,8 +38,8 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_fingerprints": op1_fingerprints, "op8_quality": op8_quality, "op10_bpe": op10_bpe}
+    return {"op1_fingerprints": op1_fingerprints, "op4_mixing": op4_mixing, "op8_quality": op8_quality, "op10_bpe": op10_bpe}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op4_mixing": mixing.ORACLE_SQL}
