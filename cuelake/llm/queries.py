@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cuelake.llm import bpe, fingerprints, mixing, quality
+from cuelake.llm import bpe, fingerprints, forest, mixing, quality
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,12 +33,16 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, quality.train(docs, _table(spark, sf_dir, "labels")))
 
 
+def op9_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forest.near_components(_table(spark, sf_dir, "documents"))
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(_table(spark, sf_dir, "documents"), vocabulary())
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_fingerprints": op1_fingerprints, "op4_mixing": op4_mixing, "op8_quality": op8_quality, "op10_bpe": op10_bpe}
+    return {"op1_fingerprints": op1_fingerprints, "op4_mixing": op4_mixing, "op8_quality": op8_quality, "op9_forest": op9_forest, "op10_bpe": op10_bpe}
 
 
 def oracle_sql() -> dict[str, str]:
