@@ -110,6 +110,14 @@ def byte_prefix(raw: np.ndarray, code: np.ndarray = BYTE_CODE) -> np.ndarray:
     return out
 
 
+def code_prefix(codes: np.ndarray) -> np.ndarray:
+    """The same over 64-bit codes of elements."""
+    out = np.empty(len(codes) + 1, dtype=np.uint64)
+    out[0] = 0
+    np.cumsum(codes * powers(_MULTIPLIER, len(codes)), out=out[1:])
+    return out
+
+
 def range_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """64-bit hashes of the ranges; equal contents have equal hashes wherever they lie."""
     return mix((prefix[end] - prefix[start]) * powers(_INVERSE, len(prefix))[start] + (end - start).astype(np.uint64))

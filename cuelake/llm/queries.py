@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cuelake.llm import bpe, fingerprints, forest, mixing, quality
+from cuelake.llm import bpe, fingerprints, forest, mixing, quality, rlz, suffixes
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,10 +24,18 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_likeness(_table(spark, sf_dir, "documents"))
 
 
+def op3_rlz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rlz.remove_repeats(_table(spark, sf_dir, "documents"), digest=True)
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op6_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.digests(_table(spark, sf_dir, "documents"))
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return quality.score(docs, quality.train(docs, _table(spark, sf_dir, "labels")))
@@ -42,7 +50,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_fingerprints": op1_fingerprints, "op4_mixing": op4_mixing, "op8_quality": op8_quality, "op9_forest": op9_forest, "op10_bpe": op10_bpe}
+    return {"op1_fingerprints": op1_fingerprints, "op3_rlz": op3_rlz, "op4_mixing": op4_mixing, "op6_suffixes": op6_suffixes, "op8_quality": op8_quality, "op9_forest": op9_forest, "op10_bpe": op10_bpe}
 
 
 def oracle_sql() -> dict[str, str]:
