@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cuelake.llm import bpe, fingerprints, forest, mixing, quality, rlz, suffixes
+from cuelake.llm import bpe, fingerprints, forest, mixing, quality, rabitq, rlz, suffixes
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +24,10 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_likeness(_table(spark, sf_dir, "documents"))
 
 
+def op2_rabitq(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rabitq.search(_table(spark, sf_dir, "embeddings"), "vec_id % 20 = 0", k=20)
+
+
 def op3_rlz(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rlz.remove_repeats(_table(spark, sf_dir, "documents"), digest=True)
 
@@ -49,8 +53,14 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(_table(spark, sf_dir, "documents"), vocabulary())
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_fingerprints": op1_fingerprints, "op3_rlz": op3_rlz, "op4_mixing": op4_mixing, "op6_suffixes": op6_suffixes, "op8_quality": op8_quality, "op9_forest": op9_forest, "op10_bpe": op10_bpe}
+    return {"op1_fingerprints": op1_fingerprints, "op2_rabitq": op2_rabitq, "op3_rlz": op3_rlz, "op4_mixing": op4_mixing, "op6_suffixes": op6_suffixes, "op8_quality": op8_quality, "op9_forest": op9_forest, "op10_bpe": op10_bpe, "pipeline": pipeline}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -65,6 +65,7 @@ class Text:
 
     def __init__(self, ids: np.ndarray, raw: np.ndarray, offsets: np.ndarray):
         self.ids, self.raw, self.offsets = ids, raw, offsets
+        self.rest: pa.RecordBatch | None = None
 
 
 class Bytes(Text):
@@ -134,8 +135,8 @@ def anchors(text: Text) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
     return low[starts], owner[starts], starts, ends
 
 
-def slices(docs: DataFrame) -> DataFrame:
-    """(slice, blob): whole texts with their ids."""
+def slices(docs: DataFrame, rest: list[str] = ()) -> DataFrame:
+    """(slice, blob, rest): whole texts with their ids, and the other columns asked for as an Arrow stream."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import pyspark
@@ -146,10 +147,18 @@ def slices(docs: DataFrame) -> DataFrame:
             known, ids = ids.is_valid().to_numpy(zero_copy_only=False), ids.fill_null(0).to_numpy()
             raw, offsets = K.strings(b.column(1))
             for lo, hi in K.slices(offsets, SLICE):
-                yield pa.RecordBatch.from_arrays([pa.array([number]), pa.array([pack(ids[lo:hi], known[lo:hi], offsets[lo : hi + 1] - offsets[lo], raw[offsets[lo] : offsets[hi]])], pa.binary())], ["slice", "blob"])
+                packed = pack(ids[lo:hi], known[lo:hi], offsets[lo : hi + 1] - offsets[lo], raw[offsets[lo] : offsets[hi]])
+                others = None
+                if rest:
+                    out = io.BytesIO()
+                    part = b.select(list(rest)).slice(lo, hi - lo)
+                    with pa.ipc.new_stream(out, part.schema) as writer:
+                        writer.write_batch(part)
+                    others = zstandard.ZstdCompressor(level=3).compress(out.getvalue())
+                yield pa.RecordBatch.from_arrays([pa.array([number]), pa.array([packed], pa.binary()), pa.array([others], pa.binary())], ["slice", "blob", "rest"])
                 number += 1
 
-    return stored(docs.select("doc_id", "text").mapInArrow(run, "slice long, blob binary"))
+    return stored(docs.select("doc_id", "text", *rest).mapInArrow(run, "slice long, blob binary, rest binary"))
 
 
 def _read(blob: bytes, kind: type[Text]) -> tuple[Text, np.ndarray]:
@@ -213,14 +222,14 @@ def _distinct_marks(bucket: np.ndarray, rest: np.ndarray, ids: np.ndarray) -> np
 Solver = Callable[[np.ndarray, np.ndarray, np.ndarray, np.ndarray], np.ndarray]
 
 
-def repeats(docs: DataFrame, kind: type[Text], solver: Solver) -> tuple[DataFrame, DataFrame]:
+def repeats(docs: DataFrame, kind: type[Text], solver: Solver, rest: list[str] = ()) -> tuple[DataFrame, DataFrame]:
     """(slices, found): found has (slice, blob) rows of arrays (first window, end of windows) in elements of the slice.
 
     solver(contents, lengths, windows, ids) gets contexts one after the other, the
     number of windows and the document of each, and returns for each window the
     smallest document that has it.
     """
-    packed = slices(docs)
+    packed = slices(docs, rest)
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(1, -(-size // BUCKET_BYTES))
 
@@ -235,7 +244,7 @@ def repeats(docs: DataFrame, kind: type[Text], solver: Solver) -> tuple[DataFram
                 parts = np.split(rest, cuts[1:]) if len(cuts) else []
                 yield pa.RecordBatch.from_arrays([pa.array([number] * len(parts), pa.int64()), pa.array(bucket[cuts], pa.int32()), pa.array([pack(p) for p in parts], pa.binary())], ["slice", "bucket", "blob"])
 
-    bits = _shared_bits(packed.mapInArrow(count, "slice long, bucket int, blob binary"))
+    bits = _shared_bits(packed.select("slice", "blob").mapInArrow(count, "slice long, bucket int, blob binary"))
     listed = bits.groupBy("slice").agg(F.collect_list(F.struct("bucket", "bits")).alias("bits"))  # one entry for each bucket
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -345,8 +354,10 @@ def apply(packed: DataFrame, found: DataFrame, kind: type[Text], answer: Callabl
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for blob, what in zip(b.column("blob").to_pylist(), b.column("found").to_pylist(), strict=True):
+            for blob, rest, what in zip(b.column("blob").to_pylist(), b.column("rest").to_pylist(), b.column("found").to_pylist(), strict=True):
                 text, known = _read(blob, kind)
+                if rest is not None:
+                    text.rest = pa.ipc.open_stream(zstandard.ZstdDecompressor().decompress(rest)).read_next_batch()
                 yield answer(text, known, covered(text.n, what or []))
 
-    return packed.join(listed, "slice", "left").select("blob", "found").mapInArrow(run, schema)
+    return packed.join(listed, "slice", "left").select("blob", "rest", "found").mapInArrow(run, schema)

@@ -4,16 +4,26 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """df written to the folder that the session names in spark.checkpoint.dir, so that a lost executor costs nothing that came before. Only where no folder is named, as in tests, one is made."""
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the session names in spark.checkpoint.dir. Only where none is named, as in tests, one is made and set."""
+    if named := spark.conf.get("spark.checkpoint.dir", None):
+        folder = named
+    elif (found := spark.sparkContext.getCheckpointDir()) is not None:
+        return found
+    else:
+        folder = tempfile.mkdtemp(prefix="cuelake-")
     if spark.sparkContext.getCheckpointDir() is None:
-        named = spark.conf.get("spark.checkpoint.dir", None)
-        spark.sparkContext.setCheckpointDir(named or tempfile.mkdtemp(prefix="cuelake-"))
+        spark.sparkContext.setCheckpointDir(folder)
+    return folder
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """df written to the shared folder, so that a lost executor costs nothing that came before."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 

@@ -177,3 +177,21 @@ def digests(docs: DataFrame) -> DataFrame:
 def cut_text(kept: bytes) -> str:
     """The text of the bytes kept; bytes of a character that was cut in two go."""
     return kept.decode("utf-8", errors="ignore")
+
+
+def cut_texts(docs: DataFrame, columns: list[str]) -> DataFrame:
+    """docs with the given columns, repeats cut out of their texts and n_chars counted anew. Rows stay, with an empty text if nothing is left.
+
+    The other columns travel with the text, so that rows with equal ids keep their own.
+    """
+    rest = [c for c in columns if c not in ("doc_id", "text", "n_chars")]
+    packed, found = R.repeats(docs, R.Bytes, least_documents, rest)
+    schema = ", ".join(f"{c} {docs.schema[c].dataType.simpleString()}" for c in columns)
+
+    def answer(text: R.Text, known: np.ndarray, gone: np.ndarray) -> pa.RecordBatch:
+        texts = [cut_text(text.raw[a:b][~gone[a:b]].tobytes()) for a, b in zip(text.offsets[:-1].tolist(), text.offsets[1:].tolist(), strict=True)]
+        own = {"doc_id": pa.array(text.ids, mask=~known), "text": pa.array(texts, pa.string()), "n_chars": pa.array([len(t) for t in texts], pa.int64())}
+        own |= {c: text.rest.column(c) for c in rest}
+        return pa.RecordBatch.from_arrays([own[c] for c in columns], columns)
+
+    return R.apply(packed, found, R.Bytes, answer, schema)
