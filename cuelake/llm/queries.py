@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from cuelake.llm import bpe, fingerprints, forest, mixing, quality, rabitq, rlz, suffixes
+from cuelake.llm import bpe, fingerprints, forest, licenses, mixing, quality, rabitq, rlz, suffixes, urlfilter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,10 +37,96 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(_table(spark, sf_dir, "documents"))
+
+
 def op6_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.digests(_table(spark, sf_dir, "documents"))
 
 
+def _dated_list(pages: DataFrame) -> DataFrame:
+    """A dated list for the hosts of the pages, from their digests: each host and each parent may be listed and taken off again."""
+    hosts = pages.select(F.explode(urlfilter.domains(urlfilter.host(F.col("url")))).alias("domain")).distinct()
+    digit = [F.conv(F.substring(F.md5("domain"), 1 + 2 * k, 2), 16, 10).cast("int") for k in range(4)]
+    first = F.date_add(F.lit("2024-01-01").cast("date"), digit[1]).cast("timestamp")
+    second = F.date_add(F.lit("2024-01-01").cast("date"), digit[1] + digit[2] % 60).cast("timestamp")
+    listed = hosts.where(digit[0] % 3 == 0)
+    return listed.select("domain", first.alias("listed_at"), F.lit("block").alias("action")).union(listed.where(digit[3] % 2 == 0).select("domain", second.alias("listed_at"), F.lit("allow").alias("action")))
+
+
+def op7_urlfilter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Captures are the pages, fetched on a day that follows from page_id."""
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url")
+    fetched = F.date_add(F.lit("2024-01-01").cast("date"), F.pmod(F.col("page_id") * 37, F.lit(366)).cast("int")).cast("timestamp")
+    return urlfilter.judge(pages.withColumn("fetched_at", fetched), _dated_list(pages))
+
+
+#: op7 in DuckDB SQL.
+URLFILTER_SQL = r"""
+WITH captures AS (
+  SELECT page_id, TIMESTAMP '2024-01-01' + to_days(CAST((page_id * 37) % 366 AS INTEGER)) AS fetched_at,
+         regexp_replace(lower(regexp_extract(coalesce(url, ''), '(?i)^[a-z][a-z0-9+.-]*://([^/?#@]*@)?([^/?#:]+)', 2)), '\.+$', '') AS host FROM pages
+), parts AS (
+  SELECT DISTINCT host, string_split(host, '.') AS p FROM captures WHERE host <> ''
+), looked AS (
+  SELECT host, array_to_string(p[k:], '.') AS domain FROM (SELECT host, p, unnest(range(1, len(p) + 1)) AS k FROM parts)
+), hosts AS (
+  SELECT domain, ('0x' || substr(md5(domain), 1, 2))::INT AS a, ('0x' || substr(md5(domain), 3, 2))::INT AS b, ('0x' || substr(md5(domain), 5, 2))::INT AS c, ('0x' || substr(md5(domain), 7, 2))::INT AS d FROM (SELECT DISTINCT domain FROM looked)
+), entries AS (
+  SELECT domain, TIMESTAMP '2024-01-01' + to_days(b) AS valid_from, true AS blocked FROM hosts WHERE a % 3 = 0
+  UNION ALL SELECT domain, TIMESTAMP '2024-01-01' + to_days(b + c % 60), false FROM hosts WHERE a % 3 = 0 AND d % 2 = 0
+), held AS (
+  SELECT domain, valid_from, bool_or(blocked) AS blocked, lead(valid_from) OVER (PARTITION BY domain ORDER BY valid_from) AS valid_to FROM entries GROUP BY domain, valid_from
+), met AS (
+  SELECT c.page_id, h.domain, h.blocked, h.valid_from, row_number() OVER (PARTITION BY c.page_id ORDER BY length(h.domain) DESC) AS r
+  FROM captures c JOIN looked l ON c.host = l.host JOIN held h ON l.domain = h.domain AND c.fetched_at >= h.valid_from AND (h.valid_to IS NULL OR c.fetched_at < h.valid_to)
+)
+SELECT c.page_id, c.host, c.fetched_at, coalesce(NOT m.blocked, true) AS allowed, m.domain AS matched_domain, m.valid_from AS since
+FROM captures c LEFT JOIN met m ON c.page_id = m.page_id AND m.r = 1
+"""
+
+#: op9 in DuckDB SQL.
+FOREST_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS g FROM w
+), n AS (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY 1
+), p AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS m FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2
+), e AS (
+  SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * m >= 85 * (x.n + y.n - m)
+), both_ways AS (
+  SELECT a, b FROM e UNION SELECT b, a FROM e
+), r(doc_id, root) AS (
+  SELECT doc_id, doc_id FROM w UNION SELECT r.doc_id, b FROM r JOIN both_ways ON a = root
+), c AS (
+  SELECT doc_id, min(root) AS component_id FROM r GROUP BY 1
+)
+SELECT c.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id, c.doc_id = c.component_id AS kept FROM c LEFT JOIN n ON c.doc_id = n.doc_id
+"""
+
+#: op3 in DuckDB SQL: windows by start, with the smallest document of each.
+RLZ_SQL = r"""
+WITH w AS (
+  SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents
+), g AS (
+  SELECT doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) AS h FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM w)
+), m AS (
+  SELECT h, min(doc_id) AS first FROM g GROUP BY 1
+), x AS (
+  SELECT DISTINCT g.doc_id, i + unnest(range(0, 50)) AS i FROM g JOIN m ON g.h = m.h WHERE first < g.doc_id
+), l AS (
+  SELECT doc_id, i, w[i] AS word FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM w)
+), k AS (
+  SELECT l.doc_id, count(x.i) AS n_removed, coalesce(string_agg(word, ' ' ORDER BY l.i) FILTER (WHERE x.i IS NULL), '') AS kept FROM l LEFT JOIN x ON l.doc_id = x.doc_id AND l.i = x.i GROUP BY 1
+)
+SELECT w.doc_id, len(w.w) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM w LEFT JOIN k ON w.doc_id = k.doc_id
+"""
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return quality.score(docs, quality.train(docs, _table(spark, sf_dir, "labels")))
@@ -60,8 +147,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_fingerprints": op1_fingerprints, "op2_rabitq": op2_rabitq, "op3_rlz": op3_rlz, "op4_mixing": op4_mixing, "op6_suffixes": op6_suffixes, "op8_quality": op8_quality, "op9_forest": op9_forest, "op10_bpe": op10_bpe, "pipeline": pipeline}
+    return {"op1_fingerprints": op1_fingerprints, "op2_rabitq": op2_rabitq, "op3_rlz": op3_rlz, "op4_mixing": op4_mixing, "op5_licenses": op5_licenses, "op6_suffixes": op6_suffixes, "op7_urlfilter": op7_urlfilter, "op8_quality": op8_quality, "op9_forest": op9_forest, "op10_bpe": op10_bpe, "pipeline": pipeline}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_mixing": mixing.ORACLE_SQL}
+    return {"op3_rlz": RLZ_SQL, "op4_mixing": mixing.ORACLE_SQL, "op5_licenses": licenses.oracle_sql(), "op7_urlfilter": URLFILTER_SQL, "op9_forest": FOREST_SQL}
