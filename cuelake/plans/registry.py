@@ -1,11 +1,491 @@
-"""Named queries over the driver's tables, with their DuckDB counterparts."""
+"""Named queries over the driver's tables, with their DuckDB counterparts in `oracles`."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
 
-def queries() -> dict:
-    return {}
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
+from cuelake import schema
+from cuelake.functions import linebreak, spoken
+from cuelake.functions import text as T
+from cuelake.operators import asof, match, merge, pairs, rules, speech, stats, timing
+from cuelake.plans import adapters, oracles
+from cuelake.sources import srt
+from cuelake.streaming import ingest
 
-def oracle_sql() -> dict:
-    return {}
+CREDIT = "Vertaald met zorg"
+_KEY = ["title_id", "pos"]
+
+Query = Callable[[SparkSession, str], DataFrame]
+_QUERIES: dict[str, Query] = {}
+
+
+def query(f: Query) -> Query:
+    _QUERIES[f.__name__] = f
+    return f
+
+
+def _clean(s: SparkSession, d: str) -> DataFrame:
+    """Cues without blanks, in order of start."""
+    return adapters.cues(s, d).where(T.strip(F.col("text")) != "")
+
+
+def _spoken(s: SparkSession, d: str) -> DataFrame:
+    return speech.segments(speech.smooth(adapters.speech_frames(s, d)))
+
+
+# text and time
+
+
+@query
+def cue_metrics(s: SparkSession, d: str) -> DataFrame:
+    return stats.metrics(adapters.cues(s, d))
+
+
+@query
+def timecode_roundtrip(s: SparkSession, d: str) -> DataFrame:
+    code = T.ms_to_timecode(F.col("start_ms") * 7 - 5000)
+    return adapters.cues(s, d).select(*_KEY, code.alias("code"), T.timecode_to_ms(F.regexp_replace(code, ",", ".")).alias("back_ms"), T.clock(F.col("start_ms")).alias("clock"))
+
+
+@query
+def fix_text(s: SparkSession, d: str) -> DataFrame:
+    t = F.col("text")
+    fixed = T.fix_speaker_dash(T.fix_ellipsis(T.fix_punctuation(t)))
+    return adapters.cues(s, d).select(*_KEY, fixed.alias("fixed"), F.regexp_count(t, F.lit("[!;]")).alias("punctuation_fixes"), F.regexp_count(t, F.lit("…")).alias("ellipsis_fixes"))
+
+
+@query
+def fix_line_length(s: SparkSession, d: str) -> DataFrame:
+    return adapters.cues(s, d).select(*_KEY, T.fix_line_length(F.col("text")).alias("fixed"))
+
+
+@query
+def continuation_fix(s: SparkSession, d: str) -> DataFrame:
+    return adapters.cues(s, d).select(*_KEY, T.continuation(F.col("text")).alias("fixed"))
+
+
+@query
+def merge_markers(s: SparkSession, d: str) -> DataFrame:
+    return adapters.marked_cues(s, d).select(*_KEY, T.marker(F.concat(F.lit("  "), F.col("text"))).alias("marker"), T.unmarked(F.col("text")).alias("clean"))
+
+
+@query
+def trivial_replies(s: SparkSession, d: str) -> DataFrame:
+    pos = F.col("pos")
+    t = F.when(pos % 4 == 0, "Ja.").when(pos % 4 == 1, " Dank je ").when(pos % 4 == 2, "PRECIES?.").otherwise(F.col("text"))
+    return adapters.cues(s, d).select(*_KEY, t.alias("reply"), T.is_trivial_reply(t).alias("trivial"))
+
+
+@query
+def wrap_text(s: SparkSession, d: str) -> DataFrame:
+    t = F.concat_ws(" ", "text", F.lead("text").over(adapters.W), F.when(F.col("pos") % 3 == 0, F.lead("text", 2).over(adapters.W)))
+    return adapters.en_cues(s, d).select(*_KEY, T.wrap_text(t).alias("wrapped"))
+
+
+@query
+def best_break(s: SparkSession, d: str) -> DataFrame:
+    best = linebreak.best_break(F.col("joined"))
+    return _joined(s, d).select(*_KEY, best["top"].alias("top"), best["bottom"].alias("bottom"))
+
+
+def _joined(s: SparkSession, d: str) -> DataFrame:
+    """Two cues in one line, with words between them that a break should respect."""
+    pos, nxt = F.col("pos"), F.coalesce(F.lead("text").over(adapters.W), F.lit(""))
+    link = F.when(pos % 5 == 1, " maar ").when(pos % 5 == 2, " de ").when(pos % 5 == 3, " het Rode Kruis ").otherwise(" ")
+    return adapters.en_cues(s, d).withColumn("joined", T.collapse(F.concat("text", link, nxt)))
+
+
+@query
+def number_words(s: SparkSession, d: str) -> DataFrame:
+    n = F.col("o_orderkey") % 2100
+    orders = s.read.parquet(f"{d}/orders.parquet").select(n.alias("n")).distinct()
+    return orders.select(F.col("n").cast("string").alias("number"), spoken.number_to_words(F.col("n").cast("string")).alias("words"))
+
+
+@query
+def normalize_words(s: SparkSession, d: str) -> DataFrame:
+    plain = F.regexp_replace("text", "[^A-Za-z ]", "")
+    raw = F.concat(F.lit("- It's <i>"), plain, F.lit("</i>... don't {x}count "), F.col("pos").cast("string"), F.lit(", we've 'said'"))
+    return adapters.en_cues(s, d).select(*_KEY, spoken.normalize_words(raw).alias("words"))
+
+
+@query
+def register_detect(s: SparkSession, d: str) -> DataFrame:
+    return adapters.nl_cues(s, d).select(*_KEY, T.register(F.concat(F.lit(" "), "text", F.lit(" "))).alias("register"))
+
+
+@query
+def imdb_id(s: SparkSession, d: str) -> DataFrame:
+    talk = s.read.parquet(f"{d}/conversations.parquet").select("conv_id").distinct()
+    number = F.lpad((F.col("conv_id") * 7919 % 10000000).cast("string"), 7, "0")
+    name = F.concat(F.lit("Film "), F.col("conv_id").cast("string"), F.when(F.col("conv_id") % 2 == 0, F.concat(F.lit(" [IMDB-tt"), number, F.lit("]"))).otherwise(F.lit(" [Bluray-1080p]")), F.lit(".en.srt"))
+    return talk.select("conv_id", T.imdb_id(name).alias("imdb_id"), T.source_name(name).alias("source_name"), T.output_name(name).alias("output_name"))
+
+
+@query
+def fps_constraints(s: SparkSession, d: str) -> DataFrame:
+    talk = s.read.parquet(f"{d}/conversations.parquet").select("conv_id").distinct()
+    raw = F.element_at(F.array(*map(F.lit, ("23.976", "24000/1001", "25", "29.97"))), (F.col("conv_id") % 4 + 1).cast("int"))
+    own = talk.withColumn("raw_fps", raw).withColumn("fps", T.classify_fps(F.col("raw_fps")))
+    nl = schema.constraints(s).where("lang = 'nl'").drop("lang")
+    return own.join(F.broadcast(nl), "fps")  # two fixed rows
+
+
+@query
+def dual_speaker_share(s: SparkSession, d: str) -> DataFrame:
+    return stats.in_genre_ranges(stats.dual_speakers(adapters.cues(s, d)), schema.genres(s), "permille", "dual_lo", "dual_hi")
+
+
+# sources
+
+
+@query
+def parse_srt(s: SparkSession, d: str) -> DataFrame:
+    return srt.parse(srt.render(adapters.cues(s, d)))
+
+
+@query
+def parse_errors(s: SparkSession, d: str) -> DataFrame:
+    block = F.concat(F.when(F.col("pos") % 3 == 0, "x").otherwise(F.col("pos").cast("string")), F.lit("\n"), F.when(F.col("pos") % 5 == 0, "00:00:01 --> 2").otherwise("00:00:01,000 --> 00:00:02.000"), F.lit("\ntext"))
+    broken = adapters.en_cues(s, d).select("title_id", "pos", F.when(F.col("pos") % 7 == 0, F.lit("alone")).otherwise(block).alias("b"))
+    files = broken.groupBy("title_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "b"))), lambda x: x["b"]), "\n\n").alias("content"))
+    return srt.parse_errors(files).select("title_id", (F.col("block_no") + 1).alias("block"), "reason")
+
+
+@query
+def render_srt(s: SparkSession, d: str) -> DataFrame:
+    return srt.render(adapters.cues(s, d)).select("title_id", F.md5("content").alias("digest"), F.length("content").alias("n"))
+
+
+@query
+def extract_range(s: SparkSession, d: str) -> DataFrame:
+    """Cues by number: 10 to 12, 40, 55 and 100; a number that a title lacks is told."""
+    own = adapters.cues(s, d)
+    last = own.groupBy("title_id", "idx").agg(F.max_by(F.struct("pos", "text"), "pos").alias("c"))
+    wanted = own.select("title_id").distinct().withColumn("idx", F.explode(F.array(*map(F.lit, (10, 11, 12, 40, 55, 100)))))
+    return wanted.join(last, ["title_id", "idx"], "left").select("title_id", "idx", "c.pos", "c.text", F.col("c").isNotNull().alias("found"))
+
+
+# order and time
+
+
+@query
+def gap_stats(s: SparkSession, d: str) -> DataFrame:
+    g = F.col("gap_ms")
+    return timing.gaps(adapters.cues(s, d)).groupBy("title_id").agg(F.count("gap_ms").alias("gaps"), F.min(g).alias("least"), F.max(g).alias("greatest"), F.sum(g).alias("total"), F.count_if(g < 0).alias("overlaps"))
+
+
+@query
+def renumber(s: SparkSession, d: str) -> DataFrame:
+    return timing.renumber(adapters.cues(s, d)).groupBy("title_id").agg(F.count("*").alias("cues"), F.count_if(F.col("idx") != F.col("old_idx")).alias("gaps_found"), F.max("idx").alias("last_idx"))
+
+
+@query
+def reorder(s: SparkSession, d: str) -> DataFrame:
+    return timing.reorder(_swapped(s, d)).select("title_id", "pos", "idx", "start_ms", "moved")
+
+
+def _swapped(s: SparkSession, d: str) -> DataFrame:
+    return adapters.cues(s, d).withColumn("start_ms", F.when(F.col("pos") % 10 == 3, F.col("start_ms") - 4000).otherwise(F.col("start_ms")))
+
+
+@query
+def fix_overlap(s: SparkSession, d: str) -> DataFrame:
+    return timing.fix_overlap(_clean(s, d)).select(*_KEY, "idx", "fixed_by", "unfixable", "new_end_ms")
+
+
+@query
+def close_gaps(s: SparkSession, d: str) -> DataFrame:
+    return timing.close_gaps(adapters.cues(s, d)).select(*_KEY, "end_ms", "closed")
+
+
+@query
+def extend_cps(s: SparkSession, d: str) -> DataFrame:
+    return timing.extend_cps(timing.close_gaps(adapters.cues(s, d))).select(*_KEY, "end_ms", "extended")
+
+
+@query
+def shift_range(s: SparkSession, d: str) -> DataFrame:
+    return timing.shift(adapters.cues(s, d), -250, 20, 40).select(*_KEY, "start_ms", "end_ms")
+
+
+@query
+def add_credit(s: SparkSession, d: str) -> DataFrame:
+    own = adapters.cues(s, d)
+    last = F.col("pos") == F.max("pos").over(Window.partitionBy("title_id"))
+    own = own.withColumn("text", F.when(last & (F.col("title_id").cast("int") % 3 == 0), F.lit(CREDIT.upper() + ".")).otherwise(F.col("text")))
+    return timing.add_credit(own, CREDIT).groupBy("title_id").agg(F.count("*").alias("cues"), F.max_by("text", "pos").alias("last_text"), F.max_by("start_ms", "pos").alias("last_start"), F.max_by("end_ms", "pos").alias("last_end"))
+
+
+@query
+def fix_srt(s: SparkSession, d: str) -> DataFrame:
+    return timing.fix_srt(_swapped(s, d))
+
+
+@query
+def unfixable_indices(s: SparkSession, d: str) -> DataFrame:
+    return timing.unfixable(timing.fix_srt(_swapped(s, d))).select("title_id", "idx")
+
+
+@query
+def batch_plan(s: SparkSession, d: str) -> DataFrame:
+    own = adapters.cues(s, d).withColumn("batch", F.floor((F.col("pos") - 1) / 200))
+    return own.groupBy("title_id", "batch").agg(F.min("pos").alias("first_pos"), F.max("pos").alias("last_pos"), F.count("*").alias("n")).withColumn("invocation", F.floor(F.col("batch") / 6))
+
+
+def _segments(s: SparkSession, d: str) -> DataFrame:
+    """What a recogniser would say: words of two cues in three, some unheard, a bit early or late."""
+    own = adapters.en_cues(s, d).where("pos % 3 <> 0").withColumn("n", F.size(T.words(F.col("text"))))
+    heard = own.withColumn("word_no", F.explode(F.sequence(F.lit(1), "n"))).where((F.col("pos") % 5 != 0) | (F.col("word_no") * 3 <= F.col("n")))
+    first = 40 + 25 * F.col("word_no") + (F.col("pos") * 7) % 90 + F.when(F.col("pos") % 41 == 1, 400).otherwise(0)
+    return heard.select("title_id", "idx", "word_no", first.cast("int").alias("start_frame"), (first + 18).cast("int").alias("end_frame"))
+
+
+@query
+def alignment_corrections(s: SparkSession, d: str) -> DataFrame:
+    return timing.significant_corrections(_segments(s, d), adapters.en_cues(s, d))
+
+
+@query
+def alignment_applied(s: SparkSession, d: str) -> DataFrame:
+    own = adapters.en_cues(s, d)
+    fixes = timing.significant_corrections(_segments(s, d), own).where("significant")
+    return timing.apply_alignment(own, fixes).select(*_KEY, "start_ms", "end_ms", "applied")
+
+
+# rules
+
+
+@query
+def validate_rules(s: SparkSession, d: str) -> DataFrame:
+    return rules.violations(_swapped(s, d))
+
+
+@query
+def validation_stats(s: SparkSession, d: str) -> DataFrame:
+    return stats.validation(adapters.cues(s, d))
+
+
+@query
+def validation_summary(s: SparkSession, d: str) -> DataFrame:
+    own = _swapped(s, d)
+    return stats.summary(own, rules.violations(own))
+
+
+@query
+def timing_drift(s: SparkSession, d: str) -> DataFrame:
+    near = asof.nearest(adapters.nl_cues(s, d).select("title_id", "pos", "idx", "start_ms"), adapters.en_cues(s, d).where("pos < 15 or pos > 24"), "start_ms", "start_ms")
+    return rules.drift_runs(near)
+
+
+# merging
+
+
+@query
+def merge_cues(s: SparkSession, d: str) -> DataFrame:
+    return merge.merge_cues(adapters.marked_cues(s, d)).select("title_id", "idx", "start_ms", "end_ms", "text", "source_count", F.array_join(F.col("source_indices").cast("array<string>"), ",").alias("sources"), "gap_ms", "combined_duration_ms")
+
+
+@query
+def merge_stats(s: SparkSession, d: str) -> DataFrame:
+    merged = stats.merges(merge.merge_cues(adapters.marked_cues(s, d)))
+    return stats.in_genre_ranges(merged, schema.genres(s), "ratio_permille", "ratio_lo", "ratio_hi")
+
+
+# matching
+
+
+@query
+def nearest_transition(s: SparkSession, d: str) -> DataFrame:
+    """Over events: for each purchase the nearest other event of the user within an hour."""
+    events = s.read.parquet(f"{d}/events.parquet").select("event_id", "user_id", "event_type", F.unix_millis(F.col("ts").cast("timestamp")).alias("ms"))
+    kinds = events.select("user_id", "event_id", "ms").where(F.col("event_id") % 3 == 0)
+    others = events.where(F.col("event_id") % 3 != 0).select("user_id", "ms")
+    return asof.nearest(kinds, others, "ms", "ms", key="user_id", within=3_600_000)
+
+
+@query
+def match_proximity(s: SparkSession, d: str) -> DataFrame:
+    return match.match_proximity(adapters.nl_cues(s, d), adapters.en_cues(s, d))
+
+
+def _drafts(s: SparkSession, d: str) -> DataFrame:
+    return match.draft_mapping(adapters.nl_cues(s, d).where("pos % 3 <> 0"), adapters.en_cues(s, d))
+
+
+@query
+def draft_mapping(s: SparkSession, d: str) -> DataFrame:
+    found = match.draft_mapping(adapters.nl_cues(s, d), adapters.en_cues(s, d))
+    return found.withColumn("en_indices", F.array_join(F.col("en_indices").cast("array<string>"), ","))
+
+
+@query
+def match_enhanced(s: SparkSession, d: str) -> DataFrame:
+    nl = adapters.nl_cues(s, d)
+    pair = F.array(F.struct("start_ms", "end_ms"), F.struct(F.lead("start_ms").over(adapters.W).alias("start_ms"), F.lead("end_ms").over(adapters.W).alias("end_ms")))
+    merges = nl.select("title_id", F.col("pos").alias("entry_no"), (F.col("start_ms") + F.col("pos") % 40).alias("output_start_ms"), F.when(F.lead("start_ms").over(adapters.W).isNotNull(), pair).otherwise(F.array().cast("array<struct<start_ms: bigint, end_ms: bigint>>")).alias("source_timecodes"), "pos")
+    merges = merges.where("pos % 4 = 0").drop("pos")
+    drafts = _drafts(s, d).select("title_id", F.col("nl_pos").alias("entry_no"), "nl_start_ms", "en_start_ms", "en_end_ms")
+    return match.match_enhanced(nl, adapters.en_cues(s, d), merges, drafts)
+
+
+def _foreign(s: SparkSession, d: str) -> DataFrame:
+    return adapters.en_cues(s, d).where("pos % 9 = 0").withColumn("start_ms", F.col("start_ms") + (F.col("pos") * 131) % 2600).withColumn("end_ms", F.col("start_ms") + (F.col("pos") * 67) % 1500)
+
+
+@query
+def title_cards(s: SparkSession, d: str) -> DataFrame:
+    return match.title_cards(_foreign(s, d), adapters.en_cues(s, d).where("pos % 6 = 0")).select(*_KEY, "start_ms", "end_ms", "text")
+
+
+@query
+def title_card_union(s: SparkSession, d: str) -> DataFrame:
+    en = adapters.en_cues(s, d).where("pos % 6 = 0")
+    return match.add_title_cards(en, match.title_cards(_foreign(s, d), en))
+
+
+# speech
+
+
+@query
+def smooth_speech(s: SparkSession, d: str) -> DataFrame:
+    return speech.smooth(adapters.speech_frames(s, d)).select("title_id", "is_speech", "first_frame", "end_frame")
+
+
+@query
+def speech_segments(s: SparkSession, d: str) -> DataFrame:
+    return _spoken(s, d)
+
+
+@query
+def trim_to_speech(s: SparkSession, d: str) -> DataFrame:
+    return speech.trim(adapters.en_cues(s, d), _spoken(s, d))
+
+
+@query
+def trim_summary(s: SparkSession, d: str) -> DataFrame:
+    return stats.trims(speech.trim(adapters.en_cues(s, d), _spoken(s, d)))
+
+
+@query
+def speech_extension(s: SparkSession, d: str) -> DataFrame:
+    return speech.extend(_shortened(s, d), adapters.speech_frames(s, d))
+
+
+def _shortened(s: SparkSession, d: str) -> DataFrame:
+    """Cues that end too early."""
+    return adapters.en_cues(s, d).withColumn("end_ms", F.greatest(F.col("end_ms") - 900, F.col("start_ms") + 200))
+
+
+def _analyzed(s: SparkSession, d: str) -> DataFrame:
+    nl, en = adapters.nl_cues(s, d), adapters.en_cues(s, d)
+    return speech.analyze(nl, en, match.match_proximity(nl, en), _spoken(s, d))
+
+
+@query
+def vad_analyze(s: SparkSession, d: str) -> DataFrame:
+    return _analyzed(s, d).drop("prev_end", "next_start")
+
+
+@query
+def vad_issues(s: SparkSession, d: str) -> DataFrame:
+    return speech.issues(_analyzed(s, d))
+
+
+@query
+def vad_summary(s: SparkSession, d: str) -> DataFrame:
+    own = _analyzed(s, d)
+    return stats.timing_quality(own, speech.issues(own))
+
+
+# line balance
+
+
+@query
+def line_balance(s: SparkSession, d: str) -> DataFrame:
+    return adapters.cues(s, d).select(*_KEY, F.explode(linebreak.balance_issues(F.col("text"))).alias("i")).select(*_KEY, "i.type", "i.severity")
+
+
+@query
+def rebalance(s: SparkSession, d: str) -> DataFrame:
+    return stats.rebalance(_two_lines(s, d))
+
+
+def _two_lines(s: SparkSession, d: str) -> DataFrame:
+    """Two lines broken after a word that depends on the position."""
+    w = T.words(F.col("joined"))
+    k = F.greatest(F.least((F.col("pos") % 6 + 1).cast("int"), F.size(w) - 1), F.lit(1))
+    text = F.concat(F.array_join(F.slice(w, F.lit(1), k), " "), F.lit("\n"), F.array_join(F.slice(w, k + 1, 100), " "))
+    return _joined(s, d).withColumn("text", F.when(F.size(w) >= 2, text).otherwise(F.col("joined"))).drop("joined")
+
+
+@query
+def balance_summary(s: SparkSession, d: str) -> DataFrame:
+    found = stats.rebalance(_two_lines(s, d))
+    return found.groupBy("title_id").agg(F.count("*").alias("flagged"), F.count_if("is_high").alias("high"), *(F.count_if(F.col("outcome") == o).alias(o) for o in ("unbroken", "fixed", "skipped_cps", "unfixable")))
+
+
+# pairs
+
+
+def _groups(s: SparkSession, d: str) -> DataFrame:
+    return pairs.align(adapters.en_cues(s, d), adapters.nl_cues(s, d))
+
+
+@query
+def aligned_groups(s: SparkSession, d: str) -> DataFrame:
+    return _groups(s, d)
+
+
+@query
+def group_categories(s: SparkSession, d: str) -> DataFrame:
+    return pairs.categories(_groups(s, d)).select("title_id", "group_key", "category")
+
+
+@query
+def pair_stats(s: SparkSession, d: str) -> DataFrame:
+    """Mapping types and categories of all titles with their counts."""
+    groups = _groups(s, d)
+    kinds = groups.groupBy(F.lit("mapping").alias("kind"), F.col("merge_type").alias("name")).agg(F.count("*").alias("n"))
+    return kinds.unionByName(pairs.categories(groups).groupBy(F.lit("category").alias("kind"), F.col("category").alias("name")).agg(F.count("*").alias("n")))
+
+
+@query
+def condensation_stats(s: SparkSession, d: str) -> DataFrame:
+    return stats.condensation(_groups(s, d))
+
+
+@query
+def exemplars_topk(s: SparkSession, d: str) -> DataFrame:
+    return pairs.exemplars(pairs.categories(_groups(s, d)), 5).select("title_id", "category", "rank", "group_key", "ratio")
+
+
+@query
+def quality_log(s: SparkSession, d: str) -> DataFrame:
+    """Reading speed, merge ratio and errors of all titles, as metric and value."""
+    own = stats.validation(adapters.cues(s, d)).agg(F.max("cps_max").alias("cps_max"), F.sum("cps_above_soft").alias("cps_above_soft"), F.sum("cps_above_hard").alias("cps_above_hard"))
+    merged = stats.merges(merge.merge_cues(adapters.marked_cues(s, d))).agg(F.floor(F.sum("output_cues") * 1000 / F.sum("source_cues")).alias("merge_permille"))
+    errors = rules.violations(_swapped(s, d)).agg(F.count_if(F.col("severity") == "error").alias("hard_errors"))
+
+    def rows(df: DataFrame) -> DataFrame:
+        named: list[Column] = [F.struct(F.lit(c).alias("metric"), F.col(c).cast("bigint").alias("value")) for c in df.columns]
+        return df.select(F.explode(F.array(*named)).alias("m")).select("m.*")
+
+    return rows(own).unionByName(rows(merged)).unionByName(rows(errors))
+
+
+@query
+def session_cues(s: SparkSession, d: str) -> DataFrame:
+    """An extension, not an operator of subtitles: events as sessions, the batch form of streaming.ingest."""
+    return ingest.sessions(s.read.parquet(f"{d}/events.parquet")).withColumn("start_ms", F.unix_millis(F.col("start").cast("timestamp"))).withColumn("end_ms", F.unix_millis(F.col("end").cast("timestamp"))).drop("start", "end")
+
+
+def queries() -> dict[str, Query]:
+    return dict(_QUERIES)
+
+
+def oracle_sql() -> dict[str, str]:
+    return oracles.sql()
