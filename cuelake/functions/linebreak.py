@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cuelake.functions import text as T
@@ -31,31 +31,36 @@ ORPHAN_WORDS, ORPHAN_CHARS = 2, 8
 _TAIL = "[.,;:!?…]+$"
 
 
-def best_break(text: Column, width: int = 42) -> Column:
-    """struct(top, bottom) at the best word boundary, or null: short text, no boundary that fits, or none that is good enough."""
-    parts = T.words(text)
-    n = F.size(parts)
-    low = F.lower(text)
-
-    def option(k: Column) -> Column:
-        top, bottom = F.array_join(F.slice(parts, 1, k), " "), F.array_join(F.slice(parts, k + 1, n - k), " ")
-        a, b = F.length(top), F.length(bottom)
-        before, after = F.try_element_at(parts, k), F.try_element_at(parts, k + 1)
-        # ratios as products, so that they are exact
-        score = F.when((10 * a >= 6 * b) & (10 * a <= 9 * b), 3).when((10 * a > 9 * b) & (10 * a <= 11 * b), 2).when((10 * a >= 4 * b) & (10 * a < 6 * b), 1).when(10 * a > 11 * b, -1).otherwise(0)
-        score = score + F.when(2 * a > 3 * b, -3).otherwise(0)
-        score = score + F.when((k == 1) & (a < ORPHAN_CHARS), -5).otherwise(0) + F.when((k == n - 1) & (b < ORPHAN_CHARS), -5).otherwise(0)
-        score = score + F.when(before.rlike("[.,;:!?]$"), 4).otherwise(0)
-        score = score + F.when(F.lower(F.regexp_replace(F.regexp_replace(after, "^-+", ""), _TAIL, "")).isin(*BREAK_BEFORE), 2).otherwise(0)
-        score = score + F.when(F.lower(F.regexp_replace(before, _TAIL, "")).isin(*BIND_FORWARD), -10).otherwise(0)
-        for phrase in map(str.lower, KEEP_TOGETHER):
-            score = score + F.when(low.contains(phrase) & ~F.lower(top).contains(phrase) & ~F.lower(bottom).contains(phrase), -10).otherwise(0)
-        fits = (a <= width) & (b <= width)
-        return F.when(fits, F.struct(score.alias("score"), (-F.abs(a - b)).alias("near"), (-k).alias("early"), top.alias("top"), bottom.alias("bottom")))
-
-    options = F.filter(F.transform(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), option), lambda o: o.isNotNull())
-    best = F.array_max(options)
-    return F.when((F.length(text) > width) & (n >= 2) & (best["score"] >= -5), F.struct(best["top"].alias("top"), best["bottom"].alias("bottom")))
+def with_best_break(df: DataFrame, text: str, to: str, width: int = 42) -> DataFrame:
+    """df with a column `to`. Words, and both sides of every boundary with their lengths, are made column by column, so that none of it is worked out again for each use."""
+    own = df.withColumn("_w", T.words(F.col(text))).withColumn("_n", F.size("_w")).withColumn("_low", F.lower(text))
+
+    def sides(k: Column) -> Column:
+        top, bottom = F.array_join(F.slice("_w", F.lit(1), k), " "), F.array_join(F.slice("_w", k + 1, F.col("_n") - k), " ")
+        return F.struct(k.alias("k"), top.alias("top"), bottom.alias("bottom"), F.element_at("_w", k).alias("before"), F.element_at("_w", k + 1).alias("after"))
+
+    boundaries = F.when((F.length(text) > width) & (F.col("_n") >= 2), F.transform(F.sequence(F.lit(1), F.greatest(F.col("_n") - 1, F.lit(1))), sides)).otherwise(F.array())
+    own = own.withColumn("_o", boundaries)
+    own = own.withColumn("_o", F.filter("_o", lambda o: (F.length(o["top"]) <= width) & (F.length(o["bottom"]) <= width)))
+    own = own.withColumn("_o", F.array_max(F.transform("_o", lambda o: _scored(o, F.col("_n"), F.col("_low")))))
+    best = F.when(F.col("_o.score") >= -5, F.struct(F.col("_o.top").alias("top"), F.col("_o.bottom").alias("bottom")))
+    return own.withColumn(to, best).drop("_w", "_n", "_low", "_o")
+
+
+def _scored(o: Column, n: Column, low: Column) -> Column:
+    """struct(score, near, early, top, bottom): the greatest is the best boundary."""
+    top, bottom, k = o["top"], o["bottom"], o["k"]
+    a, b = F.length(top), F.length(bottom)
+    # ratios as products, so that they are exact
+    score = F.when((10 * a >= 6 * b) & (10 * a <= 9 * b), 3).when((10 * a > 9 * b) & (10 * a <= 11 * b), 2).when((10 * a >= 4 * b) & (10 * a < 6 * b), 1).when(10 * a > 11 * b, -1).otherwise(0)
+    score = score + F.when(2 * a > 3 * b, -3).otherwise(0)
+    score = score + F.when((k == 1) & (a < ORPHAN_CHARS), -5).otherwise(0) + F.when((k == n - 1) & (b < ORPHAN_CHARS), -5).otherwise(0)
+    score = score + F.when(o["before"].rlike("[.,;:!?]$"), 4).otherwise(0)
+    score = score + F.when(F.lower(F.regexp_replace(F.regexp_replace(o["after"], "^-+", ""), _TAIL, "")).isin(*BREAK_BEFORE), 2).otherwise(0)
+    score = score + F.when(F.lower(F.regexp_replace(o["before"], _TAIL, "")).isin(*BIND_FORWARD), -10).otherwise(0)
+    kept = F.filter(F.array(*(F.lit(p.lower()) for p in KEEP_TOGETHER)), lambda p: F.contains(low, p) & ~F.contains(F.lower(top), p) & ~F.contains(F.lower(bottom), p))
+    score = score - 10 * F.size(kept)
+    return F.struct(score.alias("score"), (-F.abs(a - b)).alias("near"), (-k).alias("early"), top.alias("top"), bottom.alias("bottom"))
 
 
 def balance_issues(text: Column, ratio: float = 1.5) -> Column:

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cuelake.functions import text as T
-from cuelake.operators.timing import NL, W
+from cuelake.operators.timing import NL, by_pos
 
 _GROUP = (
     "struct<first_pos: bigint, start_ms: bigint, end_ms: bigint, text: string, first_text: string, source_indices: array<int>, "
@@ -33,9 +33,9 @@ def joined_text(one: Column, two: Column, speaker_change: Column, width: int, mo
 def merge_cues(cues: DataFrame, gap_threshold_ms: int = 1000, max_duration_ms: int = NL["max_duration_ms"], most_lines: int = 2, width: int = 42) -> DataFrame:
     """(title_id, idx, start_ms, end_ms, text, source_count, source_indices, source_timecodes, gap_ms, combined_duration_ms): one row for each cue that comes out; source_count over 1 where cues were merged."""
     own = cues.withColumn("m", T.marker(F.col("text"))).withColumn("clean", T.unmarked(F.col("text")))
-    gap = F.col("start_ms") - F.lag("end_ms").over(W)
+    gap = F.col("start_ms") - F.lag("end_ms").over(by_pos())
     own = own.withColumn("breaks", (F.coalesce(gap > gap_threshold_ms, F.lit(True)) | (F.col("m") == "NM")).cast("int"))
-    own = own.withColumn("run", F.sum("breaks").over(W))
+    own = own.withColumn("run", F.sum("breaks").over(by_pos()))
     runs = own.groupBy("title_id", "run").agg(F.array_sort(F.collect_list(F.struct("pos", "idx", "start_ms", "end_ms", "m", "clean"))).alias("c"))
 
     def alone(c: Column) -> Column:

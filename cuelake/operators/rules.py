@@ -6,13 +6,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cuelake.functions import text as T
-from cuelake.operators.timing import NL, W
+from cuelake.operators.timing import NL, by_pos
 from cuelake.schema import MAX_DURATION_MS
 
 
 def violations(cues: DataFrame, limits: dict[str, int] = NL, max_duration: int = MAX_DURATION_MS) -> DataFrame:
     """All rules over a cue and the one before it. A blank cue has one error and no other rule."""
-    both = cues.select("title_id", "pos", "idx", "start_ms", "end_ms", "text", *(F.lag(c).over(W).alias(f"prev_{c}") for c in ("start_ms", "end_ms", "text")))
+    both = cues.select("title_id", "pos", "idx", "start_ms", "end_ms", "text", *(F.lag(c).over(by_pos()).alias(f"prev_{c}") for c in ("start_ms", "end_ms", "text")))
     text, before = F.col("text"), F.col("prev_text")
     duration = F.col("end_ms") - F.col("start_ms")
     gap = F.col("start_ms") - F.col("prev_end_ms")
@@ -60,7 +60,7 @@ def violations(cues: DataFrame, limits: dict[str, int] = NL, max_duration: int =
 
 def _jumps(cues: DataFrame) -> DataFrame:
     """The first number of each title that isn't its place in the file."""
-    placed = cues.select("title_id", "pos", "idx", F.row_number().over(W).alias("n")).where("idx <> n")
+    placed = cues.select("title_id", "pos", "idx", F.row_number().over(by_pos()).alias("n")).where("idx <> n")
     first = placed.groupBy("title_id").agg(F.min(F.struct("pos", "idx", "n")).alias("f"))
     return first.select("title_id", "f.pos", "f.idx", F.lit("sequence").alias("code"), F.lit("warning").alias("severity"), F.lit(0).alias("line_no"), F.col("f.n").cast("bigint").alias("value"))
 

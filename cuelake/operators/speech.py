@@ -7,17 +7,15 @@ from pyspark.sql import functions as F
 
 from cuelake.functions import text as T
 from cuelake.operators import asof
-from cuelake.operators.timing import NL, following
-from cuelake.operators.timing import W as BY_POS
+from cuelake.operators.timing import NL, by_pos, following
 from cuelake.schema import FRAME_MS
 
-_FRAMES = Window.partitionBy("title_id").orderBy("frame_idx")
-
 
 def runs(frames: DataFrame) -> DataFrame:
     """(title_id, run_no, is_speech, first_frame, end_frame): runs of equal frames; everything after works on these, a hundredth of the rows."""
-    flips = (F.col("is_speech") != F.lag("is_speech").over(_FRAMES)).cast("int")
-    numbered = frames.withColumn("run_no", F.sum(F.coalesce(flips, F.lit(1))).over(_FRAMES))
+    in_order = Window.partitionBy("title_id").orderBy("frame_idx")
+    flips = (F.col("is_speech") != F.lag("is_speech").over(in_order)).cast("int")
+    numbered = frames.withColumn("run_no", F.sum(F.coalesce(flips, F.lit(1))).over(in_order))
     return numbered.groupBy("title_id", "run_no", "is_speech").agg(F.min("frame_idx").alias("first_frame"), (F.max("frame_idx") + 1).alias("end_frame"))
 
 
@@ -99,7 +97,7 @@ def analyze(cues: DataFrame, en: DataFrame, matches: DataFrame, spoken: DataFram
     """Each cue with the nearest speech end and start, the distances, and the times of its matches."""
     met = matches.join(en.select("title_id", F.col("pos").alias("en_pos"), F.col("start_ms").alias("s"), F.col("end_ms").alias("e")), ["title_id", "en_pos"])
     source = met.groupBy("title_id", F.col("nl_pos").alias("pos")).agg(F.min_by("s", "en_pos").alias("en_start"), F.max_by("e", "en_pos").alias("en_end"))
-    own = cues.select("title_id", "pos", "idx", F.col("start_ms").alias("nl_start"), F.col("end_ms").alias("nl_end"), F.lag("end_ms").over(BY_POS).alias("prev_end"), F.lead("start_ms").over(BY_POS).alias("next_start"))
+    own = cues.select("title_id", "pos", "idx", F.col("start_ms").alias("nl_start"), F.col("end_ms").alias("nl_end"), F.lag("end_ms").over(by_pos()).alias("prev_end"), F.lead("start_ms").over(by_pos()).alias("next_start"))
     own = asof.nearest(own, spoken.select("title_id", F.col("end_ms").alias("t")), "nl_end", "t", within=search_range).withColumnRenamed("nearest_ms", "speech_end").drop("distance_ms")
     own = asof.nearest(own, spoken.select("title_id", F.col("start_ms").alias("t")), "nl_start", "t", within=search_range).withColumnRenamed("nearest_ms", "speech_start").drop("distance_ms")
     own = own.join(source, ["title_id", "pos"], "left")

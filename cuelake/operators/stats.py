@@ -83,7 +83,7 @@ def rebalance(cues: DataFrame, soft: int = NL["cps_soft_ceiling"], width: int =
     parts = T.lines(F.col("text"))
     ends = (T.rstrip(F.try_element_at(parts, F.lit(1))), T.rstrip(F.try_element_at(parts, F.lit(2))))
     own = own.withColumn("full", F.concat_ws(" ", *ends)).withColumn("fits", F.length("full") <= width)
-    own = own.where(F.col("fits") | (F.size("issues") > 0)).withColumn("s", L.best_break(F.col("full"), width))
+    own = L.with_best_break(own.where(F.col("fits") | (F.size("issues") > 0)), "full", "s", width)
     same = (F.col("s.top") == ends[0]) & (F.col("s.bottom") == ends[1])
     has = F.col("s").isNotNull() & ~F.coalesce(same, F.lit(False))
     duration = F.col("end_ms") - F.col("start_ms")

@@ -2,33 +2,37 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from cuelake.functions import text as T
 from cuelake.schema import limits
 
-W = Window.partitionBy("title_id").orderBy("pos")
 NL = limits("nl", 25)
 
 
+def by_pos() -> WindowSpec:
+    """Cues of a title in file order."""
+    return Window.partitionBy("title_id").orderBy("pos")
+
+
 def following(column: str = "start_ms") -> Column:
-    return F.lead(column).over(W)
+    return F.lead(column).over(by_pos())
 
 
 def gaps(cues: DataFrame) -> DataFrame:
-    return cues.withColumn("gap_ms", F.col("start_ms") - F.lag("end_ms").over(W))
+    return cues.withColumn("gap_ms", F.col("start_ms") - F.lag("end_ms").over(by_pos()))
 
 
 def renumber(cues: DataFrame) -> DataFrame:
     """Numbers from 1 in file order; old_idx is the number before."""
-    return cues.withColumn("old_idx", F.col("idx")).withColumn("idx", F.row_number().over(W))
+    return cues.withColumn("old_idx", F.col("idx")).withColumn("idx", F.row_number().over(by_pos()))
 
 
 def reorder(cues: DataFrame) -> DataFrame:
     """Stable order by start; moved says whether a cue changed its place."""
     by_start = Window.partitionBy("title_id").orderBy("start_ms", "pos")
-    placed = cues.withColumn("_new", F.row_number().over(by_start).cast("bigint")).withColumn("_old", F.row_number().over(W).cast("bigint"))
+    placed = cues.withColumn("_new", F.row_number().over(by_start).cast("bigint")).withColumn("_old", F.row_number().over(by_pos()).cast("bigint"))
     return placed.withColumn("moved", F.col("_new") != F.col("_old")).withColumn("pos", F.col("_new")).drop("_new", "_old")
 
 
@@ -98,7 +102,7 @@ def fix_srt(cues: DataFrame, min_gap: int = NL["min_gap_ms"]) -> DataFrame:
     for n, step in enumerate((lambda c: T.fix_ellipsis(T.fix_punctuation(c)), T.fix_line_length, T.fix_speaker_dash)):
         placed = placed.withColumn("fixed_text", step(F.col("fixed_text" if n else "text")))
     fixed = fix_overlap(placed, min_gap)
-    return fixed.select("title_id", "pos", F.row_number().over(W).alias("idx"), F.col("idx").alias("old_idx"), "start_ms", F.col("new_end_ms").alias("end_ms"), F.col("fixed_text").alias("text"), F.col("text").alias("original_text"), "moved", "unfixable")
+    return fixed.select("title_id", "pos", F.row_number().over(by_pos()).alias("idx"), F.col("idx").alias("old_idx"), "start_ms", F.col("new_end_ms").alias("end_ms"), F.col("fixed_text").alias("text"), F.col("text").alias("original_text"), "moved", "unfixable")
 
 
 def unfixable(cues: DataFrame) -> DataFrame:
@@ -121,7 +125,7 @@ def apply_alignment(cues: DataFrame, corrections: DataFrame, end_padding: int =
 
 def significant_corrections(segments: DataFrame, cues: DataFrame, padding: int = 1500, min_confidence: float = 0.5) -> DataFrame:
     """Corrections from word segments (title_id, idx, word_no, start_frame, end_frame; 10 ms frames from the start of the cue's window). `confidence` in thousandths."""
-    before = F.lag("end_ms").over(W)
+    before = F.lag("end_ms").over(by_pos())
     back = F.when(before < F.col("start_ms"), F.least(F.floor((F.col("start_ms") - before) / 2), F.lit(padding))).otherwise(padding)
     framed = cues.withColumn("window_start_ms", F.greatest(F.lit(0), F.col("start_ms") - back).cast("bigint")).withColumn("words_expected", F.size(T.words(F.col("text"))))
     found = segments.groupBy("title_id", "idx").agg(F.min_by("start_frame", "word_no").alias("first"), F.max_by("end_frame", "word_no").alias("last"), F.count("*").alias("words_found"))

@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-W = Window.partitionBy("title_id").orderBy("pos")
+from cuelake.operators.timing import by_pos
+
 
 
 def base_cues(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,7 +27,7 @@ def base_cues(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = cut.withColumn("pos", F.row_number().over(Window.partitionBy("title_id").orderBy("turn", "chunk")).cast("bigint"))
     own = own.withColumn("marker", F.when(F.col("new_speaker") & (F.col("chunk") == 0), "[SC] ").when(F.col("pos") % 11 == 0, "[NM] ").otherwise(""))
     own = own.withColumn("dur", 250 + F.length("t") * (35 + (F.col("pos") * 13) % 50)).withColumn("gap", (F.col("pos") * 37) % 1500 - 60)
-    own = own.withColumn("start_ms", F.coalesce(F.sum(F.col("dur") + F.col("gap")).over(W.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).cast("bigint"))
+    own = own.withColumn("start_ms", F.coalesce(F.sum(F.col("dur") + F.col("gap")).over(by_pos().rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).cast("bigint"))
     return own.select("title_id", "pos", F.col("pos").cast("int").alias("idx"), "role", "marker", "t", "start_ms", (F.col("start_ms") + F.col("dur")).cast("bigint").alias("end_ms"))
 
 
@@ -46,7 +47,7 @@ def cues(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(pos % 29 == 11, F.when(pos % 2 == 0, "").otherwise("  "))
         .when(pos % 31 == 13, F.concat(front, F.lit("\n"), back))
         .when(pos % 37 == 15, F.concat(F.lit("- "), front, F.lit("\n- "), back))
-        .when(pos % 41 == 17, F.coalesce(F.lag("t").over(W), t))
+        .when(pos % 41 == 17, F.coalesce(F.lag("t").over(by_pos()), t))
         .when(pos % 43 == 19, F.concat(F.lit("..."), t))
         .when(pos % 47 == 21, thrice)
         .when(pos % 53 == 23, F.concat_ws("\n", t, t, t))
@@ -90,7 +91,7 @@ def nl_cues(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     late = F.when((pos >= 20) & (pos <= 26), 6000).otherwise(0)
     moved = (pos % 5) * 90 + late
-    end = F.when(pos % 7 == 6, F.coalesce(F.lead("end_ms").over(W), F.col("end_ms"))).otherwise(F.col("end_ms"))
+    end = F.when(pos % 7 == 6, F.coalesce(F.lead("end_ms").over(by_pos()), F.col("end_ms"))).otherwise(F.col("end_ms"))
     own = own.select("title_id", "pos", (F.col("start_ms") + moved).alias("start_ms"), (end + moved).alias("end_ms"), text.alias("text")).where(pos % 7 != 0)
     return own.withColumn("pos", F.row_number().over(Window.partitionBy("title_id").orderBy("start_ms", "pos")).cast("bigint")).select("title_id", "pos", F.col("pos").cast("int").alias("idx"), "start_ms", "end_ms", "text")
 
@@ -99,7 +100,7 @@ def speech_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(title_id, frame_idx, is_speech) for every 30 ms, generated cue by cue."""
     own = base_cues(spark, sf_dir)
     pos = F.col("pos")
-    following = F.coalesce(F.lead("start_ms").over(W), F.col("end_ms") + 900)
+    following = F.coalesce(F.lead("start_ms").over(by_pos()), F.col("end_ms") + 900)
     lo, hi = F.floor(F.col("start_ms") / 30), F.floor(following / 30) - 1
     own = own.withColumn("from", F.col("start_ms") + (pos * 53) % 400).withColumn("to", F.col("end_ms") - (pos * 71) % 1200).withColumn("lo", lo).withColumn("hi", hi).where("hi >= lo")
     own = own.select("title_id", "from", "to", F.explode(F.sequence("lo", "hi")).alias("frame_idx"))

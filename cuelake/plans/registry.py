@@ -81,19 +81,18 @@ def trivial_replies(s: SparkSession, d: str) -> DataFrame:
 
 @query
 def wrap_text(s: SparkSession, d: str) -> DataFrame:
-    t = F.concat_ws(" ", "text", F.lead("text").over(adapters.W), F.when(F.col("pos") % 3 == 0, F.lead("text", 2).over(adapters.W)))
+    t = F.concat_ws(" ", "text", F.lead("text").over(timing.by_pos()), F.when(F.col("pos") % 3 == 0, F.lead("text", 2).over(timing.by_pos())))
     return adapters.en_cues(s, d).select(*_KEY, T.wrap_text(t).alias("wrapped"))
 
 
 @query
 def best_break(s: SparkSession, d: str) -> DataFrame:
-    best = linebreak.best_break(F.col("joined"))
-    return _joined(s, d).select(*_KEY, best["top"].alias("top"), best["bottom"].alias("bottom"))
+    return linebreak.with_best_break(_joined(s, d), "joined", "best").select(*_KEY, "best.top", "best.bottom")
 
 
 def _joined(s: SparkSession, d: str) -> DataFrame:
     """Two cues in one line, with words between them that a break should respect."""
-    pos, nxt = F.col("pos"), F.coalesce(F.lead("text").over(adapters.W), F.lit(""))
+    pos, nxt = F.col("pos"), F.coalesce(F.lead("text").over(timing.by_pos()), F.lit(""))
     link = F.when(pos % 5 == 1, " maar ").when(pos % 5 == 2, " de ").when(pos % 5 == 3, " het Rode Kruis ").otherwise(" ")
     return adapters.en_cues(s, d).withColumn("joined", T.collapse(F.concat("text", link, nxt)))
 
@@ -312,10 +311,6 @@ def match_proximity(s: SparkSession, d: str) -> DataFrame:
     return match.match_proximity(adapters.nl_cues(s, d), adapters.en_cues(s, d))
 
 
-def _drafts(s: SparkSession, d: str) -> DataFrame:
-    return match.draft_mapping(adapters.nl_cues(s, d).where("pos % 3 <> 0"), adapters.en_cues(s, d))
-
-
 @query
 def draft_mapping(s: SparkSession, d: str) -> DataFrame:
     found = match.draft_mapping(adapters.nl_cues(s, d), adapters.en_cues(s, d))
@@ -324,12 +319,12 @@ def draft_mapping(s: SparkSession, d: str) -> DataFrame:
 
 @query
 def match_enhanced(s: SparkSession, d: str) -> DataFrame:
-    nl = adapters.nl_cues(s, d)
-    pair = F.array(F.struct("start_ms", "end_ms"), F.struct(F.lead("start_ms").over(adapters.W).alias("start_ms"), F.lead("end_ms").over(adapters.W).alias("end_ms")))
-    merges = nl.select("title_id", F.col("pos").alias("entry_no"), (F.col("start_ms") + F.col("pos") % 40).alias("output_start_ms"), F.when(F.lead("start_ms").over(adapters.W).isNotNull(), pair).otherwise(F.array().cast("array<struct<start_ms: bigint, end_ms: bigint>>")).alias("source_timecodes"), "pos")
+    nl, en = adapters.nl_cues(s, d).persist(), adapters.en_cues(s, d).persist()  # each is read six times
+    pair = F.array(F.struct("start_ms", "end_ms"), F.struct(F.lead("start_ms").over(timing.by_pos()).alias("start_ms"), F.lead("end_ms").over(timing.by_pos()).alias("end_ms")))
+    merges = nl.select("title_id", F.col("pos").alias("entry_no"), (F.col("start_ms") + F.col("pos") % 40).alias("output_start_ms"), F.when(F.lead("start_ms").over(timing.by_pos()).isNotNull(), pair).otherwise(F.array().cast("array<struct<start_ms: bigint, end_ms: bigint>>")).alias("source_timecodes"), "pos")
     merges = merges.where("pos % 4 = 0").drop("pos")
-    drafts = _drafts(s, d).select("title_id", F.col("nl_pos").alias("entry_no"), "nl_start_ms", "en_start_ms", "en_end_ms")
-    return match.match_enhanced(nl, adapters.en_cues(s, d), merges, drafts)
+    drafts = match.draft_mapping(nl.where("pos % 3 <> 0"), en).persist().select("title_id", F.col("nl_pos").alias("entry_no"), "nl_start_ms", "en_start_ms", "en_end_ms")
+    return match.match_enhanced(nl, en, merges, drafts)
 
 
 def _foreign(s: SparkSession, d: str) -> DataFrame:
@@ -381,8 +376,8 @@ def _shortened(s: SparkSession, d: str) -> DataFrame:
 
 
 def _analyzed(s: SparkSession, d: str) -> DataFrame:
-    nl, en = adapters.nl_cues(s, d), adapters.en_cues(s, d)
-    return speech.analyze(nl, en, match.match_proximity(nl, en), _spoken(s, d))
+    nl, en = adapters.nl_cues(s, d).persist(), adapters.en_cues(s, d).persist()
+    return speech.analyze(nl, en, match.match_proximity(nl, en), _spoken(s, d).persist())
 
 
 @query

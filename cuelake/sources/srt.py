@@ -14,24 +14,23 @@ _TIMES = r"(?U)^\s*(\d{1,2}:\d{2}:\d{2}[,.]\d{3})\s*-->\s*(\d{1,2}:\d{2}:\d{2}[,
 def decoded(content: Column) -> Column:
     """Text of a file's bytes: UTF-8 if it is valid, else Latin-1."""
     as_utf8 = content.cast("string")
-    return F.when(F.is_valid_utf8(as_utf8), as_utf8).otherwise(F.decode(F.when(F.is_valid_utf8(as_utf8), F.lit(b"")).otherwise(content), F.lit("ISO-8859-1")))
+    return F.when(F.is_valid_utf8(as_utf8), as_utf8).otherwise(F.decode(F.when(F.is_valid_utf8(as_utf8), F.lit(b"")).otherwise(content), "ISO-8859-1"))
 
 
-@F.pandas_udf("string")
-def decoded_windows(content):
+def decoded_windows(content: Column) -> Column:
     """The same with Windows-1252 as the second choice, which built-in functions don't know."""
-
-    def one(raw: bytes | None) -> str | None:
-        if raw is None:
-            return None
-        for name in ("utf-8", "cp1252"):
-            try:
-                return raw.decode(name)
-            except UnicodeDecodeError:
-                continue
-        return raw.decode("latin-1")
-
-    return content.map(one)
+    return F.pandas_udf(lambda series: series.map(_windows), "string")(content)
+
+
+def _windows(raw: bytes | None) -> str | None:
+    if raw is None:
+        return None
+    for name in ("utf-8", "cp1252"):
+        try:
+            return raw.decode(name)
+        except UnicodeDecodeError:
+            continue
+    return raw.decode("latin-1")
 
 
 def read_files(spark: SparkSession, path: str, windows: bool = False) -> DataFrame:
