@@ -26,6 +26,7 @@ each other. Null and short texts have no windows.
 
 from __future__ import annotations
 
+import functools
 import io
 from collections.abc import Callable, Iterator
 
@@ -42,7 +43,7 @@ WINDOW = 50
 #: Bytes of text in a slice, and for each bucket.
 SLICE, BUCKET_BYTES = 2 << 20, 4 << 20
 FREQUENT = 4096
-NO_ID = np.iinfo(np.int64).max
+_ODD = K.random_words(31, 3) | np.uint64(1)
 
 
 def pack(*arrays: np.ndarray) -> bytes:
@@ -74,7 +75,22 @@ class Bytes(Text):
     def __init__(self, *args: np.ndarray):
         super().__init__(*args)
         self.first, self.n = self.offsets, len(self.raw)
-        self.prefix = K.byte_prefix(self.raw)
+
+    @functools.cached_property
+    def prefix(self) -> np.ndarray:
+        return K.byte_prefix(self.raw)
+
+    def grams(self) -> np.ndarray:
+        """The hash of the GRAM bytes from each position on."""
+        eight = np.ndarray(self.n - 7, np.dtype("<u8"), self.raw, strides=(1,))
+        h = eight[:-8] * _ODD[0]
+        h ^= h >> np.uint64(29)
+        h += eight[8:]
+        h *= _ODD[1]
+        h ^= h >> np.uint64(32)
+        h *= _ODD[2]
+        h ^= h >> np.uint64(29)
+        return h
 
     def contents(self, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(bytes of all ranges one after the other, length of each)."""
@@ -91,6 +107,10 @@ class Words(Text):
         self.codes = K.range_hash(K.byte_prefix(self.raw), self.start, self.end)
         self.prefix = K.code_prefix(self.codes)
 
+    def grams(self) -> np.ndarray:
+        at = np.arange(self.n - self.GRAM + 1)
+        return K.range_hash(self.prefix, at, at + self.GRAM)
+
     def contents(self, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Words of the ranges, a space after each."""
         number = K.ranges(lo, hi - lo)
@@ -117,18 +137,22 @@ def anchors(text: Text) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
     if text.n < WINDOW:
         return none.astype(np.uint64), none, none, none
     width = WINDOW - text.GRAM + 1
-    at = np.arange(text.n - text.GRAM + 1)
-    h = K.range_hash(text.prefix, at, at + text.GRAM)
+    h = text.grams()
     low = _sliding_min(h, width)
     size = np.diff(text.first)
-    owner = np.repeat(np.arange(len(size)), size)[: len(low)]
-    fits = np.arange(len(low)) + WINDOW <= text.first[owner + 1]
+    owner = np.repeat(np.arange(len(size), dtype=np.int32), size)[: len(low)]
+    # the last WINDOW - 1 elements of a text start no window
+    fits = np.ones(len(low), np.int8)
+    for back in range(1, WINDOW):
+        at = text.first[1:] - back
+        fits[at[(at >= text.first[:-1]) & (at < len(low))]] = 0
     # a run ends where the smallest hash changes, or where the window has just left the gram that had it
     runs = np.ones(len(low), bool)
     runs[1:] = (low[1:] != low[:-1]) | (h[: len(low) - 1] == low[:-1]) | (owner[1:] != owner[:-1])
     starts = np.flatnonzero(runs)
     ends = np.append(starts[1:], len(low))
-    valid = np.concatenate([[0], np.cumsum(fits)])
+    valid = np.zeros(len(fits) + 1, np.int64)
+    np.cumsum(fits, out=valid[1:])
     ends = starts + (valid[ends] - valid[starts])  # windows that don't fit come last in a text
     keep = ends > starts
     starts, ends = starts[keep], ends[keep]
@@ -253,7 +277,8 @@ def repeats(docs: DataFrame, kind: type[Text], solver: Solver, rest: list[str] =
                 text, known = _read(blob, kind)
                 yield from _contexts(number, text, known, {m["bucket"]: m["bits"] for m in marks}, buckets)
 
-    sent = packed.join(listed.hint("shuffle_hash"), "slice").select("slice", "blob", "bits").mapInArrow(send, "slice long, bucket int, blob binary")
+    # the texts are dealt by slice here and in apply(): with the same columns the engine does it once
+    sent = packed.join(listed, "slice").select("slice", "blob", "rest", "bits").mapInArrow(send, "slice long, bucket int, blob binary")
 
     def solve(parts: list[tuple[int, bytes]], bucket: int) -> pa.RecordBatch | None:
         if bucket < 0:  # repeats that a slice has found in itself
@@ -340,7 +365,7 @@ def _contexts(number: int, text: Text, known: np.ndarray, marks: dict[int, bytes
 
 def covered(n: int, found: list[bytes]) -> np.ndarray:
     """Which of n elements lie in a window found."""
-    step = np.zeros(n + 1, np.int64)
+    step = np.zeros(n + 1, np.int32)
     for blob in found:
         lo, hi = unpack(blob)
         np.add.at(step, lo, 1)
@@ -360,4 +385,4 @@ def apply(packed: DataFrame, found: DataFrame, kind: type[Text], answer: Callabl
                     text.rest = pa.ipc.open_stream(zstandard.ZstdDecompressor().decompress(rest)).read_next_batch()
                 yield answer(text, known, covered(text.n, what or []))
 
-    return packed.join(listed, "slice", "left").select("blob", "rest", "found").mapInArrow(run, schema)
+    return packed.join(listed, "slice", "left").select("slice", "blob", "rest", "found").mapInArrow(run, schema)

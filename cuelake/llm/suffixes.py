@@ -29,20 +29,26 @@ SCHEMA = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
 
 def words_at(text: np.ndarray) -> np.ndarray:
     """The eight bytes from each position on as a big-endian number, zeros after the end."""
-    n = len(text)
-    out = np.concatenate([text, np.zeros(SORTED_BYTES + 8, np.uint8)]).astype(np.uint64)
-    for step in (1, 2, 4):
-        after = np.zeros_like(out)
-        after[:-step] = out[step:]
-        out = (out << np.uint64(8 * step)) | after
-    return out[: n + SORTED_BYTES]
+    padded = np.concatenate([text, np.zeros(SORTED_BYTES + 8, np.uint8)])
+    return np.ndarray(len(text) + SORTED_BYTES, np.dtype(">u8"), padded, strides=(1,)).astype(np.uint64)
+
+
+def _by_group(key: np.ndarray, group: np.ndarray) -> np.ndarray:
+    """Order by group, then key: by key first, then two stable passes over 16 bits of the group each."""
+    order = np.argsort(key)
+    for shift in (0, 16):
+        digit = (group[order] >> shift).astype(np.uint16)
+        if shift and not digit.any():
+            break
+        order = order[np.argsort(digit, kind="stable")]
+    return order
 
 
 def sort_directly(at: np.ndarray, words: np.ndarray) -> np.ndarray:
     """Positions ordered by their first SORTED_BYTES bytes: by eight bytes, and again by the next eight where those are equal."""
-    order = np.argsort(words[at], kind="stable")
-    at = at[order]
     key = words[at]
+    order = np.argsort(key)
+    at, key = at[order], key[order]
     new = np.ones(len(at), bool)
     new[1:] = key[1:] != key[:-1]
     for depth in range(8, SORTED_BYTES, 8):
@@ -51,11 +57,12 @@ def sort_directly(at: np.ndarray, words: np.ndarray) -> np.ndarray:
         where = np.flatnonzero(tied)
         if not len(where):
             break
-        group = np.cumsum(new)[where]
-        key = words[at[where] + depth]
-        inner = np.lexsort((key, group))
-        at[where] = at[where[inner]]
-        key = key[inner]
+        group = np.cumsum(new[where], dtype=np.int32)
+        own = at[where]
+        key = words[own + depth]
+        inner = _by_group(key, group)
+        at[where] = own[inner]
+        key, group = key[inner], group[inner]
         fresh = np.ones(len(where), bool)
         fresh[1:] = (key[1:] != key[:-1]) | (group[1:] != group[:-1])
         new[where] = fresh
@@ -66,19 +73,20 @@ def suffix_array(text: np.ndarray, words: np.ndarray | None = None) -> np.ndarra
     """Positions of text in the order of their suffixes, as far as SORTED_BYTES bytes tell."""
     n = len(text)
     if not n:
-        return np.zeros(0, np.int64)
+        return np.zeros(0, np.int32)
     words = words_at(text) if words is None else words
     differs = np.append(text[:-1] != text[1:], True)
     rises = np.append(text[:-1] < text[1:], False)
-    nxt = np.minimum.accumulate(np.where(differs, np.arange(n), n - 1)[::-1])[::-1]
+    nxt = np.minimum.accumulate(np.where(differs, np.arange(n, dtype=np.int32), np.int32(n - 1))[::-1])[::-1]
     small = rises[nxt]  # smaller than the successor: sorted directly
-    direct = sort_directly(np.flatnonzero(small), words)
+    direct = sort_directly(np.flatnonzero(small).astype(np.int32), words)
     cuts = np.searchsorted(text[direct], np.arange(257))
     waiting: list[list[np.ndarray]] = [[] for _ in range(256)]
-    waiting[text[-1]].append(np.array([n - 1]))
+    waiting[text[-1]].append(np.array([n - 1], np.int32))
     out = []
     for c in np.unique(text).tolist():
-        own = np.concatenate([np.zeros(0, np.int64), *waiting[c]])
+        own = np.concatenate([np.zeros(0, np.int32), *waiting[c]])
+        waiting[c] = []
         parts = [own]
         while len(own):  # runs of c induce inside the bucket
             before = own[own > 0] - 1
@@ -118,11 +126,10 @@ def least_documents(contents: np.ndarray, length: np.ndarray, windows: np.ndarra
     other = np.flatnonzero(lead[same_as] != np.arange(len(codes)))
     mine, theirs = where[other], where[lead[same_as[other]]]
     agree = length[other] == length[lead[same_as[other]]]
+    eight = np.ndarray(max(len(contents) - 7, 0), np.dtype("<u8"), contents, strides=(1,))
     for k in range(0, int(length.max(initial=0)), 8):
-        step = np.minimum(k, np.maximum(length[other] - 8, 0))
-        if k == 0:
-            words_all = words_at(contents)
-        agree &= words_all[mine + step] == words_all[theirs + step]
+        step = np.minimum(k, length[other] - 8)  # a context has WINDOW bytes at least
+        agree &= eight[mine + step] == eight[theirs + step]
     odd = other[~agree]
     alone = np.zeros(len(codes), bool)
     alone[lead] = True
@@ -136,8 +143,8 @@ def least_documents(contents: np.ndarray, length: np.ndarray, windows: np.ndarra
     start = np.concatenate([[0], np.cumsum(length[chosen])])
     array = suffix_array(text, words)
     begins = R.K.ranges(start[:-1], windows[chosen])
-    number = np.full(len(text), -1)
-    number[begins] = np.arange(len(begins))
+    number = np.full(len(text), -1, np.int32)
+    number[begins] = np.arange(len(begins), dtype=np.int32)
     array = array[number[array] >= 0]
     owner = np.repeat(ids[chosen], windows[chosen])
     new = np.ones(len(array), bool)
