@@ -120,7 +120,7 @@ def _blocks(docs: DataFrame) -> tuple[DataFrame, int]:
         lent = F.when(F.col("doc_id").eqNullSafe(F.col("_head")), F.col("_after"))
     both = F.when(lent.isNull(), F.array(F.struct(F.col("_block").alias("b"), F.lit(0).alias("lent")))).otherwise(F.array(F.struct(F.col("_block").alias("b"), F.lit(0).alias("lent")), F.struct(lent.alias("b"), F.lit(1).alias("lent"))))
     spread = keyed.select("doc_id", "text", F.explode(both).alias("_to")).select("doc_id", "text", F.col("_to.b").alias("_block"), F.col("_to.lent").alias("_lent"))
-    return spread, len(heads)
+    return spread, max(1, len(heads))
 
 
 def edited_likeness(docs: DataFrame) -> DataFrame:
