@@ -33,12 +33,12 @@ SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 #: The public pattern of byte-level BPE.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-#: Distinct words whose encodings a worker keeps between batches, and the longest of them.
-KEPT_WORDS, KEPT_LENGTH = 400_000, 64
+#: Distinct words whose encodings a task keeps between batches, and the longest of them.
+KEPT_WORDS, KEPT_LENGTH = 150_000, 64
 #: Pairs of tokens of which a worker knows whether they stay.
-KEPT_PAIRS = 1_000_000
+KEPT_PAIRS = 500_000
 #: Characters whose words are looked up together.
-BATCH_CHARS = 4 << 20
+BATCH_CHARS = 3 << 20
 
 #: A character of each class (letter, number, space, other) that all Unicode versions agree on.
 _STANDS_FOR = {"L": "é", "N": "²", "S": " ", "O": "§"}
@@ -85,6 +85,10 @@ class Encoder:
         self._stays: dict[int, bool] = {}
         self._known: dict[str, tuple[int, bytes, bytes]] = {}
 
+    def forget(self) -> None:
+        """Lets go of the words of a task, so that an idle worker holds the vocabulary alone."""
+        self._known.clear()
+
     def _suffixes(self) -> None:
         """An automaton over the reversed question "which tokens end here": `_next[state][byte]` is the state after a byte, `_ending[state]` the (token, length) pairs that end there, longest first."""
         self._next: list[dict[int, int]] = [{}]
@@ -299,4 +303,5 @@ def _encoded(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[tuple[pa.
                 yield keys.slice(at, upto - at), list(own.encode_texts(part))
                 at = upto
     finally:
+        own.forget()
         gc.enable()
