@@ -274,11 +274,12 @@ def repeats(docs: DataFrame, kind: type[Text], solver: Solver, rest: list[str] =
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for number, blob, marks in zip(b.column("slice").to_pylist(), b.column("blob").to_pylist(), b.column("bits").to_pylist(), strict=True):
-                text, known = _read(blob, kind)
-                yield from _contexts(number, text, known, {m["bucket"]: m["bits"] for m in marks}, buckets)
+                if marks:
+                    text, known = _read(blob, kind)
+                    yield from _contexts(number, text, known, {m["bucket"]: m["bits"] for m in marks}, buckets)
 
-    # the texts are dealt by slice here and in apply(): with the same columns the engine does it once
-    sent = packed.join(listed, "slice").select("slice", "blob", "rest", "bits").mapInArrow(send, "slice long, bucket int, blob binary")
+    # the texts are dealt by slice here and in apply(): with the same columns and kind of join the engine does it once
+    sent = packed.join(listed, "slice", "left").select("slice", "blob", "rest", "bits").mapInArrow(send, "slice long, bucket int, blob binary")
 
     def solve(parts: list[tuple[int, bytes]], bucket: int) -> pa.RecordBatch | None:
         if bucket < 0:  # repeats that a slice has found in itself
