@@ -22,10 +22,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cuelake.llm import kernels as K
+from cuelake.llm.store import stored
 
 WORDS, PERMUTATIONS = 5, 128
 #: Bands and rows of a band: a pair with Jaccard 0.8 shares none of them with probability 2e-7.
 BANDS, ROWS = 32, 4
+#: How far an estimate may lie below the threshold, and about the classes of a block of a bucket.
+SLACK, CELL = 0.17, 1024
 #: Characters of a block of documents, and the most blocks; beyond that blocks grow.
 BLOCK_CHARS, MOST_BLOCKS = 8 << 20, 20_000
 SLICE = 1 << 20
@@ -69,34 +72,98 @@ def near_pairs(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     """(a, b, jaccard), a < b: links between documents of at least `threshold`, found by equal bands and verified on whole shingle sets.
 
     Documents with equal sets are one class, named by its smallest doc_id; links
-    are between classes. In a band's bucket each class is paired with the first
-    one only, so that a bucket of n gives n - 1 candidates; a class whose link to
-    the first is refused meets others through its other bands.
+    are between classes, and `classes` says who is in them. Every two classes that
+    share a band meet: a bucket of any size is cut in blocks of about CELL classes,
+    and each pair of blocks is a cell of its own, so that no task holds more than
+    two blocks. A cell compares signatures and gives only the pairs that look alike
+    (SLACK below the threshold is 4.8 standard deviations), each in the first band
+    that they share.
     """
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             raw, offsets = K.strings(b.column(1))
-            rows = []
+            cls, own, marks = [], [], []
             for lo, hi in K.slices(offsets, SLICE):
                 hashes, first = K.word_hashes(raw[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
                 shingles, where = K.shingle_hashes(hashes, first, WORDS)
-                bands = (_PERMUTE.signatures(shingles, where) & np.uint32(0xFFFF)).astype(np.uint16).reshape(-1, BANDS, ROWS)
+                low = (_PERMUTE.signatures(shingles, where) & np.uint32(0xFFFF)).astype("<u2")
                 for t in range(hi - lo):
-                    own = np.unique(shingles[where[t] : where[t + 1]])
-                    rows.append((hashlib.md5(own.tobytes()).digest(), own.view(np.int64), [bytes([j]) + bands[t, j].tobytes() for j in range(BANDS)]) if len(own) else (None, own.view(np.int64), []))
-            yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), pa.array([r[0] for r in rows], pa.binary()), pa.array([r[1] for r in rows], pa.list_(pa.int64())), pa.array([r[2] for r in rows], pa.list_(pa.binary()))], ["id", "class", "shingles", "bands"])
-
-    known = docs.select("doc_id", "text").mapInArrow(sets, "id long, class binary, shingles array<long>, bands array<binary>").where("class is not null and id is not null")
-    classes = known.groupBy("class").agg(F.min("id").alias("id"), F.min_by("shingles", "id").alias("shingles"), F.min_by("bands", "id").alias("bands"))
-    keyed = classes.select("id", F.explode("bands").alias("band"))
-    firsts = keyed.groupBy("band").agg(F.min("id").alias("a"))
-    pairs = keyed.join(firsts, "band").where("a < id").select("a", F.col("id").alias("b")).distinct()
-    one, two = classes.select(F.col("id").alias("a"), F.col("shingles").alias("_a")), classes.select(F.col("id").alias("b"), F.col("shingles").alias("_b"))
+                    own.append(np.unique(shingles[where[t] : where[t + 1]]))
+                    cls.append(hashlib.md5(own[-1].tobytes()).digest() if len(own[-1]) else None)
+                    marks.append(low[t].tobytes())
+            yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), pa.array(cls, pa.binary()), pa.array([x.view(np.int64) for x in own], pa.list_(pa.int64())), pa.array(marks, pa.binary())], ["id", "class", "shingles", "signature"])
+
+    known = docs.select("doc_id", "text").mapInArrow(sets, "id long, class binary, shingles array<long>, signature binary").where("class is not null and id is not null")
+    found = stored(known.groupBy("class").agg(F.min("id").alias("id"), F.min_by("shingles", "id").alias("shingles"), F.min_by("signature", "id").alias("signature")))
+    pairs = _alike(found.select("id", "signature"), threshold)
+    one, two = found.select(F.col("id").alias("a"), F.col("shingles").alias("_a")), found.select(F.col("id").alias("b"), F.col("shingles").alias("_b"))
     met = pairs.join(one, "a").join(two, "b").withColumn("_n", F.size(F.array_intersect("_a", "_b")))
     return met.select("a", "b", (F.col("_n") / (F.size("_a") + F.size("_b") - F.col("_n"))).alias("jaccard")).where(F.col("jaccard") >= threshold)
 
 
+def classes(docs: DataFrame) -> DataFrame:
+    """(doc_id, class_id): the class of each row that has words and a doc_id, as `near_pairs` names it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            raw, offsets = K.strings(b.column(1))
+            cls = []
+            for lo, hi in K.slices(offsets, SLICE):
+                hashes, first = K.word_hashes(raw[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
+                shingles, where = K.shingle_hashes(hashes, first, WORDS)
+                own = [np.unique(shingles[where[t] : where[t + 1]]) for t in range(hi - lo)]
+                cls += [hashlib.md5(x.tobytes()).digest() if len(x) else None for x in own]
+            yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), pa.array(cls, pa.binary())], ["doc_id", "class"])
+
+    known = stored(docs.select("doc_id", "text").mapInArrow(run, "doc_id long, class binary").where("class is not null and doc_id is not null"))
+    return known.join(known.groupBy("class").agg(F.min("doc_id").alias("class_id")), "class").select("doc_id", "class_id")
+
+
+def _alike(rows: DataFrame, threshold: float) -> DataFrame:
+    """(a, b): rows (id, signature) that share a band and whose signatures look alike, each pair once."""
+    least = int(np.ceil((threshold - SLACK) * PERMUTATIONS))
+    width = 2 * ROWS
+    keyed = rows.select("id", "signature", F.explode(F.sequence(F.lit(0), F.lit(BANDS - 1))).alias("band"))
+    keyed = keyed.withColumn("bucket", F.expr(f"substring(signature, band * {width} + 1, {width})"))
+    buckets = keyed.groupBy("band", "bucket").agg(F.count("*").alias("n")).where("n > 1").withColumn("blocks", F.ceil(F.col("n") / CELL).cast("int")).drop("n")
+    met = keyed.join(buckets, ["band", "bucket"]).withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    met = met.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    cells = met.select("band", "bucket", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), (F.col("own") > F.col("other")).cast("int").alias("second"), "id", "signature")
+    order = ["band", "bucket", "p", "q"]
+    dealt = cells.repartition(*order).sortWithinPartitions(*order, "second", "id")
+
+    def links(band: int, p: int, q: int, second: list[int], ids: list[int], marks: list[bytes]) -> pa.RecordBatch:
+        own, sig = np.array(ids, np.int64), np.frombuffer(b"".join(marks), "<u2").reshape(len(ids), -1)
+        half = int(len(ids) - sum(second))  # of a cell of two blocks, rows of the first come first
+        out_a, out_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for i in range(half):
+            rest = np.arange(i + 1 if p == q else half, len(ids))
+            same = sig[rest] == sig[i]
+            ok = same.sum(axis=1) >= least
+            earlier = same[ok].reshape(-1, BANDS, ROWS)[:, :band].all(axis=2).any(axis=1)
+            hit = own[rest[ok][~earlier]]
+            out_a.append(np.minimum(hit, own[i]))
+            out_b.append(np.maximum(hit, own[i]))
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(out_a)), pa.array(np.concatenate(out_b))], ["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, second, ids, marks = None, [], [], []
+        for b in batches:
+            for *key, side, key_id, mark in zip(*(b.column(c).to_pylist() for c in (*order, "second", "id", "signature")), strict=True):
+                if key != now:
+                    if len(ids) > 1:
+                        yield links(now[0], now[2], now[3], second, ids, marks)
+                    now, second, ids, marks = key, [], [], []
+                second.append(side)
+                ids.append(key_id)
+                marks.append(mark)
+        if len(ids) > 1:
+            yield links(now[0], now[2], now[3], second, ids, marks)
+
+    return dealt.mapInArrow(run, "a long, b long")
+
+
 def _blocks(docs: DataFrame) -> tuple[DataFrame, int]:
     """docs in blocks of neighbouring ids, dealt by block. Each block also has the first document, in descending order, of the block that follows it."""
     n, size = docs.agg(F.count("*"), F.sum(F.length("text"))).first()

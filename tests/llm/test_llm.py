@@ -110,6 +110,29 @@ def test_op1_estimates_and_pairs(docs):
             sets[key] = min(sets.get(key, i), i)
     want = {(min(i, j), max(i, j)) for s, i in sets.items() for u, j in sets.items() if i < j and 10 * len(s & u) >= 8 * len(s | u)}
     assert found == want
+    members = {(r["doc_id"], r["class_id"]) for r in fingerprints.classes(docs).collect()}
+    assert members == {(i, sets[frozenset(plain(t))]) for i, t in rows if plain(t)}
+
+
+@pytest.mark.parametrize("cell", [1024, 7])
+def test_op1_every_link(spark, none, monkeypatch, cell):
+    """Near copies of all degrees of one text: no link is lost, also where a bucket is cut in blocks."""
+    monkeypatch.setattr(fingerprints, "CELL", cell)
+    rng = random.Random(12)
+    base = [f"v{rng.randrange(9000)}" for _ in range(150)]
+    rows = []
+    for i in range(120):
+        w = list(base)
+        for _ in range(rng.randrange(0, 9)):
+            w[rng.randrange(150)] = f"x{rng.randrange(10**6)}"
+        rows.append((i, " ".join(w), "s"))
+    sets, least = [shingles(t) for _, t, _ in rows], {}
+    for i, s in enumerate(sets):
+        least.setdefault(frozenset(s), i)
+    own = sorted(least.values())
+    want = sorted((a, b) for a in own for b in own if a < b and 10 * len(sets[a] & sets[b]) >= 8 * len(sets[a] | sets[b]))
+    assert sorted((r["a"], r["b"]) for r in fingerprints.near_pairs(table(spark, rows)).collect()) == want
+    assert fingerprints.near_pairs(none).count() == 0 and fingerprints.classes(none).count() == 0
 
 
 def test_op2_neighbours(spark):
