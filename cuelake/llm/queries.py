@@ -126,6 +126,29 @@ WITH w AS (
 SELECT w.doc_id, len(w.w) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM w LEFT JOIN k ON w.doc_id = k.doc_id
 """
 
+#: op6 in DuckDB SQL: bytes as hex digits, cut in overlapping pieces so that substrings stay short.
+SUFFIX_SQL = r"""
+WITH d AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents
+), c AS (
+  SELECT doc_id, length(x) // 2 AS n, unnest(range(0, greatest(length(x) // 2, 1), 500)) AS o, x FROM d
+), p AS (
+  SELECT doc_id, n, o, substr(x, 2 * o + 1, 1098) AS s FROM c
+), g AS (
+  SELECT doc_id, i + o AS i, substr(s, 2 * i + 1, 100) AS w FROM (SELECT doc_id, n, o, s, unnest(range(0, least(500, n - o - 49))) AS i FROM p WHERE n - o >= 50)
+), m AS (
+  SELECT w, min(doc_id) AS first FROM g GROUP BY 1
+), x AS (
+  SELECT DISTINCT g.doc_id, i + unnest(range(0, 50)) AS i FROM g JOIN m ON g.w = m.w WHERE first < g.doc_id
+), l AS (
+  SELECT doc_id, i + o AS i, substr(s, 2 * i + 1, 2) AS b FROM (SELECT doc_id, o, s, unnest(range(0, least(500, n - o))) AS i FROM p)
+), k AS (
+  SELECT l.doc_id, count(x.i) AS n_removed, count(*) FILTER (WHERE x.i IS NOT NULL AND y.i IS NULL) AS n_spans, coalesce(string_agg(b, '' ORDER BY l.i) FILTER (WHERE x.i IS NULL), '') AS kept
+  FROM l LEFT JOIN x ON l.doc_id = x.doc_id AND l.i = x.i LEFT JOIN x y ON l.doc_id = y.doc_id AND l.i = y.i + 1 GROUP BY 1
+)
+SELECT d.doc_id, length(d.x) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept, ''))) AS kept_sha256 FROM d LEFT JOIN k ON d.doc_id = k.doc_id
+"""
+
 
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
@@ -151,4 +174,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_rlz": RLZ_SQL, "op4_mixing": mixing.ORACLE_SQL, "op5_licenses": licenses.oracle_sql(), "op7_urlfilter": URLFILTER_SQL, "op9_forest": FOREST_SQL}
+    return {"op3_rlz": RLZ_SQL, "op4_mixing": mixing.ORACLE_SQL, "op5_licenses": licenses.oracle_sql(), "op6_suffixes": SUFFIX_SQL, "op7_urlfilter": URLFILTER_SQL, "op9_forest": FOREST_SQL}

@@ -1,6 +1,7 @@
 """Operators for training text against brute force on small tables, with the awkward rows in every one."""
 
 import hashlib
+import os
 import random
 import re
 import zlib
@@ -9,8 +10,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from cuelake.llm import bpe, fingerprints, forest, kernels, licenses, mixing, quality, rabitq, repeats, rlz, store, suffixes, urlfilter
+from cuelake.llm import bpe, fingerprints, forest, kernels, licenses, mixing, quality, queries, rabitq, repeats, rlz, store, suffixes, urlfilter
 
+DATA = "/root/testdata/sf0.001"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 # extra columns whose names operators use inside
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score double, cls long, _block int, slice long"
@@ -361,3 +363,18 @@ def test_pipeline(spark, tmp_path):
     assert sorted(r["text"] for r in cut) == sorted(bytes(b for b, x in zip(r["text"].encode(), g, strict=True) if not x).decode(errors="ignore") for r, g in zip(apart, gone, strict=True))
     assert {r["doc_id"] for r in mixed} <= {r["doc_id"] for r in cut}
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == len(mixed)
+
+
+@pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
+def test_same_rows_as_sql(spark, name):
+    """Every query with SQL gives what DuckDB gives, on the smallest tables."""
+    duckdb = pytest.importorskip("duckdb")
+    if not os.path.isdir(DATA):
+        pytest.skip("no test tables")
+    con = duckdb.connect()
+    for t in ("documents", "pages"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{DATA}/{t}.parquet'")
+    df, want = queries.queries()[name](spark, DATA), con.execute(queries.oracle_sql()[name])
+    names = [c[0] for c in want.description]
+    assert sorted(df.columns) == sorted(names)
+    assert sorted(repr(tuple(r)) for r in df.select(*names).collect()) == sorted(map(repr, want.fetchall()))
