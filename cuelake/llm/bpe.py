@@ -28,6 +28,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from cuelake.llm import kernels as K
+
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 #: The public pattern of byte-level BPE.
@@ -85,10 +87,6 @@ class Encoder:
         self._stays: dict[int, bool] = {}
         self._known: dict[str, tuple[int, bytes, bytes]] = {}
 
-    def forget(self) -> None:
-        """Lets go of the words of a task, so that an idle worker holds the vocabulary alone."""
-        self._known.clear()
-
     def _suffixes(self) -> None:
         """An automaton over the reversed question "which tokens end here": `_next[state][byte]` is the state after a byte, `_ending[state]` the (token, length) pairs that end there, longest first."""
         self._next: list[dict[int, int]] = [{}]
@@ -256,7 +254,7 @@ def _common(a: bytes, b: bytes) -> int:
 
 @functools.lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
-    """One encoder for each vocabulary in a worker, kept between tasks."""
+    """One encoder for each vocabulary in a worker, kept through a task."""
     return Encoder(path)
 
 
@@ -272,7 +270,7 @@ def encode_documents(docs: DataFrame, path: str, text: str = "text", key: str =
         for keys, made in _encoded(batches, path):
             yield pa.RecordBatch.from_arrays([keys, pa.array([m[0] for m in made], pa.int64()), pa.array([m[1] for m in made], pa.binary()), pa.array([decoded_text(m[2]) for m in made], pa.string())], ["doc_id", "n_tokens", "ids", "decoded"])
 
-    return docs.select(key, text).mapInArrow(run, "doc_id long, n_tokens long, ids binary, decoded string")
+    return docs.select(key, text).mapInArrow(K.releasing(run), "doc_id long, n_tokens long, ids binary, decoded string")
 
 
 def encode_digests(docs: DataFrame, path: str, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -285,7 +283,7 @@ def encode_digests(docs: DataFrame, path: str, text: str = "text", key: str = "d
                 ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
             )
 
-    return docs.select(key, text).mapInArrow(run, SCHEMA)
+    return docs.select(key, text).mapInArrow(K.releasing(run), SCHEMA)
 
 
 def _encoded(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[tuple[pa.Array, list]]:
@@ -303,5 +301,5 @@ def _encoded(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[tuple[pa.
                 yield keys.slice(at, upto - at), list(own.encode_texts(part))
                 at = upto
     finally:
-        own.forget()
+        encoder.cache_clear()  # so that an idle worker holds nothing; the next task takes half a second to read the vocabulary
         gc.enable()

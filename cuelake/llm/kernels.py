@@ -6,7 +6,10 @@ operator needs one. A null text counts as empty throughout.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import functools
+import gc
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -204,3 +207,19 @@ class Permutations:
 def code_points(raw: np.ndarray) -> np.ndarray:
     """Byte positions at which code points begin."""
     return np.flatnonzero((raw & 0xC0) != 0x80)
+
+
+def releasing(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """run, after which a worker that idles until its next task gives freed memory back."""
+
+    @functools.wraps(run)
+    def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            if (trim := getattr(ctypes.CDLL(None), "malloc_trim", None)) is not None:  # of glibc
+                trim(0)
+
+    return own

@@ -214,7 +214,7 @@ def train(docs: DataFrame, labels: DataFrame, target: str = "quality", rows: int
             yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), b.column(2), pa.array(list(x), pa.list_(pa.float64()))], ["_id", "_y", "_x"])
 
     found = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("doc_id", "text", "_y")  # at most `rows` pairs of numbers
-    got = found.mapInArrow(run, "_id long, _y double, _x array<double>").dropDuplicates(["_id"]).toArrow().sort_by("_id")
+    got = found.mapInArrow(K.releasing(run), "_id long, _y double, _x array<double>").dropDuplicates(["_id"]).toArrow().sort_by("_id")
     x = np.array(got["_x"].to_pylist(), dtype=float).reshape(len(got), len(FEATURES))
     return grow(x, got["_y"].to_numpy())
 
@@ -227,7 +227,7 @@ def score(docs: DataFrame, trees: Trees) -> DataFrame:
             p = trees.scores(batch_statistics(b.column(1)))
             yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), b.column(2), pa.array(p, pa.float64()), pa.array((p >= 0.5).astype(np.int32))], ["doc_id", "held_out", "score", "predicted"])
 
-    return docs.select("doc_id", "text", F.coalesce(fold() == HELD_OUT, F.lit(False)).alias("held_out")).mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int")
+    return docs.select("doc_id", "text", F.coalesce(fold() == HELD_OUT, F.lit(False)).alias("held_out")).mapInArrow(K.releasing(run), "doc_id long, held_out boolean, score double, predicted int")
 
 
 def keep_good(docs: DataFrame, trees: Trees, columns: list[str]) -> DataFrame:
@@ -239,4 +239,4 @@ def keep_good(docs: DataFrame, trees: Trees, columns: list[str]) -> DataFrame:
             yield b.filter(pa.array(trees.scores(batch_statistics(b.column(at))) >= 0.5))
 
     own = docs.select(*columns)
-    return own.mapInArrow(run, own.schema)
+    return own.mapInArrow(K.releasing(run), own.schema)

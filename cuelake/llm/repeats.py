@@ -182,7 +182,7 @@ def slices(docs: DataFrame, rest: list[str] = ()) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array([number]), pa.array([packed], pa.binary()), pa.array([others], pa.binary())], ["slice", "blob", "rest"])
                 number += 1
 
-    return stored(docs.select("doc_id", "text", *rest).mapInArrow(run, "slice long, blob binary, rest binary"))
+    return stored(docs.select("doc_id", "text", *rest).mapInArrow(K.releasing(run), "slice long, blob binary, rest binary"))
 
 
 def _read(blob: bytes, kind: type[Text]) -> tuple[Text, np.ndarray]:
@@ -223,7 +223,7 @@ def _by_bucket(rows: DataFrame, solve: Callable[[list, int], pa.RecordBatch | No
         if parts and (out := solve(parts, now)) is not None:
             yield out
 
-    return rows.repartition("bucket").sortWithinPartitions("bucket", "slice").mapInArrow(run, schema)
+    return rows.repartition("bucket").sortWithinPartitions("bucket", "slice").mapInArrow(K.releasing(run), schema)
 
 
 def _own_anchors(text: Text, known: np.ndarray, buckets: int) -> tuple[np.ndarray, ...]:
@@ -268,7 +268,7 @@ def repeats(docs: DataFrame, kind: type[Text], solver: Solver, rest: list[str] =
                 parts = np.split(rest, cuts[1:]) if len(cuts) else []
                 yield pa.RecordBatch.from_arrays([pa.array([number] * len(parts), pa.int64()), pa.array(bucket[cuts], pa.int32()), pa.array([pack(p) for p in parts], pa.binary())], ["slice", "bucket", "blob"])
 
-    bits = _shared_bits(packed.select("slice", "blob").mapInArrow(count, "slice long, bucket int, blob binary"))
+    bits = _shared_bits(packed.select("slice", "blob").mapInArrow(K.releasing(count), "slice long, bucket int, blob binary"))
     listed = bits.groupBy("slice").agg(F.collect_list(F.struct("bucket", "bits")).alias("bits"))  # one entry for each bucket
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -279,7 +279,7 @@ def repeats(docs: DataFrame, kind: type[Text], solver: Solver, rest: list[str] =
                     yield from _contexts(number, text, known, {m["bucket"]: m["bits"] for m in marks}, buckets)
 
     # the texts are dealt by slice here and in apply(): with the same columns and kind of join the engine does it once
-    sent = packed.join(listed, "slice", "left").select("slice", "blob", "rest", "bits").mapInArrow(send, "slice long, bucket int, blob binary")
+    sent = packed.join(listed, "slice", "left").select("slice", "blob", "rest", "bits").mapInArrow(K.releasing(send), "slice long, bucket int, blob binary")
 
     def solve(parts: list[tuple[int, bytes]], bucket: int) -> pa.RecordBatch | None:
         if bucket < 0:  # repeats that a slice has found in itself
@@ -386,4 +386,4 @@ def apply(packed: DataFrame, found: DataFrame, kind: type[Text], answer: Callabl
                     text.rest = pa.ipc.open_stream(zstandard.ZstdDecompressor().decompress(rest)).read_next_batch()
                 yield answer(text, known, covered(text.n, what or []))
 
-    return packed.join(listed, "slice", "left").select("slice", "blob", "rest", "found").mapInArrow(run, schema)
+    return packed.join(listed, "slice", "left").select("slice", "blob", "rest", "found").mapInArrow(K.releasing(run), schema)
