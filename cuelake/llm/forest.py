@@ -14,9 +14,13 @@
 3. What the candidate links connect is a neighbourhood, small but for real groups of
    copies. Its members' texts are brought together, and all pairs of sets in it are
    counted exactly, by blocks; what is left are links with
-   100 * intersection >= 85 * union. A neighbourhood beyond GROUP_DOCS or
-   GROUP_SHINGLES is dealt out in overlapping runs of that size along GROUP_TREES of
-   the sorted orders, and the links of the runs are connected afterwards.
+   100 * intersection >= 85 * union. In a neighbourhood beyond GROUP_DOCS or
+   GROUP_SHINGLES overlapping runs of that size, along GROUP_TREES of the sorted
+   orders, merge the obvious members first. Then it is cut in blocks of half that
+   size, and every two blocks are counted exactly in a cell of their own, but for
+   blocks of members that are merged already and blocks whose sizes are too far
+   apart for any link. So large neighbourhoods are as exact as small ones; the work
+   for what the runs do not merge grows with the square of the neighbourhood.
 
 A row in steps 2 and 3 is lost only if a pair of Jaccard 0.85 meets in no tree: at
 depth four that is (1 - 0.85**4)**16, under one in 100,000.
@@ -205,11 +209,12 @@ def candidate_links(rows: DataFrame) -> DataFrame:
     return rows.repartitionByRange(n, "place").sortWithinPartitions("place").mapInArrow(K.releasing(run), "a long, b long")
 
 
-def linked(sets: list[np.ndarray], percent: int = PERCENT, block: int = 512) -> np.ndarray:
+def linked(sets: list[np.ndarray], percent: int = PERCENT, block: int = 512, half: int = 0) -> np.ndarray:
     """For each set the first one that links of exact Jaccard connect it with.
 
     Intersections are counted for a block of rows against all later ones: shingles
-    that many sets share by a matrix product, rarer ones pair by pair.
+    that many sets share by a matrix product, rarer ones pair by pair. With `half`
+    only the first so many sets are held against only the others.
     """
     m = len(sets)
     if m < 2:
@@ -234,14 +239,15 @@ def linked(sets: list[np.ndarray], percent: int = PERCENT, block: int = 512) ->
     width = int(many.sum())
     r_owner, r_number = owner[rare[number]], number[rare[number]]
     label = np.arange(m)
-    for lo in range(0, m, block):
-        hi = min(m, lo + block)
-        met = np.zeros((hi - lo, m - lo), np.float32)
+    for lo in range(0, half or m, block):
+        hi = min(half or m, lo + block)
+        after = half or lo
+        met = np.zeros((hi - lo, m - after), np.float32)
         for c in range(0, width, 1024):
             part = np.flatnonzero((d_col >= c) & (d_col < c + 1024) & (d_row >= lo))
             dense = np.zeros((m - lo, min(1024, width - c)), np.float32)
             dense[d_row[part] - lo, d_col[part] - c] = 1
-            met += dense[: hi - lo] @ dense.T
+            met += dense[: hi - lo] @ dense[after - lo :].T
         # the owners of a shingle are in ascending order; pairs are added where they belong, so that memory is bounded by the block
         at, delta = np.flatnonzero((r_owner >= lo) & (r_owner < hi)), 1
         while True:
@@ -249,39 +255,44 @@ def linked(sets: list[np.ndarray], percent: int = PERCENT, block: int = 512) ->
             at = at[r_number[at] == r_number[at + delta]]
             if not len(at):
                 break
-            np.add.at(met, (r_owner[at] - lo, r_owner[at + delta] - lo), 1)
+            own = at[r_owner[at + delta] >= after]
+            np.add.at(met, (r_owner[own] - lo, r_owner[own + delta] - after), 1)
             delta += 1
-        union = size[lo:hi, None] + size[None, lo:] - met
+        union = size[lo:hi, None] + size[None, after:] - met
         i, j = np.nonzero(100 * met >= percent * union)
-        i, j = i + lo, j + lo
+        i, j = i + lo, j + after
         label = spanning(m, np.concatenate([i, np.arange(m)]), np.concatenate([j, label]))
     return label
 
 
 def confirm(rows: DataFrame, group: str) -> DataFrame:
-    """(a, b): each class and the first of its group that exact links connect it with, for rows (group, cls, text)."""
+    """(a, b): each class and the first of its group that exact links connect it with, for rows (group, cls, text). Where rows have a `side`, those of side 0 are held against those of side 1 only, if there are any."""
+    sided = "side" in rows.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, cls, sets = None, [], []
+        now, cls, sets, half = None, [], [], 0
 
         def out() -> Iterator[pa.RecordBatch]:
             if cls:
-                label = linked(sets)
+                label = linked(sets, half=half if half < len(cls) else 0)
                 own = np.array(cls, np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(own[label])], ["a", "b"])
 
         for b in batches:
             keys, ids = b.column(0).to_pylist(), b.column(1).to_pylist()
-            for key, c, (own, _) in zip(keys, ids, shingle_sets(*K.strings(b.column(2)), signed=False), strict=True):
+            sides = b.column(3).to_pylist() if sided else [1] * len(keys)
+            for key, c, side, (own, _) in zip(keys, ids, sides, shingle_sets(*K.strings(b.column(2)), signed=False), strict=True):
                 if key != now:
                     yield from out()
-                    now, cls, sets = key, [], []
+                    now, cls, sets, half = key, [], [], 0
                 if (not cls or c != cls[-1]) and _long(hashlib.md5(own.tobytes()).digest()) == c:
                     cls.append(c)
                     sets.append(own)
+                    half += side == 0
         yield from out()
 
-    return rows.repartition(group).sortWithinPartitions(group, "cls").select(group, "cls", "text").mapInArrow(K.releasing(run), "a long, b long")
+    more = ["side"] if sided else []
+    return rows.repartition(group).sortWithinPartitions(group, *more, "cls").select(group, "cls", "text", *more).mapInArrow(K.releasing(run), "a long, b long")
 
 
 def near_components(docs: DataFrame) -> DataFrame:
@@ -292,7 +303,7 @@ def near_components(docs: DataFrame) -> DataFrame:
     members = classes.join(near, classes["cls"] == near["node"]).select("cls", "rep", "n", "root", "signature")
     sized = members.groupBy("root").agg(F.count("*").alias("_docs"), F.sum("n").alias("_shingles"))
     members = stored(members.join(sized, "root").withColumn("large", (F.col("_docs") > GROUP_DOCS) | (F.col("_shingles") > GROUP_SHINGLES)).select("cls", "rep", "root", "large", F.when(F.col("large"), F.col("signature")).alias("signature"), F.when(F.col("large"), F.col("n")).alias("n")))
-    count, large = members.agg(F.count("*"), F.count(F.when(F.col("large"), 1))).first()
+    count, large, shingles = members.agg(F.count("*"), F.count(F.when(F.col("large"), 1)), F.sum("n")).first()
     texts = docs.select(F.col("doc_id").alias("rep"), "text")
 
     def with_text(keys: DataFrame) -> DataFrame:
@@ -301,7 +312,10 @@ def near_components(docs: DataFrame) -> DataFrame:
 
     links = confirm(with_text(members.where("not large").select("rep", "cls", "root")), "root")
     if large:
-        links = links.union(confirm(with_text(_dealt(members.where("large"))), "run"))
+        own = members.where("large")
+        merged = stored(confirm(with_text(_dealt(own)), "run").where("a <> b"))
+        cells = _cells(own, components(merged), max(large / GROUP_DOCS, shingles / GROUP_SHINGLES))
+        links = links.union(merged).union(confirm(texts.join(cells, "rep"), "cell"))
         tied = components(links.where("a <> b"))
         tied = tied.select(F.col("node").alias("a"), F.col("root").alias("b"))
     else:
@@ -337,3 +351,37 @@ def _dealt(members: DataFrame) -> DataFrame:
 
     n = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return rows.repartitionByRange(n, "root", "place").sortWithinPartitions("root", "place").mapInArrow(K.releasing(run), "rep long, cls long, run long")
+
+
+def _cells(members: DataFrame, merged: DataFrame, groups: float) -> DataFrame:
+    """(rep, cls, cell, side): the members of each neighbourhood that is too large, in blocks of which every two that a link can connect meet in a cell; merged has (node, root) of members that are known to be connected."""
+    known = members.select("rep", "cls", "root", "n").join(merged.select(F.col("node").alias("cls"), F.col("root").alias("_tied")), "cls", "left")
+    # a merged component that fills a good part of a block has blocks of its own
+    wide = known.where("_tied is not null").groupBy("_tied").agg(F.count("*").alias("_docs"), F.sum("n").alias("_shingles")).where((F.col("_docs") >= GROUP_DOCS // 8) | (F.col("_shingles") >= GROUP_SHINGLES // 8)).select("_tied", F.col("_tied").alias("whole"))
+    order = ["root", "whole", "n", "cls"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import pyspark
+
+        task, number, docs, shingles, now = pyspark.TaskContext.get().partitionId(), 0, 0, 0, None
+        for b in batches:
+            block = []
+            for *key, size in zip(*(b.column(c).to_pylist() for c in ("root", "whole", "n")), strict=True):
+                if key != now or docs >= GROUP_DOCS // 2 or docs and shingles + size > GROUP_SHINGLES // 2:
+                    number, docs, shingles, now = number + 1, 0, 0, key
+                docs, shingles = docs + 1, shingles + size
+                block.append((task << 32) + number)
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("rep", "cls", "root", "whole", "n")), pa.array(block, pa.int64())], ["rep", "cls", "root", "whole", "n", "block"])
+
+    # few partitions, as each begins a block; a row is five numbers
+    dealt = known.join(wide, "_tied", "left").repartitionByRange(max(1, int(groups)), *order).sortWithinPartitions(*order)
+    dealt = stored(dealt.select("rep", "cls", "root", "whole", "n").mapInArrow(K.releasing(run), "rep long, cls long, root long, whole long, n long, block long"))
+    blocks = dealt.groupBy("root", "whole", "block").agg(F.min("n").alias("low"), F.max("n").alias("high"))
+    one, two = (blocks.select("root", *(F.col(c).alias(f"{c}_{k}") for c in ("whole", "block", "low", "high"))) for k in (1, 2))
+    met = one.join(two, "root").where("block_1 <= block_2 and not coalesce(whole_1 = whole_2, false)")
+    met = met.where((100 * F.col("high_1") >= PERCENT * F.col("low_2")) & (100 * F.col("high_2") >= PERCENT * F.col("low_1")))
+    cell = F.concat_ws(":", "block_1", "block_2").alias("cell")
+    sides = F.array(F.struct(F.col("block_1").alias("block"), F.lit(0).alias("side")), F.struct(F.col("block_2").alias("block"), F.lit(1).alias("side")))
+    sides = F.when(F.col("block_1") == F.col("block_2"), F.slice(sides, 1, 1)).otherwise(sides)
+    seats = met.select(cell, F.explode(sides).alias("_s")).select("cell", "_s.block", "_s.side")
+    return dealt.join(seats, "block").select("rep", "cls", "cell", "side")

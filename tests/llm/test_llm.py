@@ -304,6 +304,44 @@ def test_op9_spectrum(spark):
     assert got == brute_components([r[:2] for r in rows])
 
 
+def test_op9_large_group(spark, monkeypatch):
+    """A family of texts just below the threshold, with few true links: none is lost where the family is larger than a group."""
+    monkeypatch.setattr(forest, "GROUP_DOCS", 16)
+    rng = random.Random(21)
+    base = [f"v{rng.randrange(9000)}" for _ in range(200)]
+
+    def edited(words, n):
+        w = list(words)
+        for k in rng.sample(range(len(w) // 8), n):
+            w[8 * k] = f"x{rng.randrange(10**6)}"
+        return w
+
+    rows = []
+    for i in range(120):
+        w = edited(base, 3)
+        rows += [(i, " ".join(w), "s"), (1000 + i, " ".join(edited(w, 3)), "s")]
+    want = brute_components([r[:2] for r in rows])
+    got = forest.near_components(table(spark, rows)).collect()
+    assert sorted(repr((r["doc_id"], r["n_shingles"], r["component_id"])) for r in got) == want
+    assert 100 < len({r["component_id"] for r in got}) < 240
+
+
+def test_op9_halves():
+    """Sets of one side against those of the other only."""
+    rng = np.random.default_rng(6)
+    base = np.arange(200)
+    sets = [np.unique(np.where(rng.random(200) < rng.random() / 6, rng.integers(1000, 9000, 200), base)).astype(np.uint64) for _ in range(90)]
+    for half in (1, 40, 89):
+        label, want = forest.linked(sets, block=16, half=half), list(range(90))
+        for _ in range(90):
+            for a in range(half):
+                for b in range(half, 90):
+                    both = len(np.intersect1d(sets[a], sets[b]))
+                    if 100 * both >= 85 * (len(sets[a]) + len(sets[b]) - both):
+                        want[a] = want[b] = min(want[a], want[b])
+        assert label.tolist() == want
+
+
 def test_components(spark):
     rng = random.Random(3)
     edges = [(i, i + 1) for i in range(60)] + [(100 + rng.randrange(200), 100 + rng.randrange(200)) for _ in range(90)] + [(5, 5)]
