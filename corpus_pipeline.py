@@ -17,6 +17,8 @@ from cuelake.llm.queries import vocabulary
 from cuelake.llm.store import shared_folder
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+#: Jaccard similarity of five-word shingles, in %, from which documents are near copies.
+NEAR_PERCENT = 80
 
 
 def drop_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,8 +28,8 @@ def drop_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """MinHash near-dedup: of each group of linked documents the one with the smallest doc_id stays; of repeated rows of it, one."""
-    kept = forest.near_components(docs).where("kept").select(F.col("doc_id").alias("_id")).distinct()
+    """MinHash near-dedup: of each group of documents linked at a similarity of NEAR_PERCENT % or more the one with the smallest doc_id stays; of repeated rows of it, one."""
+    kept = forest.near_components(docs, NEAR_PERCENT).where("kept").select(F.col("doc_id").alias("_id")).distinct()
     met = docs.select(*COLUMNS).join(kept, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
     return met.withColumn("_h", F.xxhash64("text")).dropDuplicates(["doc_id", "_h"]).select(*COLUMNS)
 

@@ -5,16 +5,16 @@
    any number of exact copies is one document.
 2. Each of TREES trees sorts all classes by its own eight minima, all trees in one
    range-partitioned sort. Neighbours with a long common prefix are candidates: a
-   region is a run of rows with the same first LEAST_DEPTH minima. A region of more
+   region is a run of rows with the same first minima (least_depth). A region of more
    than REGION rows is taken one minimum deeper, and so on; rows that share all
    eight go by overlapping windows, and a row is always held against the next one.
-   In a region rows are compared by signature, and those that look alike (ALIKE,
+   In a region rows are compared by signature, and those that look alike (BELOW,
    far below the threshold) are tied together by a spanning forest: n rows give at
    most n - 1 candidate links, never all pairs.
 3. What the candidate links connect is a neighbourhood, small but for real groups of
    copies. Its members' texts are brought together, and all pairs of sets in it are
    counted exactly, by blocks; what is left are links with
-   100 * intersection >= 85 * union. In a neighbourhood beyond GROUP_DOCS or
+   100 * intersection >= percent * union, 85 by default. In a neighbourhood beyond GROUP_DOCS or
    GROUP_SHINGLES overlapping runs of that size, along GROUP_TREES of the sorted
    orders, merge the obvious members first. Then it is cut in blocks of half that
    size, and every two blocks are counted exactly in a cell of their own, but for
@@ -22,8 +22,9 @@
    apart for any link. So large neighbourhoods are as exact as small ones; the work
    for what the runs do not merge grows with the square of the neighbourhood.
 
-A row in steps 2 and 3 is lost only if a pair of Jaccard 0.85 meets in no tree: at
-depth four that is (1 - 0.85**4)**16, under one in 100,000.
+A row in steps 2 and 3 is lost only if a pair at the threshold meets in no tree. At
+0.85 regions begin at depth four, (1 - 0.85**4)**16, under one in 100,000; at 0.80 at
+depth three, (1 - 0.8**3)**16, about one in 97,000. Lower thresholds begin less deep.
 
 Null texts and texts without words have an empty set: linked with nothing, kept. Rows
 with a null doc_id are compared like others; their component is the smallest id in
@@ -33,6 +34,7 @@ it, or null. Repeated rows are in one class. Other columns are not read.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -45,10 +47,12 @@ from cuelake.llm.store import components, stored
 
 WORDS = 5
 PERCENT = 85
-TREES, DEPTH, LEAST_DEPTH = 16, 8, 4
+TREES, DEPTH = 16, 8
+#: The most that a pair at the threshold may meet in no tree; regions begin as deep as that allows.
+MISSED = 1.1e-5
 REGION = 1024
-#: Minima that are compared in a region, one byte of each, and the least share of equal ones: 4.7 standard deviations below the threshold.
-COMPARED, ALIKE = 64, 0.64
+#: Minima that are compared in a region, one byte of each, and how many standard deviations below the threshold the least share of equal ones is.
+COMPARED, BELOW = 64, 4.7
 #: Rows of a sorted order that a task holds.
 HELD = 1 << 16
 GROUP_DOCS, GROUP_SHINGLES, GROUP_TREES = 16_384, 6_000_000, 6
@@ -59,6 +63,17 @@ SLICE = 1 << 20
 _PERMUTE = K.Permutations(TREES * DEPTH, seed=9)
 
 
+def least_depth(percent: int) -> int:
+    """How many equal first minima rows of a region have: 4 at 85 %, 3 at 80 %."""
+    return max([1, *(d for d in range(1, DEPTH + 1) if (1 - (percent / 100) ** d) ** TREES <= MISSED)])
+
+
+def least_equal(percent: int) -> int:
+    """Of COMPARED minima, how many are equal at least in rows that look alike: 41 at 85 %, 37 at 80 %."""
+    share = percent / 100
+    return max(1, math.ceil(COMPARED * share - BELOW * math.sqrt(COMPARED * share * (1 - share))))
+
+
 def _long(digest: bytes) -> int:
     return int.from_bytes(digest[:8], "little", signed=True)
 
@@ -101,10 +116,10 @@ def tree_rows(classes: DataFrame, trees: int = TREES) -> DataFrame:
     return classes.select("cls", "signature").mapInArrow(K.releasing(run), "place binary, cls long, compared binary")
 
 
-def regions(places: np.ndarray) -> list[tuple[int, int]]:
+def regions(places: np.ndarray, least: int) -> list[tuple[int, int]]:
     """Runs of sorted rows to compare: as deep as it takes to have at most REGION rows."""
     out: list[tuple[int, int]] = []
-    todo = [(0, len(places), LEAST_DEPTH)]
+    todo = [(0, len(places), least)]
     while todo:
         lo, hi, depth = todo.pop()
         part = places[lo:hi, : 1 + 2 * depth]
@@ -143,9 +158,9 @@ def spanning(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         label = after
 
 
-def _alike(marks: np.ndarray, runs: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray]:
+def _alike(marks: np.ndarray, runs: list[tuple[int, int]], least: int) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of rows in the runs with enough equal minima."""
-    least, found_a, found_b = int(np.ceil(ALIKE * COMPARED)), [], []
+    found_a, found_b = [], []
     by_size: dict[int, list[int]] = {}
     for lo, hi in runs:
         by_size.setdefault(hi - lo, []).append(lo)
@@ -171,17 +186,18 @@ def _alike(marks: np.ndarray, runs: list[tuple[int, int]]) -> tuple[np.ndarray,
     return np.concatenate([none, *found_a]), np.concatenate([none, *found_b])
 
 
-def candidate_links(rows: DataFrame) -> DataFrame:
+def candidate_links(rows: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(a, b): a spanning forest of what looks alike in each region of the sorted orders."""
+    least, equal = least_depth(percent), least_equal(percent)
 
     def links(places: list[bytes], cls: list[int], marks: list[bytes]) -> pa.RecordBatch | None:
         if len(cls) < 2:
             return None
         where = np.frombuffer(b"".join(places), np.uint8).reshape(len(cls), -1)
-        runs = regions(where)
+        runs = regions(where, least)
         if not runs:
             return None
-        a, b = _alike(np.frombuffer(b"".join(marks), np.uint8).reshape(len(cls), -1), runs)
+        a, b = _alike(np.frombuffer(b"".join(marks), np.uint8).reshape(len(cls), -1), runs, equal)
         label = spanning(len(cls), a, b)
         own = np.array(cls, np.int64)
         tied = np.flatnonzero((label != np.arange(len(cls))) & (own != own[label]))
@@ -194,7 +210,7 @@ def candidate_links(rows: DataFrame) -> DataFrame:
                 mine += b.column(name).to_pylist()
             if len(held[0]) >= HELD:
                 upto = len(held[0])
-                head = held[0][-1][: 1 + 2 * LEAST_DEPTH]
+                head = held[0][-1][: 1 + 2 * least]
                 cut = upto
                 while cut and held[0][cut - 1].startswith(head):
                     cut -= 1
@@ -265,7 +281,7 @@ def linked(sets: list[np.ndarray], percent: int = PERCENT, block: int = 512, hal
     return label
 
 
-def confirm(rows: DataFrame, group: str) -> DataFrame:
+def confirm(rows: DataFrame, group: str, percent: int = PERCENT) -> DataFrame:
     """(a, b): each class and the first of its group that exact links connect it with, for rows (group, cls, text). Where rows have a `side`, those of side 0 are held against those of side 1 only, if there are any."""
     sided = "side" in rows.columns
 
@@ -274,7 +290,7 @@ def confirm(rows: DataFrame, group: str) -> DataFrame:
 
         def out() -> Iterator[pa.RecordBatch]:
             if cls:
-                label = linked(sets, half=half if half < len(cls) else 0)
+                label = linked(sets, percent, half=half if half < len(cls) else 0)
                 own = np.array(cls, np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(own[label])], ["a", "b"])
 
@@ -295,11 +311,11 @@ def confirm(rows: DataFrame, group: str) -> DataFrame:
     return rows.repartition(group).sortWithinPartitions(group, *more, "cls").select(group, "cls", "text", *more).mapInArrow(K.releasing(run), "a long, b long")
 
 
-def near_components(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) for each row of docs."""
+def near_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) for each row of docs; links are of at least `percent` % Jaccard similarity."""
     known = stored(sketches(docs))
     classes = stored(known.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.first("signature").alias("signature")))
-    near = components(candidate_links(tree_rows(classes)))
+    near = components(candidate_links(tree_rows(classes), percent))
     members = classes.join(near, classes["cls"] == near["node"]).select("cls", "rep", "n", "root", "signature")
     sized = members.groupBy("root").agg(F.count("*").alias("_docs"), F.sum("n").alias("_shingles"))
     members = stored(members.join(sized, "root").withColumn("large", (F.col("_docs") > GROUP_DOCS) | (F.col("_shingles") > GROUP_SHINGLES)).select("cls", "rep", "root", "large", F.when(F.col("large"), F.col("signature")).alias("signature"), F.when(F.col("large"), F.col("n")).alias("n")))
@@ -310,12 +326,12 @@ def near_components(docs: DataFrame) -> DataFrame:
         own = keys if count > BROADCAST_ROWS else F.broadcast(keys)
         return texts.join(own, "rep")
 
-    links = confirm(with_text(members.where("not large").select("rep", "cls", "root")), "root")
+    links = confirm(with_text(members.where("not large").select("rep", "cls", "root")), "root", percent)
     if large:
         own = members.where("large")
-        merged = stored(confirm(with_text(_dealt(own)), "run").where("a <> b"))
-        cells = _cells(own, components(merged), max(large / GROUP_DOCS, shingles / GROUP_SHINGLES))
-        links = links.union(merged).union(confirm(texts.join(cells, "rep"), "cell"))
+        merged = stored(confirm(with_text(_dealt(own)), "run", percent).where("a <> b"))
+        cells = _cells(own, components(merged), max(large / GROUP_DOCS, shingles / GROUP_SHINGLES), percent)
+        links = links.union(merged).union(confirm(texts.join(cells, "rep"), "cell", percent))
         tied = components(links.where("a <> b"))
         tied = tied.select(F.col("node").alias("a"), F.col("root").alias("b"))
     else:
@@ -353,7 +369,7 @@ def _dealt(members: DataFrame) -> DataFrame:
     return rows.repartitionByRange(n, "root", "place").sortWithinPartitions("root", "place").mapInArrow(K.releasing(run), "rep long, cls long, run long")
 
 
-def _cells(members: DataFrame, merged: DataFrame, groups: float) -> DataFrame:
+def _cells(members: DataFrame, merged: DataFrame, groups: float, percent: int) -> DataFrame:
     """(rep, cls, cell, side): the members of each neighbourhood that is too large, in blocks of which every two that a link can connect meet in a cell; merged has (node, root) of members that are known to be connected."""
     known = members.select("rep", "cls", "root", "n").join(merged.select(F.col("node").alias("cls"), F.col("root").alias("_tied")), "cls", "left")
     # a merged component that fills a good part of a block has blocks of its own
@@ -379,7 +395,7 @@ def _cells(members: DataFrame, merged: DataFrame, groups: float) -> DataFrame:
     blocks = dealt.groupBy("root", "whole", "block").agg(F.min("n").alias("low"), F.max("n").alias("high"))
     one, two = (blocks.select("root", *(F.col(c).alias(f"{c}_{k}") for c in ("whole", "block", "low", "high"))) for k in (1, 2))
     met = one.join(two, "root").where("block_1 <= block_2 and not coalesce(whole_1 = whole_2, false)")
-    met = met.where((100 * F.col("high_1") >= PERCENT * F.col("low_2")) & (100 * F.col("high_2") >= PERCENT * F.col("low_1")))
+    met = met.where((100 * F.col("high_1") >= percent * F.col("low_2")) & (100 * F.col("high_2") >= percent * F.col("low_1")))
     cell = F.concat_ws(":", "block_1", "block_2").alias("cell")
     sides = F.array(F.struct(F.col("block_1").alias("block"), F.lit(0).alias("side")), F.struct(F.col("block_2").alias("block"), F.lit(1).alias("side")))
     sides = F.when(F.col("block_1") == F.col("block_2"), F.slice(sides, 1, 1)).otherwise(sides)

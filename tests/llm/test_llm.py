@@ -304,6 +304,24 @@ def test_op9_spectrum(spark):
     assert got == brute_components([r[:2] for r in rows])
 
 
+def test_pipeline_links_at_80(spark, tmp_path):
+    """Four scattered word edits in 200 words, Jaccard 0.815: a near copy for the pipeline, not for op9."""
+    import corpus_pipeline
+
+    rng = random.Random(31)
+    rows = []
+    for i in range(20):
+        w = prose(rng, 200, 90_000).split()
+        rows.append((i, " ".join(w), "s"))
+        for k in (20, 70, 120, 170):
+            w[k] = "changed"
+        rows.append((100 + i, " ".join(w), "s"))
+    docs = table(spark, rows)
+    assert sorted(r["doc_id"] for r in corpus_pipeline.drop_near_copies(spark, docs, str(tmp_path)).collect()) == list(range(20))
+    assert forest.near_components(docs).where("kept").count() == 40
+    assert [(forest.least_depth(p), forest.least_equal(p)) for p in (85, 80)] == [(4, 41), (3, 37)]
+
+
 def test_op9_large_group(spark, monkeypatch):
     """A family of texts just below the threshold, with few true links: none is lost where the family is larger than a group."""
     monkeypatch.setattr(forest, "GROUP_DOCS", 16)
