@@ -1,6 +1,6 @@
 """Licence scan by canonical digest.
 
-A text is normalised: lower case, copyright lines dropped, spellings made equal,
+A text is normalised: lower case, copyright statements dropped, spellings made equal,
 everything but letters and digits turned to single spaces. The SHA-256 of the whole
 normalised text is looked up, by a hash join, among the digests of known licence
 texts. Entire texts are meant: a document that is a licence, whatever its line
@@ -59,7 +59,24 @@ KNOWN = {
     "notice:all-rights": ("All rights reserved.",),
 }
 
-COPYRIGHT_LINE = r"(^|\n)[^\nA-Za-z0-9]*(copyright|\(c\)|©)[^\n]*"
+# Words that follow "copyright" in the wording of licences. Where a line break comes between, the line is wording and no statement.
+WORDING = ("and", "claim", "claims", "disclaimer", "for", "holder", "holders", "if", "in", "interest", "interests", "is", "law", "laws", "license", "licenses", "licence", "licences", "notice", "notices", "of", "on", "or", "owner", "owners", "ownership", "patent", "permission", "permissions", "protection", "right", "rights", "statement", "statements", "to", "treaty", "under")
+
+
+def _other_than(words: tuple[str, ...]) -> str:
+    """A regular expression for a word of a-z that is none of these, without looking ahead, which RE2 cannot."""
+    heads: dict[str, list[str]] = {}
+    for w in words:
+        if w:
+            heads.setdefault(w[0], []).append(w[1:])
+    if not heads:
+        return "[a-z]+"
+    other = "".join(c for c in "abcdefghijklmnopqrstuvwxyz" if c not in heads)
+    return "(" + "|".join([f"[{other}][a-z]*", *(c + (rest if "" in tails else rf"({rest}|[^a-z\n]|\b)") for c, tails in heads.items() for rest in [_other_than(tuple(tails))])]) + ")"
+
+
+# A line that begins with "copyright" and a year, a sign or a holder, with "(c)" and a year, or with the sign.
+COPYRIGHT_LINE = r"(^|\n)[^\nA-Za-z0-9]*(copyright[^\na-z0-9]*([0-9]|" + _other_than(WORDING) + r")|copyright[ \t:]*[^\x00-\x7F]|\(c\)[^\n]*(19|20)[0-9][0-9]|©)[^\n]*"
 
 
 def normalised(text: Column) -> Column:

@@ -4,6 +4,7 @@ import hashlib
 import os
 import random
 import re
+import textwrap
 import zlib
 
 import numpy as np
@@ -224,6 +225,35 @@ def test_op5_licenses(spark, docs, none):
     assert licenses.scan(docs).count() == docs.count() and licenses.scan(none).count() == 0
 
 
+def test_op5_line_breaks(spark):
+    """Licences are met at any width, also where a line begins with the word copyright; statements of copyright are dropped."""
+    isc = """Copyright (c) 2004, Some One
+
+Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+""" + licenses.KNOWN["ISC"][0].split("\n")[1]
+    said = ["Copyright (c) 2020 A", "  * (C) 2020 A", "© A", "Copyright 2020", "COPYRIGHT The Foo Authors", "Copyright by A", "Copyright Holdern Inc", "Copyright É", "# Copyright: I. Noti", "copyright <year> <copyright holders>"]
+    rows, want = [(0, isc, "s")], {0: "ISC"}
+    for name in ("MIT", "ISC"):
+        for k, width in enumerate([*range(18, 110), 1000]):
+            text = "\n".join("\n".join(textwrap.wrap(p, width)) for p in licenses.KNOWN[name][0].split("\n"))
+            i = 1 + len(rows)
+            rows.append((i, said[k % len(said)] + "\n" + text, "s"))
+            want[i] = name
+    kept = ["copyright notice and more", "Copyright Holders be", "copyright\nnotice", "(c) You must retain", "copyright, or"]
+    rows += [(1000 + k, t, "s") for k, t in enumerate(kept)]
+    got = {r["doc_id"]: r for r in licenses.scan(table(spark, rows)).collect()}
+    assert {i: got[i]["license_id"] for i in want} == want
+    for k, t in enumerate(kept):
+        assert got[1000 + k]["digest"] == hashlib.sha256(" ".join(re.findall("[a-z]+", t.lower())).encode()).hexdigest()
+    duckdb = pytest.importorskip("duckdb")
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", [r[:2] for r in rows])
+    assert {r[0]: r[1:3] for r in con.execute(licenses.oracle_sql()).fetchall()} == {i: (r["digest"], r["license_id"]) for i, r in got.items()}
+
+
 def test_op7_urls(spark):
     entries = spark.createDataFrame([("bad.com", "2024-01-10", "block"), ("bad.com", "2024-02-01", "allow"), ("ok.bad.com", "2024-01-05", "allow"), ("both.com", "2024-01-01", "allow"), ("both.com", "2024-01-01", "BLOCK"), (None, "2024-01-01", "block"), ("x.com", None, "block")], "domain string, listed_at string, action string").withColumn("listed_at", F.to_timestamp("listed_at"))
     pages = [(1, "http://a.bad.com/x", "2024-01-15"), (2, "http://bad.com", "2024-01-09"), (3, "https://u@BAD.com:80/", "2024-02-01"), (4, "http://ok.bad.com", "2024-01-20"), (5, "http://both.com", "2024-01-02"), (6, None, "2024-01-20"), (7, "no url", "2024-01-20"), (8, "http://bad.com", None), (9, "http://notbad.com", "2024-01-20"), (1, "http://a.bad.com/x", "2024-01-15"), (10, "http://bad.com.", "2024-01-10")]
