@@ -14,10 +14,10 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,20 +29,26 @@ WORDS, PERMUTATIONS = 5, 128
 BANDS, ROWS = 32, 4
 #: How far an estimate may lie below the threshold, and about the classes of a block of a bucket.
 SLACK, CELL = 0.17, 1024
-#: Characters of a block of documents, and the most blocks; beyond that blocks grow.
-BLOCK_CHARS, MOST_BLOCKS = 8 << 20, 20_000
+#: Bytes of a block of documents, and the most blocks; beyond that blocks grow, to 1 GB of a task's sort at 100 TB.
+BLOCK_BYTES, MOST_BLOCKS = 8 << 20, 100_000
 SLICE = 1 << 20
 
 EDITED_SCHEMA = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
 
 
 def signatures(raw: np.ndarray, offsets: np.ndarray, k: int = WORDS) -> np.ndarray:
-    """PERMUTATIONS minima of each text, of which the low 16 bits are kept."""
+    """PERMUTATIONS minima of each text, of which the low 16 bits are kept. A text longer than a slice goes through in pieces."""
     parts = []
     for a, b in K.slices(offsets, SLICE):
-        hashes, first = K.word_hashes(raw[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
-        shingles, where = K.shingle_hashes(hashes, first, k)
-        parts.append((_PERMUTE.signatures(shingles, where) & np.uint32(0xFFFF)).astype(np.uint16))
+        own = raw[offsets[a] : offsets[b]]
+        if len(own) > SLICE:
+            low = np.full((1, PERMUTATIONS), 0xFFFFFFFF, np.uint32)
+            for shingles in K.pieced_shingles(own, k=k, piece=SLICE):
+                low = np.minimum(low, _PERMUTE.signatures(shingles, np.array([0, len(shingles)])))
+        else:
+            hashes, first = K.word_hashes(own, offsets[a : b + 1] - offsets[a])
+            low = _PERMUTE.signatures(*K.shingle_hashes(hashes, first, k))
+        parts.append((low & np.uint32(0xFFFF)).astype(np.uint16))
     return np.concatenate(parts) if parts else np.zeros((0, PERMUTATIONS), np.uint16)
 
 
@@ -166,8 +172,10 @@ def _alike(rows: DataFrame, threshold: float) -> DataFrame:
 
 def _blocks(docs: DataFrame) -> tuple[DataFrame, int]:
     """docs in blocks of neighbouring ids, dealt by block. Each block also has the first document, in descending order, of the block that follows it."""
-    n, size = docs.agg(F.count("*"), F.sum(F.length("text"))).first()
-    count = max(1, min(MOST_BLOCKS, (size or 0) // BLOCK_CHARS, n))
+    from pyspark.ml.feature import Bucketizer  # here, as workers need none of it
+
+    n, size = docs.agg(F.count("*"), F.sum(F.octet_length("text"))).first()
+    count = max(1, min(MOST_BLOCKS, (size or 0) // BLOCK_BYTES, n))
     cuts = docs.select(F.col("doc_id").cast("double").alias("_d")).approxQuantile("_d", [i / count for i in range(1, count)], 0.1 / count) if count > 1 else []
     inner = sorted({float(c) for c in cuts})
     keyed = docs.withColumn("_d", F.coalesce(F.col("doc_id").cast("double"), F.lit(float("-inf"))))
@@ -202,50 +210,80 @@ def edited_likeness(docs: DataFrame) -> DataFrame:
     dealt = spread.repartition(n, "_block").sortWithinPartitions("_block", "_lent", F.col("doc_id").desc_nulls_last(), F.col("text").asc_nulls_first())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        waiting: list[tuple] = []
+        last = None
         for b in batches:
             raw, offsets = K.strings(b.column("text"))
-            marks = signatures(raw, offsets)
-            ids, blocks, lent = (b.column(c).to_pylist() for c in ("doc_id", "_block", "_lent"))
-            for t in range(len(ids)):
-                waiting.append((ids[t], blocks[t], lent[t], raw[offsets[t] : offsets[t + 1]].copy(), marks[t]))
-            out = list(_pairs(waiting))
-            waiting = waiting[-1:]
-            if out:
-                yield _edited(out)
-
-    return dealt.mapInArrow(run, EDITED_SCHEMA)
-
-
-def _pairs(rows: list[tuple]) -> Iterator[tuple]:
-    """(own, next) rows. A block ends with lent rows: the first of them follows its last own row, and only a block's own rows are answered for."""
-    for own, after in zip(rows, rows[1:], strict=False):
-        if not own[2] and own[1] == after[1]:
-            yield own, after
-
-
-def _edited(pairs: list[tuple]) -> pa.RecordBatch:
-    texts, n_chars = [], []
-    for own, after in pairs:
-        points = K.code_points(own[3])
+            ids, blocks, lent = b.column("doc_id"), b.column("_block").to_numpy(), b.column("_lent").to_numpy()
+            for lo, hi in K.slices(offsets, SLICE):
+                own = raw[offsets[lo] : offsets[hi]]
+                rows = Rows(ids.slice(lo, hi - lo), blocks[lo:hi], lent[lo:hi], [own[x:y] for x, y in zip(offsets[lo:hi] - offsets[lo], offsets[lo + 1 : hi + 1] - offsets[lo], strict=True)], signatures(own, offsets[lo : hi + 1] - offsets[lo]))
+                met = rows if last is None else last + rows
+                if out := _edited(met):
+                    yield out
+                last = met.last()
+
+    return dealt.mapInArrow(K.releasing(run), EDITED_SCHEMA)
+
+
+@dataclass
+class Rows:
+    """Rows of a block in order. Texts are views of the batch's bytes."""
+
+    ids: pa.Array
+    block: np.ndarray
+    lent: np.ndarray
+    texts: list[np.ndarray]
+    marks: np.ndarray
+
+    def __add__(self, more: Rows) -> Rows:
+        return Rows(pa.concat_arrays([self.ids, more.ids]), *(np.concatenate(x) for x in ((self.block, more.block), (self.lent, more.lent))), self.texts + more.texts, np.concatenate([self.marks, more.marks]))
+
+    def last(self) -> Rows:
+        """The last row, with a text of its own, as the batch goes."""
+        return Rows(self.ids.slice(len(self.ids) - 1), self.block[-1:], self.lent[-1:], [self.texts[-1].copy()], self.marks[-1:])
+
+
+def _edited(rows: Rows) -> pa.RecordBatch | None:
+    """Answers for every row that is followed by one of its block. A block ends with lent rows: the first of them follows its last own row, and only a block's own rows are answered for."""
+    which = np.flatnonzero((rows.lent[:-1] == 0) & (rows.block[:-1] == rows.block[1:]))
+    if not len(which):
+        return None
+    n_chars, digests, near, marks = [], [], [], []
+    part, size = [], 0
+
+    def compared() -> None:
+        nonlocal part, size
+        offsets = np.concatenate([[0], np.cumsum([len(x) for x in part], dtype=np.int64)])
+        changed = signatures(np.concatenate(part), offsets)
+        own = which[len(digests) - len(part) : len(digests)]
+        near.append(likeness(rows.marks[own], changed))
+        marks.extend(map(text_of, changed))
+        part, size = [], 0
+
+    for t in which.tolist():
+        own, after = rows.texts[t], rows.texts[t + 1]
+        points = K.code_points(own)
         cut = len(points) // 3
-        head = own[3][: points[len(points) - cut]] if cut else own[3]
-        ahead = K.code_points(after[3][: 4 * cut + 4])
-        tail = after[3][: ahead[cut]] if len(ahead) > cut else after[3]
-        texts.append(np.concatenate([head, tail if cut else tail[:0]]))
+        ahead = K.code_points(after[: 4 * cut + 4])
+        tail = after[: ahead[cut]] if len(ahead) > cut else after
+        text = np.concatenate([own[: points[len(points) - cut]], tail]) if cut else own
         n_chars.append(len(points))
-    offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
-    changed = signatures(np.concatenate(texts), offsets)
-    own, after = (np.stack([p[k][4] for p in pairs]) for k in (0, 1))
+        digests.append(hashlib.sha256(text).hexdigest())
+        part.append(text)
+        size += len(text)
+        if size >= SLICE:
+            compared()
+    if part:
+        compared()
     return pa.RecordBatch.from_arrays(
         [
-            pa.array([p[0][0] for p in pairs], pa.int64()),
+            rows.ids.take(pa.array(which)).cast(pa.int64()),
             pa.array(n_chars, pa.int64()),
-            pa.array([hashlib.sha256(t.tobytes()).hexdigest() for t in texts]),
-            pa.array([text_of(s) for s in own]),
-            pa.array([text_of(s) for s in changed]),
-            pa.array(likeness(own, changed)),
-            pa.array(likeness(own, after)),
+            pa.array(digests),
+            pa.array([text_of(s) for s in rows.marks[which]]),
+            pa.array(marks),
+            pa.array(np.concatenate(near)),
+            pa.array(likeness(rows.marks[which], rows.marks[which + 1])),
         ],
         [c.split()[0] for c in EDITED_SCHEMA.split(", ")],
     )

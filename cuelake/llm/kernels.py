@@ -24,6 +24,8 @@ LOWER[65:91] += 32
 _MULTIPLIER = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_MULTIPLIER, -1, 1 << 64)
 _powers: dict[int, np.ndarray] = {}
+#: Bytes of a long text that are worked on at once.
+PIECE = 1 << 20
 
 
 def random_words(seed: int, n: int) -> np.ndarray:
@@ -152,6 +154,45 @@ def shingle_hashes(hashes: np.ndarray, first: np.ndarray, k: int = 5) -> tuple[n
     return mix(out), where
 
 
+def pieced_words(raw: np.ndarray, lower: bool = False, piece: int = PIECE) -> Iterator[np.ndarray]:
+    """The hashes of one text's words, as word_hashes has them, in runs: works on `piece` bytes at once, also inside a word, so that memory does not grow with the text."""
+    code = BYTE_CODE[LOWER] if lower else BYTE_CODE
+    open_sum, open_length = np.uint64(0), 0
+    with np.errstate(over="ignore"):
+        for at in range(0, len(raw), piece):
+            part = raw[at : at + piece]
+            start, end, _ = words(part, np.array([0, len(part)]))
+            prefix = byte_prefix(part, code)
+            sums = (prefix[end] - prefix[start]) * powers(_INVERSE, len(prefix))[start]
+            length = end - start
+            if open_length:
+                if len(start) and start[0] == 0:
+                    sums[0] = open_sum + sums[0] * np.uint64(pow(_MULTIPLIER, open_length, 1 << 64))
+                    length[0] += open_length
+                else:
+                    sums, length = np.append(open_sum, sums), np.append(open_length, length)
+                open_length = 0
+            if len(end) and end[-1] == len(part) and at + piece < len(raw):
+                open_sum, open_length = sums[-1], int(length[-1])
+                sums, length = sums[:-1], length[:-1]
+            yield mix(sums + length.astype(np.uint64))
+        if open_length:
+            yield mix(np.array([open_sum]) + np.uint64(open_length))
+
+
+def pieced_shingles(raw: np.ndarray, lower: bool = False, k: int = 5, piece: int = PIECE) -> Iterator[np.ndarray]:
+    """The hashes of one text's k-word shingles, as shingle_hashes has them, in runs of bounded size."""
+    before, any_full = np.zeros(0, np.uint64), False
+    for own in pieced_words(raw, lower, piece):
+        own = np.concatenate([before, own])
+        if len(own) >= k:
+            any_full = True
+            yield shingle_hashes(own, np.array([0, len(own)]), k)[0]
+        before = own[-(k - 1) :]
+    if len(before) and not any_full:
+        yield shingle_hashes(before, np.array([0, len(before)]), k)[0]
+
+
 def _ranges(start: np.ndarray, length: np.ndarray) -> np.ndarray:
     """start[0], start[0]+1, .. for length[0] numbers, then the next range, and so on."""
     total = int(length.sum())
