@@ -1,22 +1,31 @@
-"""Approximate nearest neighbours by randomly rotated one-bit codes.
+"""Approximate nearest neighbours by randomly rotated one-bit codes, in inverted lists.
 
-Every vector is turned by one random rotation, from a fixed seed, and kept as the
-signs of its coordinates, packed in 64-bit words, with two numbers: its length and
-its inner product with its own code. From them the inner product with a query is
-estimated without bias, and the error is within BOUND / sqrt(dims - 1) times what the
-code leaves of the vector, with high probability. A query is cut to QUERY_BITS bits a
-coordinate, so that an estimate is a few ANDs and bit counts.
+Index. Centres are fitted on the driver by a few rounds of k-means over a bounded
+sample (SAMPLE_ROWS, the rows that hash lowest). Every row is listed under its nearest
+centre; a list of more than BLOCK rows is split in blocks of about that size. What a
+vector has beyond its centre, the residual, is padded with zeros to CODE_BITS
+coordinates, turned by one random rotation from a fixed seed, and kept as the signs of
+the turned coordinates, packed in bytes, with two numbers: its length and its inner
+product with its own code. From them and the query's product with the centre the inner
+product of vector and query is estimated without bias; the error is within BOUND /
+sqrt(CODE_BITS - 1) times what the code leaves of the residual, with high probability.
 
-Candidates are all rows, in blocks of BLOCK rows; the queries meet every block (a
-stated query set against all rows, in blocks). In a block the estimates give upper
-bounds; vectors are reranked with exact double-precision inner products in the order
-of their bounds, until the bounds fall below the k-th best found. Each block answers
-with its best k; the best k of all blocks are the result.
+Search, in two rounds. First a query meets one block of its nearest list; its k-th best
+score there is a floor. Then it meets the other blocks: those of its NEAREST nearest
+lists, and those of every list that may hold a better one. A list with n rows whose
+residuals are at most r long is left out if, for residuals in random directions, fewer
+than MISSED / lists of its rows can be expected above the floor. In a block the
+estimates give upper bounds; vectors are reranked with exact double-precision inner
+products in the order of their bounds, until the bounds fall below the k-th best found
+or the floor. Equal vectors of a block are one candidate, with the k + 1 smallest ids
+(of those no more than k can be in an answer). The best k of all blocks are the result.
 
 Vectors that are null, zero, of another length than most, or that hold null or
-non-finite numbers take no part. Ties go to the smaller vec_id. Rows with equal
-vec_id are candidates of their own, and not of a query with that vec_id. A query with
-fewer than k candidates gets them all. Other columns are not read.
+non-finite numbers take no part, nor do rows without a vec_id. Ties go to the smaller
+vec_id. Rows with equal vec_id are candidates of their own, and not of a query with
+that vec_id. Query rows of one vec_id with different vectors are queries of their own,
+with ranks from 1 each; equal query rows are asked once. A query with fewer than k
+candidates gets them all. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -28,74 +37,125 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cuelake.llm import kernels as K
+from cuelake.llm.store import stored
+
 SEED = 20240607
 #: The error bound's factor; 1.9 holds for all but some in a thousand estimates.
 BOUND = 1.9
-QUERY_BITS = 4
-BLOCK, QUERY_BLOCK = 16_384, 512
-#: Vectors reranked at once, before the bounds are looked at again.
-STEP = 64
+#: The least length of a code.
+CODE_BITS = 256
+#: Rows on which centres are fitted, rows that a list has on average, and the most lists.
+SAMPLE_ROWS, LIST_ROWS, MOST_LISTS, ROUNDS = 65_536, 2048, 4096, 8
+#: Rows of a block of a list.
+BLOCK = 16_384
+#: Lists that a query always meets; neighbours that it may miss in all lists that it doesn't.
+NEAREST, MISSED = 4, 2.0
+#: Vectors reranked at once, before the bounds are looked at again; queries whose bounds are worked out at once.
+STEP, AT_ONCE = 64, 32
+
+INDEX_SCHEMA = "list int, part int, vec_id long, v array<double>, residual double"
+FOUND_SCHEMA = "query_id long, query_key long, vec_id long, score double"
+
+
+def rotation(bits: int, dims: int) -> np.ndarray:
+    """`dims` rows of a random orthogonal matrix, the same everywhere: vectors padded with zeros to `bits` coordinates and turned."""
+    q, r = np.linalg.qr(np.random.Generator(np.random.PCG64(SEED)).standard_normal((bits, bits)))
+    return (q * np.sign(np.diag(r)))[:dims]
+
+
+def code_bits(dims: int) -> int:
+    return max(CODE_BITS, -(-dims // 64) * 64)
 
-SCHEMA = "query_id long, vec_id long, score double"
 
+def fit_centres(sample: np.ndarray, lists: int) -> np.ndarray:
+    """Centres by k-means; a centre that loses all its rows stays where it was."""
+    centres = sample[np.random.Generator(np.random.PCG64(SEED)).permutation(len(sample))[:lists]].copy()
+    for _ in range(ROUNDS):
+        own = nearest_centre(sample, centres)
+        count = np.bincount(own, minlength=len(centres))
+        sums = np.zeros_like(centres)
+        np.add.at(sums, own, sample)
+        full = count > 0
+        centres[full] = sums[full] / count[full, None]
+    return centres
 
-def rotation(dims: int) -> np.ndarray:
-    """A random orthogonal matrix, the same everywhere."""
-    q, r = np.linalg.qr(np.random.Generator(np.random.PCG64(SEED)).standard_normal((dims, dims)))
-    return q * np.sign(np.diag(r))
+
+def nearest_centre(vectors: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    half = (centres**2).sum(axis=1) / 2
+    return np.concatenate([np.zeros(0, np.int64), *(np.argmax(vectors[a : a + 4096] @ centres.T - half, axis=1) for a in range(0, len(vectors), 4096))])
 
 
 class Codes:
-    """One-bit codes of vectors with their correction numbers."""
-
-    def __init__(self, vectors: np.ndarray, turn: np.ndarray):
-        self.dims = vectors.shape[1]
-        turned = vectors @ turn
-        self.length = np.linalg.norm(vectors, axis=1)
-        signs = turned > 0
-        # inner product of the unit vector with its code, whose coordinates are +-1/sqrt(dims)
-        self.own = np.abs(turned).sum(axis=1) / (np.sqrt(self.dims) * self.length)
-        width = -(-self.dims // 64) * 64
-        padded = np.zeros((len(vectors), width), bool)
-        padded[:, : self.dims] = signs
-        self.bits = np.packbits(padded, axis=1, bitorder="little").view(np.uint64)
-        self.count = signs.sum(axis=1)
-        self.error = BOUND * np.sqrt(np.maximum(1 - self.own**2, 0) / np.maximum(self.own**2, 1e-12) / max(self.dims - 1, 1))
-
-    def upper_bounds(self, query: np.ndarray, turn: np.ndarray) -> np.ndarray:
-        """Estimated inner product of the query with every vector, and the bound of its error added."""
-        q = query @ turn
-        low, high = q.min(), q.max()
-        step = (high - low) / (2**QUERY_BITS - 1) or 1.0
-        level = np.clip(np.rint((q - low) / step), 0, 2**QUERY_BITS - 1).astype(np.uint8)
-        padded = np.zeros(self.bits.shape[1] * 64, np.uint8)
-        padded[: self.dims] = level
-        dot = np.zeros(len(self.bits), np.int64)
-        for j in range(QUERY_BITS):
-            plane = np.packbits((padded >> j) & 1, bitorder="little").view(np.uint64)
-            dot += np.bitwise_count(self.bits & plane).sum(axis=1, dtype=np.int64) << j
-        # sum of q over set bits, less the sum over the others
-        on = low * self.count + step * dot
-        whole = low * self.dims + step * int(level.sum())
-        estimate = (2 * on - whole) / (np.sqrt(self.dims) * self.own)
-        rounding = step / 2 * np.sqrt(self.dims) / self.own / np.sqrt(3)  # what cutting the query can add, at three deviations
-        return self.length * (estimate + np.linalg.norm(query) * self.error + rounding)
-
-
-def nearest(ids: np.ndarray, vectors: np.ndarray, codes: Codes, turn: np.ndarray, query_id: int, query: np.ndarray, k: int) -> list[tuple[float, int]]:
-    """The k best (score, vec_id) of a block."""
-    bounds = codes.upper_bounds(query, turn)
-    bounds[ids == query_id] = -np.inf
-    order = np.argsort(-bounds)
-    best: list[tuple[float, int]] = []
-    for a in range(0, len(order), STEP):
-        part = order[a : a + STEP]
-        part = part[np.isfinite(bounds[part])]
-        if not len(part) or len(best) == k and bounds[part[0]] < best[-1][0]:
-            break
-        scores = exact(vectors[part], query)
-        best = sorted([*best, *zip(scores.tolist(), ids[part].tolist(), strict=True)], key=lambda x: (-x[0], x[1]))[:k]
-    return best
+    """One-bit codes of residuals with their correction numbers."""
+
+    def __init__(self, vectors: np.ndarray, centre: np.ndarray, turn: np.ndarray):
+        bits = turn.shape[1]
+        residual = vectors - centre
+        turned = residual @ turn
+        self.length = np.linalg.norm(residual, axis=1)
+        # inner product of the unit residual with its code, whose coordinates are +-1/sqrt(bits)
+        own = np.abs(turned).sum(axis=1) / (np.sqrt(bits) * np.maximum(self.length, 1e-300))
+        own = np.where(self.length > 0, np.maximum(own, 1e-6), 1.0)
+        self.bytes = np.ascontiguousarray(np.packbits(turned > 0, axis=1, bitorder="little").T)
+        self.scale = (self.length / (own * np.sqrt(bits))).astype(np.float32)
+        self.error = (self.length * BOUND * np.sqrt(np.maximum(1 - own**2, 0) / own**2 / (bits - 1))).astype(np.float32)
+        self.centre = centre
+
+    def upper_bounds(self, queries: np.ndarray, turn: np.ndarray) -> np.ndarray:
+        """For each query and vector the estimated inner product and the bound of its error added. Each byte of a code looks its part of the sum up in a table of the query."""
+        turned = (queries @ turn).astype(np.float32).reshape(len(queries), -1, 8)
+        tables = 2 * (turned @ _BYTE_BITS)
+        total = np.zeros((len(queries), self.bytes.shape[1]), np.float32)
+        for j, code in enumerate(self.bytes):
+            total += tables[:, j].take(code, axis=1)
+        total -= turned.sum(axis=(1, 2))[:, None]
+        total *= self.scale
+        total += np.linalg.norm(queries, axis=1).astype(np.float32)[:, None] * self.error
+        # numbers of 24 bits: what they can be off is added, too
+        return total + (queries @ self.centre)[:, None] + 1e-5 * np.linalg.norm(queries, axis=1)[:, None] * (np.linalg.norm(self.centre) + self.length)
+
+
+_BYTE_BITS = ((np.arange(256) >> np.arange(8)[:, None]) & 1).astype(np.float32)
+
+
+class Block:
+    """The vectors of a block. Equal ones are one candidate with their k + 1 smallest ids."""
+
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, centre: np.ndarray, turn: np.ndarray, k: int):
+        order = np.lexsort((ids, *vectors.T[::-1]))
+        ids, vectors = ids[order], vectors[order]
+        new = np.ones(len(ids), bool)
+        new[1:] = (vectors[1:] != vectors[:-1]).any(axis=1)
+        start = np.flatnonzero(new)
+        self.turn, self.k = turn, k
+        self.vectors = vectors[start]
+        self.ids = [ids[a : min(b, a + k + 1)] for a, b in zip(start, np.append(start[1:], len(ids)), strict=True)]
+        self.codes = Codes(self.vectors, centre, turn)
+
+    def search(self, query_ids: np.ndarray, queries: np.ndarray, floors: np.ndarray) -> Iterator[tuple[list[tuple[float, int]], int]]:
+        """For each query the k best (score, vec_id) at or above its floor, and how many vectors were reranked."""
+        for a in range(0, len(queries), AT_ONCE):
+            bounds = self.codes.upper_bounds(queries[a : a + AT_ONCE], self.turn)
+            for key, query, bound, floor in zip(query_ids[a : a + AT_ONCE].tolist(), queries[a : a + AT_ONCE], bounds, floors[a : a + AT_ONCE].tolist(), strict=True):
+                yield self._best(key, query, bound, floor)
+
+    def _best(self, key: int, query: np.ndarray, bound: np.ndarray, floor: float) -> tuple[list[tuple[float, int]], int]:
+        able = np.flatnonzero(bound >= floor)
+        order = able[np.argsort(-bound[able])]
+        best: list[tuple[float, int]] = []
+        looked = 0
+        for a in range(0, len(order), STEP):
+            part = order[a : a + STEP]
+            if len(best) == self.k and bound[part[0]] < best[-1][0]:
+                break
+            looked += len(part)
+            scores = exact(self.vectors[part], query)
+            fine = np.flatnonzero(scores >= (floor if len(best) < self.k else best[-1][0]))
+            fresh = [(s, i) for s, c in zip(scores[fine].tolist(), part[fine].tolist(), strict=True) for i in self.ids[c].tolist() if i != key]
+            if fresh:
+                best = sorted([*best, *fresh], key=lambda x: (-x[0], x[1]))[: self.k]
+        return best, looked
 
 
 def exact(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:
@@ -110,48 +170,122 @@ def usable(table: DataFrame) -> DataFrame:
     return own.where(fine)
 
 
-def search(table: DataFrame, is_query, k: int = 20, block: int = BLOCK) -> DataFrame:
-    """(query_id, rank, vec_id, score): the k nearest candidates that are found for each query row."""
-    rows = usable(table)
-    sizes = rows.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").limit(1).collect()
-    if not sizes:
-        return table.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    dims, total = sizes[0]["d"], sizes[0]["count"]
-    rows = rows.where(F.size("v") == dims)
-    n_blocks = max(1, -(-total // block))
-    here = F.pmod(F.xxhash64("vec_id", "v"), F.lit(n_blocks)).cast("int")
-    data = rows.select(here.alias("block"), F.lit(1).alias("is_query"), F.lit(0).alias("part"), "vec_id", "v")
-    # equal rows share a hash: queries of one vec_id and vector are asked once
-    asked = rows.where(is_query).dropDuplicates(["vec_id", "v"])
-    asked = asked.select(F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))).alias("block"), F.lit(2).alias("is_query"), F.lit(0).alias("part"), "vec_id", "v")
-    dealt = data.union(asked).repartition("block").sortWithinPartitions("block", "is_query", "vec_id")
+def _matrix(column: pa.Array, dims: int) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), dims)
+
+
+def index(rows: DataFrame, centres: np.ndarray) -> DataFrame:
+    """(list, part, vec_id, v, residual) for every row: its list, a number by which the list is split, and the length of its residual."""
+    dims = centres.shape[1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        turn = rotation(dims)
+        for b in batches:
+            v = _matrix(b.column("v"), dims)
+            own = nearest_centre(v, centres).astype(np.int32)
+            residual = np.linalg.norm(v - centres[own], axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(own), b.column("part"), b.column("vec_id"), b.column("v"), pa.array(residual)], ["list", "part", "vec_id", "v", "residual"])
+
+    spread = F.pmod(F.xxhash64("vec_id", "v"), F.lit((1 << 31) - 1)).cast("int").alias("part")
+    return rows.select(spread, "vec_id", "v").mapInArrow(K.releasing(run), INDEX_SCHEMA)
+
+
+def meet(data: DataFrame, asked: DataFrame, centres: np.ndarray, units: int, k: int) -> DataFrame:
+    """(query_id, query_key, vec_id, score): the best of each block for each query (unit, query_id, query_key, v, floor) that meets it; data has (unit, list, vec_id, v). The vectors of a block go before its queries, which pass by."""
+    none = F.lit(None)
+    both = data.select("unit", F.lit(0).alias("kind"), "list", "vec_id", none.cast("long").alias("key"), "v", none.cast("double").alias("floor"))
+    both = both.union(asked.select("unit", F.lit(1), F.lit(-1), "query_id", "query_key", "v", "floor"))
+    dealt = both.repartition(max(1, min(units, 20_000)), "unit").sortWithinPartitions("unit", "kind")
+    dims = centres.shape[1]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        turn = rotation(code_bits(dims), dims)
         now, ids, parts, ready = None, [], [], None
         for b in batches:
-            blocks, kinds, keys = (b.column(c).to_numpy() for c in ("block", "is_query", "vec_id"))
-            values = b.column("v").flatten().to_numpy(zero_copy_only=False).reshape(len(b), dims)
-            cuts = np.flatnonzero((np.diff(blocks, prepend=-1) != 0) | (np.diff(kinds, prepend=-1) != 0))
+            unit, kind, number, vec_id = (b.column(c).to_numpy() for c in ("unit", "kind", "list", "vec_id"))
+            key, floor = (b.column(c).fill_null(0).to_numpy() for c in ("key", "floor"))
+            v = _matrix(b.column("v"), dims)
+            cuts = np.flatnonzero((np.diff(unit, prepend=-1) != 0) | (np.diff(kind, prepend=-1) != 0))
             for lo, hi in zip(cuts, np.append(cuts[1:], len(b)), strict=True):
-                if blocks[lo] != now:
-                    now, ids, parts, ready = blocks[lo], [], [], None
-                if kinds[lo] == 1:
-                    ids.append(keys[lo:hi])
-                    parts.append(values[lo:hi].copy())
+                if unit[lo] != now:
+                    now, ids, parts, ready = unit[lo], [], [], None
+                if kind[lo] == 0:
+                    ids.append(vec_id[lo:hi].copy())
+                    parts.append(v[lo:hi].copy())
+                    centre = centres[number[lo]]
                     continue
                 if ready is None and parts:
-                    own, vectors = np.concatenate(ids), np.concatenate(parts)
-                    ready = (own, vectors, Codes(vectors, turn))
+                    ready = Block(np.concatenate(ids), np.concatenate(parts), centre, turn, k)
+                    ids, parts = [], []
                 if ready is None:
                     continue
-                out: tuple[list, list, list] = ([], [], [])
-                for key, query in zip(keys[lo:hi].tolist(), values[lo:hi], strict=True):
-                    for score, vec in nearest(*ready, turn, key, query, k):
-                        for column, value in zip(out, (key, vec, score), strict=True):
+                out: tuple[list, list, list, list] = ([], [], [], [])
+                for q, who, (best, _) in zip(vec_id[lo:hi].tolist(), key[lo:hi].tolist(), ready.search(vec_id[lo:hi], v[lo:hi], floor[lo:hi]), strict=True):
+                    for score, vec in best:
+                        for column, value in zip(out, (q, who, vec, score), strict=True):
                             column.append(value)
-                yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.float64())], ["query_id", "vec_id", "score"])
+                yield pa.RecordBatch.from_arrays([*(pa.array(x, pa.int64()) for x in out[:3]), pa.array(out[3], pa.float64())], ["query_id", "query_key", "vec_id", "score"])
+
+    return dealt.mapInArrow(K.releasing(run), FOUND_SCHEMA)
+
+
+def lists_to_meet(queries: np.ndarray, floors: np.ndarray, home: np.ndarray, centres: np.ndarray, rows: np.ndarray, longest: np.ndarray, missed: float = MISSED) -> np.ndarray:
+    """Which lists each query meets in the second round, as a matrix of yes and no."""
+    near = queries @ centres.T
+    length = np.linalg.norm(queries, axis=1)[:, None]
+    # a residual in a random direction adds length * longest / sqrt(dims) to the score on average, and a score z times that far off has a chance under exp(-z * z / 2) / 2
+    z = (floors[:, None] - near) / np.maximum(length * longest / np.sqrt(centres.shape[1]), 1e-300)
+    expected = rows * np.where(z > 0, np.exp(-np.square(np.clip(z, 0, 40)) / 2) / 2, 1.0)
+    wanted = expected >= missed / len(centres)
+    distance = (centres**2).sum(axis=1) / 2 - near
+    close = np.argpartition(distance, min(NEAREST, len(centres)) - 1, axis=1)[:, :NEAREST]
+    np.put_along_axis(wanted, close, True, axis=1)
+    return wanted & (rows > 0)
+
 
-    found = dealt.mapInArrow(run, SCHEMA)
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+def search(table: DataFrame, is_query, k: int = 20, block: int = BLOCK, list_rows: int = LIST_ROWS) -> DataFrame:
+    """(query_id, rank, vec_id, score): the k nearest candidates that are found for each query row."""
+    spark, rows = table.sparkSession, usable(table)
+    sizes = rows.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").limit(1).collect()
+    if not sizes:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    dims, total = sizes[0]["d"], sizes[0]["count"]
+    rows = rows.where(F.size("v") == dims)
+    lists = max(1, min(MOST_LISTS, total // list_rows))
+    sample = rows.select("v", F.xxhash64("vec_id", "v").alias("_h")).orderBy("_h").limit(min(SAMPLE_ROWS, 64 * lists)).toArrow()  # SAMPLE_ROWS vectors at most
+    v = _matrix(sample["v"].combine_chunks(), dims)
+    centres = fit_centres(v[np.lexsort(v.T)], lists)
+    listed = stored(index(rows, centres))
+    known = {r["list"]: (r["n"], r["r"]) for r in listed.groupBy("list").agg(F.count("*").alias("n"), F.max("residual").alias("r")).collect()}  # MOST_LISTS rows at most
+    count, longest = (np.array([known.get(i, (0, 0.0))[j] for i in range(lists)], dtype=float) for j in (0, 1))
+    blocks = np.maximum(1, np.ceil(count / block)).astype(np.int64)
+    first = np.concatenate([[0], np.cumsum(blocks)])
+    units = int(first[-1])
+    table_of = spark.createDataFrame([(i, int(first[i]), int(blocks[i])) for i in range(lists)], "list int, _first long, _blocks long")  # MOST_LISTS rows at most
+    data = listed.join(F.broadcast(table_of), "list").select((F.col("_first") + F.col("part") % F.col("_blocks")).cast("int").alias("unit"), "list", "vec_id", "v")
+    queries = listed.where(is_query).dropDuplicates(["vec_id", "v"]).select(F.col("vec_id").alias("query_id"), F.xxhash64("vec_id", "v").alias("query_key"), "list", "v")
+    homes = queries.join(F.broadcast(table_of), "list").select(F.col("_first").cast("int").alias("unit"), "query_id", "query_key", "v", F.lit(float("-inf")).alias("floor"))
+    near = stored(meet(data.where(F.col("part") % _blocks_of(blocks) == 0), homes, centres, lists, k))
+    floor = near.groupBy("query_key").agg(F.count("*").alias("n"), F.min("score").alias("floor"))
+    floored = queries.join(floor.where(F.col("n") >= k).drop("n"), "query_key", "left").withColumn("floor", F.coalesce("floor", F.lit(float("-inf"))))
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for lo in range(0, len(b), 256):
+                part = b.slice(lo, 256)
+                home = part.column("list").to_numpy()
+                wanted = lists_to_meet(_matrix(part.column("v"), dims), part.column("floor").to_numpy(), home, centres, count, longest)
+                row, own = np.nonzero(wanted)
+                row, unit = np.repeat(row, blocks[own]), K.ranges(first[own], blocks[own])
+                rest = unit != first[home[row]]  # that one it has met
+                row, unit = pa.array(row[rest]), pa.array(unit[rest].astype(np.int32))
+                yield pa.RecordBatch.from_arrays([unit, *(part.column(c).take(row) for c in ("query_id", "query_key", "v", "floor"))], ["unit", "query_id", "query_key", "v", "floor"])
+
+    asked = floored.select("query_id", "query_key", "list", "v", "floor").mapInArrow(K.releasing(spread), "unit int, query_id long, query_key long, v array<double>, floor double")
+    found = near.union(meet(data, asked, centres, units, k))
+    order = Window.partitionBy("query_id", "query_key").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
+def _blocks_of(blocks: np.ndarray):
+    """The number of blocks of a row's list."""
+    return F.element_at(F.lit([int(x) for x in blocks]), F.col("list") + 1)

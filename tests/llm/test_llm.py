@@ -138,29 +138,49 @@ def test_op1_every_link(spark, none, monkeypatch, cell):
     assert fingerprints.near_pairs(none).count() == 0 and fingerprints.classes(none).count() == 0
 
 
-def test_op2_neighbours(spark):
+@pytest.mark.parametrize(("block", "list_rows"), [(rabitq.BLOCK, rabitq.LIST_ROWS), (60, 100)])
+def test_op2_neighbours(spark, block, list_rows):
+    """Against brute force, with one list and with many that are split in blocks; awkward vectors and names."""
     rng = np.random.default_rng(3)
     x = rng.standard_normal((900, 33)).astype("f4")
+    x[300:500] = x[rng.integers(0, 20, 200)] + 0.05 * rng.standard_normal((200, 33)).astype("f4")
     x[5] = x[40] = x[41]
-    rows = [(i, v.tolist(), 1) for i, v in enumerate(x)] + [(1000, None, 1), (1001, [0.0] * 33, 1), (1002, [float("nan")] * 33, 1), (1003, [1.0, None] + [1.0] * 31, 1), (1004, [1.0] * 5, 1), (41, x[7].tolist(), 2), (None, x[8].tolist(), 1)]
-    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    x[600:660] = x[600]  # ties: more equal vectors than an answer has places
+    rows = [(i, v.tolist(), 1, 1, 1) for i, v in enumerate(x)] + [(1000, None, 1, 1, 1), (1020, [0.0] * 33, 1, 1, 1), (1040, [float("nan")] * 33, 1, 1, 1), (1003, [1.0, None] + [1.0] * 31, 1, 1, 1), (1004, [1.0] * 5, 1, 1, 1), (40, x[7].tolist(), 2, 2, 2), (None, x[8].tolist(), 1, 1, 1), (60, x[60].tolist(), 9, 9, 9)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, list int, unit int, score int")
     got = {}
-    for r in rabitq.search(df, "vec_id % 20 = 0", k=20, block=250).orderBy("query_id", "rank").collect():
-        got.setdefault(r["query_id"], []).append((r["vec_id"], r["score"]))
-    ids, v = np.array([*range(900), 41]), np.concatenate([x, x[7:8]]).astype("f8")
+    for r in rabitq.search(df, "vec_id % 20 = 0", k=20, block=block, list_rows=list_rows).collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    ids, v = np.array([*range(900), 40, 60]), np.concatenate([x, x[7:8], x[60:61]]).astype("f8")
     hits = 0
     for q in range(0, 900, 20):
-        s = (v * v[q]).sum(axis=1)
-        s[ids == q] = -np.inf
-        want = sorted(zip(-s, ids, strict=True))[:20]
-        assert len(got[q]) == 20 and q not in {i for i, _ in got[q]}
-        hits += len({int(i) for _, i in want} & {i for i, _ in got[q]})
-    assert hits / (45 * 20) >= 0.99
+        wanted = []
+        for place in np.unique(v[ids == q], axis=0):  # query rows of one id: each different vector is a query
+            s = np.cumsum(v * place, axis=1)[:, -1]
+            wanted += [(n, i, t) for n, (t, i) in enumerate(sorted((-t, i) for t, i in zip(s, ids, strict=True) if i != q)[:20], 1)]
+        assert len(got[q]) == len(wanted) and all(i != q for _, i, _ in got[q])
+        hits += len({(i, -t) for _, i, t in wanted} & {(i, t) for _, i, t in got[q]}) / len({(i, t) for _, i, t in wanted})
+        if q == 600:
+            assert sorted(got[q])[:20] == [(n, 600 + n, got[q][0][2]) for n in range(1, 21)]
+    assert sorted(got) == [*range(0, 900, 20)] and hits / 45 >= 0.97
     few = rabitq.search(df.where("vec_id < 5"), "vec_id = 0", k=20).collect()
     assert len(few) == 4
     assert rabitq.search(df.where("false"), "vec_id = 0").count() == 0
 
 
+def test_op2_bounds_choose():
+    """The estimates are near and their bounds hold; they leave most vectors out of the reranking."""
+    rng = np.random.default_rng(5)
+    v = rng.standard_normal((4000, 64))
+    v /= np.linalg.norm(v, axis=1)[:, None]
+    centre, turn = v[:50].mean(axis=0), rabitq.rotation(rabitq.code_bits(64), 64)
+    codes, true = rabitq.Codes(v, centre, turn), v[:100] @ v.T
+    bounds = codes.upper_bounds(v[:100], turn)
+    assert (bounds >= true).mean() > 0.95 and np.abs(bounds - codes.error - true).mean() < 0.06
+    looked = [n for _, n in rabitq.Block(np.arange(4000), v, centre, turn, 20).search(np.arange(100), v[:100], np.full(100, -np.inf))]
+    assert np.mean(looked) < 0.1 * len(v)
+
+
 @pytest.mark.parametrize("frequent", [repeats.FREQUENT, 2])
 def test_op3_and_op6(docs, none, monkeypatch, frequent):
     monkeypatch.setattr(repeats, "FREQUENT", frequent)
