@@ -1,16 +1,17 @@
 """Substring dedup by relative Lempel-Ziv parsing over words.
 
 What may repeat is brought together in blocks (see repeats). A block's contexts, in
-the order of doc_id, are the reference: every WINDOW-word string in it is indexed
-with its first place. Each context is then parsed greedily: a factor starts at a word
-whose WINDOW-word string the reference has in a smaller document, and goes on for as
-long as the reference does at that place. The next factor starts after it. Windows
-that cross a factor's border are in no factor as a whole; they are looked up one by
-one, as their words can stand elsewhere in the reference. Factors of WINDOW words and
-more, and the border windows found, are the duplicate spans.
-
-Words are `[^\\x20\\x09-\\x0D]+`. Null texts have none. For null ids and repeated rows
-see repeats. Other columns are not read.
+the order of doc_id, are the reference: a suffix array over its words indexes every
+place. Each context is parsed greedily against what the reference has of smaller
+documents. A factor is the longest match of all places there: of all earlier places the
+one with the longest common prefix is the nearest before or after in the suffix array.
+A match of WINDOW words or more is a factor and a duplicate span, and the next factor
+starts after it; a word from which no such match starts is a literal. Windows that cross
+a factor's end are in no factor as a whole, and their words may stand elsewhere in the
+reference; they are checked one by one.
+
+Words are `[^\\x20\\x09-\\x0D]+`, told apart by two independent 64-bit hashes. Null
+texts have none. For null ids and repeated rows see repeats. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -31,44 +32,105 @@ _SECOND = K.random_words(23, 256)
 
 
 class Reference:
-    """The windows of a block's contexts, by content. Contents are told apart by two independent 64-bit hashes."""
-
-    def __init__(self, contents: np.ndarray, length: np.ndarray, windows: np.ndarray, ids: np.ndarray):
-        offsets = np.concatenate([[0], np.cumsum(length)])
-        start, end, first = K.words(contents, offsets)
-        self.at = K.ranges(first[:-1], windows)  # first word of each window
+    """A block's contexts as words, with the places of their windows in the order of what follows."""
+
+    def __init__(self, contents: np.ndarray, length: np.ndarray, ids: np.ndarray):
+        start, end, self.first = K.words(contents, np.concatenate([[0], np.cumsum(length)]))
+        n, size = len(start), np.diff(self.first)
+        self.stop = np.repeat(self.first[1:], size)
+        self.owner = np.repeat(ids, size)
+        # contexts come in the order of ids: what smaller documents have lies before a document's first word
+        new = np.ones(len(ids), bool)
+        new[1:] = ids[1:] != ids[:-1]
+        self.earlier = np.repeat(self.first[:-1][np.flatnonzero(new)][np.cumsum(new) - 1] if len(ids) else self.first[:0], size)
         codes = [K.range_hash(K.byte_prefix(contents, c), start, end) for c in (K.BYTE_CODE, _SECOND)]
-        keys = [K.range_hash(K.code_prefix(c), self.at, self.at + R.WINDOW) for c in codes]
-        order = np.lexsort((np.arange(len(self.at)), keys[1], keys[0]))
-        one, two = keys[0][order], keys[1][order]
-        new = np.ones(len(order), bool)
-        new[1:] = (one[1:] != one[:-1]) | (two[1:] != two[:-1])
-        lead = order[np.flatnonzero(new)]
-        self.first = np.empty(len(order), np.int64)  # of each window the first equal one, in the order of documents
-        self.first[order] = lead[np.cumsum(new) - 1]
-        self.owner = np.repeat(ids, windows)
-        self.context = np.repeat(np.arange(len(ids)), windows)
+        order = np.lexsort(codes)
+        same = np.zeros(n, bool)
+        same[1:] = (codes[0][order][1:] == codes[0][order][:-1]) & (codes[1][order][1:] == codes[1][order][:-1])
+        self.ranks = [_numbered(order, ~same)]  # of the 1, 2, 4, .. words from each place on, as far as its context goes
+        for k in range((int(size.max(initial=1)) - 1).bit_length()):
+            key = self.ranks[-1].astype(np.int64) << 32
+            after = np.flatnonzero(np.arange(n) + (1 << k) < self.stop)
+            key[after] |= self.ranks[-1][after + (1 << k)]
+            order = np.argsort(key)
+            key = key[order]
+            fresh = np.ones(n, bool)
+            fresh[1:] = key[1:] != key[:-1]
+            self.ranks.append(_numbered(order, fresh))
+        self.order = order[self.stop[order] - order >= R.WINDOW].astype(np.int32)
+        self.place = np.full(n, -1, np.int32)
+        self.place[self.order] = np.arange(len(self.order), dtype=np.int32)
+        self.lowest = [self.order]  # the smallest of 1, 2, 4, .. entries of the order from each on
+        while 2 << len(self.lowest) - 1 <= len(self.order):
+            half = 1 << len(self.lowest) - 1
+            self.lowest.append(np.minimum(self.lowest[-1][:-half], self.lowest[-1][half:]))
+
+    def common(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Words that the contexts have in common from two places on."""
+        run = np.zeros(len(a), np.int64)
+        for k in reversed(range(len(self.ranks))):
+            one, two = a + run, b + run
+            live = np.flatnonzero((one < self.stop[a]) & (two < self.stop[b]))
+            same = live[self.ranks[k][one[live]] == self.ranks[k][two[live]]]
+            run[same] += 1 << k
+        return np.minimum(run, np.minimum(self.stop[a] - a, self.stop[b] - b))
+
+    def longest(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(words, place) of the longest match of what starts at each place with an earlier document, if it has WINDOW words at least; else 0 words."""
+        bound, n = self.earlier[at], len(self.order)
+        before = self.place[at].astype(np.int64)
+        behind = before + 1
+        for j in reversed(range(len(self.lowest))):
+            low, step = self.lowest[j], 1 << j
+            go = np.flatnonzero(before >= step)
+            go = go[low[before[go] - step] >= bound[go]]
+            before[go] -= step
+            go = np.flatnonzero(behind + step <= n)
+            go = go[low[behind[go]] >= bound[go]]
+            behind[go] += step
+        words, source = np.zeros(len(at), np.int64), at.copy()
+        for found, ok in ((before - 1, before > 0), (behind, behind < n)):
+            own = np.flatnonzero(ok)
+            place = self.order[found[own]].astype(np.int64)
+            own, place = own[place < bound[own]], place[place < bound[own]]
+            run = self.common(at[own], place)
+            better = (run > words[own]) & (run >= R.WINDOW)
+            words[own[better]], source[own[better]] = run[better], place[better]
+        return words, source
+
+
+def _numbered(order: np.ndarray, new: np.ndarray) -> np.ndarray:
+    """Numbers from 1 for what stands in order, the next where it is new."""
+    out = np.empty(len(order), np.int32)
+    out[order] = np.cumsum(new)
+    return out
 
 
 def parse(ref: Reference) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(first window, windows, source window) of each factor: the longest run that the reference has in one place, in a smaller document."""
-    hit = ref.owner[ref.first] < ref.owner
-    goes_on = np.zeros(len(hit), bool)
-    if len(hit):
-        goes_on[1:] = hit[1:] & hit[:-1] & (ref.context[1:] == ref.context[:-1]) & (ref.first[1:] == ref.first[:-1] + 1) & (ref.context[ref.first[1:]] == ref.context[ref.first[:-1]])
-    begin = np.flatnonzero(hit & ~goes_on)
-    stop = np.flatnonzero(hit & np.append(~goes_on[1:], True)) + 1 if len(hit) else begin
-    return begin, stop - begin, ref.first[begin]
+    """(place, words, source) of each factor. All contexts are parsed side by side."""
+    at, stop = ref.first[:-1].copy(), ref.first[1:]
+    found = []
+    while len(live := np.flatnonzero(stop - at >= R.WINDOW)):
+        words, source = ref.longest(at[live])
+        long = words > 0
+        found.append((at[live][long], words[long], source[long]))
+        at[live] += np.maximum(words, 1)
+    none = np.zeros(0, np.int64)
+    return tuple(np.concatenate([none, *(f[k] for f in found)]) for k in range(3))
 
 
 def least_documents(contents: np.ndarray, length: np.ndarray, windows: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    """For each window the smallest document that has it: those inside a factor from the factor's source, those across a border by looking them up."""
-    ref = Reference(contents, length, windows, ids)
-    begin, count, source = parse(ref)
-    least = ref.owner[ref.first]
-    inside = K.ranges(begin, count)
-    least[inside] = ref.owner[K.ranges(source, count)]
-    return least
+    """For each window a smaller document that has it, or its own: for windows inside a factor the factor's source, for those across its end what a check finds."""
+    ref = Reference(contents, length, ids)
+    least = ref.owner.copy()
+    place, words, source = parse(ref)
+    inside = words - R.WINDOW + 1
+    least[K.ranges(place, inside)] = np.repeat(ref.owner[source], inside)
+    edge = place + inside
+    across = K.ranges(edge, np.maximum(np.minimum(place + words, ref.stop[place] - R.WINDOW + 1) - edge, 0))
+    run, met = ref.longest(across)
+    least[across[run > 0]] = ref.owner[met[run > 0]]
+    return least[K.ranges(ref.first[:-1], windows)]
 
 
 def remove_repeats(docs: DataFrame, digest: bool = False) -> DataFrame:
