@@ -199,6 +199,50 @@ def test_op3_and_op6(docs, none, monkeypatch, frequent):
     assert rlz.remove_repeats(none).count() == 0 and suffixes.remove_repeats(none).count() == 0
 
 
+def test_op3_factors(monkeypatch):
+    """Factors are the longest matches with smaller documents, against brute force; what they cover, and the windows across their ends, is all that is found."""
+    rng = random.Random(17)
+    base = [f"w{rng.randrange(50)}" for _ in range(400)]
+    texts = []
+    for _ in range(40):
+        a, b = rng.randrange(300), rng.randrange(300)
+        w = base[a : a + rng.randrange(50, 95)] if rng.random() < 0.5 else base[a : a + 55] + base[b : b + rng.randrange(39)]
+        if rng.random() < 0.4:
+            w[rng.randrange(len(w))] = "odd"
+        texts.append(w)
+    ids = np.sort(np.array([rng.randrange(25) for _ in texts]))
+    raw = [(" ".join(w) + " ").encode() for w in texts]
+    args = np.frombuffer(b"".join(raw), np.uint8), np.array([len(r) for r in raw]), np.array([len(w) - 49 for w in texts]), ids
+
+    def match(c, k, d, j):
+        n = 0
+        while k + n < len(texts[c]) and j + n < len(texts[d]) and texts[c][k + n] == texts[d][j + n]:
+            n += 1
+        return n
+
+    def best(c, k):
+        return max((match(c, k, d, j) for d in range(len(texts)) if ids[d] < ids[c] for j in range(len(texts[d]))), default=0)
+
+    want, hit = [], []
+    for c, w in enumerate(texts):
+        k = 0
+        while len(w) - k >= 50:
+            if (n := best(c, k)) >= 50:
+                want.append((c, k, n))
+            k += n if n >= 50 else 1
+        hit += [best(c, k) >= 50 for k in range(len(w) - 49)]
+    ref = rlz.Reference(args[0], args[1], ids)
+    place, words, source = rlz.parse(ref)
+    whose = np.searchsorted(ref.first, place, side="right") - 1
+    assert sorted(zip(whose.tolist(), (place - ref.first[whose]).tolist(), words.tolist(), strict=True)) == want
+    assert (ref.owner[source] < ref.owner[place]).all()
+    owner = np.repeat(ids, args[2])
+    assert (rlz.least_documents(*args) < owner).tolist() == hit and 0 < sum(hit) < len(hit)
+    none = np.zeros(0, np.int64)
+    monkeypatch.setattr(rlz, "parse", lambda ref: (none, none, none))
+    assert (rlz.least_documents(*args) == owner).all()  # nothing is found without factors
+
+
 def test_suffix_array():
     rng = np.random.default_rng(1)
     for t in (b"", b"a", b"banana", b"mississippi", b"a" * 90, bytes(rng.integers(97, 100, 700, dtype=np.uint8)), "日本語é".encode() * 9):
@@ -208,18 +252,42 @@ def test_suffix_array():
         assert [t[i : i + n] for i in found] == sorted(t[i : i + n] for i in range(len(t)))
 
 
-def test_op4_mixing(spark, docs, none):
-    rows = mixing.mix(docs).collect()
-    total = sum(len(WORD.findall(t or "")) for _, t, _ in awkward())
+def balanced_by_hand(sizes, target, cap=3.0):
+    """Rates min(cap, exp(l * size)) with the multiplier found by bisection."""
+    sizes, total = np.array(sizes, float), sum(sizes)
+    if target >= cap * total:
+        return np.where(sizes > 0, cap, 0)
+    lo, hi = -800.0, 800.0
+    for _ in range(300):
+        mid = (lo + hi) / 2
+        taken = (sizes * np.minimum(cap, np.exp(np.clip(mid * sizes / max(sizes), -700, 700)))).sum()
+        lo, hi = (mid, hi) if taken < target else (lo, mid)
+    return np.minimum(cap, np.exp(lo * sizes / max(sizes))) * (sizes > 0)
+
+
+def check_mix(rows):
+    """Rates are the balanced ones; every source is within a document, and within 1 %, of its target."""
     by = {}
     for r in rows:
         assert 0 <= r["taken"] <= 3 * r["size"]
         by.setdefault(r["source"], []).append(r)
+    for own in by.values():
+        target = own[0]["target"]
+        assert target <= 3 * own[0]["source_size"] + 1e-9
+        assert np.allclose([r["rate"] / 1e6 for r in own], balanced_by_hand([r["size"] for r in own], target), atol=2e-6) or target == 0
+        off = abs(sum(r["taken"] for r in own) - target)
+        light = max([r["size"] for r in own if r["size"] * 100 <= target], default=0)
+        assert off <= light + 1 + 1e-6 * sum(r["size"] for r in own) and off <= 0.01 * target + 1
+    return by
+
+
+def test_op4_mixing(spark, docs, none):
+    rows = mixing.mix(docs).collect()
+    total = sum(len(WORD.findall(t or "")) for _, t, _ in awkward())
+    assert len(rows) == len(awkward())
+    by = check_mix(rows)
     assert sum(x[0]["source_size"] for x in by.values()) == total
     assert abs(sum(x[0]["target"] for x in by.values()) - total) < 1e-6 * total
-    for own in by.values():
-        assert own[0]["target"] <= 3 * own[0]["source_size"] + 1e-9
-        assert abs(sum(r["taken"] for r in own) - own[0]["target"]) <= 0.02 * own[0]["target"] + max(2, len(own))
     assert sorted(map(repr, rows)) == sorted(map(repr, mixing.mix(docs.repartition(5)).collect()))
     assert mixing.mix(none).count() == 0
     blank = mixing.mix(table(spark, [(1, None, "a"), (2, "", None)])).collect()
@@ -229,11 +297,25 @@ def test_op4_mixing(spark, docs, none):
     assert sum(len(WORD.findall(r["text"])) for r in mixing.copies(docs, columns).collect()) == taken
 
 
+def test_op4_small_documents(spark):
+    """One word a document: the remainders of documents that are large for their source are carried."""
+    rows = mixing.mix(table(spark, [(i, "w", "ab"[i % 2]) for i in range(120)])).collect()
+    assert {s: (x[0]["target"], sum(r["taken"] for r in x)) for s, x in check_mix(rows).items()} == {"a": (40.0, 40), "b": (80.0, 80)}
+    rows = mixing.mix(table(spark, [(i, "w w w", "a" if i < 120 else "b") for i in range(220)])).collect()
+    assert {s: (x[0]["target"], sum(r["taken"] for r in x)) for s, x in check_mix(rows).items()} == {"a": (220.0, 220), "b": (440.0, 441)}  # in b whole documents
+
+
 def test_op4_many_rows(spark):
-    """Enough documents for whole copies and split cells."""
-    df = spark.range(4000).select(F.col("id").alias("doc_id"), F.concat(F.lit("s"), (F.col("id") % 3).cast("string")).alias("source"), F.repeat(F.lit("w "), (F.col("id") * 7 % 60 + 1).cast("int")).alias("text"))
-    own = mixing.mix(df).groupBy("source").agg(F.sum("taken").alias("t"), F.first("target").alias("g"), F.count_if(F.col("taken") % F.col("size") != 0).alias("cut")).collect()
-    assert all(abs(r["t"] - r["g"]) < 0.01 * r["g"] and r["cut"] == 0 for r in own)
+    """Whole copies of tilted documents, and repeated rows, in split cells; the words of any source match."""
+    df = spark.range(4000).select(F.col("id").alias("doc_id"), F.concat(F.lit("s"), (F.col("id") % 4).cast("string")).alias("source"), F.repeat(F.lit("w "), (F.col("id") * 7 % 60 + 1).cast("int")).alias("text"))
+    df = df.union(spark.range(900).select(F.lit(77).cast("long"), F.lit("s2"), F.lit("one two three")))
+    rows = mixing.mix(df).collect()
+    by = check_mix(rows)
+    assert len(rows) == 4900 and all(r["taken"] % r["size"] == 0 for r in rows)
+    assert all(len({r["rate"] for r in own}) > 10 for own in by.values())  # documents are tilted by their size
+    columns = ["doc_id", "text", "source"]
+    got = mixing.copies(df, columns).groupBy("source").agg(F.sum(mixing.n_words()).alias("t")).collect()
+    assert {r["source"]: r["t"] for r in got} == {s: sum(r["taken"] for r in own) for s, own in by.items()}
 
 
 def test_op5_licenses(spark, docs, none):
