@@ -124,28 +124,28 @@ def _newton(sizes: DataFrame, now: DataFrame, cap: int) -> DataFrame:
 def _balanced(docs: DataFrame, weights: tuple[int, ...], cap: int) -> DataFrame:
     """Distinct rows (_src, doc_id, size, _tie) with their number n, what their source has, their rate in units of 1 / UNIT, what is rounded of them (_part) and the running sum of that up to the last of them (_upto)."""
     named = F.when(F.col("source").isNull(), F.lit("-")).otherwise(F.concat(F.lit("+"), F.col("source")))
+    mark = F.coalesce(F.md5(F.col("doc_id").cast("string").cast("binary")), F.lit(""))
     rows = docs.select("doc_id", "source", named.alias("_src"), n_words().alias("size"), F.xxhash64("doc_id", "text").alias("_tie"))
-    rows = stored(rows.groupBy("_src", "source", "doc_id", "size", "_tie").agg(F.count("*").alias("n")))
-    sizes = stored(rows.groupBy("_src", "source", "size").agg(F.sum("n").alias("n")))
+    rows = stored(rows.groupBy("_src", "source", "doc_id", "size", "_tie").agg(F.count("*").alias("n")).withColumn("_mark", mark).withColumn("_salt", F.substring("_mark", 1, 2)))
+    cells = stored(rows.groupBy("_src", "source", "size", "_salt").agg(F.sum("n").alias("_n")))
+    sizes = stored(cells.groupBy("_src", "source", "size").agg(F.sum("_n").alias("n")))
     sums = sizes.groupBy("_src", "source").agg(F.sum(F.col("n") * F.col("size")).alias("source_size"), F.min(F.when(F.col("size") > 0, F.col("size"))).alias("least"), F.max("size").alias("largest"))
     sources = stored(targets(sums, weights, cap))
     solved = sources.join(multipliers(sizes, sources, cap), "_src", "left").drop("source")
     rate = F.when(F.col("target") <= 0, 0.0).when(F.col("target") >= cap * F.col("source_size"), float(cap)).otherwise(tilt(F.col("l"), F.col("size"), F.col("largest"), cap))
-    own = rows.join(solved, "_src").withColumn("rate", F.when(F.col("size") > 0, F.round(rate * UNIT)).otherwise(0).cast("long"))
-    own = own.withColumn("_heavy", F.col("size") * HEAVY > F.col("target"))
-    own = own.withColumn("_part", F.when(F.col("_heavy"), F.col("size") * F.col("rate") % UNIT).otherwise(F.col("rate") % UNIT))
-    own = own.withColumn("_mark", F.coalesce(F.md5(F.col("doc_id").cast("string").cast("binary")), F.lit(""))).withColumn("_salt", F.substring("_mark", 1, 2))
-    own = own.withColumn("_class", F.length(F.bin("size")))
-    inside = Window.partitionBy("_src", "size", "_salt").orderBy("_mark", "doc_id", "_tie").rowsBetween(Window.unboundedPreceding, 0)
-    own = own.withColumn("_run", F.sum(F.col("n") * F.col("_part")).over(inside))
-    cells = own.groupBy("_src", "size", "_salt").agg(F.first("_heavy").alias("_heavy"), F.first("_class").alias("_class"), F.max("_run").alias("_sum"))
+    # by size class, too, so that the cells of a hot source are spread
+    solved = solved.withColumn("_class", F.explode(F.sequence(F.lit(1), F.lit(64))))
+    cells = cells.drop("source").withColumn("_class", F.length(F.bin("size"))).join(solved, ["_src", "_class"])
+    cells = cells.withColumn("rate", F.when(F.col("size") > 0, F.round(rate * UNIT)).otherwise(0).cast("long")).withColumn("_heavy", F.col("size") * HEAVY > F.col("target"))
+    cells = cells.withColumn("_part", F.when(F.col("_heavy"), F.col("size") * F.col("rate") % UNIT).otherwise(F.col("rate") % UNIT)).withColumn("_sum", F.col("_n") * F.col("_part"))
     earlier = Window.partitionBy("_src", "_heavy", "_class").orderBy("size", "_salt").rowsBetween(Window.unboundedPreceding, -1)
-    cells = cells.withColumn("_before", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)))
     classes = cells.groupBy("_src", "_heavy", "_class").agg(F.sum("_sum").alias("_sum"))
-    earlier = Window.partitionBy("_src", "_heavy").orderBy("_class").rowsBetween(Window.unboundedPreceding, -1)
-    classes = classes.select("_src", "_heavy", "_class", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_first"))
-    own = own.join(cells.select("_src", "size", "_salt", "_before"), ["_src", "size", "_salt"]).join(classes, ["_src", "_heavy", "_class"])
-    return own.withColumn("_upto", F.col("_first") + F.col("_before") + F.col("_run"))
+    lighter = Window.partitionBy("_src", "_heavy").orderBy("_class").rowsBetween(Window.unboundedPreceding, -1)
+    classes = classes.select("_src", "_heavy", "_class", F.coalesce(F.sum("_sum").over(lighter), F.lit(0)).alias("_first"))
+    cells = cells.withColumn("_before", F.coalesce(F.sum("_sum").over(earlier), F.lit(0))).join(classes, ["_src", "_heavy", "_class"])
+    own = rows.join(cells.select("_src", "size", "_salt", "source_size", "target", "rate", "_heavy", "_part", (F.col("_first") + F.col("_before")).alias("_before")), ["_src", "size", "_salt"])
+    inside = Window.partitionBy("_src", "size", "_salt").orderBy("_mark", "doc_id", "_tie").rowsBetween(Window.unboundedPreceding, 0)
+    return own.withColumn("_upto", F.col("_before") + F.sum(F.col("n") * F.col("_part")).over(inside))
 
 
 def _words(times: str, upto: str, part: str) -> Column:

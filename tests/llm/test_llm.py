@@ -356,6 +356,35 @@ copyright notice and this permission notice appear in all copies.
     assert {r[0]: r[1:3] for r in con.execute(licenses.oracle_sql()).fetchall()} == {i: (r["digest"], r["license_id"]) for i, r in got.items()}
 
 
+def test_op5_whole_licenses(spark):
+    """Whole texts of every licence known, at other widths, in other spellings and case; with a word changed they are none. SQL says the same."""
+    rows, want = [], {}
+    whole = [(k, t) for k, texts in licenses.KNOWN.items() for t in texts if not k.startswith("notice:")]
+    for k, text in whole:
+        flowing = "\n".join("\n".join(textwrap.wrap(p, 61)) for p in text.split("\n"))
+        for made in ("Copyright (c) 1999-2020, Some One\n\n" + flowing, re.sub(r"\bLICENSE\b", "LICENCE", text.upper()).replace(",", " , "), text + " more", flowing.replace(" or ", " nor ", 1), text.replace("and/or", "and").replace("license", "license license", 1)):
+            i = len(rows)
+            rows.append((i, made, "s"))
+            want[i] = k if i % 5 < 2 or made == text else None
+    names = {"Apache-2.0": "Apache-2.0", "GPL-2": "GPL-2.0", "GPL-3": "GPL-3.0", "LGPL-2.1": "LGPL-2.1", "MPL-2.0": "MPL-2.0", "CC0-1.0": "CC0-1.0", "GFDL-1.3": "GFDL-1.3"}
+    for file, name in names.items():
+        if os.path.exists(path := f"/usr/share/common-licenses/{file}"):
+            with open(path, encoding="utf-8") as f:
+                text = f.read()
+            for made in (text, text.replace("\n", "\r\n"), re.sub(r"\blicense\b", "licence", text.lower()), text.replace(",", "", 40), text + "\nNo more."):
+                i = len(rows)
+                rows.append((i, made, "s"))
+                want[i] = name if i % 5 < 4 else None
+    got = {r["doc_id"]: (r["digest"], r["license_id"], r["notices"]) for r in licenses.scan(table(spark, rows)).collect()}
+    assert {i: g[1] for i, g in got.items()} == want
+    every = {r["doc_id"]: r["notices"] for r in licenses.scan(table(spark, rows), licenses.known_texts(spark)).collect()}
+    assert every == {i: g[2] for i, g in got.items()}  # lines that are passed by are no notices
+    con = pytest.importorskip("duckdb").connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", [r[:2] for r in rows])
+    assert {r[0]: r[1:4] for r in con.execute(licenses.oracle_sql()).fetchall()} == got
+
+
 def test_op7_urls(spark):
     entries = spark.createDataFrame([("bad.com", "2024-01-10", "block"), ("bad.com", "2024-02-01", "allow"), ("ok.bad.com", "2024-01-05", "allow"), ("both.com", "2024-01-01", "allow"), ("both.com", "2024-01-01", "BLOCK"), (None, "2024-01-01", "block"), ("x.com", None, "block")], "domain string, listed_at string, action string").withColumn("listed_at", F.to_timestamp("listed_at"))
     pages = [(1, "http://a.bad.com/x", "2024-01-15"), (2, "http://bad.com", "2024-01-09"), (3, "https://u@BAD.com:80/", "2024-02-01"), (4, "http://ok.bad.com", "2024-01-20"), (5, "http://both.com", "2024-01-02"), (6, None, "2024-01-20"), (7, "no url", "2024-01-20"), (8, "http://bad.com", None), (9, "http://notbad.com", "2024-01-20"), (1, "http://a.bad.com/x", "2024-01-15"), (10, "http://bad.com.", "2024-01-10")]
