@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -138,28 +140,40 @@ def wrap_text(text: Column, width: int = 42, most: int = 2) -> Column:
     return F.when(fits, filled)
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value) with the value worked out once, however often it is used."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def fix_line_length(text: Column, width: int = 42) -> Column:
     """A single line that is too long is broken: as many words on the first line as fit, then words move down until the first is not the longer one."""
     dashed = text.startswith("-")
-    body = F.when(dashed, F.regexp_replace(F.substring(text, 2, 1_000_000), "^ +", "")).otherwise(text)
+    body = F.when(dashed, F.regexp_replace(text.substr(F.lit(2), F.length(text)), "^ +", "")).otherwise(text)
     prefix = F.when(dashed, F.lit("-")).otherwise(F.lit(""))
-    parts = F.split(body, " ")
-    n = F.size(parts)
-    # prefix lengths: words up to k, with spaces
-    ends = F.aggregate(parts, F.array().cast("array<int>"), lambda a, w: F.concat(a, F.array(F.coalesce(F.try_element_at(a, F.lit(-1)) + 1, F.lit(0)) + F.length(w))))
 
-    def front(k: Column) -> Column:
-        return F.array_join(F.slice(parts, 1, k), " ")
+    def front(s: Column, k: Column) -> Column:
+        return F.array_join(F.slice(s["parts"], F.lit(1), k), " ")
 
-    def back(k: Column) -> Column:
-        return F.when(k >= n, F.lit("")).otherwise(F.array_join(F.slice(parts, k + 1, F.greatest(n - k, F.lit(1))), " "))
+    def back(s: Column, k: Column) -> Column:
+        return F.array_join(F.slice(s["parts"], k + 1, F.size(s["parts"])), " ")
 
-    greedy = F.size(F.filter(ends, lambda e: e <= width))
-    heavy = (visible_length(front(greedy)) > visible_length(back(greedy))) & (back(greedy) != "")
-    options = F.filter(F.sequence(F.lit(0), greedy), lambda k: (F.length(front(k)) <= F.length(back(k))) | (k == 0))
-    k = F.when(heavy, F.array_max(options)).otherwise(greedy)
-    one, two = F.concat(prefix, front(k)), back(k)
-    broken = F.array_join(F.filter(F.array(F.when((strip(one) != "") & (one != prefix), one), F.when(strip(two) != "", two)), lambda x: x.isNotNull()), "\n")
+    def greedy(s: Column) -> Column:
+        return F.struct(s["parts"].alias("parts"), s["ends"].alias("ends"), F.size(F.filter(s["ends"], lambda e: e <= width)).alias("k"))
+
+    def split(s: Column) -> Column:
+        total = F.element_at(s["ends"], -1)
+        # the words before and after are as long as the ends say: the first k, and the rest without the space between
+        even = F.filter(F.sequence(F.lit(1), F.greatest(s["k"], F.lit(1))), lambda k: (k <= s["k"]) & (F.element_at(s["ends"], k) <= F.when(k < F.size(s["ends"]), total - F.element_at(s["ends"], k) - 1).otherwise(0)))
+        heavy = (s["k"] < F.size(s["parts"])) & (back(s, s["k"]) != "") & (visible_length(front(s, s["k"])) > visible_length(back(s, s["k"])))
+        k = F.when(heavy, F.coalesce(F.array_max(even), F.lit(0))).otherwise(s["k"])
+        return bound(k, lambda at: F.struct(F.concat(prefix, front(s, at)).alias("one"), back(s, at).alias("two")))
+
+    def joined(x: Column) -> Column:
+        return F.array_join(F.filter(F.array(F.when((strip(x["one"]) != "") & (x["one"] != prefix), x["one"]), F.when(strip(x["two"]) != "", x["two"])), lambda y: y.isNotNull()), "\n")
+
+    parts = F.split(body, " ")
+    ends = F.aggregate(parts, F.array().cast("array<int>"), lambda a, w: F.concat(a, F.array(F.coalesce(F.try_element_at(a, F.lit(-1)) + 1, F.lit(0)) + F.length(w))))
+    broken = bound(bound(bound(F.struct(parts.alias("parts"), ends.alias("ends")), greedy), split), joined)
     long = visible_length(undashed(text)) > width
     return F.when(~text.contains("\n") & long & (visible_length(body) > width), broken).otherwise(text)
 

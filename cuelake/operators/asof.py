@@ -12,8 +12,8 @@ BUCKET_MS = 10_000
 def nearest(left: DataFrame, right: DataFrame, at: str, moment: str, key: str = "title_id", within: int | None = None, keep: list[str] = ()) -> DataFrame:
     """left with nearest_ms and distance_ms: the moment of `right` with the same key that is nearest to left's `at`; ties go to the earlier; null beyond `within`.
 
-    One sort of both sides together: the last moment before and the first after each
-    row are carried by windows, so the cost doesn't grow with the distance. `keep`
+    Both sides are dealt together once and sorted twice, forwards and backwards: the last moment
+    before and the first after each row are carried by windows, so the cost doesn't grow with the distance. `keep`
     columns of `right` come along, of the smallest such row of the moment.
     """
     carried = [F.col(c) for c in keep]

@@ -14,12 +14,6 @@ from pyspark.sql import functions as F
 from cuelake.functions import text as T
 from cuelake.operators.timing import NL, by_pos
 
-_GROUP = (
-    "struct<first_pos: bigint, start_ms: bigint, end_ms: bigint, text: string, first_text: string, source_indices: array<int>, "
-    "source_timecodes: array<struct<start_ms: bigint, end_ms: bigint>>, gap_ms: bigint>"
-)
-
-
 def joined_text(one: Column, two: Column, speaker_change: Column, width: int, most: int) -> Column:
     """The text of two cues as one, or null if it can't be: dual-speaker form, or both refilled without the ellipses between them."""
     added = F.concat(T.strip(one), F.lit("\n-"), F.regexp_replace(T.strip(two), "^- *", ""))
@@ -38,30 +32,33 @@ def merge_cues(cues: DataFrame, gap_threshold_ms: int = 1000, max_duration_ms: i
     own = own.withColumn("run", F.sum("breaks").over(by_pos()))
     runs = own.groupBy("title_id", "run").agg(F.array_sort(F.collect_list(F.struct("pos", "idx", "start_ms", "end_ms", "m", "clean"))).alias("c"))
 
-    def alone(c: Column) -> Column:
-        return F.struct(
-            c["pos"].alias("first_pos"), c["start_ms"].alias("start_ms"), c["end_ms"].alias("end_ms"), c["clean"].alias("text"), c["clean"].alias("first_text"),
-            F.array(c["idx"]).alias("source_indices"), F.array(F.struct(c["start_ms"].alias("start_ms"), c["end_ms"].alias("end_ms"))).alias("source_timecodes"), F.lit(0).cast("bigint").alias("gap_ms"),
-        ).cast(_GROUP)
+    # the open group is all that a step needs; where a group begins is noted, and its figures are taken from its cues afterwards
+    state = "struct<start_ms: bigint, text: string, n: int, begins: array<int>, texts: array<string>>"
+
+    def opened(s: Column, c: Column, at: Column) -> Column:
+        done = F.when(s["n"] == 0, s["texts"]).otherwise(F.concat(s["texts"], F.array(s["text"])))
+        return F.struct(c["start_ms"].alias("start_ms"), c["clean"].alias("text"), F.lit(1).alias("n"), F.concat(s["begins"], F.array(at)).alias("begins"), done.alias("texts"))
 
-    def step(groups: Column, c: Column) -> Column:
-        g = F.try_element_at(groups, F.lit(-1))
-        n = F.size(g["source_indices"])
+    def step(s: Column, c: Column) -> Column:
         change = c["m"] == "SC"
-        text = F.when((c["end_ms"] - g["start_ms"] <= max_duration_ms) & ~(change & (n > 1)), joined_text(g["text"], c["clean"], change, width, most_lines))
-        grown = F.struct(
-            g["first_pos"].alias("first_pos"), g["start_ms"].alias("start_ms"), c["end_ms"].alias("end_ms"), text.alias("text"), g["first_text"].alias("first_text"),
-            F.concat(g["source_indices"], F.array(c["idx"])).alias("source_indices"), F.concat(g["source_timecodes"], F.array(F.struct(c["start_ms"].alias("start_ms"), c["end_ms"].alias("end_ms")))).alias("source_timecodes"),
-            F.when(n == 1, c["start_ms"] - g["end_ms"]).otherwise(g["gap_ms"]).alias("gap_ms"),
-        ).cast(_GROUP)
-        head = F.slice(groups, 1, F.greatest(F.size(groups) - 1, F.lit(0)))
-        return F.when(F.size(groups) == 0, F.array(alone(c))).when(text.isNull(), F.concat(groups, F.array(alone(c)))).otherwise(F.concat(head, F.array(grown)))
-
-    folded = runs.select("title_id", F.explode(F.aggregate("c", F.array().cast(f"array<{_GROUP}>"), step)).alias("g"))
-    number = F.row_number().over(Window.partitionBy("title_id").orderBy("g.first_pos"))
-    return folded.select(
-        "title_id", number.alias("idx"), "g.start_ms", "g.end_ms", "g.text", F.size("g.source_indices").alias("source_count"), "g.source_indices", "g.source_timecodes", "g.gap_ms", (F.col("g.end_ms") - F.col("g.start_ms")).alias("combined_duration_ms")
+        can = (s["n"] > 0) & (c["end_ms"] - s["start_ms"] <= max_duration_ms) & ~(change & (s["n"] > 1))
+        text = F.when(can, joined_text(s["text"], c["clean"], change, width, most_lines))
+        grown = T.bound(text, lambda t: F.when(t.isNull(), opened(s, c, c["at"]).cast(state)).otherwise(F.struct(s["start_ms"].alias("start_ms"), t.alias("text"), (s["n"] + 1).alias("n"), s["begins"].alias("begins"), s["texts"].alias("texts")).cast(state)))
+        return grown
+
+    empty = F.struct(F.lit(None).cast("bigint"), F.lit(None).cast("string"), F.lit(0), F.array().cast("array<int>"), F.array().cast("array<string>")).cast(state)
+    folded = runs.withColumn("c", F.transform("c", lambda x, i: x.withField("at", i + 1))).withColumn("s", F.aggregate("c", empty, step))
+    folded = folded.withColumn("texts", F.concat("s.texts", F.array("s.text"))).withColumn("begins", F.col("s.begins"))
+    groups = folded.select("title_id", "c", "begins", F.posexplode("texts").alias("g", "text"))
+    begin, after = F.element_at("begins", F.col("g") + 1), F.coalesce(F.try_element_at("begins", F.col("g") + 2), F.size("c") + 1)
+    groups = groups.select("title_id", "text", F.slice("c", begin, after - begin).alias("c"))
+    first, last, n = F.element_at("c", 1), F.element_at("c", -1), F.size("c")
+    number = F.row_number().over(Window.partitionBy("title_id").orderBy("first_pos"))
+    out = groups.select(
+        "title_id", first["pos"].alias("first_pos"), first["start_ms"].alias("start_ms"), last["end_ms"].alias("end_ms"), "text", n.alias("source_count"), F.transform("c", lambda x: x["idx"]).alias("source_indices"),
+        F.transform("c", lambda x: F.struct(x["start_ms"].alias("start_ms"), x["end_ms"].alias("end_ms"))).alias("source_timecodes"), F.when(n > 1, F.try_element_at("c", F.lit(2))["start_ms"] - first["end_ms"]).otherwise(0).alias("gap_ms"),
     )
+    return out.select("title_id", number.alias("idx"), "start_ms", "end_ms", "text", "source_count", "source_indices", "source_timecodes", "gap_ms", (F.col("end_ms") - F.col("start_ms")).alias("combined_duration_ms"))
 
 
 def drop_trivial(cues: DataFrame) -> DataFrame:
@@ -69,6 +66,12 @@ def drop_trivial(cues: DataFrame) -> DataFrame:
     return cues.where(~T.is_trivial_reply(T.unmarked(F.col("text"))))
 
 
+def with_report(cues: DataFrame, reported: DataFrame) -> DataFrame:
+    """Cues with what a merge report says of them, by number: how many cues they were made of, and which; null for those that the report doesn't have."""
+    told = reported.select("title_id", F.col("output_index").alias("idx"), "source_count", "source_indices", "gap_ms")
+    return cues.join(told, ["title_id", "idx"], "left")
+
+
 def report(merged: DataFrame) -> DataFrame:
     """The merge report: one row for each cue that was merged from several."""
     return merged.where("source_count > 1").select(

@@ -18,8 +18,8 @@ def _overlap_edges(en: DataFrame, nl: DataFrame, percent: int) -> DataFrame:
     return met.where(shared * 100 >= percent * F.when(shorter > 0, shorter).otherwise(1)).select("title_id", F.col("pos").alias("en_pos"), F.col("p_pos").alias("nl_pos"))
 
 
-def _title_components(rows):
-    """Groups of one title's edges: union-find over a few hundred numbers."""
+def _island_components(rows):
+    """Groups of one island's edges: union-find over what overlaps in time."""
     import pandas as pd
 
     parent: dict = {}
@@ -37,13 +37,33 @@ def _title_components(rows):
     return pd.DataFrame({"title_id": rows.title_id.iloc[0], "side": [n[0] for n in nodes], "pos": [n[1] for n in nodes], "root": [n[2] for n in nodes]})
 
 
+def _components(edges: DataFrame) -> DataFrame:
+    """(title_id, side, pos, root): what the edges connect.
+
+    Edges are cut in islands first, which no edge connects: in the order of the English cue a new island begins where every Dutch cue met so far comes before all that are still to come.
+    Islands of one English or one Dutch cue, which are nearly all, are named at once; only the others are solved one by one.
+    """
+    order = Window.partitionBy("title_id").orderBy("en_pos")
+    by_en = edges.groupBy("title_id", "en_pos").agg(F.min("nl_pos").alias("low"), F.max("nl_pos").alias("high"))
+    so_far = F.max("high").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    to_come = F.min("low").over(order.rowsBetween(0, Window.unboundedFollowing))
+    cut = by_en.withColumn("_new", F.coalesce((to_come > so_far).cast("int"), F.lit(1))).withColumn("island", F.sum("_new").over(order))
+    own = edges.join(cut.select("title_id", "en_pos", "island"), ["title_id", "en_pos"])
+    sized = own.groupBy("title_id", "island").agg(F.min("en_pos").alias("root"), F.array_sort(F.collect_set("en_pos")).alias("e"), F.array_sort(F.collect_set("nl_pos")).alias("n"), F.collect_list(F.struct("en_pos", "nl_pos")).alias("edges"))
+    plain = (F.size("e") == 1) | (F.size("n") == 1)
+    named = F.concat(F.transform("e", lambda x: F.struct(F.lit(0).alias("side"), x.alias("pos"))), F.transform("n", lambda x: F.struct(F.lit(1).alias("side"), x.alias("pos"))))
+    easy = sized.where(plain).select("title_id", F.explode(named).alias("m"), "root").select("title_id", "m.side", "m.pos", "root")
+    hard = sized.where(~plain).select("title_id", "island", F.explode("edges").alias("x")).select("title_id", "island", "x.en_pos", "x.nl_pos")
+    return easy.unionByName(hard.groupBy("title_id", "island").applyInPandas(_island_components, "title_id string, side int, pos bigint, root bigint"))
+
+
 def align(en: DataFrame, nl: DataFrame, percent: int = 10) -> DataFrame:
     """One row for each group: counts, texts, characters, times, mapping type. Cues that meet no other are groups of their own.
 
-    Edges are found by a bucketed overlap join. Components are solved within a title, whose edges are some hundreds at most; titles are what grows.
+    Edges are found by a bucketed overlap join; what they connect is found island by island.
     """
     edges = _overlap_edges(en, nl, percent)
-    linked = edges.groupBy("title_id").applyInPandas(_title_components, "title_id string, side int, pos bigint, root bigint")
+    linked = _components(edges)
     columns = ["title_id", "pos", "idx", "start_ms", "end_ms", "text"]
     both = en.select(*columns).withColumn("side", F.lit(0)).unionByName(nl.select(*columns).withColumn("side", F.lit(1)))
     met = both.join(linked, ["title_id", "side", "pos"], "left")

@@ -67,6 +67,12 @@ def trim(cues: DataFrame, spoken: DataFrame, search_range: int = 2000, buffer: i
     return out.select("title_id", "pos", "idx", F.col("end_ms").alias("old_end_ms"), action.alias("action"), "reason", "new_end_ms", F.coalesce(end - F.col("new_end_ms"), F.lit(0)).alias("trim_ms"), "method")
 
 
+def trimmed(cues: DataFrame, decisions: DataFrame) -> DataFrame:
+    """cues with the ends that trim decided."""
+    own = cues.join(decisions.where("new_end_ms is not null").select("title_id", "pos", F.col("new_end_ms").alias("_end")), ["title_id", "pos"], "left")
+    return own.withColumn("end_ms", F.coalesce("_end", "end_ms")).select(*cues.columns)
+
+
 def extend(cues: DataFrame, frames: DataFrame, search: int = 3000, min_gap: int = 125, most: int = 3000, silence: int = 10) -> DataFrame:
     """(title_id, pos, idx, old_end_ms, new_end_ms, extension_ms): cues extended to where speech ends after them.
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cuelake.functions import linebreak as L
@@ -29,8 +29,14 @@ def validation(cues: DataFrame) -> DataFrame:
     )
 
 
-def summary(cues: DataFrame, violations: DataFrame) -> DataFrame:
-    hits = violations.groupBy("title_id").agg(F.count_if(F.col("severity") == "error").alias("error_count"), F.count_if(F.col("severity") == "warning").alias("warning_count"))
+def summary(cues: DataFrame, violations: DataFrame, drift: DataFrame | None = None, parse_errors: DataFrame | None = None) -> DataFrame:
+    """Errors and warnings of each title, and whether it has no error: of the rules, of runs that drift from the source, and one for each block that could not be read."""
+    found = violations.select("title_id", "severity")
+    if drift is not None:
+        found = found.unionByName(drift.select("title_id", "severity"))
+    if parse_errors is not None:
+        found = found.unionByName(parse_errors.select("title_id", F.lit("error").alias("severity")))
+    hits = found.groupBy("title_id").agg(F.count_if(F.col("severity") == "error").alias("error_count"), F.count_if(F.col("severity") == "warning").alias("warning_count"))
     titles = cues.groupBy("title_id").agg(F.count("*").alias("total_cues")).join(hits, "title_id", "left").na.fill(0, ["error_count", "warning_count"])
     return titles.withColumn("valid", F.col("error_count") == 0)
 
@@ -54,8 +60,48 @@ def dual_speakers(cues: DataFrame) -> DataFrame:
 
 
 def trims(decisions: DataFrame) -> DataFrame:
-    """Number and milliseconds by action and reason."""
-    return decisions.groupBy("action", "reason").agg(F.count("*").alias("n"), F.sum("trim_ms").cast("bigint").alias("total_trim_ms"))
+    """Number and milliseconds by action and reason, ranked by number. A row for each action and reason, so that one task ranks a handful."""
+    own = decisions.groupBy("action", "reason").agg(F.count("*").alias("n"), F.sum("trim_ms").cast("bigint").alias("total_trim_ms"))
+    return own.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("n"), "action", F.asc_nulls_first("reason"))))
+
+
+def average(total: Column, n: Column) -> Column:
+    """A mean rounded to a whole number, halves to even; null of nothing."""
+    return F.when(n > 0, F.bround(total / n)).cast("bigint")
+
+
+def mappings(drafts: DataFrame, en: DataFrame) -> DataFrame:
+    """Cues of both versions and how many have a match, for each title of a draft mapping."""
+    own = drafts.groupBy("title_id").agg(F.count("*").alias("nl_cues"), F.count("en_start_ms").alias("matched"))
+    source = en.groupBy("title_id").agg(F.count("*").alias("en_cues"))
+    return own.join(source, "title_id", "left").select("title_id", "nl_cues", F.coalesce("en_cues", F.lit(0)).alias("en_cues"), "matched", (F.col("nl_cues") - F.col("matched")).alias("unmatched"))
+
+
+def extensions(cues: DataFrame, extended: DataFrame) -> DataFrame:
+    """Cues, how many were extended, and by how much, for each title."""
+    own = extended.groupBy("title_id").agg(F.count("*").alias("extended_cues"), F.sum("extension_ms").alias("total_extension_ms"))
+    titles = cues.groupBy("title_id").agg(F.count("*").alias("total_cues")).join(own, "title_id", "left").na.fill(0, ["extended_cues", "total_extension_ms"])
+    return titles.withColumn("avg_extension_ms", average(F.col("total_extension_ms"), F.col("extended_cues")))
+
+
+def alignment(outcomes: DataFrame) -> DataFrame:
+    """Cues by what alignment made of them, and figures of the significant corrections, for each title."""
+    outcome, moved = F.col("outcome"), F.col("significant")
+    deltas = [F.when(moved, F.col(f"{k}_delta_ms")) for k in ("start", "end")]
+    own = outcomes.groupBy("title_id").agg(
+        F.count("*").alias("total_cues"), *(F.count_if(outcome == o).alias(o) for o in ("aligned", "skipped_short", "skipped_confidence")), F.count_if(moved).alias("significant"),
+        *(f(d).alias(f"{k}_{name}") for k, d in zip(("start", "end"), deltas, strict=True) for name, f in (("min", F.min), ("max", F.max), ("sum", F.sum))),
+    )
+    for k in ("start", "end"):
+        own = own.withColumn(f"{k}_avg", average(F.col(f"{k}_sum"), F.col("significant"))).drop(f"{k}_sum")
+    return own
+
+
+def lingering(before: DataFrame, after: DataFrame) -> DataFrame:
+    """Cues that linger after speech before and after trimming, and the difference, for each title; of rows as speech.issues has them."""
+    both = before.select("title_id", "pos", "type", F.lit(1).alias("b")).unionByName(after.select("title_id", "pos", "type", F.lit(0).alias("b"))).where("type = 'lingers_after_speech'")
+    own = both.groupBy("title_id").agg(F.count_if(F.col("b") == 1).alias("before"), F.count_if(F.col("b") == 0).alias("after"))
+    return own.withColumn("fixed", F.col("before") - F.col("after"))
 
 
 def timing_quality(analyzed: DataFrame, found: DataFrame) -> DataFrame:
@@ -64,10 +110,27 @@ def timing_quality(analyzed: DataFrame, found: DataFrame) -> DataFrame:
     worst = found.groupBy("title_id", "pos").agg(F.max(rank).alias("worst"), F.bool_or(F.col("type") == "missing_anticipation").alias("missing"))
     met = analyzed.join(worst, ["title_id", "pos"], "left")
     sd, ed = F.col("start_delta_ms"), F.col("end_delta_ms")
-    return met.groupBy("title_id").agg(
+    own = met.groupBy("title_id").agg(
+        F.count("*").alias("analyzed"), F.count("worst").alias("flagged"), F.sum(sd).alias("start_delta_sum"), F.count(sd).alias("_starts"), F.count(ed).alias("_ends"),
         F.count_if(F.col("worst") == 3).alias("high"), F.count_if(F.col("worst") == 2).alias("medium"), F.count_if(F.col("worst") == 1).alias("low"), F.sum(ed).alias("end_delta_sum"), F.min(ed).alias("end_delta_min"), F.max(ed).alias("end_delta_max"),
         F.count_if((sd > 0) & (sd <= 200)).alias("ideal"), F.count_if(sd <= 0).alias("without"), F.count_if("missing").alias("missing"),
     )
+    own = own.withColumn("start_delta_avg", average(F.col("start_delta_sum"), F.col("_starts"))).withColumn("end_delta_avg", average(F.col("end_delta_sum"), F.col("_ends")))
+    return own.drop("_starts", "_ends")
+
+
+def pair_totals(groups: DataFrame) -> DataFrame:
+    """Cues of both versions, their ratio in tenths of a percent, and groups, for each title."""
+    own = groups.groupBy("title_id").agg(F.sum("en_count").alias("en_cues"), F.sum("nl_count").alias("nl_cues"), F.count("*").alias("groups"))
+    return own.withColumn("ratio_permille", F.when(F.col("en_cues") > 0, F.floor(F.col("nl_cues") * 1000 / F.col("en_cues"))).otherwise(0).cast("bigint"))
+
+
+def pair_distribution(groups: DataFrame, categories: DataFrame) -> DataFrame:
+    """(title_id, kind, name, n, rank): mapping types and categories of each title, the most frequent first."""
+    kinds = groups.select("title_id", F.lit("mapping").alias("kind"), F.col("merge_type").alias("name"))
+    kinds = kinds.unionByName(categories.select("title_id", F.lit("category").alias("kind"), F.col("category").alias("name")))
+    own = kinds.groupBy("title_id", "kind", "name").agg(F.count("*").alias("n"))
+    return own.withColumn("rank", F.row_number().over(Window.partitionBy("title_id", "kind").orderBy(F.desc("n"), "name")))
 
 
 def condensation(groups: DataFrame) -> DataFrame:

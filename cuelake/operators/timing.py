@@ -123,18 +123,27 @@ def apply_alignment(cues: DataFrame, corrections: DataFrame, end_padding: int =
     return moved.withColumn("end_ms", F.when(F.col("end_ms") <= F.col("start_ms"), F.col("start_ms") + 500).otherwise(F.col("end_ms"))).drop("aligned_start_ms", "aligned_end_ms")
 
 
-def significant_corrections(segments: DataFrame, cues: DataFrame, padding: int = 1500, min_confidence: float = 0.5) -> DataFrame:
-    """Corrections from word segments (title_id, idx, word_no, start_frame, end_frame; 10 ms frames from the start of the cue's window). `confidence` in thousandths."""
+def alignment_outcomes(segments: DataFrame, cues: DataFrame, padding: int = 1500, min_confidence: float = 0.5, threshold: int = 150) -> DataFrame:
+    """What word segments (title_id, idx, word_no, start_frame, end_frame; 10 ms frames from the start of the cue's window) make of each cue.
+
+    outcome is 'skipped_short' for a cue of under two words, one of which nothing was heard, or one that would move by over twice the padding;
+    'skipped_confidence' where too few words were heard; else 'aligned'. `confidence` in thousandths.
+    """
     before = F.lag("end_ms").over(by_pos())
     back = F.when(before < F.col("start_ms"), F.least(F.floor((F.col("start_ms") - before) / 2), F.lit(padding))).otherwise(padding)
     framed = cues.withColumn("window_start_ms", F.greatest(F.lit(0), F.col("start_ms") - back).cast("bigint")).withColumn("words_expected", F.size(T.words(F.col("text"))))
     found = segments.groupBy("title_id", "idx").agg(F.min_by("start_frame", "word_no").alias("first"), F.max_by("end_frame", "word_no").alias("last"), F.count("*").alias("words_found"))
-    met = framed.join(found, ["title_id", "idx"]).where("words_expected >= 2")
+    met = framed.join(found, ["title_id", "idx"], "left")
     met = met.withColumn("aligned_start_ms", F.col("window_start_ms") + F.col("first") * 10).withColumn("aligned_end_ms", F.col("window_start_ms") + F.col("last") * 10)
     met = met.withColumn("start_delta_ms", F.col("aligned_start_ms") - F.col("start_ms")).withColumn("end_delta_ms", F.col("aligned_end_ms") - F.col("end_ms"))
     met = met.withColumn("confidence", F.floor(F.col("words_found") * 1000 / F.col("words_expected")).cast("bigint"))
-    met = met.where((F.abs("start_delta_ms") <= 2 * padding) & (F.col("words_found") >= min_confidence * F.col("words_expected")))
-    met = met.withColumn("significant", (F.abs("start_delta_ms") > 150) | (F.abs("end_delta_ms") > 150))
-    return met.select("title_id", "idx", "aligned_start_ms", "aligned_end_ms", "start_delta_ms", "end_delta_ms", "words_expected", "words_found", "confidence", "significant")
+    none = (F.col("words_expected") < 2) | F.col("words_found").isNull() | (F.abs("start_delta_ms") > 2 * padding)
+    outcome = F.when(none, "skipped_short").when(F.col("words_found") < min_confidence * F.col("words_expected"), "skipped_confidence").otherwise("aligned")
+    far = (F.abs("start_delta_ms") > threshold) | (F.abs("end_delta_ms") > threshold)
+    met = met.withColumn("outcome", outcome).withColumn("significant", (F.col("outcome") == "aligned") & F.coalesce(far, F.lit(False)))
+    return met.select("title_id", "idx", "aligned_start_ms", "aligned_end_ms", "start_delta_ms", "end_delta_ms", "words_expected", "words_found", "confidence", "significant", "outcome")
 
 
+def significant_corrections(segments: DataFrame, cues: DataFrame, padding: int = 1500, min_confidence: float = 0.5) -> DataFrame:
+    """The corrections of cues that were aligned."""
+    return alignment_outcomes(segments, cues, padding, min_confidence).where("outcome = 'aligned'").drop("outcome")

@@ -3,6 +3,8 @@ and recursion where those use windows, buckets and folds."""
 
 from __future__ import annotations
 
+import re
+
 from cuelake import schema
 from cuelake.functions import linebreak, spoken
 from cuelake.functions.text import INVERSION, TRIVIAL_REPLIES
@@ -228,9 +230,9 @@ _ENHANCED = f"""{_PROX}, {_DRAFTS}, reports AS (
 )"""
 
 _CARDS = f"""fx AS (
-  SELECT title_id, pos, start_ms + (pos * 131) % 2600 AS start_ms, start_ms + (pos * 131) % 2600 + (pos * 67) % 1500 AS end_ms, text FROM en WHERE pos % 9 = 0
-), sparse AS (SELECT * FROM en WHERE pos % 6 = 0), cards AS (
-  SELECT * FROM fx f WHERE end_ms - start_ms >= 400 AND {_strip('text')} <> '' AND NOT EXISTS (SELECT 1 FROM sparse e WHERE e.title_id = f.title_id AND abs(e.start_ms - f.start_ms) <= 1500)
+  SELECT title_id, pos, start_ms + (pos * 131) % 2600 AS start_ms, start_ms + (pos * 131) % 2600 + (pos * 67) % 1500 AS end_ms, text FROM en
+), cards AS (
+  SELECT * FROM fx f WHERE end_ms - start_ms >= 400 AND {_strip('text')} <> '' AND NOT EXISTS (SELECT 1 FROM en e WHERE e.title_id = f.title_id AND abs(e.start_ms - f.start_ms) <= 1500)
 )"""
 
 _SPEECH = """speech_runs AS (
@@ -274,6 +276,22 @@ _ANALYZED = f"""{_PROX}, {_SPEECH}, src AS (
   UNION ALL SELECT title_id, pos, idx, 'missing_anticipation', CASE WHEN abs(nl_start - en_start) <= 200 THEN 'low' ELSE 'medium' END FROM an WHERE start_delta_ms BETWEEN -500 AND 0 AND NOT coalesce(prev_end >= nl_start - 200, false)
 )"""
 
+
+
+def _renamed(sql: str, **names: str) -> str:
+    for old, new in names.items():
+        sql = re.sub(rf"\b{old}\b", new, sql)
+    return sql
+
+
+#: The analysis again, of cues whose ends were trimmed.
+_AGAIN = ", ".join(
+    [
+        _renamed(_TRIM, en="nl", own="own2", found="found2"),
+        "nlt AS (SELECT n.title_id, n.pos, n.idx, n.start_ms, coalesce(d.new_end_ms, n.end_ms) AS end_ms, n.text FROM nl n JOIN decisions d ON n.title_id = d.title_id AND n.pos = d.pos)",
+        _renamed(_ANALYZED.replace(_SPEECH + ", ", ""), nl="nlt", prox="prox2", src="src2", nlw="nlw2", n1="n12", n1b="n1b2", n2="n22", an="an2", iss="iss2"),
+    ]
+)
 _LINK = "CASE pos % 5 WHEN 1 THEN ' maar ' WHEN 2 THEN ' de ' WHEN 3 THEN ' het Rode Kruis ' ELSE ' ' END"
 _JOINED = rf"joined AS (SELECT title_id, pos, idx, start_ms, end_ms, trim(regexp_replace(text || {_LINK} || coalesce(lead(text) OVER (PARTITION BY title_id ORDER BY pos), ''), '\s+', ' ', 'g')) AS j FROM en)"
 
@@ -382,7 +400,7 @@ def _numbers() -> str:
 
 
 def _events_near() -> str:
-    return "ev AS (SELECT event_id, user_id, epoch_us(ts) // 1000 AS ms FROM events), k AS (SELECT * FROM ev WHERE event_id % 3 = 0), o AS (SELECT * FROM ev WHERE event_id % 3 <> 0), " + _near("f", "k", "o", "ms", "ms", "user_id")
+    return "ev AS (SELECT event_id, user_id, event_type, epoch_us(ts) // 1000 AS ms FROM events), k AS (SELECT * EXCLUDE (event_type) FROM ev WHERE event_type = 'purchase'), o AS (SELECT * FROM ev WHERE event_type <> 'purchase'), " + _near("f", "k", "o", "ms", "ms", "user_id")
 
 
 def sql() -> dict[str, str]:
@@ -437,30 +455,45 @@ la AS (SELECT fr.title_id, fr.pos, idx, e, mx, max(CASE WHEN is_speech AND (stop
     o["alignment_applied"] = q(_SEGMENTS, "SELECT title_id, pos, s AS start_ms, CASE WHEN e2 <= s THEN s + 500 ELSE e2 END AS end_ms, applied FROM (SELECT *, CASE WHEN e > lead(s) OVER (PARTITION BY title_id ORDER BY pos) THEN lead(s) OVER (PARTITION BY title_id ORDER BY pos) - 1 ELSE e END AS e2 FROM (SELECT n.title_id, n.pos, coalesce(aligned_start_ms, start_ms) AS s, coalesce(aligned_end_ms + 200, end_ms) AS e, aligned_start_ms IS NOT NULL AS applied FROM en n LEFT JOIN corr c ON n.title_id = c.title_id AND n.idx = c.idx AND significant))")
     o["validate_rules"] = q(_rules(), "SELECT * FROM rules")
     o["validation_stats"] = q(measured, stats)
-    o["validation_summary"] = q(_rules(), "SELECT c.title_id, total_cues, coalesce(e, 0) AS error_count, coalesce(w, 0) AS warning_count, coalesce(e, 0) = 0 AS valid FROM (SELECT title_id, count(*) AS total_cues FROM swapped GROUP BY 1) c LEFT JOIN (SELECT title_id, count(*) FILTER (WHERE severity = 'error') AS e, count(*) FILTER (WHERE severity = 'warning') AS w FROM rules GROUP BY 1) r ON c.title_id = r.title_id")
-    o["timing_drift"] = q(
-        "dev AS (SELECT n.title_id, n.pos, n.idx, min(abs(e.start_ms - n.start_ms)) AS d FROM nl n JOIN (SELECT * FROM en WHERE pos < 15 OR pos > 24) e ON n.title_id = e.title_id GROUP BY 1, 2, 3 HAVING min(abs(e.start_ms - n.start_ms)) >= 3000), isl AS (SELECT *, idx - row_number() OVER (PARTITION BY title_id ORDER BY pos) AS i FROM dev)",
-        "SELECT title_id, min(idx) AS first_idx, max(idx) AS last_idx, (max(idx) - min(idx) + 1)::INT AS n_cues, max(d) AS max_deviation_ms, CASE WHEN max(d) >= 5000 AND max(idx) > min(idx) THEN 'error' ELSE 'warning' END AS severity FROM isl GROUP BY title_id, i",
+    drift = "dev AS (SELECT n.title_id, n.pos, n.idx, min(abs(e.start_ms - n.start_ms)) AS d FROM nl n JOIN (SELECT * FROM en WHERE pos < 15 OR pos > 24) e ON n.title_id = e.title_id GROUP BY 1, 2, 3 HAVING min(abs(e.start_ms - n.start_ms)) >= 3000), isl AS (SELECT *, idx - row_number() OVER (PARTITION BY title_id ORDER BY pos) AS i FROM dev), drifting AS (SELECT title_id, min(idx) AS first_idx, max(idx) AS last_idx, (max(idx) - min(idx) + 1)::INT AS n_cues, max(d) AS max_deviation_ms, CASE WHEN max(d) >= 5000 AND max(idx) > min(idx) THEN 'error' ELSE 'warning' END AS severity FROM isl GROUP BY title_id, i)"
+    unread = "unread AS (SELECT title_id, 'error' AS severity FROM en WHERE title_id LIKE '%3' AND (pos % 7 = 0 OR pos % 3 = 0 OR pos % 5 = 0))"
+    o["validation_summary"] = q(
+        f"{_rules()}, {drift}, {unread}, hits AS (SELECT title_id, severity FROM rules UNION ALL SELECT title_id, severity FROM drifting UNION ALL SELECT * FROM unread)",
+        "SELECT c.title_id, total_cues, coalesce(e, 0) AS error_count, coalesce(w, 0) AS warning_count, coalesce(e, 0) = 0 AS valid FROM (SELECT title_id, count(*) AS total_cues FROM swapped GROUP BY 1) c LEFT JOIN (SELECT title_id, count(*) FILTER (WHERE severity = 'error') AS e, count(*) FILTER (WHERE severity = 'warning') AS w FROM hits GROUP BY 1) r ON c.title_id = r.title_id",
+    )
+    o["timing_drift"] = q(drift, "SELECT * FROM drifting")
+    deltas = ", ".join(f"{f}({k}_delta_ms) FILTER (WHERE significant) AS {k}_{f}" for k in ("start", "end") for f in ("min", "max"))
+    means = ", ".join(f"round_even(sum({k}_delta_ms) FILTER (WHERE significant) / count(*) FILTER (WHERE significant), 0)::BIGINT AS {k}_avg" for k in ("start", "end"))
+    o["alignment_report"] = q(
+        f"{_SEGMENTS}, said AS (SELECT x.title_id, x.idx, we, start_ms, ws, count(f) AS wf, ws + 10 * min(f) AS s FROM framed x LEFT JOIN heard h ON x.title_id = h.title_id AND x.idx = h.idx GROUP BY 1, 2, 3, 4, 5), told AS (SELECT title_id, count(*) AS total_cues, count(*) FILTER (WHERE short) AS skipped_short, count(*) FILTER (WHERE NOT short AND wf * 2 < we) AS skipped_confidence FROM (SELECT *, we < 2 OR wf = 0 OR abs(s - start_ms) > 3000 AS short FROM said) GROUP BY 1), moved AS (SELECT title_id, count(*) AS aligned, count(*) FILTER (WHERE significant) AS significant_n, {deltas}, {means} FROM corr GROUP BY 1)",
+        "SELECT t.title_id, total_cues, coalesce(aligned, 0) AS aligned, skipped_short, skipped_confidence, coalesce(significant_n, 0) AS significant, start_min, start_max, end_min, end_max, start_avg, end_avg FROM told t LEFT JOIN moved m ON t.title_id = m.title_id",
     )
     o["merge_cues"] = q(_MERGED, "SELECT * FROM merged")
     merge_agg = "SELECT title_id, sum(source_count)::BIGINT AS source_cues, count(*) AS output_cues, count(*) FILTER (WHERE source_count > 1) AS merges, coalesce(sum(source_count) FILTER (WHERE source_count > 1), 0)::BIGINT AS cues_merged, (count(*) * 1000 // sum(source_count))::BIGINT AS ratio_permille FROM merged GROUP BY 1"
+    o["merge_report_cues"] = q(_MERGED, "SELECT title_id, idx, text, CASE WHEN source_count > 1 THEN source_count END AS source_count, CASE WHEN source_count > 1 THEN sources END AS sources, CASE WHEN source_count > 1 THEN gap_ms END AS gap_ms FROM merged")
     o["merge_stats"] = q(f"{_MERGED}, {_GENRES}", f"SELECT x.*, genre, ratio_permille BETWEEN ratio_lo * 10 AND ratio_hi * 10 AS in_range FROM ({merge_agg}) x, genres")
     o["nearest_transition"] = q(_events_near(), "SELECT user_id, event_id, ms, CASE WHEN abs(near - ms) <= 3600000 THEN near END AS nearest_ms, CASE WHEN abs(near - ms) <= 3600000 THEN abs(near - ms) END AS distance_ms FROM f", base=False)
     o["match_proximity"] = q(_PROX, "SELECT * FROM prox")
     o["draft_mapping"] = q(_DRAFTS, "SELECT * FROM draft_rows")
+    o["mapping_stats"] = q(_DRAFTS, "SELECT d.*, nl_cues - matched AS unmatched, en_cues FROM (SELECT title_id, count(*) AS nl_cues, count(en_start_ms) AS matched FROM draft_rows GROUP BY 1) d JOIN (SELECT title_id, count(*) AS en_cues FROM en GROUP BY 1) e ON d.title_id = e.title_id")
     o["match_enhanced"] = q(_ENHANCED, "SELECT * FROM enhanced")
     o["title_cards"] = q(_CARDS, "SELECT * FROM cards")
-    o["title_card_union"] = q(_CARDS, "SELECT title_id, row_number() OVER (PARTITION BY title_id ORDER BY start_ms, k, pos)::INT AS idx, start_ms, end_ms, text FROM (SELECT 0 AS k, title_id, pos, start_ms, end_ms, text FROM sparse UNION ALL SELECT 1, title_id, pos, start_ms, end_ms, '[TITLE CARD: \"' || text || '\"]' FROM cards)")
+    o["title_card_union"] = q(_CARDS, "SELECT title_id, row_number() OVER (PARTITION BY title_id ORDER BY start_ms, k, pos)::INT AS idx, start_ms, end_ms, text FROM (SELECT 0 AS k, title_id, pos, start_ms, end_ms, text FROM en UNION ALL SELECT 1, title_id, pos, start_ms, end_ms, '[TITLE CARD: \"' || text || '\"]' FROM cards)")
     o["smooth_speech"] = q(_SPEECH, "SELECT title_id, is_speech, first_frame, end_frame FROM smoothed")
     o["speech_segments"] = q(_SPEECH, "SELECT * FROM segs")
     o["trim_to_speech"] = q(f"{_SPEECH}, {_TRIM}", "SELECT * FROM decisions")
-    o["trim_summary"] = q(f"{_SPEECH}, {_TRIM}", "SELECT action, reason, count(*) AS n, sum(trim_ms)::BIGINT AS total_trim_ms FROM decisions GROUP BY 1, 2")
+    o["trim_summary"] = q(f"{_SPEECH}, {_TRIM}", "SELECT action, reason, count(*) AS n, sum(trim_ms)::BIGINT AS total_trim_ms, row_number() OVER (ORDER BY count(*) DESC, action, reason NULLS FIRST)::INT AS rank FROM decisions GROUP BY 1, 2")
     o["speech_extension"] = q(ext, "SELECT title_id, pos, idx, e AS old_end_ms, least(se + 100, mx) AS new_end_ms, least(se + 100, mx) - e AS extension_ms FROM la WHERE se > e AND least(se + 100, mx) - e > 50")
+    o["extension_report"] = q(
+        ext,
+        "SELECT c.title_id, total_cues, coalesce(n, 0) AS extended_cues, coalesce(t, 0)::BIGINT AS total_extension_ms, round_even(t / n, 0)::BIGINT AS avg_extension_ms FROM (SELECT title_id, count(*) AS total_cues FROM en GROUP BY 1) c LEFT JOIN (SELECT title_id, count(*) AS n, sum(least(se + 100, mx) - e) AS t FROM la WHERE se > e AND least(se + 100, mx) - e > 50 GROUP BY 1) x ON c.title_id = x.title_id",
+    )
+    o["linger_comparison"] = q(f"{_ANALYZED}, {_AGAIN}", "SELECT title_id, sum(b)::BIGINT AS before, sum(1 - b)::BIGINT AS after, (2 * sum(b) - count(*))::BIGINT AS fixed FROM (SELECT title_id, 1 AS b FROM iss WHERE type = 'lingers_after_speech' UNION ALL SELECT title_id, 0 FROM iss2 WHERE type = 'lingers_after_speech') GROUP BY 1")
     o["vad_analyze"] = q(_ANALYZED, "SELECT * EXCLUDE (prev_end, next_start) FROM an")
     o["vad_issues"] = q(_ANALYZED, "SELECT * FROM iss")
     o["vad_summary"] = q(
         _ANALYZED,
-        "SELECT a.title_id, count(*) FILTER (WHERE w = 3) AS high, count(*) FILTER (WHERE w = 2) AS medium, count(*) FILTER (WHERE w = 1) AS low, sum(end_delta_ms)::BIGINT AS end_delta_sum, min(end_delta_ms) AS end_delta_min, max(end_delta_ms) AS end_delta_max, count(*) FILTER (WHERE start_delta_ms BETWEEN 1 AND 200) AS ideal, count(*) FILTER (WHERE start_delta_ms <= 0) AS without, count(*) FILTER (WHERE m) AS missing "
+        "SELECT a.title_id, count(*) AS analyzed, count(w) AS flagged, sum(start_delta_ms)::BIGINT AS start_delta_sum, round_even(sum(start_delta_ms) / count(start_delta_ms), 0)::BIGINT AS start_delta_avg, round_even(sum(end_delta_ms) / count(end_delta_ms), 0)::BIGINT AS end_delta_avg, count(*) FILTER (WHERE w = 3) AS high, count(*) FILTER (WHERE w = 2) AS medium, count(*) FILTER (WHERE w = 1) AS low, sum(end_delta_ms)::BIGINT AS end_delta_sum, min(end_delta_ms) AS end_delta_min, max(end_delta_ms) AS end_delta_max, count(*) FILTER (WHERE start_delta_ms BETWEEN 1 AND 200) AS ideal, count(*) FILTER (WHERE start_delta_ms <= 0) AS without, count(*) FILTER (WHERE m) AS missing "
         "FROM an a LEFT JOIN (SELECT title_id, pos, max(CASE severity WHEN 'high' THEN 3 WHEN 'medium' THEN 2 ELSE 1 END) AS w, bool_or(type = 'missing_anticipation') AS m FROM iss GROUP BY 1, 2) i ON a.title_id = i.title_id AND a.pos = i.pos GROUP BY 1",
     )
     o["line_balance"] = q(_balance("cues"), "SELECT * FROM flaws")
@@ -469,12 +502,14 @@ la AS (SELECT fr.title_id, fr.pos, idx, e, mx, max(CASE WHEN is_speech AND (stop
     o["aligned_groups"] = q(_GROUPS, "SELECT * FROM groups")
     o["group_categories"] = q(f"{_GROUPS}, {_CATS}", "SELECT title_id, group_key, category FROM cats")
     o["pair_stats"] = q(f"{_GROUPS}, {_CATS}", "SELECT 'mapping' AS kind, merge_type AS name, count(*) AS n FROM groups GROUP BY 2 UNION ALL SELECT 'category', category, count(*) FROM cats GROUP BY 2")
+    o["pair_summary"] = q(_GROUPS, "SELECT title_id, sum(en_count)::BIGINT AS en_cues, sum(nl_count)::BIGINT AS nl_cues, count(*) AS groups, CASE WHEN sum(en_count) > 0 THEN sum(nl_count) * 1000 // sum(en_count) ELSE 0 END::BIGINT AS ratio_permille FROM groups GROUP BY 1")
+    o["pair_distribution"] = q(f"{_GROUPS}, {_CATS}", "SELECT *, row_number() OVER (PARTITION BY title_id, kind ORDER BY n DESC, name)::INT AS rank FROM (SELECT title_id, 'mapping' AS kind, merge_type AS name, count(*) AS n FROM groups GROUP BY 1, 3 UNION ALL SELECT title_id, 'category', category, count(*) FROM cats GROUP BY 1, 3)")
     o["condensation_stats"] = q(_GROUPS, "SELECT title_id, count(*)::INT AS n, (sum(ratio) // count(*))::BIGINT AS mean, list_sort(list(ratio))[count(*) // 2 + 1] AS median, min(ratio) AS least, max(ratio) AS greatest FROM groups WHERE en_chars > 20 AND nl_chars > 0 GROUP BY 1")
     order = "CASE WHEN category LIKE '%condensation%' OR category LIKE '%merge%' THEN ratio WHEN category = 'expansion' THEN -ratio ELSE 0 END"
     o["exemplars_topk"] = q(f"{_GROUPS}, {_CATS}", f"SELECT title_id, category, rank, group_key, ratio FROM (SELECT *, row_number() OVER (PARTITION BY title_id, category ORDER BY {order}, at_ms, group_key)::INT AS rank FROM (SELECT *, bool_or(category = 'dual-speaker') OVER (PARTITION BY title_id, group_key) AS dd FROM cats) WHERE (en_chars >= 15 OR dd) AND category <> 'register-mixed') WHERE rank <= 5")
     o["quality_log"] = q(
         f"{measured}, {_MERGED}, {_rules()}, vs AS ({stats}), mg AS ({merge_agg})",
-        "SELECT metric, value::BIGINT AS value FROM (SELECT 'cps_max' AS metric, max(cps_max) AS value FROM vs UNION ALL SELECT 'cps_above_soft', sum(cps_above_soft) FROM vs UNION ALL SELECT 'cps_above_hard', sum(cps_above_hard) FROM vs UNION ALL SELECT 'merge_permille', sum(output_cues) * 1000 // sum(source_cues) FROM mg UNION ALL SELECT 'hard_errors', count(*) FILTER (WHERE severity = 'error') FROM rules)",
+        "SELECT metric, value::BIGINT AS value FROM (SELECT 'cps_max' AS metric, max(cps_max) AS value FROM vs UNION ALL SELECT 'cps_above_soft', sum(cps_above_soft) FROM vs UNION ALL SELECT 'cps_above_hard', sum(cps_above_hard) FROM vs UNION ALL SELECT 'cps_avg', sum(micro_cps) // count(micro_cps) FROM ms UNION ALL SELECT 'source_cues', sum(source_cues) FROM mg UNION ALL SELECT 'output_cues', sum(output_cues) FROM mg UNION ALL SELECT 'merge_permille', sum(output_cues) * 1000 // sum(source_cues) FROM mg UNION ALL SELECT 'hard_errors', count(*) FILTER (WHERE severity = 'error') FROM rules)",
     )
     o["session_cues"] = "SELECT user_id, epoch_us(min(ts)) // 1000 AS start_ms, epoch_us(max(ts)) // 1000 + 1800000 AS end_ms, count(*) AS n FROM (SELECT *, sum(b) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS s FROM (SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) < INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS b FROM events)) GROUP BY user_id, s"
     return o

@@ -148,10 +148,15 @@ def parse_srt(s: SparkSession, d: str) -> DataFrame:
 
 @query
 def parse_errors(s: SparkSession, d: str) -> DataFrame:
+    return _unreadable(s, d).select("title_id", (F.col("block_no") + 1).alias("block"), "reason")
+
+
+def _unreadable(s: SparkSession, d: str) -> DataFrame:
+    """Blocks that can't be read of files with faults."""
     block = F.concat(F.when(F.col("pos") % 3 == 0, "x").otherwise(F.col("pos").cast("string")), F.lit("\n"), F.when(F.col("pos") % 5 == 0, "00:00:01 --> 2").otherwise("00:00:01,000 --> 00:00:02.000"), F.lit("\ntext"))
     broken = adapters.en_cues(s, d).select("title_id", "pos", F.when(F.col("pos") % 7 == 0, F.lit("alone")).otherwise(block).alias("b"))
     files = broken.groupBy("title_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "b"))), lambda x: x["b"]), "\n\n").alias("content"))
-    return srt.parse_errors(files).select("title_id", (F.col("block_no") + 1).alias("block"), "reason")
+    return srt.parse_errors(files)
 
 
 @query
@@ -255,6 +260,11 @@ def alignment_applied(s: SparkSession, d: str) -> DataFrame:
     return timing.apply_alignment(own, fixes).select(*_KEY, "start_ms", "end_ms", "applied")
 
 
+@query
+def alignment_report(s: SparkSession, d: str) -> DataFrame:
+    return stats.alignment(timing.alignment_outcomes(_segments(s, d), adapters.en_cues(s, d)))
+
+
 # rules
 
 
@@ -270,12 +280,17 @@ def validation_stats(s: SparkSession, d: str) -> DataFrame:
 
 @query
 def validation_summary(s: SparkSession, d: str) -> DataFrame:
+    """With what drifts from the source, and what could not be read of titles whose number ends in 3."""
     own = _swapped(s, d)
-    return stats.summary(own, rules.violations(own))
+    return stats.summary(own, rules.violations(own), _drift(s, d), _unreadable(s, d).where(F.col("title_id").endswith("3")))
 
 
 @query
 def timing_drift(s: SparkSession, d: str) -> DataFrame:
+    return _drift(s, d)
+
+
+def _drift(s: SparkSession, d: str) -> DataFrame:
     near = asof.nearest(adapters.nl_cues(s, d).select("title_id", "pos", "idx", "start_ms"), adapters.en_cues(s, d).where("pos < 15 or pos > 24"), "start_ms", "start_ms")
     return rules.drift_runs(near)
 
@@ -294,6 +309,14 @@ def merge_stats(s: SparkSession, d: str) -> DataFrame:
     return stats.in_genre_ranges(merged, schema.genres(s), "ratio_permille", "ratio_lo", "ratio_hi")
 
 
+@query
+def merge_report_cues(s: SparkSession, d: str) -> DataFrame:
+    """Cues that came out of merging, with what the merge report says of them."""
+    merged = merge.merge_cues(adapters.marked_cues(s, d))
+    told = merge.with_report(merged.select("title_id", "idx", "text"), merge.report(merged))
+    return told.select("title_id", "idx", "text", "source_count", F.array_join(F.col("source_indices").cast("array<string>"), ",").alias("sources"), "gap_ms")
+
+
 # matching
 
 
@@ -301,9 +324,8 @@ def merge_stats(s: SparkSession, d: str) -> DataFrame:
 def nearest_transition(s: SparkSession, d: str) -> DataFrame:
     """Over events: for each purchase the nearest other event of the user within an hour."""
     events = s.read.parquet(f"{d}/events.parquet").select("event_id", "user_id", "event_type", F.unix_millis(F.col("ts").cast("timestamp")).alias("ms"))
-    kinds = events.select("user_id", "event_id", "ms").where(F.col("event_id") % 3 == 0)
-    others = events.where(F.col("event_id") % 3 != 0).select("user_id", "ms")
-    return asof.nearest(kinds, others, "ms", "ms", key="user_id", within=3_600_000)
+    bought = F.col("event_type") == "purchase"
+    return asof.nearest(events.where(bought).drop("event_type"), events.where(~bought).select("user_id", "ms"), "ms", "ms", key="user_id", within=3_600_000)
 
 
 @query
@@ -317,28 +339,35 @@ def draft_mapping(s: SparkSession, d: str) -> DataFrame:
     return found.withColumn("en_indices", F.array_join(F.col("en_indices").cast("array<string>"), ","))
 
 
+@query
+def mapping_stats(s: SparkSession, d: str) -> DataFrame:
+    en = adapters.en_cues(s, d)
+    return stats.mappings(match.draft_mapping(adapters.nl_cues(s, d), en), en)
+
+
 @query
 def match_enhanced(s: SparkSession, d: str) -> DataFrame:
-    nl, en = adapters.nl_cues(s, d).persist(), adapters.en_cues(s, d).persist()  # each is read six times
+    nl, en = adapters.nl_cues(s, d), adapters.en_cues(s, d)
     pair = F.array(F.struct("start_ms", "end_ms"), F.struct(F.lead("start_ms").over(timing.by_pos()).alias("start_ms"), F.lead("end_ms").over(timing.by_pos()).alias("end_ms")))
     merges = nl.select("title_id", F.col("pos").alias("entry_no"), (F.col("start_ms") + F.col("pos") % 40).alias("output_start_ms"), F.when(F.lead("start_ms").over(timing.by_pos()).isNotNull(), pair).otherwise(F.array().cast("array<struct<start_ms: bigint, end_ms: bigint>>")).alias("source_timecodes"), "pos")
     merges = merges.where("pos % 4 = 0").drop("pos")
-    drafts = match.draft_mapping(nl.where("pos % 3 <> 0"), en).persist().select("title_id", F.col("nl_pos").alias("entry_no"), "nl_start_ms", "en_start_ms", "en_end_ms")
+    drafts = match.draft_mapping(nl.where("pos % 3 <> 0"), en).select("title_id", F.col("nl_pos").alias("entry_no"), "nl_start_ms", "en_start_ms", "en_end_ms")
     return match.match_enhanced(nl, en, merges, drafts)
 
 
 def _foreign(s: SparkSession, d: str) -> DataFrame:
-    return adapters.en_cues(s, d).where("pos % 9 = 0").withColumn("start_ms", F.col("start_ms") + (F.col("pos") * 131) % 2600).withColumn("end_ms", F.col("start_ms") + (F.col("pos") * 67) % 1500)
+    """Cues of a third version, later by a time that depends on the position; some fall into gaps."""
+    return adapters.en_cues(s, d).withColumn("start_ms", F.col("start_ms") + (F.col("pos") * 131) % 2600).withColumn("end_ms", F.col("start_ms") + (F.col("pos") * 67) % 1500)
 
 
 @query
 def title_cards(s: SparkSession, d: str) -> DataFrame:
-    return match.title_cards(_foreign(s, d), adapters.en_cues(s, d).where("pos % 6 = 0")).select(*_KEY, "start_ms", "end_ms", "text")
+    return match.title_cards(_foreign(s, d), adapters.en_cues(s, d)).select(*_KEY, "start_ms", "end_ms", "text")
 
 
 @query
 def title_card_union(s: SparkSession, d: str) -> DataFrame:
-    en = adapters.en_cues(s, d).where("pos % 6 = 0")
+    en = adapters.en_cues(s, d)
     return match.add_title_cards(en, match.title_cards(_foreign(s, d), en))
 
 
@@ -370,14 +399,23 @@ def speech_extension(s: SparkSession, d: str) -> DataFrame:
     return speech.extend(_shortened(s, d), adapters.speech_frames(s, d))
 
 
+@query
+def extension_report(s: SparkSession, d: str) -> DataFrame:
+    own = _shortened(s, d)
+    return stats.extensions(own, speech.extend(own, adapters.speech_frames(s, d)))
+
+
 def _shortened(s: SparkSession, d: str) -> DataFrame:
     """Cues that end too early."""
     return adapters.en_cues(s, d).withColumn("end_ms", F.greatest(F.col("end_ms") - 900, F.col("start_ms") + 200))
 
 
 def _analyzed(s: SparkSession, d: str) -> DataFrame:
-    nl, en = adapters.nl_cues(s, d).persist(), adapters.en_cues(s, d).persist()
-    return speech.analyze(nl, en, match.match_proximity(nl, en), _spoken(s, d).persist())
+    return _against(adapters.nl_cues(s, d), adapters.en_cues(s, d), _spoken(s, d))
+
+
+def _against(nl: DataFrame, en: DataFrame, spoken: DataFrame) -> DataFrame:
+    return speech.analyze(nl, en, match.match_proximity(nl, en), spoken)
 
 
 @query
@@ -396,6 +434,13 @@ def vad_summary(s: SparkSession, d: str) -> DataFrame:
     return stats.timing_quality(own, speech.issues(own))
 
 
+@query
+def linger_comparison(s: SparkSession, d: str) -> DataFrame:
+    nl, en, spoken = adapters.nl_cues(s, d), adapters.en_cues(s, d), _spoken(s, d)
+    after = speech.trimmed(nl, speech.trim(nl, spoken))
+    return stats.lingering(speech.issues(_against(nl, en, spoken)), speech.issues(_against(after, en, spoken)))
+
+
 # line balance
 
 
@@ -413,7 +458,7 @@ def _two_lines(s: SparkSession, d: str) -> DataFrame:
     """Two lines broken after a word that depends on the position."""
     w = T.words(F.col("joined"))
     k = F.greatest(F.least((F.col("pos") % 6 + 1).cast("int"), F.size(w) - 1), F.lit(1))
-    text = F.concat(F.array_join(F.slice(w, F.lit(1), k), " "), F.lit("\n"), F.array_join(F.slice(w, k + 1, 100), " "))
+    text = F.concat(F.array_join(F.slice(w, F.lit(1), k), " "), F.lit("\n"), F.array_join(F.slice(w, k + 1, F.size(w)), " "))
     return _joined(s, d).withColumn("text", F.when(F.size(w) >= 2, text).otherwise(F.col("joined"))).drop("joined")
 
 
@@ -448,6 +493,17 @@ def pair_stats(s: SparkSession, d: str) -> DataFrame:
     return kinds.unionByName(pairs.categories(groups).groupBy(F.lit("category").alias("kind"), F.col("category").alias("name")).agg(F.count("*").alias("n")))
 
 
+@query
+def pair_summary(s: SparkSession, d: str) -> DataFrame:
+    return stats.pair_totals(_groups(s, d))
+
+
+@query
+def pair_distribution(s: SparkSession, d: str) -> DataFrame:
+    groups = _groups(s, d)
+    return stats.pair_distribution(groups, pairs.categories(groups))
+
+
 @query
 def condensation_stats(s: SparkSession, d: str) -> DataFrame:
     return stats.condensation(_groups(s, d))
@@ -461,15 +517,16 @@ def exemplars_topk(s: SparkSession, d: str) -> DataFrame:
 @query
 def quality_log(s: SparkSession, d: str) -> DataFrame:
     """Reading speed, merge ratio and errors of all titles, as metric and value."""
+    speed = stats.metrics(adapters.cues(s, d)).agg(F.floor(F.sum("micro_cps") / F.count("micro_cps")).alias("cps_avg"))
     own = stats.validation(adapters.cues(s, d)).agg(F.max("cps_max").alias("cps_max"), F.sum("cps_above_soft").alias("cps_above_soft"), F.sum("cps_above_hard").alias("cps_above_hard"))
-    merged = stats.merges(merge.merge_cues(adapters.marked_cues(s, d))).agg(F.floor(F.sum("output_cues") * 1000 / F.sum("source_cues")).alias("merge_permille"))
+    merged = stats.merges(merge.merge_cues(adapters.marked_cues(s, d))).agg(F.sum("source_cues").alias("source_cues"), F.sum("output_cues").alias("output_cues"), F.floor(F.sum("output_cues") * 1000 / F.sum("source_cues")).alias("merge_permille"))
     errors = rules.violations(_swapped(s, d)).agg(F.count_if(F.col("severity") == "error").alias("hard_errors"))
 
     def rows(df: DataFrame) -> DataFrame:
         named: list[Column] = [F.struct(F.lit(c).alias("metric"), F.col(c).cast("bigint").alias("value")) for c in df.columns]
         return df.select(F.explode(F.array(*named)).alias("m")).select("m.*")
 
-    return rows(own).unionByName(rows(merged)).unionByName(rows(errors))
+    return rows(own).unionByName(rows(speed)).unionByName(rows(merged)).unionByName(rows(errors))
 
 
 @query

@@ -195,12 +195,95 @@ def test_rebalance_and_stats(spark):
 
 
 def test_stream_is_the_batch(spark, tmp_path):
+    """Sessions that the watermark closes come out of the stream as the batch has them."""
     import datetime
 
-    rows = [(i, datetime.datetime(2024, 1, 1, 0, m), 1, "x", 0.0, "") for i, m in enumerate((0, 10, 50))]
-    spark.createDataFrame(rows, ingest.EVENTS).write.parquet(str(tmp_path / "e"))
-    stream = ingest.sessions(ingest.read(spark, str(tmp_path / "e")))
-    asked = stream.writeStream.outputMode("append").format("memory").queryName("s").option("checkpointLocation", str(tmp_path / "c")).start()
+    start = datetime.datetime(2024, 1, 1)
+    rows = [(i, start + datetime.timedelta(minutes=m), u, "x", 0.0, "") for i, (u, m) in enumerate([(1, 0), (1, 10), (1, 50), (2, 5), (2, 34), (2, 70), (1, 60)])]
+    later = [(100, start + datetime.timedelta(days=1), 3, "x", 0.0, "")]
+    folder = str(tmp_path / "e")
+    spark.createDataFrame(rows, ingest.EVENTS).coalesce(1).write.parquet(folder)
+    spark.createDataFrame(later, ingest.EVENTS).coalesce(1).write.mode("append").parquet(folder)
+    asked = ingest.sessions(ingest.read(spark, folder)).writeStream.outputMode("append").format("memory").queryName("closed").option("checkpointLocation", str(tmp_path / "c")).start()
     asked.processAllAvailable()
     asked.stop()
-    assert ingest.sessions(spark.read.parquet(str(tmp_path / "e"))).count() == 2
+    want = sorted(map(tuple, ingest.sessions(spark.read.parquet(folder)).where("user_id <> 3").collect()))
+    assert sorted(map(tuple, spark.table("closed").collect())) == want and len(want) == 4
+
+
+def test_valid_counts_everything(spark):
+    own = cues(spark, [(0, 2000, "Eerste zin."), (2500, 4500, "Tweede zin.")])
+    none = rules.violations(own)
+    drift = spark.createDataFrame([("t", "warning"), ("t", "error")], "title_id string, severity string")
+    unread = spark.createDataFrame([("t", 1, "Invalid index", "x")], "title_id string, block_no int, reason string, raw string")
+    assert tuple(stats.summary(own, none).first())[1:] == (2, 0, 0, True)
+    assert tuple(stats.summary(own, none, drift).first())[1:] == (2, 1, 1, False)
+    assert tuple(stats.summary(own, none, parse_errors=unread).first())[1:] == (2, 1, 0, False)
+
+
+def test_files_of_two_languages(spark, tmp_path):
+    block = "1\n00:00:00,000 --> 00:00:01,000\n{}\n"
+    (tmp_path / "a").mkdir()
+    (tmp_path / "b").mkdir()
+    for name, text in (("a/film.en.srt", "one"), ("a/film.nl.srt", "een"), ("b/film.nl.srt", "twee"), ("b/film.srt", "drie")):
+        (tmp_path / name).write_text(block.format(text) * 1 + "\n".join(["", "2", "00:00:02,000 --> 00:00:03,000", *["line"] * 1200]))
+    rows = srt.parse(srt.read_files(spark, str(tmp_path / "*"))).collect()
+    assert sorted((r["folder"][-1], r["title_id"], r["lang"] or "", r["text"]) for r in rows if r["pos"] == 1) == [("a", "film", "en", "one"), ("a", "film", "nl", "een"), ("b", "film", "", "drie"), ("b", "film", "nl", "twee")]
+    assert all(len(r["text"].split("\n")) == 1200 for r in rows if r["pos"] == 2)
+
+
+def test_windows_characters(spark):
+    raw = [bytes(range(0xA0, 0x100)), "€‘’“”…–— œŸ".encode("cp1252"), b"caf\xe9 \x81", "één".encode(), b"", None]
+    want = [raw[0].decode("cp1252"), raw[1].decode("cp1252"), raw[2].decode("latin-1"), "één", "", None]
+    df = spark.createDataFrame(list(enumerate(raw)), "n int, c binary")
+    assert [r[0] for r in df.orderBy("n").select(srt.decoded_windows(F.col("c"))).collect()] == want
+
+
+def test_reports_come_back(spark, tmp_path):
+    merged_cues = merge.merge_cues(cues(spark, [(1000, 3000, "a"), (3200, 5000, "b"), (9000, 9500, "c"), (9600, 9900, "d")], "film één").union(cues(spark, [(0, 900, "x"), (1000, 2000, "y")], "u")))
+    told = merge.report(merged_cues)
+    srt.write_report(told, str(tmp_path / "m"), "merges")
+    back = srt.read_report(spark, str(tmp_path / "m"), "merges").drop("entry_no")
+    assert sorted(map(repr, back.select(*told.columns).collect())) == sorted(map(repr, told.collect())) and told.count() == 3
+    drafts = match.draft_mapping(cues(spark, [(0, 1000, "nl"), (9000, 9500, "x")]), cues(spark, [(800, 1500, "en")]))
+    srt.write_report(drafts, str(tmp_path / "d"), "mappings")
+    assert srt.read_report(spark, str(tmp_path / "d"), "mappings").count() == 2
+    assert tuple(stats.mappings(drafts, cues(spark, [(800, 1500, "en")])).first()) == ("t", 2, 1, 1, 1)
+    with_told = merge.with_report(merged_cues.where("title_id = 'u'"), told).collect()
+    assert len(with_told) == 1
+
+
+def test_files_are_not_overwritten(spark, tmp_path):
+    import pytest
+    from pyspark.errors import AnalysisException
+
+    own = cues(spark, [(0, 1000, "a\nb"), (1500, 2000, "c")])
+    srt.write_files(own, str(tmp_path / "out"))
+    written = [p.read_bytes() for p in (tmp_path / "out").glob("title_id=t/*.txt")]
+    assert len(written) == 1 and b"\r\na\r\nb\r\n" in written[0]
+    with pytest.raises(AnalysisException):
+        srt.write_files(own, str(tmp_path / "out"))
+
+
+def test_components_of_islands(spark):
+    import random
+
+    rng = random.Random(9)
+    rows = sorted({(t, e, max(1, e + rng.randrange(-2, 3))) for t in "abc" for e in range(1, 60) for _ in range(rng.randrange(0, 3))})
+    got = {(r["title_id"], r["side"], r["pos"]): r["root"] for r in pairs._components(spark.createDataFrame(rows, "title_id string, en_pos bigint, nl_pos bigint")).collect()}
+    label = {x: x for t, e, n in rows for x in ((t, 0, e), (t, 1, n))}
+    for _ in range(200):
+        for t, e, n in rows:
+            label[t, 0, e] = label[t, 1, n] = min(label[t, 0, e], label[t, 1, n])
+    assert got == {x: least[2] for x, least in label.items()}
+
+
+def test_alignment_outcomes(spark):
+    own = cues(spark, [(2000, 4000, "een twee drie vier"), (5000, 6000, "een"), (7000, 8000, "een twee"), (9000, 9900, "een twee drie vier"), (12000, 13000, "een twee")])
+    said = [(1, k, 60 + 20 * k, 75 + 20 * k) for k in range(1, 5)] + [(4, 1, 10, 20), (5, 1, 700, 710), (5, 2, 720, 730)]
+    segments = spark.createDataFrame([("t", *s) for s in said], "title_id string, idx int, word_no int, start_frame int, end_frame int")
+    out = timing.alignment_outcomes(segments, own)
+    assert [r["outcome"] for r in out.orderBy("idx").collect()] == ["aligned", "skipped_short", "skipped_short", "skipped_confidence", "skipped_short"]
+    row = stats.alignment(out).first()
+    assert (row["total_cues"], row["aligned"], row["skipped_short"], row["skipped_confidence"], row["significant"]) == (5, 1, 3, 1, 1)
+    assert timing.significant_corrections(segments, own).count() == 1
