@@ -104,8 +104,13 @@ def analyze(cues: DataFrame, en: DataFrame, matches: DataFrame, spoken: DataFram
     met = matches.join(en.select("title_id", F.col("pos").alias("en_pos"), F.col("start_ms").alias("s"), F.col("end_ms").alias("e")), ["title_id", "en_pos"])
     source = met.groupBy("title_id", F.col("nl_pos").alias("pos")).agg(F.min_by("s", "en_pos").alias("en_start"), F.max_by("e", "en_pos").alias("en_end"))
     own = cues.select("title_id", "pos", "idx", F.col("start_ms").alias("nl_start"), F.col("end_ms").alias("nl_end"), F.lag("end_ms").over(by_pos()).alias("prev_end"), F.lead("start_ms").over(by_pos()).alias("next_start"))
-    own = asof.nearest(own, spoken.select("title_id", F.col("end_ms").alias("t")), "nl_end", "t", within=search_range).withColumnRenamed("nearest_ms", "speech_end").drop("distance_ms")
-    own = asof.nearest(own, spoken.select("title_id", F.col("start_ms").alias("t")), "nl_start", "t", within=search_range).withColumnRenamed("nearest_ms", "speech_start").drop("distance_ms")
+    # ends among ends and starts among starts, both in one pass over the speech
+    asked = own.withColumn("_a", F.explode(F.array(F.struct(F.lit("end").alias("side"), F.col("nl_end").alias("at")), F.struct(F.lit("start").alias("side"), F.col("nl_start").alias("at")))))
+    heard = spoken.select("title_id", F.explode(F.array(F.struct(F.lit("end").alias("side"), F.col("end_ms").alias("t")), F.struct(F.lit("start").alias("side"), F.col("start_ms").alias("t")))).alias("_h"))
+    asked = asked.select(F.struct("title_id", "_a.side").alias("_k"), F.col("_a.at").alias("at"), *[c for c in own.columns if c != "title_id"])
+    met = asof.nearest(asked, heard.select(F.struct("title_id", "_h.side").alias("_k"), "_h.t"), "at", "t", key="_k", within=search_range)
+    sides = [F.max(F.when(F.col("_k.side") == side, F.col("nearest_ms"))).alias(f"speech_{side}") for side in ("end", "start")]
+    own = met.groupBy(F.col("_k.title_id").alias("title_id"), *[c for c in own.columns if c != "title_id"]).agg(*sides)
     own = own.join(source, ["title_id", "pos"], "left")
     return own.select(
         "title_id", "pos", "idx", "nl_start", "nl_end", "en_start", "en_end", "speech_end", "speech_start", (F.col("speech_end") - F.col("nl_end")).alias("end_delta_ms"), (F.col("speech_start") - F.col("nl_start")).alias("start_delta_ms"),

@@ -103,6 +103,8 @@ def speech_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     following = F.coalesce(F.lead("start_ms").over(by_pos()), F.col("end_ms") + 900)
     lo, hi = F.floor(F.col("start_ms") / 30), F.floor(following / 30) - 1
     own = own.withColumn("from", F.col("start_ms") + (pos * 53) % 400).withColumn("to", F.col("end_ms") - (pos * 71) % 1200).withColumn("lo", lo).withColumn("hi", hi).where("hi >= lo")
+    # a cue becomes some seventy frames: dealt by title before that, in twice as many tasks as shuffles have, as few rows would else be put in few tasks
+    own = own.select("title_id", "from", "to", "lo", "hi").repartition(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), "title_id")
     own = own.select("title_id", "from", "to", F.explode(F.sequence("lo", "hi")).alias("frame_idx"))
     at = F.col("frame_idx") * 30
     return own.select("title_id", "frame_idx", ((at >= F.col("from")) & (at < F.col("to")) & (F.col("frame_idx") % 40 >= 3)).alias("is_speech"))
