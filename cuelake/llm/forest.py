@@ -25,6 +25,11 @@
 A row in steps 2 and 3 is lost only if a pair at the threshold meets in no tree. At
 0.85 regions begin at depth four, (1 - 0.85**4)**16, under one in 100,000; at 0.80 at
 depth three, (1 - 0.8**3)**16, about one in 97,000. Lower thresholds begin less deep.
+That holds for regions of up to REGION rows, also where the deal to tasks cuts them, as
+the rows next to a cut meet once more. In larger regions a pair of just the threshold
+may need up to DEPTH equal minima, (1 - 0.85**8)**16 = 0.6 %, if nothing else connects
+it: there rows also meet in windows of REGION rows, each with its neighbours, and in
+groups of so many near copies links by way of third rows are plenty.
 
 Null texts and texts without words have an empty set: linked with nothing, kept. Rows
 with a null doc_id are compared like others; their component is the smallest id in
@@ -81,6 +86,14 @@ def _long(digest: bytes) -> int:
 def shingle_sets(raw: np.ndarray, offsets: np.ndarray, signed: bool = True) -> Iterator[tuple[np.ndarray, np.ndarray | None]]:
     """(sorted distinct shingle hashes, signature) of each text."""
     for a, b in K.slices(offsets, SLICE):
+        if offsets[b] - offsets[a] > 2 * SLICE:  # one long text: in pieces, whose sets are joined
+            parts, mark = [np.zeros(0, np.uint64)], np.full(_PERMUTE.a.shape, 0xFFFFFFFF, np.uint32)
+            for shingles in K.pieced_shingles(raw[offsets[a] : offsets[b]], lower=True, k=WORDS, piece=SLICE):
+                parts.append(np.unique(shingles))
+                if signed:
+                    mark = np.minimum(mark, _PERMUTE.signatures(parts[-1], np.array([0, len(parts[-1])]))[0])
+            yield np.unique(np.concatenate(parts)), mark if signed else None
+            continue
         hashes, first = K.word_hashes(raw[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], lower=True)
         shingles, where = K.shingle_hashes(hashes, first, WORDS)
         marks = _PERMUTE.signatures(shingles, where) if signed else [None] * (b - a)
@@ -103,6 +116,17 @@ def sketches(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(K.releasing(run), "doc_id long, n long, cls long, signature binary")
 
 
+def _classed(docs: DataFrame) -> DataFrame:
+    """(cls, text) of each class of the rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            cls = [_long(hashlib.md5(own.tobytes()).digest()) for own, _ in shingle_sets(*K.strings(b.column(0)), signed=False)]
+            yield pa.RecordBatch.from_arrays([pa.array(cls, pa.int64()), b.column(0)], ["cls", "text"])
+
+    return docs.select("text").mapInArrow(K.releasing(run), "cls long, text string").dropDuplicates(["cls"])
+
+
 def tree_rows(classes: DataFrame, trees: int = TREES) -> DataFrame:
     """(place, cls, compared): the place of each class in each tree's order; places of all trees sort together."""
 
@@ -203,26 +227,52 @@ def candidate_links(rows: DataFrame, percent: int = PERCENT) -> DataFrame:
         tied = np.flatnonzero((label != np.arange(len(cls))) & (own != own[label]))
         return pa.RecordBatch.from_arrays([pa.array(own[tied]), pa.array(own[label[tied]])], ["a", "b"]) if len(tied) else None
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    width = 1 + 2 * least
+    names = ("place", "cls", "compared")
+
+    def sorted_rows(batches: Iterator[pa.RecordBatch], at_border: bool) -> Iterator[pa.RecordBatch]:
         held: tuple[list, list, list] = ([], [], [])
+        first: tuple[list, list, list] = ([], [], [])
         for b in batches:
-            for mine, name in zip(held, ("place", "cls", "compared"), strict=True):
-                mine += b.column(name).to_pylist()
+            new = [b.column(name).to_pylist() for name in names]
+            if at_border and new[0] and len(first[0]) < REGION and (not first[0] or new[0][0].startswith(first[0][0][:width])):
+                head = (first[0] or new[0])[0][:width]
+                upto = next((k for k, p in enumerate(new[0]) if not p.startswith(head)), len(new[0]))
+                for mine, x in zip(first, new, strict=True):
+                    mine += x[: min(upto, REGION - len(mine))]
+            for mine, x in zip(held, new, strict=True):
+                mine += x
             if len(held[0]) >= HELD:
                 upto = len(held[0])
-                head = held[0][-1][: 1 + 2 * least]
+                head = held[0][-1][:width]
                 cut = upto
                 while cut and held[0][cut - 1].startswith(head):
                     cut -= 1
-                done, keep = (cut, cut) if cut else (upto, max(0, upto - REGION // 2))
-                if out := links(*(x[:done] for x in held)):
-                    yield out
+                done, keep = (cut, cut) if cut else (upto, max(0, upto - REGION))
+                if (out := links(*(x[:done] for x in held))) is not None:
+                    yield with_border(out)
                 held = tuple(x[keep:] for x in held)
-        if out := links(*held):
-            yield out
-
+        if (out := links(*held)) is not None:
+            yield with_border(out)
+        if at_border and held[0]:
+            head = held[0][-1][:width]
+            begin = max(len(held[0]) - REGION, next(k for k, p in enumerate(held[0]) if p.startswith(head)))
+            for own in (first, tuple(x[begin:] for x in held)):
+                none = pa.nulls(len(own[0]), pa.int64())
+                yield pa.RecordBatch.from_arrays([none, none, pa.array([p[:width] for p in own[0]], pa.binary()), pa.array(own[0], pa.binary()), pa.array(own[1], pa.int64()), pa.array(own[2], pa.binary())], ["a", "b", "region", *names])
+
+    def with_border(out: pa.RecordBatch) -> pa.RecordBatch:
+        none = pa.nulls(len(out), pa.binary())
+        return pa.RecordBatch.from_arrays([*out.columns, none, none, pa.nulls(len(out), pa.int64()), none], ["a", "b", "region", *names])
+
+    schema = "a long, b long, region binary, place binary, cls long, compared binary"
     n = max(1, rows.sparkSession.sparkContext.defaultParallelism, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    return rows.repartitionByRange(n, "place").sortWithinPartitions("place").mapInArrow(K.releasing(run), "a long, b long")
+    dealt = rows.repartitionByRange(n, "place").sortWithinPartitions("place")
+    found = stored(dealt.mapInArrow(K.releasing(lambda batches: sorted_rows(batches, True)), schema))
+    # a region that the deal has cut: its rows next to each cut meet again
+    cut = found.where("region is not null").select("region", *names)
+    met = cut.repartition("region").sortWithinPartitions("place").select(*names).mapInArrow(K.releasing(lambda batches: sorted_rows(batches, False)), schema)
+    return found.where("region is null").select("a", "b").union(met.select("a", "b"))
 
 
 def linked(sets: list[np.ndarray], percent: int = PERCENT, block: int = 512, half: int = 0) -> np.ndarray:
@@ -319,19 +369,22 @@ def near_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     members = classes.join(near, classes["cls"] == near["node"]).select("cls", "rep", "n", "root", "signature")
     sized = members.groupBy("root").agg(F.count("*").alias("_docs"), F.sum("n").alias("_shingles"))
     members = stored(members.join(sized, "root").withColumn("large", (F.col("_docs") > GROUP_DOCS) | (F.col("_shingles") > GROUP_SHINGLES)).select("cls", "rep", "root", "large", F.when(F.col("large"), F.col("signature")).alias("signature"), F.when(F.col("large"), F.col("n")).alias("n")))
-    count, large, shingles = members.agg(F.count("*"), F.count(F.when(F.col("large"), 1)), F.sum("n")).first()
+    count, large, shingles, unnamed = members.agg(F.count("*"), F.count(F.when(F.col("large"), 1)), F.sum("n"), F.count(F.when(F.col("rep").isNull(), 1))).first()
     texts = docs.select(F.col("doc_id").alias("rep"), "text")
 
-    def with_text(keys: DataFrame) -> DataFrame:
-        own = keys if count > BROADCAST_ROWS else F.broadcast(keys)
-        return texts.join(own, "rep")
+    def with_text(keys: DataFrame, few: bool = count <= BROADCAST_ROWS) -> DataFrame:
+        own = F.broadcast(keys) if few else keys
+        met = texts.join(own, "rep")
+        if unnamed:  # classes of which no row has an id are met by their sets
+            met = met.unionByName(_classed(docs.where("doc_id is null")).join(keys.where("rep is null").drop("rep"), "cls"), allowMissingColumns=True)
+        return met
 
     links = confirm(with_text(members.where("not large").select("rep", "cls", "root")), "root", percent)
     if large:
         own = members.where("large")
         merged = stored(confirm(with_text(_dealt(own)), "run", percent).where("a <> b"))
         cells = _cells(own, components(merged), max(large / GROUP_DOCS, shingles / GROUP_SHINGLES), percent)
-        links = links.union(merged).union(confirm(texts.join(cells, "rep"), "cell", percent))
+        links = links.union(merged).union(confirm(with_text(cells, few=False), "cell", percent))
         tied = components(links.where("a <> b"))
         tied = tied.select(F.col("node").alias("a"), F.col("root").alias("b"))
     else:

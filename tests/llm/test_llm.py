@@ -505,6 +505,53 @@ def test_op9_large_group(spark, monkeypatch):
     assert 100 < len({r["component_id"] for r in got}) < 240
 
 
+def test_op9_rows_without_ids(spark):
+    """Rows without an id are compared like others, also where a class has no other rows."""
+    rng = random.Random(41)
+    rows = []
+    for k in range(6):
+        w = prose(rng, 120, 9000).split()
+        rows += [(7 + k, " ".join(w), "s"), (None, " ".join([*w[:-1], f"x{k}"]), "s"), (None, " ".join([*w[:-2], f"y{k}", f"x{k}"]), "s")]
+    rows += [(None, None, "s"), (None, "", "s"), (None, prose(rng, 40, 9000), "s")]
+    got = forest.near_components(table(spark, rows).repartition(4)).collect()
+    assert sorted(repr((r["doc_id"], r["n_shingles"], r["component_id"])) for r in got) == brute_components([r[:2] for r in rows])
+    assert sum(r["component_id"] == 7 for r in got) == 3
+
+
+def test_op9_cut_regions(spark, monkeypatch):
+    """Chains of near copies over many tasks, with regions cut by the deal and by what a task holds; none of 300 links is lost."""
+    monkeypatch.setattr(forest, "HELD", 32)
+    monkeypatch.setattr(forest, "REGION", 16)
+    rng = random.Random(43)
+    rows = []
+    for family in range(10):
+        w = prose(rng, 150, 90_000).split()
+        for k in range(31):
+            rows.append((1000 * family + k, " ".join(w), "s"))
+            at = rng.randrange(140)
+            w[at : at + 2] = [f"e{family}-{k}", f"f{family}-{k}"]
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        got = forest.near_components(table(spark, rows)).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert sorted(repr((r["doc_id"], r["n_shingles"], r["component_id"])) for r in got) == brute_components([r[:2] for r in rows])
+
+
+def test_long_texts_in_pieces(spark, monkeypatch):
+    """A text that is worked on in pieces has the set, the signature and the fingerprint of the same text at once."""
+    rng = random.Random(44)
+    rows = [(1, prose(rng, 3000, 90_000) + " " + "long" * 900 + " end", "s"), (2, prose(rng, 40), "s"), (3, "x" * 5000, "s"), (4, " " * 4000, "s")]
+    docs = table(spark, rows)
+    raw, offsets = kernels.strings(kernels.pa.array([r[1] for r in rows]))
+    want = [(s.tolist(), None if m is None else m.tolist()) for s, m in forest.shingle_sets(raw, offsets)], fingerprints.signatures(raw, offsets).tolist()
+    monkeypatch.setattr(forest, "SLICE", 100)
+    monkeypatch.setattr(fingerprints, "SLICE", 100)
+    assert ([(s.tolist(), m.tolist()) for s, m in forest.shingle_sets(raw, offsets)], fingerprints.signatures(raw, offsets).tolist()) == want
+    assert docs.count() == 4
+
+
 def test_op9_halves():
     """Sets of one side against those of the other only."""
     rng = np.random.default_rng(6)
