@@ -102,7 +102,7 @@ def shingle_sets(raw: np.ndarray, offsets: np.ndarray, signed: bool = True) -> I
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """(doc_id, n, cls, signature) for each row; cls is null for an empty set."""
+    """(doc_id, n, cls, signature, h) for each row; cls is null for an empty set, h is the text's hash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -111,9 +111,9 @@ def sketches(docs: DataFrame) -> DataFrame:
                 n.append(len(own))
                 cls.append(_long(hashlib.md5(own.tobytes()).digest()) if len(own) else None)
                 marks.append((mark & np.uint32(0xFFFF)).astype(">u2").tobytes() if len(own) else None)
-            yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), pa.array(n, pa.int64()), pa.array(cls, pa.int64()), pa.array(marks, pa.binary())], ["doc_id", "n", "cls", "signature"])
+            yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), pa.array(n, pa.int64()), pa.array(cls, pa.int64()), pa.array(marks, pa.binary()), b.column(2)], ["doc_id", "n", "cls", "signature", "h"])
 
-    return docs.select("doc_id", "text").mapInArrow(K.releasing(run), "doc_id long, n long, cls long, signature binary")
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("h")).mapInArrow(K.releasing(run), "doc_id long, n long, cls long, signature binary, h long")
 
 
 def _classed(docs: DataFrame) -> DataFrame:
@@ -363,8 +363,26 @@ def confirm(rows: DataFrame, group: str, percent: int = PERCENT) -> DataFrame:
 
 def near_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for each row of docs; links are of at least `percent` % Jaccard similarity."""
+    known, named = _named(docs, percent)
+    least = named.groupBy("root").agg(F.min("rep").alias("component_id"))
+    found = stored(named.join(least, "root").select("cls", "component_id"))
+    met = known.select("doc_id", "n", "cls").join(found, "cls", "left")
+    component = F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
+    return met.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), component.eqNullSafe(F.col("doc_id")).alias("kept"))
+
+
+def survivors(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """(doc_id, h) of the rows of which one stays of each component: the smallest doc_id, null after all, then the smallest hash of the text. Rows with an empty set all stay, equal ones once."""
+    known, named = _named(docs, percent)
+    least = stored(named.groupBy("root").agg(F.min("first").alias("first")))
+    return least.select("first.doc_id", "first.h").union(known.where("cls is null").select("doc_id", "h").distinct())
+
+
+def _named(docs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The sketches of all rows, and (cls, rep, first, root) of their classes: the smallest doc_id, the row that stays if the class does, the component."""
     known = stored(sketches(docs))
-    classes = stored(known.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.first("signature").alias("signature")))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "h")).alias("first")
+    classes = stored(known.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.first("signature").alias("signature"), first))
     near = components(candidate_links(tree_rows(classes), percent))
     members = classes.join(near, classes["cls"] == near["node"]).select("cls", "rep", "n", "root", "signature")
     sized = members.groupBy("root").agg(F.count("*").alias("_docs"), F.sum("n").alias("_shingles"))
@@ -390,12 +408,7 @@ def near_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     else:
         tied = links
     tied = stored(tied)
-    named = classes.join(tied, classes["cls"] == tied["a"], "left").select("cls", "rep", F.coalesce("b", "cls").alias("root"))
-    least = named.groupBy("root").agg(F.min("rep").alias("component_id"))
-    found = stored(named.join(least, "root").select("cls", "component_id"))
-    met = known.select("doc_id", "n", "cls").join(found, "cls", "left")
-    component = F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return met.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), component.eqNullSafe(F.col("doc_id")).alias("kept"))
+    return known, classes.join(tied, classes["cls"] == tied["a"], "left").select("cls", "rep", "first", F.coalesce("b", "cls").alias("root"))
 
 
 def _dealt(members: DataFrame) -> DataFrame:

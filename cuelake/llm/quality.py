@@ -8,7 +8,8 @@ documents go down all at once.
 
 Null and empty texts have statistics of zero and a score like any other; rows
 without a label are scored too. Without usable labels every score is 0.5.
-Repeated label rows of a document count once, with the highest quality. Rows are
+Repeated label rows of a document count once, with the highest quality; of several
+texts with one doc_id the one with the smallest hash is learned from. Rows are
 scored one by one, so repeated rows get equal scores. Other columns are not read.
 """
 
@@ -211,10 +212,11 @@ def train(docs: DataFrame, labels: DataFrame, target: str = "quality", rows: int
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             x = batch_statistics(b.column(1))
-            yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), b.column(2), pa.array(list(x), pa.list_(pa.float64()))], ["_id", "_y", "_x"])
+            yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), b.column(2), pa.array(list(x), pa.list_(pa.float64())), b.column(3)], ["_id", "_y", "_x", "_h"])
 
-    found = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("doc_id", "text", "_y")  # at most `rows` pairs of numbers
-    got = found.mapInArrow(K.releasing(run), "_id long, _y double, _x array<double>").dropDuplicates(["_id"]).toArrow().sort_by("_id")
+    found = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("doc_id", "text", "_y", F.xxhash64("text").alias("_h"))  # at most `rows` pairs of numbers
+    rows_of = found.mapInArrow(K.releasing(run), "_id long, _y double, _x array<double>, _h long")
+    got = rows_of.groupBy("_id").agg(F.min(F.struct("_h", "_y", "_x")).alias("_r")).select("_id", "_r._y", "_r._x").toArrow().sort_by("_id")
     x = np.array(got["_x"].to_pylist(), dtype=float).reshape(len(got), len(FEATURES))
     return grow(x, got["_y"].to_numpy())
 

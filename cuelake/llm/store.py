@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,20 +11,29 @@ from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that the session names in spark.checkpoint.dir. Only where none is named, as in tests, one is made and set."""
+    """The folder that the session names in spark.checkpoint.dir. Only where none is named and all runs on this machine, as in tests, one is made and set; it goes when Python ends."""
     if named := spark.conf.get("spark.checkpoint.dir", None):
         folder = named
     elif (found := spark.sparkContext.getCheckpointDir()) is not None:
         return found
     else:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("on a cluster spark.checkpoint.dir must name a folder that driver and executors share")
         folder = tempfile.mkdtemp(prefix="cuelake-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(folder)
     return folder
 
 
+def remove(spark: SparkSession, folder: str) -> None:
+    """Deletes a folder of any store that Spark reads."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def stored(df: DataFrame) -> DataFrame:
-    """df written to the shared folder, so that a lost executor costs nothing that came before."""
+    """df written to the shared folder, so that a lost executor costs nothing that came before. Spark removes what is no longer used where spark.cleaner.referenceTracking.cleanCheckpoints is set."""
     shared_folder(df.sparkSession)
     return df.checkpoint()
 

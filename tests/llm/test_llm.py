@@ -417,6 +417,60 @@ def test_op8_quality(spark, docs, none):
     assert kept.columns == ["doc_id", "text", "lang", "source", "n_chars"] and 300 < kept.count() < 500
 
 
+def test_op8_brute_force(spark, monkeypatch):
+    """Statistics, splits and scores against plain loops."""
+    monkeypatch.setattr(quality, "DEPTH", 2)
+    monkeypatch.setattr(quality, "TREES", 3)
+    rng = random.Random(6)
+    texts = [" ".join(rng.choice(("one", "TWO", "three!", "4", "five,")) for _ in range(rng.randrange(1, 40))) for _ in range(240)] + ["", "é日本 x", "a\nb\n\nb"]
+    x = quality.batch_statistics(kernels.pa.array(texts))
+    names = list(quality.FEATURES)
+    for row, t in zip(x.tolist(), texts, strict=True):
+        got, raw, words = dict(zip(names, row, strict=True)), t.encode(), WORD.findall(t)
+        assert np.isclose(got["share_upper"], sum(65 <= c < 91 for c in raw) / max(1, len(raw))) and np.isclose(got["share_high"], sum(c > 127 for c in raw) / max(1, len(raw)))
+        plain = [np.log1p(len(raw)), np.log1p(len(words)), sum(len(w.encode()) for w in words) / max(1, len(words)), np.log1p(max((len(w.encode()) for w in words), default=0)), sum(len(w.encode()) <= 3 for w in words) / max(1, len(words)), len(set(words)) / max(1, len(words)), sum(a == b for a, b in zip(words, words[1:], strict=False)) / max(1, len(words))]
+        assert np.allclose(row[len(names) - 13 :][:7], plain)
+    y = np.array([float("TWO" in t or "4" in t) for t in texts])
+    trees = quality.grow(x, y)
+    binned, margin = trees.bins(x), np.full(len(x), trees.base)
+    assert np.isclose(trees.base, np.log(y.mean() / (1 - y.mean())))
+    for k in range(3):
+        p = 1 / (1 + np.exp(-margin))
+        at = [0] * len(x)
+        for level in range(2):
+            for node in {a for a in at}:
+                own = [i for i, a in enumerate(at) if a == node]
+                g, h = sum(y[i] - p[i] for i in own), sum(p[i] * (1 - p[i]) for i in own)
+                gains = {}
+                for f in range(len(names)):
+                    for cut in set(binned[own, f].tolist()):
+                        left = [i for i in own if binned[i, f] <= cut]
+                        gl, hl = sum(y[i] - p[i] for i in left), sum(p[i] * (1 - p[i]) for i in left)
+                        if hl >= 1 and h - hl >= 1:
+                            gains[f, cut] = gl**2 / (hl + 1) + (g - gl) ** 2 / (h - hl + 1) - g**2 / (h + 1)
+                f, cut = int(trees.feature[k, node]), int(trees.cut[k, node])
+                if max(gains.values(), default=0) > 1e-6:
+                    below = [c for c in set(binned[own, f].tolist()) if c <= cut]
+                    assert np.isclose(gains[f, max(below)], max(gains.values()))
+                for i in own:
+                    at[i] = 2 * node + 1 + (binned[i, f] > cut)
+        for leaf in set(at):
+            own = [i for i, a in enumerate(at) if a == leaf]
+            value = 0.15 * sum(y[i] - p[i] for i in own) / (sum(p[i] * (1 - p[i]) for i in own) + 1)
+            assert np.isclose(trees.leaf[k, leaf - 3], value)
+            margin[own] += value
+    assert np.allclose(trees.scores(x), 1 / (1 + np.exp(-margin)))
+
+
+def test_op8_repeats(spark):
+    """The same trees again, also where ids repeat with other texts."""
+    rng = random.Random(7)
+    rows = [(i % 150, prose(rng, 30) if i % 2 else prose(rng, 30).upper(), "s") for i in range(400)]
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(150)], "doc_id long, quality int, toxic int")
+    one, two = (quality.train(table(spark, r).repartition(n), labels) for r, n in ((rows, 2), (rows[::-1], 5)))
+    assert np.array_equal(one.leaf, two.leaf) and np.array_equal(one.feature, two.feature) and len(one.leaf)
+
+
 def brute_components(rows):
     sets = [(i, shingles(t)) for i, t in rows]
     parent = list(range(len(sets)))
@@ -603,30 +657,72 @@ def test_kernels():
 
 
 def test_pipeline(spark, tmp_path):
+    """Every stage against brute force, with nulls, blanks, repeated and unnamed rows."""
     import corpus_pipeline
 
     rng = random.Random(4)
-    rows = [(i, t, s) for i, t, s in awkward() if i is not None and t]
+    rows = awkward()
     rows += [(1000 + i, prose(rng, 80, 9000) if i % 4 else prose(rng, 80).upper().replace(" ", "!! "), f"s{i % 5}") for i in range(300)]
-    table(spark, rows).select(*corpus_pipeline.COLUMNS).write.parquet(str(tmp_path / "documents.parquet"))
-    labels = [(i, int(not t.isupper()) if i >= 1000 else 1, 0) for i, t, _ in rows if i >= 1000]
-    spark.createDataFrame([(i, int("!!" not in t), 0) for i, t, _ in rows if i >= 1000], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
-    assert labels and [k for k, _ in corpus_pipeline.STAGES][0] == "quality classifier"
+    rows += [(1001, prose(rng, 60, 9000), "s1"), (None, rows[-2][1] + " more", "s2"), (None, prose(rng, 70, 9000), None)]
+    rows += [(None, rows[-1][1] + " more", None)]
+    columns = corpus_pipeline.COLUMNS
+    table(spark, rows).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(i, int("!!" not in t), 0) for i, t, _ in rows if (i or 0) >= 1000], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    assert [k for k, _ in corpus_pipeline.STAGES][0] == "quality classifier"
     docs, seen = spark.read.parquet(str(tmp_path / "documents.parquet")), {}
     for n, (name, stage) in enumerate(corpus_pipeline.STAGES[:-1]):
         stage(spark, docs, str(tmp_path)).write.parquet(str(tmp_path / str(n)))
         docs = spark.read.parquet(str(tmp_path / str(n)))
-        assert docs.columns == corpus_pipeline.COLUMNS
+        assert docs.columns == columns
         seen[name] = docs.collect()
     good, apart, cut, mixed = seen.values()
-    assert {r["doc_id"] for r in good if r["doc_id"] >= 1000} == {i for i, t, _ in rows if i >= 1000 and "!!" not in t}
-    assert {r["doc_id"] for r in apart} <= {r["doc_id"] for r in good} and len({r["doc_id"] for r in apart}) == len(apart)
-    linked = {r["doc_id"]: r["component_id"] for r in forest.near_components(spark.createDataFrame([(r["doc_id"], r["text"]) for r in good], "doc_id long, text string")).collect()}
-    assert {r["doc_id"] for r in apart} == set(linked.values())
-    gone = removed([(r["doc_id"], r["text"].encode()) for r in apart])
-    assert sorted(r["text"] for r in cut) == sorted(bytes(b for b, x in zip(r["text"].encode(), g, strict=True) if not x).decode(errors="ignore") for r, g in zip(apart, gone, strict=True))
-    assert {r["doc_id"] for r in mixed} <= {r["doc_id"] for r in cut}
-    assert corpus_pipeline.run(spark, str(tmp_path)).count() == len(mixed)
+    assert {r["doc_id"] for r in good if (r["doc_id"] or 0) >= 1000} == {i for i, t, _ in rows if (i or 0) >= 1000 and "!!" not in t}
+    # of the rows that are linked one stays
+    sets, parent = [shingles(r["text"]) for r in good], list(range(len(good)))
+
+    def find(k):
+        while parent[k] != k:
+            k = parent[k]
+        return k
+
+    for a in range(len(sets)):
+        for b in range(a):
+            if sets[a] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                parent[find(a)] = find(b)
+    groups = {}
+    for k, r in enumerate(good):
+        key = find(k) if sets[k] else ("blank", r["doc_id"], r["text"])
+        groups[key] = min(groups.get(key, (1, 0)), (r["doc_id"] is None, r["doc_id"] or 0))
+    assert sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in apart) == sorted(groups.values()) and len(apart) < len(good)
+    gone = removed([(r["doc_id"], (r["text"] or "").encode()) for r in apart])
+    assert sorted(r["text"] for r in cut) == sorted(bytes(b for b, x in zip((r["text"] or "").encode(), g, strict=True) if not x).decode(errors="ignore") for r, g in zip(apart, gone, strict=True))
+    size = {}
+    for r in cut:
+        size[r["source"]] = size.get(r["source"], 0) + len(WORD.findall(r["text"]))
+    taken = mixing.mix(spark.createDataFrame(cut)).groupBy("source").agg(F.first("target").alias("t"), F.sum("taken").alias("n"), F.max("size").alias("m")).collect()
+    words = {}
+    for r in mixed:
+        words[r["source"]] = words.get(r["source"], 0) + len(WORD.findall(r["text"]))
+    assert words == {r["source"]: r["n"] for r in taken if r["n"]} and all(abs(r["n"] - r["t"]) <= 0.02 * r["t"] + 1 for r in taken) and len(taken) == len(size)
+    texts = {(r["doc_id"], r["text"]) for r in cut}
+    assert all((r["doc_id"], r["text"]) in texts or any(i == r["doc_id"] and WORD.findall(t)[: len(WORD.findall(r["text"]))] == WORD.findall(r["text"]) for i, t in texts) for r in mixed)
+    P = pytest.importorskip("public_tokenizers")
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    want = sorted((str(r["doc_id"]), len(ids := library.encode(r["text"], add_special_tokens=False).ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()) for r in mixed)
+    assert sorted((str(r["doc_id"]), r["n_tokens"], r["ids_sha256"]) for r in corpus_pipeline.run(spark, str(tmp_path)).collect()) == want
+
+
+def test_pipeline_of_nothing(spark, tmp_path):
+    """Empty tables, and tables of blanks."""
+    import corpus_pipeline
+
+    for name, rows in (("none", []), ("blank", [(1, None, "s"), (2, "", None), (None, " ", "s")])):
+        folder = str(tmp_path / name)
+        table(spark, rows).write.parquet(f"{folder}/documents.parquet")
+        spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+        assert corpus_pipeline.run(spark, folder).count() == 0
 
 
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
