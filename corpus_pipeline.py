@@ -2,7 +2,8 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; run() writes each
 result as Parquet to the session's shared folder and hands the next stage what it
-reads back. All stages but the last keep the columns of `documents`.
+reads back. All stages but the last keep the columns of `documents`; columns beyond
+those go. An empty table stays empty. When a stage is written the one before it is removed.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 
 from cuelake.llm import bpe, forest, mixing, quality, suffixes
 from cuelake.llm.queries import vocabulary
-from cuelake.llm.store import shared_folder
+from cuelake.llm.store import remove, shared_folder
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: Jaccard similarity of five-word shingles, in %, from which documents are near copies.
@@ -22,30 +23,31 @@ NEAR_PERCENT = 80
 
 
 def drop_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Quality classifier: documents that score under 0.5 go."""
+    """Quality classifier: rows that score under 0.5 go. Null and empty texts are scored like others; ids don't matter, repeated rows fare alike."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return quality.keep_good(docs, quality.train(docs, labels), COLUMNS)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """MinHash near-dedup: of each group of documents linked at a similarity of NEAR_PERCENT % or more the one with the smallest doc_id stays; of repeated rows of it, one."""
-    kept = forest.near_components(docs, NEAR_PERCENT).where("kept").select(F.col("doc_id").alias("_id")).distinct()
-    met = docs.select(*COLUMNS).join(kept, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
-    return met.withColumn("_h", F.xxhash64("text")).dropDuplicates(["doc_id", "_h"]).select(*COLUMNS)
+    """MinHash near-dedup: of each group of rows linked at a similarity of NEAR_PERCENT % or more one stays, with the smallest doc_id; null comes after all. Repeated rows are one; null texts and texts without words stay."""
+    kept = forest.survivors(docs, NEAR_PERCENT).select(F.col("doc_id").alias("_id"), F.col("h").alias("_kept"))
+    own = docs.select(*COLUMNS).withColumn("_h", F.xxhash64("text"))
+    met = own.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_h") == F.col("_kept")), "left_semi")
+    return met.dropDuplicates(["doc_id", "_h"]).select(*COLUMNS)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Suffix-array dedup: passages that a smaller doc_id has are cut out of texts."""
+    """Suffix-array dedup: passages of 50 bytes and more that a smaller doc_id has are cut out of texts. Rows stay, a null text as an empty one; rows without an id are left as they are."""
     return suffixes.cut_texts(docs, COLUMNS)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Mixing: each document as often as the mix takes it."""
+    """Mixing: each document as often as the mix takes it; those without words are not taken. A null source is a source."""
     return mixing.copies(docs, COLUMNS)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """BPE: token counts and digests."""
+    """BPE: token counts and digests, a row for each row."""
     return bpe.encode_digests(docs, vocabulary())
 
 
@@ -56,10 +58,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """What the last stage returns, read from the session's shared folder, where it stays."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
     for number, (_, stage) in enumerate(STAGES):
         made = f"{folder}/{number}"
         stage(spark, docs, sf_dir).write.parquet(made)
         docs = spark.read.parquet(made)
+        if before is not None:
+            remove(spark, before)
+        before = made
     return docs
