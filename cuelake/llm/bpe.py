@@ -35,8 +35,8 @@ SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 #: The public pattern of byte-level BPE.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-#: Distinct words whose encodings a task keeps between batches, and the longest of them.
-KEPT_WORDS, KEPT_LENGTH = 400_000, 64
+#: Distinct words from which on a task lets those go that it has not met for as many, and the longest that it keeps at all.
+KEPT_WORDS, KEPT_LENGTH = 200_000, 64
 #: Pairs of tokens of which a worker knows whether they stay.
 KEPT_PAIRS = 500_000
 #: Characters whose words are looked up together.
@@ -86,6 +86,7 @@ class Encoder:
         self._seen: set[str] = set(map(chr, range(128)))
         self._stays: dict[int, bool] = {}
         self._known: dict[str, tuple[int, bytes, bytes]] = {}
+        self._older: dict[str, tuple[int, bytes, bytes]] = {}
 
     def _suffixes(self) -> None:
         """An automaton over the reversed question "which tokens end here": `_next[state][byte]` is the state after a byte, `_ending[state]` the (token, length) pairs that end there, longest first."""
@@ -223,14 +224,17 @@ class Encoder:
     def encode_texts(self, texts: list[str]) -> Iterator[tuple[int, bytes, bytes]]:
         """(number of ids, ids as little-endian 32-bit integers, decoded bytes) of each text."""
         split = [self.pieces(t) for t in texts]
-        known = self._known
-        if len(known) > KEPT_WORDS:
-            known.clear()
+        if len(self._known) > KEPT_WORDS:  # words that were met since the last time stay a while longer
+            self._older, self._known = self._known, {}
+        known, older = self._known, self._older
         for text, i in self._added.items():
             known[text] = (1, struct.pack("<I", i), self.bytes_of[i])
         new = {}
-        for word in set().union(*split) - known.keys():
-            new[word.encode()] = word
+        for word in set().union(*split).difference(known):
+            if (made := older.get(word)) is not None:
+                known[word] = made
+            else:
+                new[word.encode()] = word
         passing = {}
         for word, ids in self.encode_words(new):
             made = (len(ids), struct.pack(f"<{len(ids)}I", *ids), b"".join(map(self.bytes_of.__getitem__, ids)))
