@@ -24,6 +24,7 @@ import json
 import struct
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -36,11 +37,11 @@ SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 #: Distinct words from which on a task lets those go that it has not met for as many, and the longest that it keeps at all.
-KEPT_WORDS, KEPT_LENGTH = 200_000, 64
+KEPT_WORDS, KEPT_LENGTH = 150_000, 64
 #: Pairs of tokens of which a worker knows whether they stay.
 KEPT_PAIRS = 500_000
-#: Characters whose words are looked up together.
-BATCH_CHARS = 3 << 20
+#: Characters whose words are looked up together, and bytes of ids that are decoded together.
+BATCH_CHARS, DECODED_AT_ONCE = 2 << 20, 1 << 18
 
 #: A character of each class (letter, number, space, other) that all Unicode versions agree on.
 _STANDS_FOR = {"L": "é", "N": "²", "S": " ", "O": "§"}
@@ -85,8 +86,14 @@ class Encoder:
         self._odd: dict[int, str] = {}
         self._seen: set[str] = set(map(chr, range(128)))
         self._stays: dict[int, bool] = {}
-        self._known: dict[str, tuple[int, bytes, bytes]] = {}
-        self._older: dict[str, tuple[int, bytes, bytes]] = {}
+        self._known: dict[str, bytes] = {}
+        self._older: dict[str, bytes] = {}
+        # the bytes of all tokens one after the other, by id
+        self._length = np.zeros(max(self.bytes_of, default=0) + 1, np.int64)
+        for i, token in self.bytes_of.items():
+            self._length[i] = len(token)
+        self._start = np.concatenate([[0], np.cumsum(self._length)[:-1]])
+        self._raw = np.frombuffer(b"".join(self.bytes_of.get(i, b"") for i in range(len(self._length))), np.uint8)
 
     def _suffixes(self) -> None:
         """An automaton over the reversed question "which tokens end here": `_next[state][byte]` is the state after a byte, `_ending[state]` the (token, length) pairs that end there, longest first."""
@@ -228,24 +235,37 @@ class Encoder:
             self._older, self._known = self._known, {}
         known, older = self._known, self._older
         for text, i in self._added.items():
-            known[text] = (1, struct.pack("<I", i), self.bytes_of[i])
-        new = {}
+            known[text] = struct.pack("<I", i)
+        new, passing = {}, []
         for word in set().union(*split).difference(known):
-            if (made := older.get(word)) is not None:
-                known[word] = made
+            if (ids := older.get(word)) is not None:
+                known[word] = ids
             else:
                 new[word.encode()] = word
-        passing = {}
+                if len(word) > KEPT_LENGTH:
+                    passing.append(word)
         for word, ids in self.encode_words(new):
-            made = (len(ids), struct.pack(f"<{len(ids)}I", *ids), b"".join(map(self.bytes_of.__getitem__, ids)))
-            (known if len(word) <= KEPT_LENGTH else passing)[new[word]] = made
-        for words in split:
-            found = [known[w] if w in known else passing[w] for w in words] if passing else list(map(known.__getitem__, words))
-            if found:
-                n, ids, decoded = zip(*found, strict=True)
-                yield sum(n), b"".join(ids), b"".join(decoded)
-            else:
-                yield 0, b"", b""
+            known[new[word]] = struct.pack(f"<{len(ids)}I", *ids)
+        encoded = [b"".join(map(known.__getitem__, words)) for words in split]
+        for word in passing:
+            del known[word]
+        at = 0
+        while at < len(encoded):
+            upto, size = at, 0
+            while upto < len(encoded) and (size < DECODED_AT_ONCE or upto == at):
+                size += len(encoded[upto])
+                upto += 1
+            for ids, raw in zip(encoded[at:upto], self.decode(encoded[at:upto]), strict=True):
+                yield len(ids) // 4, ids, raw
+            at = upto
+
+    def decode(self, encoded: list[bytes]) -> list[bytes]:
+        """The bytes of the tokens of each text's ids."""
+        ids = np.frombuffer(b"".join(encoded), "<u4")
+        length = self._length[ids]
+        raw = self._raw[K.ranges(self._start[ids], length)]
+        ends = np.concatenate([[0], np.cumsum(length)])[np.cumsum([0, *(len(e) // 4 for e in encoded)])].tolist()
+        return [raw[a:b].tobytes() for a, b in zip(ends, ends[1:], strict=False)]
 
 
 def _common(a: bytes, b: bytes) -> int:

@@ -121,12 +121,20 @@ def _newton(sizes: DataFrame, now: DataFrame, cap: int) -> DataFrame:
     return at.select("_src", "target", "largest", "lo", "hi", chosen.alias("l"), F.abs("miss").alias("miss"))
 
 
-def _balanced(docs: DataFrame, weights: tuple[int, ...], cap: int) -> DataFrame:
-    """Distinct rows (_src, doc_id, size, _tie) with their number n, what their source has, their rate in units of 1 / UNIT, what is rounded of them (_part) and the running sum of that up to the last of them (_upto)."""
-    named = F.when(F.col("source").isNull(), F.lit("-")).otherwise(F.concat(F.lit("+"), F.col("source")))
+def _rows(docs: DataFrame) -> DataFrame:
+    """Distinct rows (_src, source, doc_id, size, _tie) with their number n."""
+    rows = docs.select("doc_id", "source", _named().alias("_src"), n_words().alias("size"), F.xxhash64("doc_id", "text").alias("_tie"))
     mark = F.coalesce(F.md5(F.col("doc_id").cast("string").cast("binary")), F.lit(""))
-    rows = docs.select("doc_id", "source", named.alias("_src"), n_words().alias("size"), F.xxhash64("doc_id", "text").alias("_tie"))
-    rows = stored(rows.groupBy("_src", "source", "doc_id", "size", "_tie").agg(F.count("*").alias("n")).withColumn("_mark", mark).withColumn("_salt", F.substring("_mark", 1, 2)))
+    return stored(rows.groupBy("_src", "source", "doc_id", "size", "_tie").agg(F.count("*").alias("n")).withColumn("_mark", mark).withColumn("_salt", F.substring("_mark", 1, 2)))
+
+
+def _named() -> Column:
+    """A name for each source that is not null."""
+    return F.when(F.col("source").isNull(), F.lit("-")).otherwise(F.concat(F.lit("+"), F.col("source")))
+
+
+def _balanced(rows: DataFrame, weights: tuple[int, ...], cap: int) -> DataFrame:
+    """Distinct rows (_src, doc_id, size, _tie) with their number n, what their source has, their rate in units of 1 / UNIT, what is rounded of them (_part) and the running sum of that up to the last of them (_upto)."""
     cells = stored(rows.groupBy("_src", "source", "size", "_salt").agg(F.sum("n").alias("_n")))
     sizes = stored(cells.groupBy("_src", "source", "size").agg(F.sum("_n").alias("n")))
     sums = sizes.groupBy("_src", "source").agg(F.sum(F.col("n") * F.col("size")).alias("source_size"), F.min(F.when(F.col("size") > 0, F.col("size"))).alias("least"), F.max("size").alias("largest"))
@@ -157,21 +165,22 @@ def _words(times: str, upto: str, part: str) -> Column:
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP) -> DataFrame:
     """(doc_id, source, size, source_size, target, rate, taken) for each row of docs; rate in units of 1 / UNIT."""
-    own = _balanced(docs, weights, cap).withColumn("_k", F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))))
+    own = _balanced(_rows(docs), weights, cap).withColumn("_k", F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))))
     taken = _words("1", "(_upto - (n - _k) * _part)", "_part")
     return own.select("doc_id", "source", "size", "source_size", "target", "rate", taken.alias("taken"))
 
 
 def copies(docs: DataFrame, columns: list[str]) -> DataFrame:
     """The rows that the mix takes, as often as it takes them; a last copy that is cut ends at a word. A document without words is not taken. Rows with equal doc_id, source and text are one document that is repeated, with the other columns of the one that sorts first."""
-    mixed = _balanced(docs, WEIGHTS, CAP).withColumn("taken", _words("n", "_upto", "_part")).where("taken > 0")
+    rows = _rows(docs)
+    mixed = _balanced(rows, WEIGHTS, CAP).withColumn("taken", _words("n", "_upto", "_part")).where("taken > 0")
     mixed = mixed.select(F.col("doc_id").alias("_id"), F.col("_src").alias("_name"), "_tie", "size", "n", "taken")
-    named = F.when(F.col("source").isNull(), F.lit("-")).otherwise(F.concat(F.lit("+"), F.col("source")))
-    own = docs.select(*columns).withColumn("_h", F.xxhash64("doc_id", "text")).withColumn("_src", named)
+    own = docs.select(*columns).withColumn("_h", F.xxhash64("doc_id", "text")).withColumn("_src", _named())
     met = own.join(mixed, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_h") == F.col("_tie")) & (F.col("_src") == F.col("_name")))
-    once = met.where("n = 1").select(*columns, "size", "taken")
-    again = met.where("n > 1").groupBy("_id", "_name", "_h").agg(F.min(F.struct(*columns)).alias("_row"), F.first("size").alias("size"), F.first("taken").alias("taken")).select("_row.*", "size", "taken")
-    many = once.union(again).withColumn("_copy", F.explode(F.expr("sequence(1, cast((taken + size - 1) div size as int))")))
+    many = met.select(*columns, "size", "taken")
+    if rows.where("n > 1").limit(1).count():
+        many = met.where("n = 1").select(*columns, "size", "taken").union(_once(met, columns))
+    many = many.withColumn("_copy", F.explode(F.expr("sequence(1, cast((taken + size - 1) div size as int))")))
     rest = F.col("taken") - (F.col("_copy") - 1) * F.col("size")
     cut = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(f"({WORD})"), F.lit(1)), F.lit(1), rest.cast("int")), " ")
     made = many.withColumn("text", F.when(rest < F.col("size"), cut).otherwise(F.col("text")))
@@ -180,6 +189,11 @@ def copies(docs: DataFrame, columns: list[str]) -> DataFrame:
     return made.select(*columns)
 
 
+def _once(met: DataFrame, columns: list[str]) -> DataFrame:
+    """One row for all that repeat each other, with what they take together."""
+    return met.where("n > 1").groupBy("_id", "_name", "_h").agg(F.min(F.struct(*columns)).alias("_row"), F.first("size").alias("size"), F.first("taken").alias("taken")).select("_row.*", "size", "taken")
+
+
 #: The same in DuckDB SQL: Newton steps in a recursive query over each source's histogram. Expects distinct doc_id.
 ORACLE_SQL = r"""
 WITH RECURSIVE sized AS (
