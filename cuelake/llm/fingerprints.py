@@ -83,7 +83,8 @@ def near_pairs(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     and each pair of blocks is a cell of its own, so that no task holds more than
     two blocks. A cell compares signatures and gives only the pairs that look alike
     (SLACK below the threshold is 4.8 standard deviations), each in the first band
-    that they share.
+    that they share. Then the shingle sets of those that are in such a pair are brought
+    to the cell, each once, and its pairs are counted.
     """
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -103,9 +104,41 @@ def near_pairs(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     known = docs.select("doc_id", "text").mapInArrow(sets, "id long, class binary, shingles array<long>, signature binary").where("class is not null and id is not null")
     found = stored(known.groupBy("class").agg(F.min("id").alias("id"), F.min_by("shingles", "id").alias("shingles"), F.min_by("signature", "id").alias("signature")))
     pairs = _alike(found.select("id", "signature"), threshold)
-    one, two = found.select(F.col("id").alias("a"), F.col("shingles").alias("_a")), found.select(F.col("id").alias("b"), F.col("shingles").alias("_b"))
-    met = pairs.join(one, "a").join(two, "b").withColumn("_n", F.size(F.array_intersect("_a", "_b")))
-    return met.select("a", "b", (F.col("_n") / (F.size("_a") + F.size("_b") - F.col("_n"))).alias("jaccard")).where(F.col("jaccard") >= threshold)
+    pairs = stored(pairs)
+    needed = pairs.select("cell", F.explode(F.array("a", "b")).alias("id")).distinct()
+    sets_of = needed.join(found.select("id", "shingles"), "id").select("cell", F.lit(0).alias("kind"), "id", F.lit(None).cast("long").alias("other"), "shingles")
+    asked = pairs.select("cell", F.lit(1), "a", "b", F.lit(None).cast("array<long>"))
+    met = sets_of.union(asked).repartition("cell").sortWithinPartitions("cell", "kind")
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, known = None, {}
+        for b in batches:
+            kinds, shingles = b.column("kind").to_pylist(), b.column("shingles")
+            out: tuple[list, list, list] = ([], [], [])
+            for k, (cell, one, two) in enumerate(zip(*(b.column(c).to_pylist() for c in ("cell", "id", "other")), strict=True)):
+                if cell != now:
+                    now, known = cell, {}
+                if kinds[k] == 0:
+                    known[one] = shingles[k].values.to_numpy()
+                    continue
+                both = len(np.intersect1d(known[one], known[two], assume_unique=True))
+                share = both / (len(known[one]) + len(known[two]) - both)
+                if share >= threshold:
+                    for column, value in zip(out, (one, two, share), strict=True):
+                        column.append(value)
+            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.float64())], ["a", "b", "jaccard"])
+
+    return met.mapInArrow(K.releasing(verify), "a long, b long, jaccard double")
+
+
+def linked_rows(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
+    """(doc_id, class_id, n_links) for each row of docs: the smallest doc_id with the same set of shingles, and how many other sets have at least `threshold` of similarity. Rows without words are a class of their own id and have no links; rows without an id have neither."""
+    pairs = near_pairs(docs, threshold)
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("class_id")).groupBy("class_id").agg(F.count("*").alias("n_links"))
+    own = classes(docs).distinct()
+    known = own.join(ends, "class_id", "left").groupBy("doc_id").agg(F.min(F.struct("class_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))).alias("_c"))
+    met = docs.select("doc_id").join(known, "doc_id", "left")
+    return met.select("doc_id", F.coalesce("_c.class_id", "doc_id").alias("class_id"), F.coalesce("_c.n_links", F.lit(0)).alias("n_links"))
 
 
 def classes(docs: DataFrame) -> DataFrame:
@@ -127,7 +160,7 @@ def classes(docs: DataFrame) -> DataFrame:
 
 
 def _alike(rows: DataFrame, threshold: float) -> DataFrame:
-    """(a, b): rows (id, signature) that share a band and whose signatures look alike, each pair once."""
+    """(a, b, cell): rows (id, signature) that share a band and whose signatures look alike, each pair once, in the cell where they meet."""
     least = int(np.ceil((threshold - SLACK) * PERMUTATIONS))
     width = 2 * ROWS
     keyed = rows.select("id", "signature", F.explode(F.sequence(F.lit(0), F.lit(BANDS - 1))).alias("band"))
@@ -139,7 +172,7 @@ def _alike(rows: DataFrame, threshold: float) -> DataFrame:
     order = ["band", "bucket", "p", "q"]
     dealt = cells.repartition(*order).sortWithinPartitions(*order, "second", "id")
 
-    def links(band: int, p: int, q: int, second: list[int], ids: list[int], marks: list[bytes]) -> pa.RecordBatch:
+    def links(name: str, band: int, p: int, q: int, second: list[int], ids: list[int], marks: list[bytes]) -> pa.RecordBatch:
         own, sig = np.array(ids, np.int64), np.frombuffer(b"".join(marks), "<u2").reshape(len(ids), -1)
         half = int(len(ids) - sum(second))  # of a cell of two blocks, rows of the first come first
         out_a, out_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
@@ -151,7 +184,7 @@ def _alike(rows: DataFrame, threshold: float) -> DataFrame:
             hit = own[rest[ok][~earlier]]
             out_a.append(np.minimum(hit, own[i]))
             out_b.append(np.maximum(hit, own[i]))
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(out_a)), pa.array(np.concatenate(out_b))], ["a", "b"])
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(out_a)), pa.array(np.concatenate(out_b)), pa.array([name] * sum(map(len, out_a)), pa.string())], ["a", "b", "cell"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, second, ids, marks = None, [], [], []
@@ -159,15 +192,15 @@ def _alike(rows: DataFrame, threshold: float) -> DataFrame:
             for *key, side, key_id, mark in zip(*(b.column(c).to_pylist() for c in (*order, "second", "id", "signature")), strict=True):
                 if key != now:
                     if len(ids) > 1:
-                        yield links(now[0], now[2], now[3], second, ids, marks)
+                        yield links(f"{now[0]}:{now[1].hex()}:{now[2]}:{now[3]}", now[0], now[2], now[3], second, ids, marks)
                     now, second, ids, marks = key, [], [], []
                 second.append(side)
                 ids.append(key_id)
                 marks.append(mark)
         if len(ids) > 1:
-            yield links(now[0], now[2], now[3], second, ids, marks)
+            yield links(f"{now[0]}:{now[1].hex()}:{now[2]}:{now[3]}", now[0], now[2], now[3], second, ids, marks)
 
-    return dealt.mapInArrow(run, "a long, b long")
+    return dealt.mapInArrow(K.releasing(run), "a long, b long, cell string")
 
 
 def _blocks(docs: DataFrame) -> tuple[DataFrame, int]:

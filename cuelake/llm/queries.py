@@ -25,6 +25,30 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_likeness(_table(spark, sf_dir, "documents"))
 
 
+def near_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The other half of op1: signature bands joined, Jaccard similarities of 0.8 and more verified."""
+    return fingerprints.linked_rows(_table(spark, sf_dir, "documents"))
+
+
+#: near_links in DuckDB SQL: all pairs of sets that share a shingle.
+LINKS_SQL = r"""
+WITH w AS (
+  SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents
+), g AS (
+  SELECT doc_id, list_sort(list_distinct(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) ELSE [array_to_string(w, ' ')] END)) AS g FROM w WHERE len(w) > 0
+), c AS (
+  SELECT min(doc_id) AS id, g FROM g GROUP BY g
+), s AS (
+  SELECT id, len(g) AS n, unnest(g) AS x FROM c
+), p AS (
+  SELECT a.id AS a, b.id AS b, a.n + b.n AS t, count(*) AS m FROM s a JOIN s b ON a.x = b.x AND a.id <> b.id GROUP BY 1, 2, 3
+), l AS (
+  SELECT a AS id, count(*) AS n_links FROM p WHERE 10 * m >= 8 * (t - m) GROUP BY 1
+)
+SELECT d.doc_id, coalesce(c.id, d.doc_id) AS class_id, coalesce(n_links, 0) AS n_links FROM documents d LEFT JOIN g ON d.doc_id = g.doc_id LEFT JOIN c ON g.g = c.g LEFT JOIN l ON c.id = l.id
+"""
+
+
 def op2_rabitq(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rabitq.search(_table(spark, sf_dir, "embeddings"), "vec_id % 20 = 0", k=20)
 
@@ -170,8 +194,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_fingerprints": op1_fingerprints, "op2_rabitq": op2_rabitq, "op3_rlz": op3_rlz, "op4_mixing": op4_mixing, "op5_licenses": op5_licenses, "op6_suffixes": op6_suffixes, "op7_urlfilter": op7_urlfilter, "op8_quality": op8_quality, "op9_forest": op9_forest, "op10_bpe": op10_bpe, "pipeline": pipeline}
+    return {"op1_fingerprints": op1_fingerprints, "op2_rabitq": op2_rabitq, "op3_rlz": op3_rlz, "op4_mixing": op4_mixing, "op5_licenses": op5_licenses, "op6_suffixes": op6_suffixes, "op7_urlfilter": op7_urlfilter, "op8_quality": op8_quality, "op9_forest": op9_forest, "op10_bpe": op10_bpe, "pipeline": pipeline, "near_links": near_links}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_rlz": RLZ_SQL, "op4_mixing": mixing.ORACLE_SQL, "op5_licenses": licenses.oracle_sql(), "op6_suffixes": SUFFIX_SQL, "op7_urlfilter": URLFILTER_SQL, "op9_forest": FOREST_SQL}
+    return {"op3_rlz": RLZ_SQL, "op4_mixing": mixing.ORACLE_SQL, "op5_licenses": licenses.oracle_sql(), "op6_suffixes": SUFFIX_SQL, "op7_urlfilter": URLFILTER_SQL, "op9_forest": FOREST_SQL, "near_links": LINKS_SQL}

@@ -115,6 +115,12 @@ def test_op1_estimates_and_pairs(docs):
     assert found == want
     members = {(r["doc_id"], r["class_id"]) for r in fingerprints.classes(docs).collect()}
     assert members == {(i, sets[frozenset(plain(t))]) for i, t in rows if plain(t)}
+    degree = {}
+    for a, b in want:
+        degree[a], degree[b] = degree.get(a, 0) + 1, degree.get(b, 0) + 1
+    told = {(r["doc_id"], r["class_id"], r["n_links"]) for r in fingerprints.linked_rows(docs).collect()}
+    classed = {i: sets[frozenset(plain(t))] if plain(t) else i for i, t in rows}
+    assert told == {(i, c, degree.get(c, 0)) for i, c in classed.items()} | {(None, None, 0)} and max(degree.values()) > 1
 
 
 @pytest.mark.parametrize("cell", [1024, 7])
