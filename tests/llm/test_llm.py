@@ -401,6 +401,26 @@ def test_op7_urls(spark):
     assert urlfilter.judge(df.where("false"), entries).count() == 0
 
 
+def test_op7_names_and_lengths(spark):
+    """Columns whose names the plan uses inside, very long URLs and hosts of many labels; against a plain lookup."""
+    rng = random.Random(13)
+    hosts = ["a.b.c.example.org", "example.org", "x.example.org", ".".join("l" * 3 for _ in range(60)) + ".org"]
+    entries = [(h, f"2024-0{rng.randrange(1, 6)}-1{k % 9}", rng.choice(("block", "allow")), 1, 2) for k, h in enumerate([*hosts, *hosts, "org", "c.example.org"])]
+    listed = spark.createDataFrame(entries, "domain string, listed_at string, action string, host int, blocked int").withColumn("listed_at", F.to_timestamp("listed_at"))
+    rows = [(i, f"https://{rng.choice(hosts)}/" + "p/" * rng.randrange(0, 40_000), f"2024-0{rng.randrange(1, 7)}-15", "d", 1, 3) for i in range(60)]
+    df = spark.createDataFrame(rows, "page_id long, url string, fetched_at string, domain string, valid_from int, n int").withColumn("fetched_at", F.to_timestamp("fetched_at"))
+    got = {r["page_id"]: (r["allowed"], r["matched_domain"]) for r in urlfilter.judge(df, listed).collect()}
+    for i, url, at, *_ in rows:
+        host, found = url.split("/")[2], (True, None)
+        for k in range(host.count(".") + 1):
+            name = host.split(".", k)[-1]
+            active = sorted((e[1], e[2] == "block") for e in entries if e[0] == name and e[1] <= at)
+            if active:
+                found = (not active[-1][1], name)
+                break
+        assert got[i] == found
+
+
 def test_op8_quality(spark, docs, none):
     rng = random.Random(2)
     rows, marks = [], []
