@@ -32,6 +32,8 @@ SLACK, CELL = 0.17, 1024
 #: Bytes of a block of documents, and the most blocks; beyond that blocks grow, to 1 GB of a task's sort at 100 TB.
 BLOCK_BYTES, MOST_BLOCKS = 8 << 20, 100_000
 SLICE = 1 << 20
+#: A table of at most so many ids is broadcast.
+BROADCAST_ROWS = 1_000_000
 
 EDITED_SCHEMA = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
 
@@ -74,133 +76,175 @@ def fingerprint(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Dat
     return docs.select(key, text).mapInArrow(run, "doc_id long, signature binary")
 
 
+def _sets(batches: Iterator[pa.RecordBatch], whole: bool) -> Iterator[pa.RecordBatch]:
+    """(id, class, set of shingles), or its signature, for rows (id, text). A class is the digest of the set; null without words."""
+    for b in batches:
+        raw, offsets = K.strings(b.column(1))
+        cls, own, marks = [], [], []
+        for lo, hi in K.slices(offsets, SLICE):
+            part = raw[offsets[lo] : offsets[hi]]
+            if len(part) > 2 * SLICE:  # one long text
+                made = [np.unique(np.concatenate([np.zeros(0, np.uint64), *(np.unique(x) for x in K.pieced_shingles(part, k=WORDS, piece=SLICE))]))]
+            else:
+                hashes, first = K.word_hashes(part, offsets[lo : hi + 1] - offsets[lo])
+                shingles, where = K.shingle_hashes(hashes, first, WORDS)
+                made = [np.unique(shingles[where[t] : where[t + 1]]) for t in range(hi - lo)]
+            cls += [hashlib.md5(x.tobytes()).digest() if len(x) else None for x in made]
+            if whole:
+                own += [x.view(np.int64) for x in made]
+            else:
+                low = _PERMUTE.signatures(np.concatenate(made), np.concatenate([[0], np.cumsum([len(x) for x in made])]))
+                marks += [m.tobytes() for m in (low & np.uint32(0xFFFF)).astype("<u2")]
+        last = pa.array(own, pa.list_(pa.int64())) if whole else pa.array(marks, pa.binary())
+        yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), pa.array(cls, pa.binary()), last], ["id", "class", "shingles" if whole else "signature"])
+
+
+def _sketched(docs: DataFrame) -> DataFrame:
+    return stored(docs.select("doc_id", "text").mapInArrow(K.releasing(lambda batches: _sets(batches, False)), "id long, class binary, signature binary"))
+
+
 def near_pairs(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     """(a, b, jaccard), a < b: links between documents of at least `threshold`, found by equal bands and verified on whole shingle sets.
 
     Documents with equal sets are one class, named by its smallest doc_id; links
-    are between classes, and `classes` says who is in them. Every two classes that
+    are between classes, and `classes` says who is in them. A large group has as many
+    rows as pairs; `linked_rows` gives numbers of links instead. Every two classes that
     share a band meet: a bucket of any size is cut in blocks of about CELL classes,
     and each pair of blocks is a cell of its own, so that no task holds more than
-    two blocks. A cell compares signatures and gives only the pairs that look alike
-    (SLACK below the threshold is 4.8 standard deviations), each in the first band
-    that they share. Then the shingle sets of those that are in such a pair are brought
-    to the cell, each once, and its pairs are counted.
+    two blocks. A cell compares signatures first and names the classes that have one
+    that looks alike (SLACK below the threshold is 4.8 standard deviations) and shares
+    no earlier band. Their shingle sets are brought to the cell, each once, and all
+    intersections in it are counted; a pair belongs to the cell of its first band.
     """
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            raw, offsets = K.strings(b.column(1))
-            cls, own, marks = [], [], []
-            for lo, hi in K.slices(offsets, SLICE):
-                hashes, first = K.word_hashes(raw[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
-                shingles, where = K.shingle_hashes(hashes, first, WORDS)
-                low = (_PERMUTE.signatures(shingles, where) & np.uint32(0xFFFF)).astype("<u2")
-                for t in range(hi - lo):
-                    own.append(np.unique(shingles[where[t] : where[t + 1]]))
-                    cls.append(hashlib.md5(own[-1].tobytes()).digest() if len(own[-1]) else None)
-                    marks.append(low[t].tobytes())
-            yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), pa.array(cls, pa.binary()), pa.array([x.view(np.int64) for x in own], pa.list_(pa.int64())), pa.array(marks, pa.binary())], ["id", "class", "shingles", "signature"])
-
-    known = docs.select("doc_id", "text").mapInArrow(sets, "id long, class binary, shingles array<long>, signature binary").where("class is not null and id is not null")
-    found = stored(known.groupBy("class").agg(F.min("id").alias("id"), F.min_by("shingles", "id").alias("shingles"), F.min_by("signature", "id").alias("signature")))
-    pairs = _alike(found.select("id", "signature"), threshold)
-    pairs = stored(pairs)
-    needed = pairs.select("cell", F.explode(F.array("a", "b")).alias("id")).distinct()
-    sets_of = needed.join(found.select("id", "shingles"), "id").select("cell", F.lit(0).alias("kind"), "id", F.lit(None).cast("long").alias("other"), "shingles")
-    asked = pairs.select("cell", F.lit(1), "a", "b", F.lit(None).cast("array<long>"))
-    met = sets_of.union(asked).repartition("cell").sortWithinPartitions("cell", "kind")
-
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, known = None, {}
-        for b in batches:
-            kinds, shingles = b.column("kind").to_pylist(), b.column("shingles")
-            out: tuple[list, list, list] = ([], [], [])
-            for k, (cell, one, two) in enumerate(zip(*(b.column(c).to_pylist() for c in ("cell", "id", "other")), strict=True)):
-                if cell != now:
-                    now, known = cell, {}
-                if kinds[k] == 0:
-                    known[one] = shingles[k].values.to_numpy()
-                    continue
-                both = len(np.intersect1d(known[one], known[two], assume_unique=True))
-                share = both / (len(known[one]) + len(known[two]) - both)
-                if share >= threshold:
-                    for column, value in zip(out, (one, two, share), strict=True):
-                        column.append(value)
-            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.float64())], ["a", "b", "jaccard"])
-
-    return met.mapInArrow(K.releasing(verify), "a long, b long, jaccard double")
+    def pairs(ids: np.ndarray, i: int, js: np.ndarray, share: np.ndarray) -> pa.RecordBatch:
+        one, two = np.minimum(ids[i], ids[js]), np.maximum(ids[i], ids[js])
+        return pa.RecordBatch.from_arrays([pa.array(one), pa.array(two), pa.array(share)], ["a", "b", "jaccard"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for ids, links in _cells(batches, threshold):
+            yield from (pairs(ids, *link) for link in links)
+
+    return _seated(docs, _sketched(docs), threshold).mapInArrow(K.releasing(run), "a long, b long, jaccard double")
+
+
+def _seated(docs: DataFrame, known: DataFrame, threshold: float) -> DataFrame:
+    """(cell, band, second, id, signature, shingles) in the order of cells: the classes that have one that looks alike, in the cells where they meet it."""
+    found = stored(known.where("class is not null and id is not null").groupBy("class").agg(F.min("id").alias("id"), F.min_by("signature", "id").alias("signature")))
+    seats = stored(_alike(found.select("id", "signature"), threshold))
+    members = seats.select("id").distinct()
+    few = members.count() <= BROADCAST_ROWS
+    own = docs.select(F.col("doc_id").alias("id"), "text").join(F.broadcast(members) if few else members, "id", "left_semi")
+    own = own.mapInArrow(K.releasing(lambda batches: _sets(batches, True)), "id long, class binary, shingles array<long>")
+    own = own.join(found, ["id", "class"]).dropDuplicates(["id"]).drop("class")
+    return seats.join(own, "id").select("cell", "band", "second", "id", "signature", "shingles").repartition("cell").sortWithinPartitions("cell", "second", "id")
+
+
+def _cells(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[tuple[np.ndarray, Iterator[tuple[int, np.ndarray, np.ndarray]]]]:
+    """(ids, links) of each cell; links has (i, js, jaccard): a class and the later ones that it is linked with there."""
+    now, rows = None, ([], [], [], [])
+    for b in batches:
+        sets, marks = b.column("shingles"), b.column("signature").to_pylist()
+        for k, (cell, band, second, key) in enumerate(zip(*(b.column(c).to_pylist() for c in ("cell", "band", "second", "id")), strict=True)):
+            if cell != now:
+                if len(rows[0]) > 1:
+                    yield np.array(rows[0], np.int64), _links(now_band, *rows[1:], threshold)
+                now, now_band, rows = cell, band, ([], [], [], [])
+            for column, value in zip(rows, (key, second, marks[k], sets[k].values.to_numpy().view(np.uint64).copy()), strict=True):
+                column.append(value)
+    if len(rows[0]) > 1:
+        yield np.array(rows[0], np.int64), _links(now_band, *rows[1:], threshold)
+
+
+def _links(band: int, second: list[int], marks: list[bytes], sets: list[np.ndarray], threshold: float) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """A cell of one block holds it against itself, one of two the first against the second."""
+    sig, size = np.frombuffer(b"".join(marks), "<u2").reshape(len(sets), BANDS, ROWS), np.array([len(s) for s in sets])
+    half = len(sets) - sum(second)
+    if not half:
+        return
+    alone = half == len(sets)
+    for lo, hi, after, met in K.intersections(sets, half=0 if alone else half):
+        share = met / (size[lo:hi, None] + size[None, after:] - met.astype(np.float64))
+        for i in range(lo, hi):
+            js = after + np.flatnonzero(share[i - lo] >= threshold)
+            js = js[js > i]
+            js = js[~(sig[js, :band] == sig[i, :band]).all(axis=2).any(axis=1)] if band else js
+            js = js[(sig[js, band] == sig[i, band]).all(axis=1)]
+            if len(js):
+                yield i, js, share[i - lo, js - after]
 
 
 def linked_rows(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
-    """(doc_id, class_id, n_links) for each row of docs: the smallest doc_id with the same set of shingles, and how many other sets have at least `threshold` of similarity. Rows without words are a class of their own id and have no links; rows without an id have neither."""
-    pairs = near_pairs(docs, threshold)
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("class_id")).groupBy("class_id").agg(F.count("*").alias("n_links"))
-    own = classes(docs).distinct()
-    known = own.join(ends, "class_id", "left").groupBy("doc_id").agg(F.min(F.struct("class_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))).alias("_c"))
-    met = docs.select("doc_id").join(known, "doc_id", "left")
+    """(doc_id, class_id, n_links) for each row of docs: the smallest doc_id with the same set of shingles, and how many other sets have at least `threshold` of similarity. Rows without words are a class of their own id and have no links; rows without an id have neither. No pair is written: a cell gives each of its classes a number."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for ids, links in _cells(batches, threshold):
+            n = np.zeros(len(ids), np.int64)
+            for i, js, _ in links:
+                n[i] += len(js)
+                n[js] += 1
+            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(n)], ["class_id", "n"])
+
+    known = _sketched(docs)
+    ends = _seated(docs, known, threshold).mapInArrow(K.releasing(run), "class_id long, n long").groupBy("class_id").agg(F.sum("n").alias("n_links"))
+    own = classes(docs, known).distinct().join(ends, "class_id", "left").groupBy("doc_id").agg(F.min(F.struct("class_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))).alias("_c"))
+    met = docs.select("doc_id").join(own, "doc_id", "left")
     return met.select("doc_id", F.coalesce("_c.class_id", "doc_id").alias("class_id"), F.coalesce("_c.n_links", F.lit(0)).alias("n_links"))
 
 
-def classes(docs: DataFrame) -> DataFrame:
+def classes(docs: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """(doc_id, class_id): the class of each row that has words and a doc_id, as `near_pairs` names it."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            raw, offsets = K.strings(b.column(1))
-            cls = []
-            for lo, hi in K.slices(offsets, SLICE):
-                hashes, first = K.word_hashes(raw[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
-                shingles, where = K.shingle_hashes(hashes, first, WORDS)
-                own = [np.unique(shingles[where[t] : where[t + 1]]) for t in range(hi - lo)]
-                cls += [hashlib.md5(x.tobytes()).digest() if len(x) else None for x in own]
-            yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), pa.array(cls, pa.binary())], ["doc_id", "class"])
-
-    known = stored(docs.select("doc_id", "text").mapInArrow(run, "doc_id long, class binary").where("class is not null and doc_id is not null"))
+    known = _sketched(docs) if known is None else known
+    known = known.where("class is not null and id is not null").select(F.col("id").alias("doc_id"), "class")
     return known.join(known.groupBy("class").agg(F.min("doc_id").alias("class_id")), "class").select("doc_id", "class_id")
 
 
 def _alike(rows: DataFrame, threshold: float) -> DataFrame:
-    """(a, b, cell): rows (id, signature) that share a band and whose signatures look alike, each pair once, in the cell where they meet."""
+    """(cell, band, second, id): rows (id, signature) that have one that looks alike in a cell and shares no earlier band; second tells the blocks of a cell of two apart."""
     least = int(np.ceil((threshold - SLACK) * PERMUTATIONS))
     width = 2 * ROWS
-    keyed = rows.select("id", "signature", F.explode(F.sequence(F.lit(0), F.lit(BANDS - 1))).alias("band"))
-    keyed = keyed.withColumn("bucket", F.expr(f"substring(signature, band * {width} + 1, {width})"))
-    buckets = keyed.groupBy("band", "bucket").agg(F.count("*").alias("n")).where("n > 1").withColumn("blocks", F.ceil(F.col("n") / CELL).cast("int")).drop("n")
-    met = keyed.join(buckets, ["band", "bucket"]).withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    band = F.explode(F.sequence(F.lit(0), F.lit(BANDS - 1))).alias("band")
+    keyed = rows.select("id", "signature", band).select("id", "band", F.xxhash64("band", F.expr(f"substring(signature, band * {width} + 1, {width})")).alias("bucket"))
+    buckets = keyed.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").withColumn("blocks", F.ceil(F.col("n") / CELL).cast("int")).drop("n")
+    # signatures go only to buckets of several
+    met = keyed.join(buckets, "bucket").join(rows, "id").withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     met = met.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     cells = met.select("band", "bucket", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), (F.col("own") > F.col("other")).cast("int").alias("second"), "id", "signature")
     order = ["band", "bucket", "p", "q"]
     dealt = cells.repartition(*order).sortWithinPartitions(*order, "second", "id")
 
-    def links(name: str, band: int, p: int, q: int, second: list[int], ids: list[int], marks: list[bytes]) -> pa.RecordBatch:
-        own, sig = np.array(ids, np.int64), np.frombuffer(b"".join(marks), "<u2").reshape(len(ids), -1)
-        half = int(len(ids) - sum(second))  # of a cell of two blocks, rows of the first come first
-        out_a, out_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    def members(name: str, second: list[int], ids: list[int], marks: list[bytes], band: int, one: bool) -> pa.RecordBatch:
+        sig = np.frombuffer(b"".join(marks), "<u2").reshape(len(ids), -1)
+        half = len(ids) - sum(second)  # of a cell of two blocks, rows of the first come first
+        alike = np.zeros(len(ids), bool)
         for i in range(half):
-            rest = np.arange(i + 1 if p == q else half, len(ids))
+            rest = np.arange(i + 1 if one else half, len(ids))
             same = sig[rest] == sig[i]
-            ok = same.sum(axis=1) >= least
-            earlier = same[ok].reshape(-1, BANDS, ROWS)[:, :band].all(axis=2).any(axis=1)
-            hit = own[rest[ok][~earlier]]
-            out_a.append(np.minimum(hit, own[i]))
-            out_b.append(np.maximum(hit, own[i]))
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(out_a)), pa.array(np.concatenate(out_b)), pa.array([name] * sum(map(len, out_a)), pa.string())], ["a", "b", "cell"])
+            ok = np.flatnonzero(same.sum(axis=1) >= least)
+            ok = ok[~same[ok].reshape(-1, BANDS, ROWS)[:, :band].all(axis=2).any(axis=1)]
+            alike[rest[ok]] = True
+            alike[i] |= len(ok) > 0
+        own = np.flatnonzero(alike)
+        return pa.RecordBatch.from_arrays([pa.array([name] * len(own), pa.string()), pa.array([band] * len(own), pa.int32()), pa.array(np.array(second, np.int32)[own]), pa.array(np.array(ids, np.int64)[own])], ["cell", "band", "second", "id"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, second, ids, marks = None, [], [], []
+
+        def out() -> Iterator[pa.RecordBatch]:
+            if len(ids) > 1:
+                yield members(":".join(map(str, now)), second, ids, marks, now[0], now[2] == now[3])
+
         for b in batches:
             for *key, side, key_id, mark in zip(*(b.column(c).to_pylist() for c in (*order, "second", "id", "signature")), strict=True):
                 if key != now:
-                    if len(ids) > 1:
-                        yield links(f"{now[0]}:{now[1].hex()}:{now[2]}:{now[3]}", now[0], now[2], now[3], second, ids, marks)
+                    yield from out()
                     now, second, ids, marks = key, [], [], []
                 second.append(side)
                 ids.append(key_id)
                 marks.append(mark)
-        if len(ids) > 1:
-            yield links(f"{now[0]}:{now[1].hex()}:{now[2]}:{now[3]}", now[0], now[2], now[3], second, ids, marks)
+        yield from out()
 
-    return dealt.mapInArrow(K.releasing(run), "a long, b long, cell string")
+    return dealt.mapInArrow(K.releasing(run), "cell string, band int, second int, id long")
 
 
 def _blocks(docs: DataFrame) -> tuple[DataFrame, int]:

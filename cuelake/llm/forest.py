@@ -276,12 +276,7 @@ def candidate_links(rows: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 
 def linked(sets: list[np.ndarray], percent: int = PERCENT, block: int = 512, half: int = 0) -> np.ndarray:
-    """For each set the first one that links of exact Jaccard connect it with.
-
-    Intersections are counted for a block of rows against all later ones: shingles
-    that many sets share by a matrix product, rarer ones pair by pair. With `half`
-    only the first so many sets are held against only the others.
-    """
+    """For each set the first one that links of exact Jaccard connect it with. With `half` only the first so many sets are held against only the others."""
     m = len(sets)
     if m < 2:
         return np.zeros(m, np.int64)
@@ -289,45 +284,11 @@ def linked(sets: list[np.ndarray], percent: int = PERCENT, block: int = 512, hal
     if m == 2:
         both = len(np.intersect1d(sets[0], sets[1], assume_unique=True))
         return np.array([0, 0 if 100 * both >= percent * (size.sum() - both) else 1])
-    every, owner = np.concatenate(sets), np.repeat(np.arange(m), size)
-    order = np.argsort(every, kind="stable")
-    every, owner = every[order], owner[order]
-    new = np.ones(len(every), bool)
-    new[1:] = every[1:] != every[:-1]
-    start = np.flatnonzero(new)
-    count = np.diff(np.append(start, len(every)))
-    number = np.repeat(np.arange(len(start)), count)
-    many = count > max(8, m // 32)
-    rare = (count > 1) & ~many
-    column = np.cumsum(many) - 1
-    in_many = many[number]
-    d_row, d_col = owner[in_many], column[number[in_many]]
-    width = int(many.sum())
-    r_owner, r_number = owner[rare[number]], number[rare[number]]
     label = np.arange(m)
-    for lo in range(0, half or m, block):
-        hi = min(half or m, lo + block)
-        after = half or lo
-        met = np.zeros((hi - lo, m - after), np.float32)
-        for c in range(0, width, 1024):
-            part = np.flatnonzero((d_col >= c) & (d_col < c + 1024) & (d_row >= lo))
-            dense = np.zeros((m - lo, min(1024, width - c)), np.float32)
-            dense[d_row[part] - lo, d_col[part] - c] = 1
-            met += dense[: hi - lo] @ dense[after - lo :].T
-        # the owners of a shingle are in ascending order; pairs are added where they belong, so that memory is bounded by the block
-        at, delta = np.flatnonzero((r_owner >= lo) & (r_owner < hi)), 1
-        while True:
-            at = at[at + delta < len(r_owner)]
-            at = at[r_number[at] == r_number[at + delta]]
-            if not len(at):
-                break
-            own = at[r_owner[at + delta] >= after]
-            np.add.at(met, (r_owner[own] - lo, r_owner[own + delta] - after), 1)
-            delta += 1
+    for lo, hi, after, met in K.intersections(sets, block, half):
         union = size[lo:hi, None] + size[None, after:] - met
         i, j = np.nonzero(100 * met >= percent * union)
-        i, j = i + lo, j + after
-        label = spanning(m, np.concatenate([i, np.arange(m)]), np.concatenate([j, label]))
+        label = spanning(m, np.concatenate([i + lo, np.arange(m)]), np.concatenate([j + after, label]))
     return label
 
 

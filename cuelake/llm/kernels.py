@@ -245,6 +245,50 @@ class Permutations:
         return out
 
 
+def intersections(sets: list[np.ndarray], block: int = 512, half: int = 0) -> Iterator[tuple[int, int, int, np.ndarray]]:
+    """(lo, hi, after, counts): for a block of sorted distinct sets, lo to hi, the sizes of their intersections with all sets from `after` on.
+
+    Shingles that many sets share are counted by a matrix product, rarer ones pair by
+    pair. With `half` only the first so many sets are held against only the others.
+    """
+    m = len(sets)
+    every, owner = np.concatenate(sets), np.repeat(np.arange(m), [len(s) for s in sets])
+    order = np.argsort(every, kind="stable")
+    every, owner = every[order], owner[order]
+    new = np.ones(len(every), bool)
+    new[1:] = every[1:] != every[:-1]
+    start = np.flatnonzero(new)
+    count = np.diff(np.append(start, len(every)))
+    number = np.repeat(np.arange(len(start)), count)
+    many = count > max(8, m // 32)
+    rare = (count > 1) & ~many
+    column = np.cumsum(many) - 1
+    in_many = many[number]
+    d_row, d_col = owner[in_many], column[number[in_many]]
+    width = int(many.sum())
+    r_owner, r_number = owner[rare[number]], number[rare[number]]
+    for lo in range(0, half or m, block):
+        hi = min(half or m, lo + block)
+        after = half or lo
+        met = np.zeros((hi - lo, m - after), np.float32)
+        for c in range(0, width, 1024):
+            part = np.flatnonzero((d_col >= c) & (d_col < c + 1024) & (d_row >= lo))
+            dense = np.zeros((m - lo, min(1024, width - c)), np.float32)
+            dense[d_row[part] - lo, d_col[part] - c] = 1
+            met += dense[: hi - lo] @ dense[after - lo :].T
+        # the owners of a shingle are in ascending order; pairs are added where they belong, so that memory is bounded by the block
+        at, delta = np.flatnonzero((r_owner >= lo) & (r_owner < hi)), 1
+        while True:
+            at = at[at + delta < len(r_owner)]
+            at = at[r_number[at] == r_number[at + delta]]
+            if not len(at):
+                break
+            own = at[r_owner[at + delta] >= after]
+            np.add.at(met, (r_owner[own] - lo, r_owner[own + delta] - after), 1)
+            delta += 1
+        yield lo, hi, after, met
+
+
 def code_points(raw: np.ndarray) -> np.ndarray:
     """Byte positions at which code points begin."""
     return np.flatnonzero((raw & 0xC0) != 0x80)
