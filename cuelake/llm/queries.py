@@ -7,18 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cuelake.llm import bpe, fingerprints, forest, licenses, mixing, quality, rabitq, rlz, suffixes, urlfilter
+from cuelake.llm import bpe, fingerprints, forest, licenses, merkle, mixing, packing, periodic, quality, rabitq, rlz, suffixes, urlfilter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def vocabulary() -> str:
-    """Where the public byte-level vocabulary lies."""
+def vocabulary(name: str = "byte_bpe_50k.json") -> str:
+    """Where a public vocabulary lies."""
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -187,6 +187,54 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(_table(spark, sf_dir, "documents"), vocabulary())
 
 
+def op11_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.digests(_table(spark, sf_dir, "documents"))
+
+
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verified(_table(spark, sf_dir, "documents"))
+
+
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed_pieces(_table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+
+
+#: op11 in DuckDB SQL: equal grams a period apart, in islands.
+PERIODIC_SQL = r"""
+WITH RECURSIVE checksums AS (
+  SELECT doc_id, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: ascii(c)::BIGINT)),
+    lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), range(8)), lambda x, k: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295) AS h FROM (SELECT DISTINCT doc_id FROM documents)
+), read AS (
+  SELECT d.doc_id, h, h // 10 AS g, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents d LEFT JOIN checksums c ON d.doc_id = c.doc_id
+), loops AS (
+  SELECT doc_id, w, g % len(w) AS a, 1 + (len(w) - g % len(w)) // (3 + g % 8) AS p FROM read WHERE h % 10 = 0 AND len(w) > 0
+), texts AS (
+  SELECT doc_id, w FROM read WHERE NOT (coalesce(h % 10 = 0, false) AND len(w) > 0)
+  UNION ALL SELECT doc_id, list_transform(range(len(w)), lambda i: w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % p END]) FROM loops
+), grams AS (
+  SELECT doc_id, i, md5(array_to_string(w[i + 1:i + 5], ' ')) AS h FROM (SELECT doc_id, w, unnest(range(len(w) - 4)) AS i FROM texts)
+), again AS (
+  SELECT a.doc_id, a.i, b.i - a.i AS q, a.i - row_number() OVER (PARTITION BY a.doc_id, b.i - a.i ORDER BY a.i) AS island FROM grams a JOIN grams b ON a.doc_id = b.doc_id AND a.h = b.h AND a.i < b.i
+), stretches AS (
+  SELECT doc_id, q, min(i) AS start, count(*) + 4 + q AS length FROM again GROUP BY doc_id, q, island HAVING count(*) + 4 + q >= greatest(6, 4 * q)
+), found AS (
+  SELECT doc_id, start, length, min(q) AS period FROM stretches GROUP BY doc_id, start, length
+), told AS (
+  SELECT doc_id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines,
+         arg_min({'start': start, 'length': length, 'period': period}, (-length, start, period)) AS best FROM found GROUP BY doc_id
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM found
+), words AS (
+  SELECT doc_id, i, w[i + 1] AS word FROM (SELECT doc_id, w, unnest(range(len(w))) AS i FROM texts)
+), kept AS (
+  SELECT words.doc_id, string_agg(word, ' ' ORDER BY words.i) AS kept FROM words LEFT JOIN gone ON words.doc_id = gone.doc_id AND words.i = gone.i WHERE gone.i IS NULL GROUP BY 1
+)
+SELECT t.doc_id, coalesce(n_runs, 0) AS n_runs, best.start AS start, best.length AS length, best.period AS period, 1000 * best.length // best.period AS exponent_milli,
+       sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(kept, '')) AS collapsed_sha256
+FROM texts t LEFT JOIN told ON t.doc_id = told.doc_id LEFT JOIN kept ON t.doc_id = kept.doc_id
+"""
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -194,8 +242,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_fingerprints": op1_fingerprints, "op2_rabitq": op2_rabitq, "op3_rlz": op3_rlz, "op4_mixing": op4_mixing, "op5_licenses": op5_licenses, "op6_suffixes": op6_suffixes, "op7_urlfilter": op7_urlfilter, "op8_quality": op8_quality, "op9_forest": op9_forest, "op10_bpe": op10_bpe, "pipeline": pipeline, "near_links": near_links}
+    return {"op1_fingerprints": op1_fingerprints, "op2_rabitq": op2_rabitq, "op3_rlz": op3_rlz, "op4_mixing": op4_mixing, "op5_licenses": op5_licenses, "op6_suffixes": op6_suffixes, "op7_urlfilter": op7_urlfilter, "op8_quality": op8_quality, "op9_forest": op9_forest, "op10_bpe": op10_bpe, "op11_periodic": op11_periodic, "op12_merkle": op12_merkle, "op13_packing": op13_packing, "pipeline": pipeline, "near_links": near_links}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_rlz": RLZ_SQL, "op4_mixing": mixing.ORACLE_SQL, "op5_licenses": licenses.oracle_sql(), "op6_suffixes": SUFFIX_SQL, "op7_urlfilter": URLFILTER_SQL, "op9_forest": FOREST_SQL, "near_links": LINKS_SQL}
+    return {"op3_rlz": RLZ_SQL, "op4_mixing": mixing.ORACLE_SQL, "op5_licenses": licenses.oracle_sql(), "op6_suffixes": SUFFIX_SQL, "op7_urlfilter": URLFILTER_SQL, "op9_forest": FOREST_SQL, "op11_periodic": PERIODIC_SQL, "op12_merkle": merkle.ORACLE_SQL, "near_links": LINKS_SQL}
