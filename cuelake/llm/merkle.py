@@ -32,7 +32,6 @@ from cuelake.llm.store import stored
 
 #: Children of a parent; levels of parents in a block.
 ARITY, LEVELS = 8, 4
-BLOCK = ARITY**LEVELS
 
 PROVEN = "doc_id long, leaf string, claimed string, subroot string, root string, proof array<struct<before:string,after:string>>"
 
@@ -50,19 +49,19 @@ def joined_digest(digests: list[str]) -> str:
 class Block:
     """Partial and closed parents over a block of nodes of a level of `size` nodes. `top` is the block's own node, once it is whole; `rows` has (index, digest, what came with it)."""
 
-    __slots__ = ("size", "partial", "links", "top", "rows")
+    __slots__ = ("size", "levels", "partial", "links", "top", "rows")
 
-    def __init__(self, size: int):
-        self.size, self.partial, self.links, self.top, self.rows = size, {}, {}, None, []
+    def __init__(self, size: int, levels: int = LEVELS):
+        self.size, self.levels, self.partial, self.links, self.top, self.rows = size, levels, {}, {}, None, []
 
     def __reduce__(self):
-        return _restore, (self.size, self.partial, self.links, self.top, self.rows)
+        return _restore, (self.size, self.levels, self.partial, self.links, self.top, self.rows)
 
     def arrive(self, level: int, index: int, digest: str) -> None:
         """An event: a node is whole. Puts it in its partial parent; parents that become whole arrive in turn."""
         while True:
             width = -(-self.size // ARITY**level)
-            if width == 1 or level == LEVELS:
+            if width == 1 or level == self.levels:
                 self.top = digest
                 return
             parent, child = divmod(index, ARITY)
@@ -110,8 +109,8 @@ class Block:
             yield row, path(0, row[0])
 
 
-def _restore(size: int, partial: dict, links: dict, top: str | None, rows: list) -> Block:
-    out = Block(size)
+def _restore(size: int, levels: int, partial: dict, links: dict, top: str | None, rows: list) -> Block:
+    out = Block(size, levels)
     out.partial, out.links, out.top, out.rows = partial, links, top, rows
     return out
 
@@ -130,15 +129,15 @@ def placed(df: DataFrame, group: str, order: list[str]) -> DataFrame:
     return met.select(*df.columns, (F.col("_row") + F.col("_shift")).alias("at"), "size")
 
 
-def rounds(nodes: DataFrame, group_type: str) -> list[DataFrame]:
+def rounds(nodes: DataFrame, group_type: str, levels: int = LEVELS) -> list[DataFrame]:
     """Blocks of each round over nodes (grp, at, size, digest, rest): (grp, block, width, top, state), width being the number of the group's blocks."""
     spark = nodes.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    out = []
+    out, block = [], ARITY**levels
     while True:
-        events = nodes.select("grp", "at", "size", "digest", "rest").rdd.map(lambda r: ((r[0], r[1] // BLOCK), (r[1], r[2], r[3], r[4])))
-        blocks = events.combineByKey(lambda row: Block(row[1]).add(row), Block.add, Block.merge, parts)
-        made = blocks.map(lambda kv: (kv[0][0], kv[0][1], -(-kv[1].size // BLOCK), kv[1].top, pickle.dumps(kv[1], protocol=5)))
+        events = nodes.select("grp", "at", "size", "digest", "rest").rdd.map(lambda r: ((r[0], r[1] // block), (r[1], r[2], r[3], r[4])))
+        blocks = events.combineByKey(lambda row: Block(row[1], levels).add(row), Block.add, Block.merge, parts)
+        made = blocks.map(lambda kv: (kv[0][0], kv[0][1], -(-kv[1].size // block), kv[1].top, pickle.dumps(kv[1], protocol=5)))
         out.append(stored(spark.createDataFrame(made, f"grp {group_type}, block long, width long, top string, state binary", verifySchema=False)))
         nodes = out[-1].where("width > 1").select("grp", F.col("block").alias("at"), F.col("width").alias("size"), F.col("top").alias("digest"), F.lit(None).cast("binary").alias("rest"))
         if nodes.isEmpty():
@@ -173,7 +172,7 @@ def descend(made: list[DataFrame], paths: DataFrame, group_type: str) -> DataFra
     return known
 
 
-def manifest(leaves: DataFrame) -> DataFrame:
+def manifest(leaves: DataFrame, levels: int = LEVELS) -> DataFrame:
     """Proofs for rows (grp string, doc_id, leaf, claimed): leaves of a group in the order of doc_id, null first, then leaf; groups in the order of their bytes, null first.
 
     Returns PROVEN: for each row its leaf, the digest that it is claimed to have, its
@@ -185,13 +184,13 @@ def manifest(leaves: DataFrame) -> DataFrame:
     if own.isEmpty():
         return spark.createDataFrame([], PROVEN)
     rest = F.concat_ws(" ", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.when(F.col("claimed") != F.col("leaf"), F.col("claimed"))).cast("binary")
-    by_group = rounds(placed(own, "grp", ["doc_id", "leaf"]).select("grp", "at", "size", F.col("leaf").alias("digest"), rest.alias("rest")), "string")
+    by_group = rounds(placed(own, "grp", ["doc_id", "leaf"]).select("grp", "at", "size", F.col("leaf").alias("digest"), rest.alias("rest")), "string", levels)
     tops = None
     for blocks in by_group:
         end = blocks.where("width = 1").select(F.lit(0).alias("all"), "grp", "top")
         tops = end if tops is None else tops.union(end)
     over = placed(stored(tops), "all", ["grp"]).select(F.col("all").alias("grp"), "at", "size", F.col("top").alias("digest"), F.encode("grp", "utf-8").alias("rest"))
-    above = rounds(over, "int")
+    above = rounds(over, "int", levels)
     root = above[-1].where("width = 1").first()["top"]
     paths = descend(above, spark.createDataFrame([(0, pickle.dumps((None, root, [])))], "grp int, path binary"), "int")
 
@@ -227,7 +226,7 @@ def manifest(leaves: DataFrame) -> DataFrame:
     return _expand(by_group[0], known).mapInArrow(to_rows, PROVEN)
 
 
-def verified(docs: DataFrame) -> DataFrame:
+def verified(docs: DataFrame, levels: int = LEVELS) -> DataFrame:
     """Every row of documents as a leaf in the tree of its language, checked against its proof; every third text, by the checksum of its id, is claimed in lower case (A-Z). A row without an id is claimed as it is."""
     own = docs.select("doc_id", "source", "lang", "n_chars", "text")
     upper = "".join(map(chr, range(65, 91)))
@@ -235,7 +234,7 @@ def verified(docs: DataFrame) -> DataFrame:
     leaf = row_digest("doc_id", "source", "lang", "n_chars", "text")
     other = F.when(changed & F.col("text").rlike("[A-Z]"), row_digest("doc_id", "source", "lang", "n_chars", F.translate("text", upper, upper.lower())))
     leaves = own.select(F.col("lang").cast("string").alias("grp"), "doc_id", leaf.alias("leaf"), other.alias("other"))
-    proven = manifest(leaves.select("grp", "doc_id", "leaf", F.coalesce("other", "leaf").alias("claimed")))
+    proven = manifest(leaves.select("grp", "doc_id", "leaf", F.coalesce("other", "leaf").alias("claimed")), levels)
     siblings = F.array_join(F.transform("proof", lambda x: F.concat(x["before"], x["after"])), "")
     folded = F.aggregate("proof", F.col("claimed"), lambda now, x: F.sha2(F.concat(x["before"], now, x["after"]).cast("binary"), 256))
     out = proven.select("doc_id", "leaf", "subroot", "root", F.sha2(siblings.cast("binary"), 256).alias("proof_sha256"), folded.alias("folded_root"))
