@@ -437,6 +437,7 @@ la AS (SELECT fr.title_id, fr.pos, idx, e, mx, max(CASE WHEN is_speech AND (stop
     o["fps_constraints"] = f"WITH c({', '.join(names)}) AS (VALUES {_values(schema.CONSTRAINTS)}) SELECT conv_id, r AS raw_fps, {', '.join('c.' + n for n in names[1:])} FROM (SELECT DISTINCT conv_id, ['23.976', '24000/1001', '25', '29.97'][conv_id % 4 + 1] AS r FROM conversations) x JOIN c ON c.lang = 'nl' AND c.fps = CASE WHEN r IN ('25', '29.97') THEN 25 ELSE 24 END"
     o["dual_speaker_share"] = q(_GENRES, f"SELECT title_id, total_cues, dual_cues, permille, genre, permille BETWEEN dual_lo * 10 AND dual_hi * 10 AS in_range FROM (SELECT title_id, count(*) AS total_cues, count(*) FILTER (WHERE {_dual('text')}) AS dual_cues, count(*) FILTER (WHERE {_dual('text')}) * 1000 // count(*) AS permille FROM cues GROUP BY 1), genres")
     o["parse_srt"] = q("", f"SELECT title_id, pos, idx, start_ms, end_ms, {_rstrip('text')} AS text FROM cues")
+    o["srt_files"] = q("", f"SELECT title_id, 'en' AS lang, pos, idx, start_ms, end_ms, {_rstrip('text')} AS text FROM cues UNION ALL SELECT title_id, 'pt-br', pos, idx, start_ms, end_ms, {_rstrip('text')} FROM nl")
     o["parse_errors"] = q("", "SELECT title_id, pos::INT AS block, CASE WHEN pos % 7 = 0 THEN 'Insufficient lines' WHEN pos % 3 = 0 THEN 'Invalid index' ELSE 'Invalid timecode' END AS reason FROM en WHERE pos % 7 = 0 OR pos % 3 = 0 OR pos % 5 = 0")
     o["render_srt"] = q("", f"SELECT title_id, md5(c) AS digest, length(c)::INT AS n FROM (SELECT title_id, chr(65279) || string_agg({block}, chr(13) || chr(10) ORDER BY pos) AS c FROM cues GROUP BY 1)")
     o["extract_range"] = q("", "SELECT t.title_id, v.idx, c.pos, c.text, c.pos IS NOT NULL AS found FROM (SELECT DISTINCT title_id FROM cues) t CROSS JOIN (VALUES (10), (11), (12), (40), (55), (100)) v(idx) LEFT JOIN (SELECT title_id, idx, max(pos) AS pos, arg_max(text, pos) AS text FROM cues GROUP BY 1, 2) c ON t.title_id = c.title_id AND v.idx = c.idx")

@@ -12,7 +12,7 @@ from cuelake.functions import linebreak, spoken
 from cuelake.functions import text as T
 from cuelake.operators import asof, match, merge, pairs, rules, speech, stats, timing
 from cuelake.plans import adapters, oracles
-from cuelake.sources import srt
+from cuelake.sources import files, shared, srt
 from cuelake.streaming import ingest
 
 CREDIT = "Vertaald met zorg"
@@ -146,6 +146,16 @@ def parse_srt(s: SparkSession, d: str) -> DataFrame:
     return srt.parse(srt.render(adapters.cues(s, d)))
 
 
+@query
+def srt_files(s: SparkSession, d: str) -> DataFrame:
+    """Both versions written as files under their own names, and read again."""
+    s.dataSource.register(files.SrtFiles)
+    folder = shared.new_folder(s, "srt")
+    both = adapters.cues(s, d).withColumn("lang", F.lit("en")).unionByName(adapters.nl_cues(s, d).withColumn("lang", F.lit("pt-br")))
+    files.in_files(both).write.format("srt").mode("append").save(folder)
+    return s.read.format("srt").load(folder)
+
+
 @query
 def parse_errors(s: SparkSession, d: str) -> DataFrame:
     return _unreadable(s, d).select("title_id", (F.col("block_no") + 1).alias("block"), "reason")

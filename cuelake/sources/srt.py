@@ -30,13 +30,16 @@ def decoded_windows(content: Column) -> Column:
     return F.when(F.is_valid_utf8(content.cast("string")) | latin.rlike(f"[{_UNUSED}]"), latin).otherwise(own)
 
 
-def read_files(spark: SparkSession, path: str, windows: bool = False) -> DataFrame:
-    """(folder, title_id, lang, content) of every .srt file: title_id is the file's name without language and ending, lang the two letters before the ending, or null."""
+_LANG = "[a-z]{2,3}(?:-[a-z0-9]{2,4})?"
+
+
+def read_files(spark: SparkSession, path: str | list[str], windows: bool = False) -> DataFrame:
+    """(folder, title_id, lang, content) of every .srt file: title_id is the file's name without language and ending, lang the two or three letters before the ending, with a region or script perhaps, or null."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.srt").load(path)
     parts = F.split("path", "/")
     file, folder = F.element_at(parts, -1), F.array_join(F.slice(parts, 1, F.size(parts) - 1), "/")
-    lang = F.nullif(F.regexp_extract(file, r"\.([a-z]{2})\.srt$", 1), F.lit(""))
-    name = F.regexp_replace(file, r"(\.[a-z]{2})?\.srt$", "")
+    lang = F.nullif(F.regexp_extract(file, rf"\.({_LANG})\.srt$", 1), F.lit(""))
+    name = F.regexp_replace(file, rf"(\.{_LANG})?\.srt$", "")
     return files.select(folder.alias("folder"), name.alias("title_id"), lang.alias("lang"), (decoded_windows(F.col("content")) if windows else decoded(F.col("content"))).alias("content"))
 
 
