@@ -482,6 +482,24 @@ la AS (SELECT fr.title_id, fr.pos, idx, e, mx, max(CASE WHEN is_speech AND (stop
     o["title_card_union"] = q(_CARDS, "SELECT title_id, row_number() OVER (PARTITION BY title_id ORDER BY start_ms, k, pos)::INT AS idx, start_ms, end_ms, text FROM (SELECT 0 AS k, title_id, pos, start_ms, end_ms, text FROM en UNION ALL SELECT 1, title_id, pos, start_ms, end_ms, '[TITLE CARD: \"' || text || '\"]' FROM cards)")
     o["smooth_speech"] = q(_SPEECH, "SELECT title_id, is_speech, first_frame, end_frame FROM smoothed")
     o["speech_segments"] = q(_SPEECH, "SELECT * FROM segs")
+    offsets = """off AS (
+  SELECT title_id, pos, start_ms - (title_id::BIGINT * 7919 % 40001 - 20000) AS cs, end_ms - (title_id::BIGINT * 7919 % 40001 - 20000) AS ce FROM en
+), voted AS (
+  SELECT c.title_id, floor((s.start_ms - cs) / 200)::BIGINT AS bin, count(*) AS votes FROM off c JOIN segs s ON c.title_id = s.title_id AND abs(s.start_ms - cs) <= 60000 GROUP BY 1, 2
+), cand AS (
+  SELECT * FROM voted QUALIFY row_number() OVER (PARTITION BY title_id ORDER BY votes DESC, abs(bin), bin) <= 3
+), near AS (
+  SELECT k.title_id, bin, votes, cs, ce, s.start_ms AS ss, s.end_ms AS se FROM cand k JOIN off c ON k.title_id = c.title_id JOIN segs s ON k.title_id = s.title_id AND cs + bin * 200 - 600 < s.end_ms AND ce + bin * 200 + 600 > s.start_ms
+), tried AS (
+  SELECT DISTINCT title_id, bin, votes, at_ms FROM (SELECT title_id, bin, votes, unnest([bin * 200 - 600, bin * 200 + 600, ss - ce, ss - cs, se - ce, se - cs]) AS at_ms FROM near) WHERE at_ms BETWEEN bin * 200 - 600 AND bin * 200 + 600
+), measured AS (
+  SELECT t.title_id, t.bin, t.votes, at_ms, sum(greatest(0, least(ce + at_ms, se) - greatest(cs + at_ms, ss)))::BIGINT AS overlap_ms FROM tried t JOIN near n ON t.title_id = n.title_id AND t.bin = n.bin GROUP BY 1, 2, 3, 4
+), offs AS (
+  SELECT title_id, at_ms AS offset_ms, overlap_ms, overlap_ms * 1000 // (SELECT sum(ce - cs) FROM off o WHERE o.title_id = m.title_id)::BIGINT AS score, votes FROM measured m
+  QUALIFY row_number() OVER (PARTITION BY title_id ORDER BY overlap_ms DESC, abs(at_ms), at_ms, votes DESC, abs(bin), bin) = 1
+)"""
+    o["title_offsets"] = q(f"{_SPEECH}, {offsets}", "SELECT * FROM offs")
+    o["offset_applied"] = q(f"{_SPEECH}, {offsets}", "SELECT off.title_id, pos, greatest(0, cs + coalesce(offset_ms, 0)) AS start_ms, greatest(0, ce + coalesce(offset_ms, 0)) AS end_ms, coalesce(offset_ms, 0) AS offset_ms FROM off LEFT JOIN offs ON off.title_id = offs.title_id AND score >= 300")
     o["trim_to_speech"] = q(f"{_SPEECH}, {_TRIM}", "SELECT * FROM decisions")
     o["trim_summary"] = q(f"{_SPEECH}, {_TRIM}", "SELECT action, reason, count(*) AS n, sum(trim_ms)::BIGINT AS total_trim_ms, row_number() OVER (ORDER BY count(*) DESC, action, reason NULLS FIRST)::INT AS rank FROM decisions GROUP BY 1, 2")
     o["speech_extension"] = q(ext, "SELECT title_id, pos, idx, e AS old_end_ms, least(se + 100, mx) AS new_end_ms, least(se + 100, mx) - e AS extension_ms FROM la WHERE se > e AND least(se + 100, mx) - e > 50")

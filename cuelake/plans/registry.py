@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from cuelake import schema
 from cuelake.functions import linebreak, spoken
 from cuelake.functions import text as T
-from cuelake.operators import asof, match, merge, pairs, rules, speech, stats, timing
+from cuelake.operators import asof, match, merge, offset, pairs, rules, speech, stats, timing
 from cuelake.plans import adapters, oracles
 from cuelake.sources import files, shared, srt
 from cuelake.streaming import ingest
@@ -394,6 +394,23 @@ def speech_segments(s: SparkSession, d: str) -> DataFrame:
     return _spoken(s, d)
 
 
+def _misplaced(s: SparkSession, d: str) -> DataFrame:
+    """Cues of titles that are off by up to 20 seconds, each by its own time."""
+    off = (F.col("title_id").cast("bigint") * 7919) % 40001 - 20000
+    return adapters.en_cues(s, d).withColumn("start_ms", F.col("start_ms") - off).withColumn("end_ms", F.col("end_ms") - off)
+
+
+@query
+def title_offsets(s: SparkSession, d: str) -> DataFrame:
+    return offset.offsets(_misplaced(s, d), _spoken(s, d))
+
+
+@query
+def offset_applied(s: SparkSession, d: str) -> DataFrame:
+    own = _misplaced(s, d)
+    return offset.apply(own, offset.offsets(own, _spoken(s, d)), 300).select(*_KEY, "start_ms", "end_ms", "offset_ms")
+
+
 @query
 def trim_to_speech(s: SparkSession, d: str) -> DataFrame:
     return speech.trim(adapters.en_cues(s, d), _spoken(s, d))
