@@ -26,12 +26,28 @@ def joined_text(one: Column, two: Column, speaker_change: Column, width: int, mo
 
 def merge_cues(cues: DataFrame, gap_threshold_ms: int = 1000, max_duration_ms: int = NL["max_duration_ms"], most_lines: int = 2, width: int = 42) -> DataFrame:
     """(title_id, idx, start_ms, end_ms, text, source_count, source_indices, source_timecodes, gap_ms, combined_duration_ms): one row for each cue that comes out; source_count over 1 where cues were merged."""
-    own = cues.withColumn("m", T.marker(F.col("text"))).withColumn("clean", T.unmarked(F.col("text")))
+    own = marked(cues)
     gap = F.col("start_ms") - F.lag("end_ms").over(by_pos())
     own = own.withColumn("breaks", (F.coalesce(gap > gap_threshold_ms, F.lit(True)) | (F.col("m") == "NM")).cast("int"))
     own = own.withColumn("run", F.sum("breaks").over(by_pos()))
     runs = own.groupBy("title_id", "run").agg(F.array_sort(F.collect_list(F.struct("pos", "idx", "start_ms", "end_ms", "m", "clean"))).alias("c"))
+    out = fold_runs(runs.select("title_id", "c"), max_duration_ms, most_lines, width)
+    number = F.row_number().over(Window.partitionBy("title_id").orderBy("first_pos"))
+    return out.select("title_id", number.alias("idx"), "start_ms", "end_ms", "text", "source_count", "source_indices", "source_timecodes", "gap_ms", (F.col("end_ms") - F.col("start_ms")).alias("combined_duration_ms"))
+
+
+#: A run: what merging needs of cues between which no gap and no marker breaks.
+RUN = "array<struct<pos: bigint, idx: int, start_ms: bigint, end_ms: bigint, m: string, clean: string>>"
+
 
+def marked(cues: DataFrame) -> DataFrame:
+    """Cues with their marker, `m`, and their text without it, `clean`."""
+    return cues.withColumn("m", T.marker(F.col("text"))).withColumn("clean", T.unmarked(F.col("text")))
+
+
+def fold_runs(runs: DataFrame, max_duration_ms: int = NL["max_duration_ms"], most_lines: int = 2, width: int = 42) -> DataFrame:
+    """Merged cues of rows with a run, `c` (RUN): first_pos tells which cue comes first; other columns pass. A row by itself, so that it works on a stream, too."""
+    rest = [c for c in runs.columns if c != "c"]
     # the open group is all that a step needs; where a group begins is noted, and its figures are taken from its cues afterwards
     state = "struct<start_ms: bigint, text: string, n: int, begins: array<int>, texts: array<string>>"
 
@@ -49,16 +65,14 @@ def merge_cues(cues: DataFrame, gap_threshold_ms: int = 1000, max_duration_ms: i
     empty = F.struct(F.lit(None).cast("bigint"), F.lit(None).cast("string"), F.lit(0), F.array().cast("array<int>"), F.array().cast("array<string>")).cast(state)
     folded = runs.withColumn("c", F.transform("c", lambda x, i: x.withField("at", i + 1))).withColumn("s", F.aggregate("c", empty, step))
     folded = folded.withColumn("texts", F.concat("s.texts", F.array("s.text"))).withColumn("begins", F.col("s.begins"))
-    groups = folded.select("title_id", "c", "begins", F.posexplode("texts").alias("g", "text"))
+    groups = folded.select(*rest, "c", "begins", F.posexplode("texts").alias("g", "text"))
     begin, after = F.element_at("begins", F.col("g") + 1), F.coalesce(F.try_element_at("begins", F.col("g") + 2), F.size("c") + 1)
-    groups = groups.select("title_id", "text", F.slice("c", begin, after - begin).alias("c"))
+    groups = groups.select(*rest, "text", F.slice("c", begin, after - begin).alias("c"))
     first, last, n = F.element_at("c", 1), F.element_at("c", -1), F.size("c")
-    number = F.row_number().over(Window.partitionBy("title_id").orderBy("first_pos"))
-    out = groups.select(
-        "title_id", first["pos"].alias("first_pos"), first["start_ms"].alias("start_ms"), last["end_ms"].alias("end_ms"), "text", n.alias("source_count"), F.transform("c", lambda x: x["idx"]).alias("source_indices"),
+    return groups.select(
+        *rest, first["pos"].alias("first_pos"), first["start_ms"].alias("start_ms"), last["end_ms"].alias("end_ms"), "text", n.alias("source_count"), F.transform("c", lambda x: x["idx"]).alias("source_indices"),
         F.transform("c", lambda x: F.struct(x["start_ms"].alias("start_ms"), x["end_ms"].alias("end_ms"))).alias("source_timecodes"), F.when(n > 1, F.try_element_at("c", F.lit(2))["start_ms"] - first["end_ms"]).otherwise(0).alias("gap_ms"),
     )
-    return out.select("title_id", number.alias("idx"), "start_ms", "end_ms", "text", "source_count", "source_indices", "source_timecodes", "gap_ms", (F.col("end_ms") - F.col("start_ms")).alias("combined_duration_ms"))
 
 
 def drop_trivial(cues: DataFrame) -> DataFrame:

@@ -469,6 +469,8 @@ la AS (SELECT fr.title_id, fr.pos, idx, e, mx, max(CASE WHEN is_speech AND (stop
         f"{_SEGMENTS}, said AS (SELECT x.title_id, x.idx, we, start_ms, ws, count(f) AS wf, ws + 10 * min(f) AS s FROM framed x LEFT JOIN heard h ON x.title_id = h.title_id AND x.idx = h.idx GROUP BY 1, 2, 3, 4, 5), told AS (SELECT title_id, count(*) AS total_cues, count(*) FILTER (WHERE short) AS skipped_short, count(*) FILTER (WHERE NOT short AND wf * 2 < we) AS skipped_confidence FROM (SELECT *, we < 2 OR wf = 0 OR abs(s - start_ms) > 3000 AS short FROM said) GROUP BY 1), moved AS (SELECT title_id, count(*) AS aligned, count(*) FILTER (WHERE significant) AS significant_n, {deltas}, {means} FROM corr GROUP BY 1)",
         "SELECT t.title_id, total_cues, coalesce(aligned, 0) AS aligned, skipped_short, skipped_confidence, coalesce(significant_n, 0) AS significant, start_min, start_max, end_min, end_max, start_avg, end_avg FROM told t LEFT JOIN moved m ON t.title_id = m.title_id",
     )
+    o["stream_merge"] = q(_MERGED, "SELECT title_id, false AS late, start_ms, end_ms, text, source_count, sources, gap_ms FROM merged")
+    o["resumable_batches"] = q("", f"SELECT title_id, pos, start_ms - lag(end_ms) OVER w AS gap_ms, ({' + '.join(f'coalesce((lag(text, {k}) OVER w = text)::INT, 0)' for k in (1, 2, 3))}) AS repeats FROM cues WINDOW w AS (PARTITION BY title_id ORDER BY pos)")
     o["merge_cues"] = q(_MERGED, "SELECT * FROM merged")
     merge_agg = "SELECT title_id, sum(source_count)::BIGINT AS source_cues, count(*) AS output_cues, count(*) FILTER (WHERE source_count > 1) AS merges, coalesce(sum(source_count) FILTER (WHERE source_count > 1), 0)::BIGINT AS cues_merged, (count(*) * 1000 // sum(source_count))::BIGINT AS ratio_permille FROM merged GROUP BY 1"
     o["merge_report_cues"] = q(_MERGED, "SELECT title_id, idx, text, CASE WHEN source_count > 1 THEN source_count END AS source_count, CASE WHEN source_count > 1 THEN sources END AS sources, CASE WHEN source_count > 1 THEN gap_ms END AS gap_ms FROM merged")

@@ -13,7 +13,7 @@ from cuelake.functions import text as T
 from cuelake.operators import asof, match, merge, offset, pairs, rules, speech, stats, timing
 from cuelake.plans import adapters, oracles
 from cuelake.sources import files, shared, srt
-from cuelake.streaming import ingest
+from cuelake.streaming import batches, ingest, merging
 
 CREDIT = "Vertaald met zorg"
 _KEY = ["title_id", "pos"]
@@ -327,6 +327,37 @@ def merge_report_cues(s: SparkSession, d: str) -> DataFrame:
     return told.select("title_id", "idx", "text", "source_count", F.array_join(F.col("source_indices").cast("array<string>"), ",").alias("sources"), "gap_ms")
 
 
+@query
+def stream_merge(s: SparkSession, d: str) -> DataFrame:
+    """Merging over a stream in which cues come out of order, in three batches; a cue of another title, an hour later, lets all runs close."""
+    folder = shared.new_folder(s, "stream")
+    own = adapters.marked_cues(s, d).withColumn("arrived", F.timestamp_seconds(F.lit(1_700_000_000) + F.col("pos") * 7919 % 60))
+    own.repartition(3, F.xxhash64("title_id", "pos")).write.parquet(f"{folder}/in")
+    later = [("clock", 1, 1, 0, 1, "x", 1_700_003_600)]
+    s.createDataFrame(later, "title_id string, pos bigint, idx int, start_ms bigint, end_ms bigint, text string, at bigint").select("*", F.timestamp_seconds("at").alias("arrived")).drop("at").write.mode("append").parquet(f"{folder}/in")
+    key, before = "spark.sql.streaming.stateStore.providerClass", s.conf.get("spark.sql.streaming.stateStore.providerClass", None)
+    s.conf.set(key, merging.PROVIDER)
+    try:
+        stream = s.readStream.schema(own.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
+        merging.merge_stream(stream).writeStream.format("parquet").option("checkpointLocation", f"{folder}/state").option("path", f"{folder}/out").trigger(availableNow=True).start().awaitTermination()
+    finally:
+        s.conf.unset(key) if before is None else s.conf.set(key, before)
+    merged = s.read.parquet(f"{folder}/out").where("title_id <> 'clock'")
+    return merged.select("title_id", "late", "start_ms", "end_ms", "text", "source_count", F.array_join(F.col("source_indices").cast("array<string>"), ",").alias("sources"), "gap_ms")
+
+
+@query
+def resumable_batches(s: SparkSession, d: str) -> DataFrame:
+    """Gaps and repeats over the borders of batches: titles come in three parts, each batch sees the last cues before it."""
+    folder, part = shared.new_folder(s, "batches"), F.least(F.lit(2), F.floor((F.col("pos") - 1) / 40))
+    own = adapters.cues(s, d)
+    for k in range(3):
+        own.where(part == k).write.mode("append").parquet(f"{folder}/in")
+    files_a_batch = s.conf.get("spark.sql.shuffle.partitions")
+    batches.run(s.readStream.schema(own.schema).option("maxFilesPerTrigger", files_a_batch).parquet(f"{folder}/in"), folder, batches.continuity)
+    return batches.results(s, folder).select("title_id", "pos", "gap_ms", "repeats")
+
+
 # matching
 
 
