@@ -44,19 +44,24 @@ def summary(cues: DataFrame, violations: DataFrame, drift: DataFrame | None = No
 def merges(merged: DataFrame) -> DataFrame:
     """Cues before and after, and the ratio in tenths of a percent, for each title."""
     own = merged.groupBy("title_id").agg(F.sum("source_count").alias("source_cues"), F.count("*").alias("output_cues"), F.count_if(F.col("source_count") > 1).alias("merges"), F.sum(F.when(F.col("source_count") > 1, F.col("source_count")).otherwise(0)).alias("cues_merged"))
-    return own.withColumn("ratio_permille", F.floor(F.col("output_cues") * 1000 / F.col("source_cues")).cast("bigint"))
+    return own.withColumn("ratio_permille", permille(F.col("output_cues"), F.col("source_cues")))
 
 
-def in_genre_ranges(rows: DataFrame, genres: DataFrame, permille: str, lo: str, hi: str) -> DataFrame:
-    """rows with each genre and whether their share is in its range. The genres are a fixed table of four rows."""
+def permille(part: Column, whole: Column) -> Column:
+    """Tenths of a percent, rounded, halves to even; null of nothing."""
+    return F.when(whole > 0, F.bround(part * 1000 / whole)).cast("bigint")
+
+
+def in_genre_ranges(rows: DataFrame, genres: DataFrame, part: str, whole: str, lo: str, hi: str) -> DataFrame:
+    """rows with each genre and whether part of whole is in its range of percent, exactly, not as it is rounded. The genres are a fixed table of four rows."""
     ranges = genres.select("genre", lo, hi).withColumn("_one", F.lit(1))
-    share = F.col(permille)
-    return rows.withColumn("_one", F.lit(1)).join(F.broadcast(ranges), "_one").drop("_one").withColumn("in_range", (share >= F.col(lo) * 10) & (share <= F.col(hi) * 10)).drop(lo, hi)
+    hundredfold = F.col(part) * 100
+    return rows.withColumn("_one", F.lit(1)).join(F.broadcast(ranges), "_one").drop("_one").withColumn("in_range", (hundredfold >= F.col(lo) * F.col(whole)) & (hundredfold <= F.col(hi) * F.col(whole))).drop(lo, hi)
 
 
 def dual_speakers(cues: DataFrame) -> DataFrame:
     own = cues.groupBy("title_id").agg(F.count("*").alias("total_cues"), F.count_if(T.is_dual_speaker(F.col("text"))).alias("dual_cues"))
-    return own.withColumn("permille", F.floor(F.col("dual_cues") * 1000 / F.col("total_cues")).cast("bigint"))
+    return own.withColumn("permille", permille(F.col("dual_cues"), F.col("total_cues")))
 
 
 def trims(decisions: DataFrame) -> DataFrame:
@@ -65,6 +70,23 @@ def trims(decisions: DataFrame) -> DataFrame:
     return own.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("n"), "action", F.asc_nulls_first("reason"))))
 
 
+def trim_titles(decisions: DataFrame) -> DataFrame:
+    """Cues of each title by what trimming did, the time it took off in all and on average, and why cues were left, the most frequent reason first."""
+    counted = decisions.groupBy("title_id", "action", "reason").agg(F.count("*").alias("n"), F.coalesce(F.sum("trim_ms"), F.lit(0)).cast("bigint").alias("ms"))
+
+    def of(*actions: str) -> Column:
+        return F.when(F.col("action").isin(*actions), F.col("n")).otherwise(0)
+
+    cut = F.col("action").isin("trim", "partial_trim")
+    skipped = F.when((F.col("action") == "skip") & F.col("reason").isNotNull(), F.struct((-F.col("n")).alias("n"), "reason"))
+    own = counted.groupBy("title_id").agg(
+        F.sum("n").alias("total_cues"), F.sum(of("trim")).alias("full_trims"), F.sum(of("partial_trim")).alias("partial_trims"), F.sum(of("skip")).alias("skipped"), F.sum(F.when(cut, F.col("ms")).otherwise(0)).alias("total_trim_ms"),
+        F.array_sort(F.collect_list(skipped)).alias("reasons"),  # one for each reason
+    )
+    told = F.array_join(F.transform("reasons", lambda r: F.concat(r["reason"], F.lit(": "), (-r["n"]).cast("string"))), ", ")
+    return own.withColumn("avg_trim_ms", average(F.col("total_trim_ms"), F.col("full_trims") + F.col("partial_trims"))).withColumn("skip_reasons", told).drop("reasons")
+
+
 def average(total: Column, n: Column) -> Column:
     """A mean rounded to a whole number, halves to even; null of nothing."""
     return F.when(n > 0, F.bround(total / n)).cast("bigint")
@@ -111,7 +133,7 @@ def timing_quality(analyzed: DataFrame, found: DataFrame) -> DataFrame:
     met = analyzed.join(worst, ["title_id", "pos"], "left")
     sd, ed = F.col("start_delta_ms"), F.col("end_delta_ms")
     own = met.groupBy("title_id").agg(
-        F.count("*").alias("analyzed"), F.count("worst").alias("flagged"), F.sum(sd).alias("start_delta_sum"), F.count(sd).alias("_starts"), F.count(ed).alias("_ends"),
+        F.count("*").alias("analyzed"), F.count("worst").alias("flagged"), F.sum(sd).alias("start_delta_sum"), F.min(sd).alias("start_delta_min"), F.max(sd).alias("start_delta_max"), F.count(sd).alias("_starts"), F.count(ed).alias("_ends"),
         F.count_if(F.col("worst") == 3).alias("high"), F.count_if(F.col("worst") == 2).alias("medium"), F.count_if(F.col("worst") == 1).alias("low"), F.sum(ed).alias("end_delta_sum"), F.min(ed).alias("end_delta_min"), F.max(ed).alias("end_delta_max"),
         F.count_if((sd > 0) & (sd <= 200)).alias("ideal"), F.count_if(sd <= 0).alias("without"), F.count_if("missing").alias("missing"),
     )
@@ -122,15 +144,16 @@ def timing_quality(analyzed: DataFrame, found: DataFrame) -> DataFrame:
 def pair_totals(groups: DataFrame) -> DataFrame:
     """Cues of both versions, their ratio in tenths of a percent, and groups, for each title."""
     own = groups.groupBy("title_id").agg(F.sum("en_count").alias("en_cues"), F.sum("nl_count").alias("nl_cues"), F.count("*").alias("groups"))
-    return own.withColumn("ratio_permille", F.when(F.col("en_cues") > 0, F.floor(F.col("nl_cues") * 1000 / F.col("en_cues"))).otherwise(0).cast("bigint"))
+    return own.withColumn("ratio_permille", F.coalesce(permille(F.col("nl_cues"), F.col("en_cues")), F.lit(0).cast("bigint")))
 
 
 def pair_distribution(groups: DataFrame, categories: DataFrame) -> DataFrame:
-    """(title_id, kind, name, n, rank): mapping types and categories of each title, the most frequent first."""
+    """(title_id, kind, name, n, percent, rank): mapping types and categories of each title, the most frequent first, and how many of its groups have them, in percent."""
     kinds = groups.select("title_id", F.lit("mapping").alias("kind"), F.col("merge_type").alias("name"))
     kinds = kinds.unionByName(categories.select("title_id", F.lit("category").alias("kind"), F.col("category").alias("name")))
     own = kinds.groupBy("title_id", "kind", "name").agg(F.count("*").alias("n"))
-    return own.withColumn("rank", F.row_number().over(Window.partitionBy("title_id", "kind").orderBy(F.desc("n"), "name")))
+    of_title = F.sum(F.when(F.col("kind") == "mapping", F.col("n"))).over(Window.partitionBy("title_id"))
+    return own.withColumn("percent", F.bround(F.col("n") * 100 / of_title).cast("bigint")).withColumn("rank", F.row_number().over(Window.partitionBy("title_id", "kind").orderBy(F.desc("n"), "name")))
 
 
 def condensation(groups: DataFrame) -> DataFrame:

@@ -435,7 +435,7 @@ la AS (SELECT fr.title_id, fr.pos, idx, e, mx, max(CASE WHEN is_speech AND (stop
     o["imdb_id"] = "SELECT DISTINCT conv_id, CASE WHEN conv_id % 2 = 0 THEN lpad((conv_id * 7919 % 10000000)::VARCHAR, 7, '0') ELSE '' END AS imdb_id, CASE WHEN conv_id % 2 = 0 THEN 'Film ' || conv_id || ' [IMDB-tt' || lpad((conv_id * 7919 % 10000000)::VARCHAR, 7, '0') || ']' ELSE 'Film ' || conv_id END AS source_name, 'Film ' || conv_id || CASE WHEN conv_id % 2 = 0 THEN ' [IMDB-tt' || lpad((conv_id * 7919 % 10000000)::VARCHAR, 7, '0') || ']' ELSE ' [Bluray-1080p]' END || '.nl.srt' AS output_name FROM conversations"
     names = [c.split()[0] for c in schema.CONSTRAINTS_SCHEMA.split(", ")]
     o["fps_constraints"] = f"WITH c({', '.join(names)}) AS (VALUES {_values(schema.CONSTRAINTS)}) SELECT conv_id, r AS raw_fps, {', '.join('c.' + n for n in names[1:])} FROM (SELECT DISTINCT conv_id, ['23.976', '24000/1001', '25', '29.97'][conv_id % 4 + 1] AS r FROM conversations) x JOIN c ON c.lang = 'nl' AND c.fps = CASE WHEN r IN ('25', '29.97') THEN 25 ELSE 24 END"
-    o["dual_speaker_share"] = q(_GENRES, f"SELECT title_id, total_cues, dual_cues, permille, genre, permille BETWEEN dual_lo * 10 AND dual_hi * 10 AS in_range FROM (SELECT title_id, count(*) AS total_cues, count(*) FILTER (WHERE {_dual('text')}) AS dual_cues, count(*) FILTER (WHERE {_dual('text')}) * 1000 // count(*) AS permille FROM cues GROUP BY 1), genres")
+    o["dual_speaker_share"] = q(_GENRES, f"SELECT title_id, total_cues, dual_cues, permille, genre, dual_cues * 100 BETWEEN dual_lo * total_cues AND dual_hi * total_cues AS in_range FROM (SELECT title_id, count(*) AS total_cues, count(*) FILTER (WHERE {_dual('text')}) AS dual_cues, round_even(count(*) FILTER (WHERE {_dual('text')}) * 1000 / count(*), 0)::BIGINT AS permille FROM cues GROUP BY 1), genres")
     o["parse_srt"] = q("", f"SELECT title_id, pos, idx, start_ms, end_ms, {_rstrip('text')} AS text FROM cues")
     o["srt_files"] = q("", f"SELECT title_id, 'en' AS lang, pos, idx, start_ms, end_ms, {_rstrip('text')} AS text FROM cues UNION ALL SELECT title_id, 'pt-br', pos, idx, start_ms, end_ms, {_rstrip('text')} FROM nl")
     o["parse_errors"] = q("", "SELECT title_id, pos::INT AS block, CASE WHEN pos % 7 = 0 THEN 'Insufficient lines' WHEN pos % 3 = 0 THEN 'Invalid index' ELSE 'Invalid timecode' END AS reason FROM en WHERE pos % 7 = 0 OR pos % 3 = 0 OR pos % 5 = 0")
@@ -472,9 +472,9 @@ la AS (SELECT fr.title_id, fr.pos, idx, e, mx, max(CASE WHEN is_speech AND (stop
     o["stream_merge"] = q(_MERGED, "SELECT title_id, false AS late, start_ms, end_ms, text, source_count, sources, gap_ms FROM merged")
     o["resumable_batches"] = q("", f"SELECT title_id, pos, start_ms - lag(end_ms) OVER w AS gap_ms, ({' + '.join(f'coalesce((lag(text, {k}) OVER w = text)::INT, 0)' for k in (1, 2, 3))}) AS repeats FROM cues WINDOW w AS (PARTITION BY title_id ORDER BY pos)")
     o["merge_cues"] = q(_MERGED, "SELECT * FROM merged")
-    merge_agg = "SELECT title_id, sum(source_count)::BIGINT AS source_cues, count(*) AS output_cues, count(*) FILTER (WHERE source_count > 1) AS merges, coalesce(sum(source_count) FILTER (WHERE source_count > 1), 0)::BIGINT AS cues_merged, (count(*) * 1000 // sum(source_count))::BIGINT AS ratio_permille FROM merged GROUP BY 1"
+    merge_agg = "SELECT title_id, sum(source_count)::BIGINT AS source_cues, count(*) AS output_cues, count(*) FILTER (WHERE source_count > 1) AS merges, coalesce(sum(source_count) FILTER (WHERE source_count > 1), 0)::BIGINT AS cues_merged, round_even(count(*) * 1000 / sum(source_count), 0)::BIGINT AS ratio_permille FROM merged GROUP BY 1"
     o["merge_report_cues"] = q(_MERGED, "SELECT title_id, idx, text, CASE WHEN source_count > 1 THEN source_count END AS source_count, CASE WHEN source_count > 1 THEN sources END AS sources, CASE WHEN source_count > 1 THEN gap_ms END AS gap_ms FROM merged")
-    o["merge_stats"] = q(f"{_MERGED}, {_GENRES}", f"SELECT x.*, genre, ratio_permille BETWEEN ratio_lo * 10 AND ratio_hi * 10 AS in_range FROM ({merge_agg}) x, genres")
+    o["merge_stats"] = q(f"{_MERGED}, {_GENRES}", f"SELECT x.*, genre, output_cues * 100 BETWEEN ratio_lo * source_cues AND ratio_hi * source_cues AS in_range FROM ({merge_agg}) x, genres")
     o["nearest_transition"] = q(_events_near(), "SELECT user_id, event_id, ms, CASE WHEN abs(near - ms) <= 3600000 THEN near END AS nearest_ms, CASE WHEN abs(near - ms) <= 3600000 THEN abs(near - ms) END AS distance_ms FROM f", base=False)
     o["match_proximity"] = q(_PROX, "SELECT * FROM prox")
     o["draft_mapping"] = q(_DRAFTS, "SELECT * FROM draft_rows")
@@ -503,6 +503,12 @@ la AS (SELECT fr.title_id, fr.pos, idx, e, mx, max(CASE WHEN is_speech AND (stop
     o["title_offsets"] = q(f"{_SPEECH}, {offsets}", "SELECT * FROM offs")
     o["offset_applied"] = q(f"{_SPEECH}, {offsets}", "SELECT off.title_id, pos, greatest(0, cs + coalesce(offset_ms, 0)) AS start_ms, greatest(0, ce + coalesce(offset_ms, 0)) AS end_ms, coalesce(offset_ms, 0) AS offset_ms FROM off LEFT JOIN offs ON off.title_id = offs.title_id AND score >= 300")
     o["trim_to_speech"] = q(f"{_SPEECH}, {_TRIM}", "SELECT * FROM decisions")
+    counted = "tc AS (SELECT title_id, action, reason, count(*) AS n, coalesce(sum(trim_ms), 0)::BIGINT AS ms FROM decisions GROUP BY 1, 2, 3)"
+    o["trim_titles"] = q(
+        f"{_SPEECH}, {_TRIM}, {counted}",
+        "SELECT *, round_even(total_trim_ms / nullif(full_trims + partial_trims, 0), 0)::BIGINT AS avg_trim_ms FROM (SELECT title_id, sum(n)::BIGINT AS total_cues, coalesce(sum(n) FILTER (WHERE action = 'trim'), 0)::BIGINT AS full_trims, coalesce(sum(n) FILTER (WHERE action = 'partial_trim'), 0)::BIGINT AS partial_trims, coalesce(sum(n) FILTER (WHERE action = 'skip'), 0)::BIGINT AS skipped, "
+        "coalesce(sum(ms) FILTER (WHERE action <> 'skip'), 0)::BIGINT AS total_trim_ms, coalesce(string_agg(reason || ': ' || n, ', ' ORDER BY n DESC, reason) FILTER (WHERE action = 'skip' AND reason IS NOT NULL), '') AS skip_reasons FROM tc GROUP BY 1)",
+    )
     o["trim_summary"] = q(f"{_SPEECH}, {_TRIM}", "SELECT action, reason, count(*) AS n, sum(trim_ms)::BIGINT AS total_trim_ms, row_number() OVER (ORDER BY count(*) DESC, action, reason NULLS FIRST)::INT AS rank FROM decisions GROUP BY 1, 2")
     o["speech_extension"] = q(ext, "SELECT title_id, pos, idx, e AS old_end_ms, least(se + 100, mx) AS new_end_ms, least(se + 100, mx) - e AS extension_ms FROM la WHERE se > e AND least(se + 100, mx) - e > 50")
     o["extension_report"] = q(
@@ -514,7 +520,7 @@ la AS (SELECT fr.title_id, fr.pos, idx, e, mx, max(CASE WHEN is_speech AND (stop
     o["vad_issues"] = q(_ANALYZED, "SELECT * FROM iss")
     o["vad_summary"] = q(
         _ANALYZED,
-        "SELECT a.title_id, count(*) AS analyzed, count(w) AS flagged, sum(start_delta_ms)::BIGINT AS start_delta_sum, round_even(sum(start_delta_ms) / count(start_delta_ms), 0)::BIGINT AS start_delta_avg, round_even(sum(end_delta_ms) / count(end_delta_ms), 0)::BIGINT AS end_delta_avg, count(*) FILTER (WHERE w = 3) AS high, count(*) FILTER (WHERE w = 2) AS medium, count(*) FILTER (WHERE w = 1) AS low, sum(end_delta_ms)::BIGINT AS end_delta_sum, min(end_delta_ms) AS end_delta_min, max(end_delta_ms) AS end_delta_max, count(*) FILTER (WHERE start_delta_ms BETWEEN 1 AND 200) AS ideal, count(*) FILTER (WHERE start_delta_ms <= 0) AS without, count(*) FILTER (WHERE m) AS missing "
+        "SELECT a.title_id, count(*) AS analyzed, count(w) AS flagged, sum(start_delta_ms)::BIGINT AS start_delta_sum, min(start_delta_ms) AS start_delta_min, max(start_delta_ms) AS start_delta_max, round_even(sum(start_delta_ms) / count(start_delta_ms), 0)::BIGINT AS start_delta_avg, round_even(sum(end_delta_ms) / count(end_delta_ms), 0)::BIGINT AS end_delta_avg, count(*) FILTER (WHERE w = 3) AS high, count(*) FILTER (WHERE w = 2) AS medium, count(*) FILTER (WHERE w = 1) AS low, sum(end_delta_ms)::BIGINT AS end_delta_sum, min(end_delta_ms) AS end_delta_min, max(end_delta_ms) AS end_delta_max, count(*) FILTER (WHERE start_delta_ms BETWEEN 1 AND 200) AS ideal, count(*) FILTER (WHERE start_delta_ms <= 0) AS without, count(*) FILTER (WHERE m) AS missing "
         "FROM an a LEFT JOIN (SELECT title_id, pos, max(CASE severity WHEN 'high' THEN 3 WHEN 'medium' THEN 2 ELSE 1 END) AS w, bool_or(type = 'missing_anticipation') AS m FROM iss GROUP BY 1, 2) i ON a.title_id = i.title_id AND a.pos = i.pos GROUP BY 1",
     )
     o["line_balance"] = q(_balance("cues"), "SELECT * FROM flaws")
@@ -523,14 +529,18 @@ la AS (SELECT fr.title_id, fr.pos, idx, e, mx, max(CASE WHEN is_speech AND (stop
     o["aligned_groups"] = q(_GROUPS, "SELECT * FROM groups")
     o["group_categories"] = q(f"{_GROUPS}, {_CATS}", "SELECT title_id, group_key, category FROM cats")
     o["pair_stats"] = q(f"{_GROUPS}, {_CATS}", "SELECT 'mapping' AS kind, merge_type AS name, count(*) AS n FROM groups GROUP BY 2 UNION ALL SELECT 'category', category, count(*) FROM cats GROUP BY 2")
-    o["pair_summary"] = q(_GROUPS, "SELECT title_id, sum(en_count)::BIGINT AS en_cues, sum(nl_count)::BIGINT AS nl_cues, count(*) AS groups, CASE WHEN sum(en_count) > 0 THEN sum(nl_count) * 1000 // sum(en_count) ELSE 0 END::BIGINT AS ratio_permille FROM groups GROUP BY 1")
-    o["pair_distribution"] = q(f"{_GROUPS}, {_CATS}", "SELECT *, row_number() OVER (PARTITION BY title_id, kind ORDER BY n DESC, name)::INT AS rank FROM (SELECT title_id, 'mapping' AS kind, merge_type AS name, count(*) AS n FROM groups GROUP BY 1, 3 UNION ALL SELECT title_id, 'category', category, count(*) FROM cats GROUP BY 1, 3)")
+    o["pair_summary"] = q(_GROUPS, "SELECT title_id, sum(en_count)::BIGINT AS en_cues, sum(nl_count)::BIGINT AS nl_cues, count(*) AS groups, CASE WHEN sum(en_count) > 0 THEN round_even(sum(nl_count) * 1000 / sum(en_count), 0) ELSE 0 END::BIGINT AS ratio_permille FROM groups GROUP BY 1")
+    o["pair_distribution"] = q(f"{_GROUPS}, {_CATS}", "SELECT *, round_even(n * 100 / (sum(n) FILTER (WHERE kind = 'mapping') OVER (PARTITION BY title_id)), 0)::BIGINT AS percent, row_number() OVER (PARTITION BY title_id, kind ORDER BY n DESC, name)::INT AS rank FROM (SELECT title_id, 'mapping' AS kind, merge_type AS name, count(*) AS n FROM groups GROUP BY 1, 3 UNION ALL SELECT title_id, 'category', category, count(*) FROM cats GROUP BY 1, 3)")
+    def ranked(name: str, table: str, column: str) -> str:
+        return f"SELECT '{name}' AS metric, count(*) AS n, min({column}) AS least, max({column}) AS greatest, sum({column})::BIGINT AS total, list_sort(list({column}))[count(*) // 2 + 1] AS upper_median, list_sort(list({column}))[(95 * count(*) + 99) // 100] AS p95 FROM {table}"
+
+    o["catalogue_order_stats"] = q(f"{measured}, {_GROUPS}", ranked("condensation", "groups WHERE en_chars > 20 AND nl_chars > 0", "ratio") + " UNION ALL " + ranked("micro_cps", "ms WHERE micro_cps IS NOT NULL", "micro_cps"))
     o["condensation_stats"] = q(_GROUPS, "SELECT title_id, count(*)::INT AS n, (sum(ratio) // count(*))::BIGINT AS mean, list_sort(list(ratio))[count(*) // 2 + 1] AS median, min(ratio) AS least, max(ratio) AS greatest FROM groups WHERE en_chars > 20 AND nl_chars > 0 GROUP BY 1")
     order = "CASE WHEN category LIKE '%condensation%' OR category LIKE '%merge%' THEN ratio WHEN category = 'expansion' THEN -ratio ELSE 0 END"
     o["exemplars_topk"] = q(f"{_GROUPS}, {_CATS}", f"SELECT title_id, category, rank, group_key, ratio FROM (SELECT *, row_number() OVER (PARTITION BY title_id, category ORDER BY {order}, at_ms, group_key)::INT AS rank FROM (SELECT *, bool_or(category = 'dual-speaker') OVER (PARTITION BY title_id, group_key) AS dd FROM cats) WHERE (en_chars >= 15 OR dd) AND category <> 'register-mixed') WHERE rank <= 5")
     o["quality_log"] = q(
         f"{measured}, {_MERGED}, {_rules()}, vs AS ({stats}), mg AS ({merge_agg})",
-        "SELECT metric, value::BIGINT AS value FROM (SELECT 'cps_max' AS metric, max(cps_max) AS value FROM vs UNION ALL SELECT 'cps_above_soft', sum(cps_above_soft) FROM vs UNION ALL SELECT 'cps_above_hard', sum(cps_above_hard) FROM vs UNION ALL SELECT 'cps_avg', sum(micro_cps) // count(micro_cps) FROM ms UNION ALL SELECT 'source_cues', sum(source_cues) FROM mg UNION ALL SELECT 'output_cues', sum(output_cues) FROM mg UNION ALL SELECT 'merge_permille', sum(output_cues) * 1000 // sum(source_cues) FROM mg UNION ALL SELECT 'hard_errors', count(*) FILTER (WHERE severity = 'error') FROM rules)",
+        "SELECT metric, value::BIGINT AS value FROM (SELECT 'cps_max' AS metric, max(cps_max) AS value FROM vs UNION ALL SELECT 'cps_above_soft', sum(cps_above_soft) FROM vs UNION ALL SELECT 'cps_above_hard', sum(cps_above_hard) FROM vs UNION ALL SELECT 'cps_avg', sum(micro_cps) // count(micro_cps) FROM ms UNION ALL SELECT 'source_cues', sum(source_cues) FROM mg UNION ALL SELECT 'output_cues', sum(output_cues) FROM mg UNION ALL SELECT 'merge_permille', round_even(sum(output_cues) * 1000 / sum(source_cues), 0) FROM mg UNION ALL SELECT 'hard_errors', count(*) FILTER (WHERE severity = 'error') FROM rules)",
     )
     o["session_cues"] = "SELECT user_id, epoch_us(min(ts)) // 1000 AS start_ms, epoch_us(max(ts)) // 1000 + 1800000 AS end_ms, count(*) AS n FROM (SELECT *, sum(b) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS s FROM (SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) < INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS b FROM events)) GROUP BY user_id, s"
     return o

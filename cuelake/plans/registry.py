@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from cuelake import schema
 from cuelake.functions import linebreak, spoken
 from cuelake.functions import text as T
-from cuelake.operators import asof, match, merge, offset, pairs, rules, speech, stats, timing
+from cuelake.operators import asof, match, merge, offset, orderstats, pairs, rules, speech, stats, timing
 from cuelake.plans import adapters, oracles
 from cuelake.sources import files, shared, srt
 from cuelake.streaming import batches, ingest, merging
@@ -135,7 +135,7 @@ def fps_constraints(s: SparkSession, d: str) -> DataFrame:
 
 @query
 def dual_speaker_share(s: SparkSession, d: str) -> DataFrame:
-    return stats.in_genre_ranges(stats.dual_speakers(adapters.cues(s, d)), schema.genres(s), "permille", "dual_lo", "dual_hi")
+    return stats.in_genre_ranges(stats.dual_speakers(adapters.cues(s, d)), schema.genres(s), "dual_cues", "total_cues", "dual_lo", "dual_hi")
 
 
 # sources
@@ -316,7 +316,7 @@ def merge_cues(s: SparkSession, d: str) -> DataFrame:
 @query
 def merge_stats(s: SparkSession, d: str) -> DataFrame:
     merged = stats.merges(merge.merge_cues(adapters.marked_cues(s, d)))
-    return stats.in_genre_ranges(merged, schema.genres(s), "ratio_permille", "ratio_lo", "ratio_hi")
+    return stats.in_genre_ranges(merged, schema.genres(s), "output_cues", "source_cues", "ratio_lo", "ratio_hi")
 
 
 @query
@@ -452,6 +452,11 @@ def trim_summary(s: SparkSession, d: str) -> DataFrame:
     return stats.trims(speech.trim(adapters.en_cues(s, d), _spoken(s, d)))
 
 
+@query
+def trim_titles(s: SparkSession, d: str) -> DataFrame:
+    return stats.trim_titles(speech.trim(adapters.en_cues(s, d), _spoken(s, d)))
+
+
 @query
 def speech_extension(s: SparkSession, d: str) -> DataFrame:
     return speech.extend(_shortened(s, d), adapters.speech_frames(s, d))
@@ -567,6 +572,15 @@ def condensation_stats(s: SparkSession, d: str) -> DataFrame:
     return stats.condensation(_groups(s, d))
 
 
+@query
+def catalogue_order_stats(s: SparkSession, d: str) -> DataFrame:
+    """Condensation of all groups with enough text, and reading speed of all cues, over the whole catalogue."""
+    columns = {"condensation": (_groups(s, d).where("en_chars > 20 and nl_chars > 0"), "ratio"), "micro_cps": (stats.metrics(adapters.cues(s, d)), "micro_cps")}
+    ranks = {"upper_median": orderstats.upper_median, "p95": orderstats.share(95)}
+    rows = [(name, *orderstats.select(df, column, ranks).values()) for name, (df, column) in columns.items()]
+    return s.createDataFrame(rows, "metric string, n bigint, least bigint, greatest bigint, total bigint, upper_median bigint, p95 bigint")
+
+
 @query
 def exemplars_topk(s: SparkSession, d: str) -> DataFrame:
     return pairs.exemplars(pairs.categories(_groups(s, d)), 5).select("title_id", "category", "rank", "group_key", "ratio")
@@ -577,7 +591,7 @@ def quality_log(s: SparkSession, d: str) -> DataFrame:
     """Reading speed, merge ratio and errors of all titles, as metric and value."""
     speed = stats.metrics(adapters.cues(s, d)).agg(F.floor(F.sum("micro_cps") / F.count("micro_cps")).alias("cps_avg"))
     own = stats.validation(adapters.cues(s, d)).agg(F.max("cps_max").alias("cps_max"), F.sum("cps_above_soft").alias("cps_above_soft"), F.sum("cps_above_hard").alias("cps_above_hard"))
-    merged = stats.merges(merge.merge_cues(adapters.marked_cues(s, d))).agg(F.sum("source_cues").alias("source_cues"), F.sum("output_cues").alias("output_cues"), F.floor(F.sum("output_cues") * 1000 / F.sum("source_cues")).alias("merge_permille"))
+    merged = stats.merges(merge.merge_cues(adapters.marked_cues(s, d))).agg(F.sum("source_cues").alias("source_cues"), F.sum("output_cues").alias("output_cues"), stats.permille(F.sum("output_cues"), F.sum("source_cues")).alias("merge_permille"))
     errors = rules.violations(_swapped(s, d)).agg(F.count_if(F.col("severity") == "error").alias("hard_errors"))
 
     def rows(df: DataFrame) -> DataFrame:
