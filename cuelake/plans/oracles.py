@@ -431,6 +431,19 @@ la AS (SELECT fr.title_id, fr.pos, idx, e, mx, max(CASE WHEN is_speech AND (stop
     o["best_break"] = q(f"{_JOINED}, {_breaks('joined', 'j')}", "SELECT j.title_id, j.pos, top, bottom FROM joined j LEFT JOIN best b ON j.title_id = b.title_id AND j.pos = b.pos")
     o["number_words"] = q(_numbers(), "SELECT n::VARCHAR AS number, words FROM spelled WHERE n IN (SELECT o_orderkey % 2100 FROM orders)", base=False)
     o["normalize_words"] = q(_numbers(), "SELECT title_id, pos, array_to_string(list_filter(string_split('it is ' || lower(regexp_replace(text, '[^A-Za-z ]', '', 'g')) || ' do not count ' || words || ' we have said', ' '), lambda q: q <> ''), ' ') AS words FROM en JOIN spelled ON n = pos")
+    plain = r"list_filter(string_split(regexp_replace(lower(text), '[^\p{L}]+', ' ', 'g'), ' '), lambda x: x <> '')"
+    o["vocabulary_words"] = q(
+        f"known AS (SELECT DISTINCT unnest({plain}) AS word FROM documents), placed AS (SELECT title_id, pos, generate_subscripts(w, 1) AS k, unnest(w) AS word FROM (SELECT title_id, pos, {plain} AS w FROM en))",
+        "SELECT e.title_id, e.pos, coalesce(string_agg(p.word, ' ' ORDER BY k), '') AS kept, count(p.word)::INT AS n FROM en e LEFT JOIN (SELECT * FROM placed SEMI JOIN known USING (word)) p ON e.title_id = p.title_id AND e.pos = p.pos GROUP BY 1, 2",
+    )
+    o["phrase_lexicon"] = q(
+        f"nlw AS (SELECT {plain} AS w FROM nl), phrases AS (SELECT DISTINCT n, array_to_string(w[k:k + n - 1], ' ') AS phrase FROM (SELECT w, n, unnest(range(1, len(w) - n + 2)) AS k FROM nlw, (VALUES (1), (2), (3)) v(n) WHERE len(w) >= n)), "
+        f"chosen AS (SELECT n, phrase FROM phrases WHERE (length(phrase) + ascii(right(phrase, 1))) % 5 = 0), enw AS (SELECT title_id, pos, {plain} AS w FROM en), "
+        "hits AS (SELECT title_id, pos, k - 1 AS place, g.n, phrase FROM (SELECT title_id, pos, w, n, unnest(range(1, len(w) - n + 2)) AS k FROM enw, (VALUES (1), (2), (3)) v(n) WHERE len(w) >= n) g JOIN chosen c ON c.n = g.n AND c.phrase = array_to_string(w[k:k + g.n - 1], ' ')), "
+        "best AS (SELECT title_id, pos, place, max(n) AS n FROM hits GROUP BY 1, 2, 3), "
+        "taken AS (SELECT title_id, pos, min(place) AS place, arg_min(n, place) AS n FROM best GROUP BY 1, 2 UNION ALL SELECT t.title_id, t.pos, b.place, b.n FROM taken t, LATERAL (SELECT place, n FROM best b WHERE b.title_id = t.title_id AND b.pos = t.pos AND b.place >= t.place + t.n ORDER BY place LIMIT 1) b)",
+        "SELECT h.title_id, h.pos, h.place::INT AS place, h.n::INT AS n, h.phrase, CASE WHEN h.n = 1 THEN 'word' ELSE 'expression' END AS kinds FROM taken t JOIN hits h ON t.title_id = h.title_id AND t.pos = h.pos AND t.place = h.place AND t.n = h.n",
+    )
     o["register_detect"] = q("", f"SELECT title_id, pos, {_register('x')} AS register FROM (SELECT *, ' ' || text || ' ' AS x FROM nl)")
     o["imdb_id"] = "SELECT DISTINCT conv_id, CASE WHEN conv_id % 2 = 0 THEN lpad((conv_id * 7919 % 10000000)::VARCHAR, 7, '0') ELSE '' END AS imdb_id, CASE WHEN conv_id % 2 = 0 THEN 'Film ' || conv_id || ' [IMDB-tt' || lpad((conv_id * 7919 % 10000000)::VARCHAR, 7, '0') || ']' ELSE 'Film ' || conv_id END AS source_name, 'Film ' || conv_id || CASE WHEN conv_id % 2 = 0 THEN ' [IMDB-tt' || lpad((conv_id * 7919 % 10000000)::VARCHAR, 7, '0') || ']' ELSE ' [Bluray-1080p]' END || '.nl.srt' AS output_name FROM conversations"
     names = [c.split()[0] for c in schema.CONSTRAINTS_SCHEMA.split(", ")]

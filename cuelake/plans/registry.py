@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from cuelake import schema
 from cuelake.functions import linebreak, spoken
 from cuelake.functions import text as T
-from cuelake.operators import asof, match, merge, offset, orderstats, pairs, rules, speech, stats, timing
+from cuelake.operators import asof, lexicon, match, merge, offset, orderstats, pairs, rules, speech, stats, timing
 from cuelake.plans import adapters, oracles
 from cuelake.sources import files, shared, srt
 from cuelake.streaming import batches, ingest, merging
@@ -111,6 +111,30 @@ def normalize_words(s: SparkSession, d: str) -> DataFrame:
     return adapters.en_cues(s, d).select(*_KEY, spoken.normalize_words(raw).alias("words"))
 
 
+def _plain_words(text: Column) -> Column:
+    """Words of letters only, in lower case."""
+    return F.filter(F.split(F.regexp_replace(F.lower(text), r"[^\p{L}]+", " "), " "), lambda w: w != "")
+
+
+@query
+def vocabulary_words(s: SparkSession, d: str) -> DataFrame:
+    """What alignment keeps of cues: the words that documents have, too."""
+    vocabulary = s.read.parquet(f"{d}/documents.parquet").select(F.explode(_plain_words(F.col("text"))).alias("word")).distinct()
+    kept = lexicon.known_words(adapters.en_cues(s, d).select(*_KEY, _plain_words(F.col("text")).alias("words")), vocabulary)
+    return kept.select(*_KEY, F.array_join("words", " ").alias("kept"), F.size("words").alias("n"))
+
+
+@query
+def phrase_lexicon(s: SparkSession, d: str) -> DataFrame:
+    """Hits of a lexicon of one to three words: every fifth n-gram of the other version's cues, by its length and last letter."""
+    own = adapters.en_cues(s, d).select(*_KEY, _plain_words(F.col("text")).alias("words"))
+    nl = adapters.nl_cues(s, d).select(_plain_words(F.col("text")).alias("w")).where(F.size("w") > 0)
+    grams = nl.select("w", F.explode(F.array(*map(F.lit, (1, 2, 3)))).alias("n")).where(F.col("n") <= F.size("w")).select("n", "w", F.explode(F.sequence(F.lit(1), F.size("w") - F.col("n") + 1)).alias("k"))
+    phrases = grams.select("n", F.array_join(F.slice("w", F.col("k"), F.col("n")), " ").alias("phrase")).distinct().where((F.length("phrase") + F.ascii(F.substring("phrase", -1, 1))) % 5 == 0)
+    phrases = phrases.withColumn("kind", F.when(F.col("n") == 1, "word").otherwise("expression"))
+    return lexicon.phrase_hits(own, phrases).select(*_KEY, "place", "n", "phrase", F.array_join("kinds", ",").alias("kinds"))
+
+
 @query
 def register_detect(s: SparkSession, d: str) -> DataFrame:
     return adapters.nl_cues(s, d).select(*_KEY, T.register(F.concat(F.lit(" "), "text", F.lit(" "))).alias("register"))

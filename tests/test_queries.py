@@ -7,7 +7,7 @@ import pytest
 from cuelake.plans import registry
 
 DATA = "/root/testdata/sf0.001"
-TABLES = ("orders", "events", "conversations")
+TABLES = ("orders", "events", "conversations", "documents")
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables")
 
 
