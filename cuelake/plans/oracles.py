@@ -451,6 +451,10 @@ la AS (SELECT fr.title_id, fr.pos, idx, e, mx, max(CASE WHEN is_speech AND (stop
     o["dual_speaker_share"] = q(_GENRES, f"SELECT title_id, total_cues, dual_cues, permille, genre, dual_cues * 100 BETWEEN dual_lo * total_cues AND dual_hi * total_cues AS in_range FROM (SELECT title_id, count(*) AS total_cues, count(*) FILTER (WHERE {_dual('text')}) AS dual_cues, round_even(count(*) FILTER (WHERE {_dual('text')}) * 1000 / count(*), 0)::BIGINT AS permille FROM cues GROUP BY 1), genres")
     o["parse_srt"] = q("", f"SELECT title_id, pos, idx, start_ms, end_ms, {_rstrip('text')} AS text FROM cues")
     o["srt_files"] = q("", f"SELECT title_id, 'en' AS lang, pos, idx, start_ms, end_ms, {_rstrip('text')} AS text FROM cues UNION ALL SELECT title_id, 'pt-br', pos, idx, start_ms, end_ms, {_rstrip('text')} FROM nl")
+    o["encoding_detect"] = q(
+        r"t AS (SELECT title_id, pos, title_id::BIGINT % 4 AS k, CASE title_id::BIGINT % 4 WHEN 2 THEN regexp_replace(text, '[^\x{0}-\x{FF}]', '', 'g') WHEN 3 THEN regexp_replace(text, '[^\x{0}-\x{7F}]', '', 'g') ELSE text END AS x FROM en)",
+        "SELECT title_id, ['utf-8', 'utf-16le', 'iso-8859-1', 'windows-1250'][k + 1] AS encoding, true AS sure, md5(string_agg(x, chr(10) ORDER BY pos) || CASE k WHEN 2 THEN chr(10) || 'Où est passé le garçon ? Très fatigué à la forêt.' WHEN 3 THEN chr(10) || 'Chciałbym, żeby wszyscy ludzie byli szczęśliwi.' ELSE '' END) AS digest FROM t GROUP BY title_id, k",
+    )
     o["parse_errors"] = q("", "SELECT title_id, pos::INT AS block, CASE WHEN pos % 7 = 0 THEN 'Insufficient lines' WHEN pos % 3 = 0 THEN 'Invalid index' ELSE 'Invalid timecode' END AS reason FROM en WHERE pos % 7 = 0 OR pos % 3 = 0 OR pos % 5 = 0")
     o["render_srt"] = q("", f"SELECT title_id, md5(c) AS digest, length(c)::INT AS n FROM (SELECT title_id, chr(65279) || string_agg({block}, chr(13) || chr(10) ORDER BY pos) AS c FROM cues GROUP BY 1)")
     o["extract_range"] = q("", "SELECT t.title_id, v.idx, c.pos, c.text, c.pos IS NOT NULL AS found FROM (SELECT DISTINCT title_id FROM cues) t CROSS JOIN (VALUES (10), (11), (12), (40), (55), (100)) v(idx) LEFT JOIN (SELECT title_id, idx, max(pos) AS pos, arg_max(text, pos) AS text FROM cues GROUP BY 1, 2) c ON t.title_id = c.title_id AND v.idx = c.idx")

@@ -12,7 +12,7 @@ from cuelake.functions import linebreak, spoken
 from cuelake.functions import text as T
 from cuelake.operators import asof, lexicon, match, merge, offset, orderstats, pairs, rules, speech, stats, timing
 from cuelake.plans import adapters, oracles
-from cuelake.sources import files, shared, srt
+from cuelake.sources import encodings, files, shared, srt
 from cuelake.streaming import batches, ingest, merging
 
 CREDIT = "Vertaald met zorg"
@@ -180,6 +180,24 @@ def srt_files(s: SparkSession, d: str) -> DataFrame:
     return s.read.format("srt").load(folder)
 
 
+#: A line that titles end with, by what their number leaves: without it a title may be plain ASCII.
+SIGNED = {2: "Où est passé le garçon ? Très fatigué à la forêt.", 3: "Chciałbym, żeby wszyscy ludzie byli szczęśliwi."}
+
+
+@query
+def encoding_detect(s: SparkSession, d: str) -> DataFrame:
+    """Titles in four encodings, by their number, told apart and read: UTF-8, UTF-16, Latin-1, Windows-1250."""
+    k = F.col("title_id").cast("bigint") % 4
+    line = F.when(k == 2, F.regexp_replace("text", r"[^\x{0}-\x{FF}]", "")).when(k == 3, F.regexp_replace("text", r"[^\x{0}-\x{7F}]", "")).otherwise(F.col("text"))
+    listed = adapters.en_cues(s, d).select("title_id", F.struct("pos", line.alias("t")).alias("c")).groupBy("title_id").agg(F.array_sort(F.collect_list("c")).alias("c"))
+    text = F.concat_ws("\n", F.array_join(F.transform("c", lambda x: x["t"]), "\n"), F.when(k == 2, SIGNED[2]).when(k == 3, SIGNED[3]))
+    central = "".join(bytes([b]).decode("cp1250", "ignore") or chr(b) for b in range(0x80, 0x100))
+    in_latin = F.translate(text, central, "".join(map(chr, range(0x80, 0x100))))
+    raw = F.when(k == 0, F.encode(text, "UTF-8")).when(k == 1, F.encode(text, "UTF-16LE")).otherwise(F.encode(F.when(k == 3, in_latin).when(k == 2, text).otherwise(""), "ISO-8859-1"))
+    told = encodings.detect(listed.select("title_id", raw.alias("content")))
+    return told.select("title_id", "encoding", (F.col("confidence") > 0).alias("sure"), F.md5("content").alias("digest"))
+
+
 @query
 def parse_errors(s: SparkSession, d: str) -> DataFrame:
     return _unreadable(s, d).select("title_id", (F.col("block_no") + 1).alias("block"), "reason")
