@@ -1,10 +1,10 @@
 """Which encoding a file's bytes are in, by built-in functions.
 
 A byte order mark, valid UTF-8, and every second byte zero (UTF-16) decide at once. Other
-bytes are read in each of the 8-bit encodings in turn, and pairs of letters that hold a
-byte over 127 are counted against what is frequent in the languages written with it; what
-an encoding has no character for, control characters, and signs between letters count
-against it. The best score tells, by confidence in thousandths: pairs met for each such
+bytes are read in each of the 8-bit encodings in turn, and pairs of letters with a byte
+over 127 are counted that are frequent in a language written with it, for the language
+that has most; what an encoding has no character for, control characters, and signs or
+capitals between small letters count against it. The best score tells, by confidence in thousandths: pairs met for each such
 byte. Where no encoding scores, Latin-1 is taken, as with files that can't be told.
 """
 
@@ -13,30 +13,23 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Frequent pairs with a letter beyond ASCII, by encoding.
-_WESTERN = (
-    "én ér ée és té né dé ré pé lé mé vé iè èr ès èm èn èt êt êm ên êc êv rê bê tê fê vê mê pê lè rè sè tè mè dè nè éa éc éo él éd ém nç rç eç aç ça ço çu où là à_ ù_ û_ ût oû aî aï ôt hô "
-    "ün ür üb üh fü mü zü äh är ät än wä hä mä ör ön öh hö kö sö aß oß uß iß ño ña ñe añ ió ón ía ín ús ás ém ão çã õe "
-    "ië eë oë ïe ün å_ på få år gå ær æl ør øj ød sø fø nå äl ä_ ö_ åt"
-)
-_CENTRAL = (
-    "ał ła ły ło ół ią ię ąc ąd ć_ ść śc ść że ży ów ńs eń śm ęt ęd ęp ą_ ę_ ść źn "
-    "ře ří př tř ěj ně vě dě tě bě če či ač oč ži že až už ší še šk uš ův ůj ůl ům ým ký ný áš áv ťo ňo "
-    "ől ők ős tő nő bő lő űl űr tű mű ző ţi ţă ăr ăt şi eş aş oş să ră"
-)
-#: Only what Latin-9 has where Latin-1 has signs; the rest is the same.
-_LATIN9 = "œu cœ sœ vœ mœ œi €_ _€ éš aš ež až"
-
-
-def _same_in_both(pair: str) -> bool:
-    try:
-        return pair.encode("cp1250") == pair.encode("latin-1")
-    except UnicodeEncodeError:
-        return False
-
-
-#: What is written alike in two encodings counts for both, so that the other letters decide.
-PAIRS = {"windows-1250": " ".join([_CENTRAL, *filter(_same_in_both, _WESTERN.split())]), "windows-1252": f"{_WESTERN} {_LATIN9}", "iso-8859-15": f"{_WESTERN} {_LATIN9}", "iso-8859-1": _WESTERN}
+# Frequent pairs with a letter beyond ASCII, by language; `_` is the end of a word.
+WESTERN = {
+    "fr": "én ér ée és éa éc éo él éd ém ét té né dé ré pé lé mé vé iè èr ès èm èn èt lè rè sè tè mè dè nè êt êm ên êc êv rê bê tê fê vê mê pê nç rç eç aç ça ço çu où là à_ ù_ ût oû aî aï ôt hô",
+    "de": "ün ür üb üh fü mü zü äh är ät än wä hä mä ör ön öh hö kö sö aß oß uß iß",
+    "es": "ño ña ñe añ ió ón ía ín ús ás ém én él ré té áb ár és",
+    "pt": "ão çã õe ís ár ém és ên çõ ço ça ói úl íc ó_ ár nç",
+    "nl": "ië eë oë ïe ün één ëi oö ën ïn",
+    "nordic": "å_ på få år gå ær æl ør øj ød sø fø nå äl ä_ ö_ åt är än ät ön öj ör åg æn ån",
+}
+CENTRAL = {
+    "pl": "ał ła ły ło ół ią ię ąc ąd ć_ ść śc że ży ów ńs eń śm ęt ęd ęp ą_ ę_ źn ór óż",
+    "cs": "ře ří př tř ěj ně vě dě tě bě če či ač oč ži že až už ší še šk uš ův ůj ůl ům ým ký ný áš áv ťo ňo ná dá é_ ní",
+    "hu": "ől ők ős tő nő bő lő űl űr tű mű ző én ér és ég ök öt ön öz él ál ár ás át ül ün",
+    "ro": "ţi ţă ăr ăt şi eş aş oş să ră în ân",
+}
+#: What Latin-9 and Windows-1252 have where Latin-1 has signs or nothing.
+ADDED = "œu cœ sœ vœ mœ œi €_ _€ éš aš ež až"
 
 _HIGH = "".join(chr(b) for b in range(0x80, 0x100))
 #: Points against an encoding for each character that it can't have or that is unlikely where it stands.
@@ -48,13 +41,15 @@ def _table(encoding: str) -> str:
     return "".join(bytes([b]).decode(encoding, "replace") for b in range(0x80, 0x100))
 
 
-def _score(text: Column, pairs: str) -> Column:
-    """Pairs met, less what speaks against the encoding. `_` is where a word, or a number before a sign, ends."""
-    found = "|".join(p.replace("_", r"(?![\p{L}])" if p.endswith("_") else r"(?<=\d)") for p in dict.fromkeys(pairs.split()))
-    met = F.regexp_count(F.lower(text), F.lit(found))
-    against = F.regexp_count(text, F.lit("�")) * _MISSING + F.regexp_count(text, F.lit(r"[\x{80}-\x{9F}]")) * _CONTROL
+def _met(text: Column, pairs: str) -> Column:
+    """How often the pairs of a language stand in a text; `_` is where a word, or a number before a sign, ends."""
+    found = "|".join(p.replace("_", r"(?![\p{L}])" if p.endswith("_") else r"(?<=\d)") for p in pairs.split())
+    return F.regexp_count(F.lower(text), F.lit(found))
+
+
+def _against(text: Column) -> Column:
     signs = F.regexp_count(text, F.lit(r"(?<=\p{L})[\x{A1}-\x{BF}×÷˘˝˛ˇ‡†‰¤](?=\p{L})|(?<=\p{Ll})\p{Lu}(?=\p{Ll})"))
-    return met - against - signs * _SIGN
+    return F.regexp_count(text, F.lit("�")) * _MISSING + F.regexp_count(text, F.lit(r"[\x{80}-\x{9F}]")) * _CONTROL + signs * _SIGN
 
 
 #: Encodings in the order in which equal scores are taken: Latin-1 before those that add to it.
@@ -72,11 +67,17 @@ def detect(files: DataFrame, column: str = "content") -> DataFrame:
     first = F.ascii(F.substring("_latin", 1, 1))
     own = own.withColumn("_wide", F.when(F.col("_latin").startswith("ÿþ"), "UTF-16LE").when(F.col("_latin").startswith("þÿ"), "UTF-16BE").when(wide, F.when(first == 0, "UTF-16BE").otherwise("UTF-16LE")))
     bytes_only = F.when(F.col("_wide").isNull() & ~F.col("_utf8"), F.col("_latin")).otherwise("")
-    scored = []
     for rank, e in enumerate(_CHOICE):
         own = own.withColumn(f"_read{rank}", bytes_only if e == "iso-8859-1" else F.translate(bytes_only, _HIGH, _table(e)))
-        own = own.withColumn(f"_score{rank}", _score(F.col(f"_read{rank}"), PAIRS[e]))
-        scored.append(F.struct(F.col(f"_score{rank}").alias("score"), F.lit(-rank).alias("rank"), F.lit(e).alias("encoding"), F.col(f"_read{rank}").alias("text")))
+    # of the languages of an encoding the one with most pairs counts; those of the west are written alike in three of them
+    own = own.withColumn("_west", F.greatest(*[_met(F.col("_read0"), pairs) for pairs in WESTERN.values()]))
+    own = own.withColumn("_central", F.greatest(*[_met(F.col(f"_read{_CHOICE.index('windows-1250')}"), pairs) for pairs in CENTRAL.values()]))
+    scored = []
+    for rank, e in enumerate(_CHOICE):
+        read = F.col(f"_read{rank}")
+        met = F.col("_central") if e == "windows-1250" else F.col("_west") if e == "iso-8859-1" else F.col("_west") + _met(read, ADDED)
+        own = own.withColumn(f"_score{rank}", met - _against(read))
+        scored.append(F.struct(F.col(f"_score{rank}").alias("score"), F.lit(-rank).alias("rank"), F.lit(e).alias("encoding"), read.alias("text")))
     own = own.withColumn("_best", F.array_max(F.array(*scored))).withColumn("_high", F.regexp_count("_read0", F.lit(r"[\x{80}-\x{FF}]")))
     known = F.col("_best.score") > 0
     sure = F.when(known, F.least(F.lit(1000), F.floor(F.col("_best.score") * 1000 / F.greatest("_high", F.lit(1))))).otherwise(0)
