@@ -12,16 +12,20 @@ sqrt(CODE_BITS - 1) times what the code leaves of the residual, with high probab
 
 Search, in two rounds. First a query meets one block of its nearest list; its k-th best
 score there is a floor. Then it meets the other blocks: those of its NEAREST nearest
-lists, and those of every list that may hold a better one. A list with n rows whose
-residuals are at most r long is left out if, for residuals in random directions, fewer
-than MISSED / lists of its rows can be expected above the floor. In a block the
-estimates give upper bounds; vectors are reranked with exact double-precision inner
+lists, by distance and by inner product, and those of every list that may hold a better
+one. How far residuals reach in a query's direction is measured, not supposed: on up to
+SPREAD_ROWS sampled residuals of each list, and on those of all lists together, whichever
+is more. A list with n rows whose residuals are at most r long is left out if at that
+spread fewer than missed / lists of its rows can be expected above the floor. In a block
+the estimates give upper bounds; vectors are reranked with exact double-precision inner
 products in the order of their bounds, until the bounds fall below the k-th best found
-or the floor. Equal vectors of a block are one candidate, with the k + 1 smallest ids
+or the floor. With missed = 0 nothing is left to chance: lists are left out only where
+no row can reach the floor (Cauchy and Schwarz), and bounds in blocks hold always. Equal vectors of a block are one candidate, with the k + 1 smallest ids
 (of those no more than k can be in an answer). The best k of all blocks are the result.
 
-Vectors that are null, zero, of another length than most, or that hold null or
-non-finite numbers take no part, nor do rows without a vec_id. Ties go to the smaller
+Vectors that are null or zero, or that hold null or non-finite numbers, take no part,
+nor do rows without a vec_id. Vectors of different lengths have no inner product; each
+length is searched by itself, one after the other. Ties go to the smaller
 vec_id. Rows with equal vec_id are candidates of their own, and not of a query with
 that vec_id. Query rows of one vec_id with different vectors are queries of their own,
 with ranks from 1 each; equal query rows are asked once. A query with fewer than k
@@ -45,12 +49,14 @@ SEED = 20240607
 BOUND = 1.9
 #: The least length of a code.
 CODE_BITS = 256
-#: Rows on which centres are fitted, rows that a list has on average, and the most lists.
-SAMPLE_ROWS, LIST_ROWS, MOST_LISTS, ROUNDS = 65_536, 2048, 4096, 8
+#: Rows on which centres are fitted, and bytes of them; rows that a list has on average, and the most lists.
+SAMPLE_ROWS, SAMPLE_BYTES, LIST_ROWS, MOST_LISTS, ROUNDS = 65_536, 128 << 20, 2048, 4096, 8
+#: Sampled residuals of a list on which its spread is measured, and bytes of those of all lists.
+SPREAD_ROWS, SPREAD_BYTES = 64, 64 << 20
 #: Rows of a block of a list.
 BLOCK = 16_384
 #: Lists that a query always meets; neighbours that it may miss in all lists that it doesn't.
-NEAREST, MISSED = 4, 2.0
+NEAREST, MISSED = 4, 0.5
 #: Vectors reranked at once, before the bounds are looked at again; queries whose bounds are worked out at once.
 STEP, AT_ONCE = 64, 32
 
@@ -89,7 +95,7 @@ def nearest_centre(vectors: np.ndarray, centres: np.ndarray) -> np.ndarray:
 class Codes:
     """One-bit codes of residuals with their correction numbers."""
 
-    def __init__(self, vectors: np.ndarray, centre: np.ndarray, turn: np.ndarray):
+    def __init__(self, vectors: np.ndarray, centre: np.ndarray, turn: np.ndarray, sure: bool = False):
         bits = turn.shape[1]
         residual = vectors - centre
         turned = residual @ turn
@@ -99,7 +105,8 @@ class Codes:
         own = np.where(self.length > 0, np.maximum(own, 1e-6), 1.0)
         self.bytes = np.ascontiguousarray(np.packbits(turned > 0, axis=1, bitorder="little").T)
         self.scale = (self.length / (own * np.sqrt(bits))).astype(np.float32)
-        self.error = (self.length * BOUND * np.sqrt(np.maximum(1 - own**2, 0) / own**2 / (bits - 1))).astype(np.float32)
+        # what the code leaves of a residual, times the query, is the error at most; in a random direction it is far less
+        self.error = (self.length * (1 if sure else BOUND / np.sqrt(bits - 1)) * np.sqrt(np.maximum(1 - own**2, 0)) / own).astype(np.float32)
         self.centre = centre
 
     def upper_bounds(self, queries: np.ndarray, turn: np.ndarray) -> np.ndarray:
@@ -122,7 +129,7 @@ _BYTE_BITS = ((np.arange(256) >> np.arange(8)[:, None]) & 1).astype(np.float32)
 class Block:
     """The vectors of a block. Equal ones are one candidate with their k + 1 smallest ids."""
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, centre: np.ndarray, turn: np.ndarray, k: int):
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, centre: np.ndarray, turn: np.ndarray, k: int, sure: bool = False):
         order = np.lexsort((ids, *vectors.T[::-1]))
         ids, vectors = ids[order], vectors[order]
         new = np.ones(len(ids), bool)
@@ -131,7 +138,7 @@ class Block:
         self.turn, self.k = turn, k
         self.vectors = vectors[start]
         self.ids = [ids[a : min(b, a + k + 1)] for a, b in zip(start, np.append(start[1:], len(ids)), strict=True)]
-        self.codes = Codes(self.vectors, centre, turn)
+        self.codes = Codes(self.vectors, centre, turn, sure)
 
     def search(self, query_ids: np.ndarray, queries: np.ndarray, floors: np.ndarray) -> Iterator[tuple[list[tuple[float, int]], int]]:
         """For each query the k best (score, vec_id) at or above its floor, and how many vectors were reranked."""
@@ -189,7 +196,7 @@ def index(rows: DataFrame, centres: np.ndarray) -> DataFrame:
     return rows.select(spread, "vec_id", "v").mapInArrow(K.releasing(run), INDEX_SCHEMA)
 
 
-def meet(data: DataFrame, asked: DataFrame, centres: np.ndarray, units: int, k: int) -> DataFrame:
+def meet(data: DataFrame, asked: DataFrame, centres: np.ndarray, units: int, k: int, sure: bool = False) -> DataFrame:
     """(query_id, query_key, vec_id, score): the best of each block for each query (unit, query_id, query_key, v, floor) that meets it; data has (unit, list, vec_id, v). The vectors of a block go before its queries, which pass by."""
     none = F.lit(None)
     both = data.select("unit", F.lit(0).alias("kind"), "list", "vec_id", none.cast("long").alias("key"), "v", none.cast("double").alias("floor"))
@@ -214,7 +221,7 @@ def meet(data: DataFrame, asked: DataFrame, centres: np.ndarray, units: int, k:
                     centre = centres[number[lo]]
                     continue
                 if ready is None and parts:
-                    ready = Block(np.concatenate(ids), np.concatenate(parts), centre, turn, k)
+                    ready = Block(np.concatenate(ids), np.concatenate(parts), centre, turn, k, sure)
                     ids, parts = [], []
                 if ready is None:
                     continue
@@ -228,32 +235,76 @@ def meet(data: DataFrame, asked: DataFrame, centres: np.ndarray, units: int, k:
     return dealt.mapInArrow(K.releasing(run), FOUND_SCHEMA)
 
 
-def lists_to_meet(queries: np.ndarray, floors: np.ndarray, home: np.ndarray, centres: np.ndarray, rows: np.ndarray, longest: np.ndarray, missed: float = MISSED) -> np.ndarray:
-    """Which lists each query meets in the second round, as a matrix of yes and no."""
+class Spread:
+    """How far unit residuals reach in a direction, measured on a sample: of each list, and of all."""
+
+    def __init__(self, sample: np.ndarray, centres: np.ndarray):
+        own = nearest_centre(sample, centres)
+        residual = sample - centres[own]
+        length = np.linalg.norm(residual, axis=1)
+        unit = np.divide(residual, length[:, None], out=np.zeros_like(residual), where=length[:, None] > 0)
+        moved = length > 0
+        self.all = unit.T @ unit / max(1, int(moved.sum()))
+        order = np.argsort(own, kind="stable")
+        order = order[moved[order]]
+        count = np.bincount(own[order], minlength=len(centres))
+        most = max(2, min(SPREAD_ROWS, SPREAD_BYTES // max(1, 4 * len(centres) * sample.shape[1])))
+        place = np.arange(len(order)) - np.repeat(np.cumsum(count) - count, count)
+        order = order[place < most]
+        self.count = np.minimum(count, most)
+        self.unit = unit[order].astype(np.float32)
+
+    def of(self, queries: np.ndarray) -> np.ndarray:
+        """For each query and list the root mean square of the query's inner product with unit residuals, with what a small sample may be off."""
+        whole = np.einsum("qi,ij,qj->q", queries, self.all, queries, optimize=True)
+        squares = np.zeros((len(queries), len(self.count)))
+        full = np.flatnonzero(self.count)
+        if len(full):
+            start = (np.cumsum(self.count) - self.count)[full]
+            met = np.square(queries.astype(np.float32) @ self.unit.T)
+            squares[:, full] = np.add.reduceat(met, start, axis=1) / self.count[full] * (1 + 2 * np.sqrt(2 / self.count[full]))
+        return np.sqrt(np.maximum(squares, whole[:, None]))
+
+
+def lists_to_meet(queries: np.ndarray, floors: np.ndarray, centres: np.ndarray, rows: np.ndarray, longest: np.ndarray, spread: Spread | None, missed: float) -> np.ndarray:
+    """Which lists each query meets in the second round, as a matrix of yes and no. With missed = 0 all that may hold a row at or above the floor."""
     near = queries @ centres.T
     length = np.linalg.norm(queries, axis=1)[:, None]
-    # a residual in a random direction adds length * longest / sqrt(dims) to the score on average, and a score z times that far off has a chance under exp(-z * z / 2) / 2
-    z = (floors[:, None] - near) / np.maximum(length * longest / np.sqrt(centres.shape[1]), 1e-300)
+    if missed <= 0:
+        slack = 1e-9 * length * (np.linalg.norm(centres, axis=1) + longest)
+        return (near + length * longest + slack >= floors[:, None]) & (rows > 0)
+    # a score z times the spread above the list's mean has a chance under exp(-z * z / 2) / 2
+    z = (floors[:, None] - near) / np.maximum(spread.of(queries) * longest, 1e-300)
     expected = rows * np.where(z > 0, np.exp(-np.square(np.clip(z, 0, 40)) / 2) / 2, 1.0)
     wanted = expected >= missed / len(centres)
-    distance = (centres**2).sum(axis=1) / 2 - near
-    close = np.argpartition(distance, min(NEAREST, len(centres)) - 1, axis=1)[:, :NEAREST]
-    np.put_along_axis(wanted, close, True, axis=1)
+    for far in ((centres**2).sum(axis=1) / 2 - near, -near):
+        close = np.argpartition(far, min(NEAREST, len(centres)) - 1, axis=1)[:, :NEAREST]
+        np.put_along_axis(wanted, close, True, axis=1)
     return wanted & (rows > 0)
 
 
-def search(table: DataFrame, is_query, k: int = 20, block: int = BLOCK, list_rows: int = LIST_ROWS) -> DataFrame:
-    """(query_id, rank, vec_id, score): the k nearest candidates that are found for each query row."""
-    spark, rows = table.sparkSession, usable(table)
-    sizes = rows.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").limit(1).collect()
-    if not sizes:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    dims, total = sizes[0]["d"], sizes[0]["count"]
-    rows = rows.where(F.size("v") == dims)
+ANSWER = "query_id long, rank int, vec_id long, score double"
+
+
+def search(table: DataFrame, is_query, k: int = 20, block: int = BLOCK, list_rows: int = LIST_ROWS, missed: float | None = None) -> DataFrame:
+    """(query_id, rank, vec_id, score): the k nearest candidates that are found for each query row. `missed` (MISSED if not given) is how many neighbours a query may lack, as far as can be expected; with 0 it lacks none."""
+    rows, missed = usable(table), MISSED if missed is None else missed
+    out = table.sparkSession.createDataFrame([], ANSWER)
+    for dims, total in sorted(tuple(r) for r in rows.groupBy(F.size("v")).count().collect()):  # a row for each length
+        out = out.union(_search(rows.where(F.size("v") == dims), dims, total, is_query, k, block, list_rows, missed))
+    return out
+
+
+def _search(rows: DataFrame, dims: int, total: int, is_query, k: int, block: int, list_rows: int, missed: float) -> DataFrame:
+    """search() among vectors of one length."""
+    spark, sure = rows.sparkSession, missed <= 0
     lists = max(1, min(MOST_LISTS, total // list_rows))
-    sample = rows.select("v", F.xxhash64("vec_id", "v").alias("_h")).orderBy("_h").limit(min(SAMPLE_ROWS, 64 * lists)).toArrow()  # SAMPLE_ROWS vectors at most
+    bound = max(lists, min(SAMPLE_ROWS, SAMPLE_BYTES // (8 * dims), 512 * lists))
+    sample = rows.select("v", F.xxhash64("vec_id", "v").alias("_h")).orderBy("_h").limit(bound).toArrow()  # SAMPLE_ROWS vectors and SAMPLE_BYTES at most, but one for each list
     v = _matrix(sample["v"].combine_chunks(), dims)
-    centres = fit_centres(v[np.lexsort(v.T)], lists)
+    v = v[np.lexsort(v.T)]
+    centres = fit_centres(v, lists)
+    spread_of = None if sure else Spread(v, centres)
     listed = stored(index(rows, centres))
     known = {r["list"]: (r["n"], r["r"]) for r in listed.groupBy("list").agg(F.count("*").alias("n"), F.max("residual").alias("r")).collect()}  # MOST_LISTS rows at most
     count, longest = (np.array([known.get(i, (0, 0.0))[j] for i in range(lists)], dtype=float) for j in (0, 1))
@@ -264,7 +315,7 @@ def search(table: DataFrame, is_query, k: int = 20, block: int = BLOCK, list_row
     data = listed.join(F.broadcast(table_of), "list").select((F.col("_first") + F.col("part") % F.col("_blocks")).cast("int").alias("unit"), "list", "vec_id", "v")
     queries = listed.where(is_query).dropDuplicates(["vec_id", "v"]).select(F.col("vec_id").alias("query_id"), F.xxhash64("vec_id", "v").alias("query_key"), "list", "v")
     homes = queries.join(F.broadcast(table_of), "list").select(F.col("_first").cast("int").alias("unit"), "query_id", "query_key", "v", F.lit(float("-inf")).alias("floor"))
-    near = stored(meet(data.where(F.col("part") % _blocks_of(blocks) == 0), homes, centres, lists, k))
+    near = stored(meet(data.where(F.col("part") % _blocks_of(blocks) == 0), homes, centres, lists, k, sure))
     floor = near.groupBy("query_key").agg(F.count("*").alias("n"), F.min("score").alias("floor"))
     floored = queries.join(floor.where(F.col("n") >= k).drop("n"), "query_key", "left").withColumn("floor", F.coalesce("floor", F.lit(float("-inf"))))
 
@@ -273,7 +324,7 @@ def search(table: DataFrame, is_query, k: int = 20, block: int = BLOCK, list_row
             for lo in range(0, len(b), 256):
                 part = b.slice(lo, 256)
                 home = part.column("list").to_numpy()
-                wanted = lists_to_meet(_matrix(part.column("v"), dims), part.column("floor").to_numpy(), home, centres, count, longest)
+                wanted = lists_to_meet(_matrix(part.column("v"), dims), part.column("floor").to_numpy(), centres, count, longest, spread_of, missed)
                 row, own = np.nonzero(wanted)
                 row, unit = np.repeat(row, blocks[own]), K.ranges(first[own], blocks[own])
                 rest = unit != first[home[row]]  # that one it has met
@@ -281,7 +332,7 @@ def search(table: DataFrame, is_query, k: int = 20, block: int = BLOCK, list_row
                 yield pa.RecordBatch.from_arrays([unit, *(part.column(c).take(row) for c in ("query_id", "query_key", "v", "floor"))], ["unit", "query_id", "query_key", "v", "floor"])
 
     asked = floored.select("query_id", "query_key", "list", "v", "floor").mapInArrow(K.releasing(spread), "unit int, query_id long, query_key long, v array<double>, floor double")
-    found = near.union(meet(data, asked, centres, units, k))
+    found = near.union(meet(data, asked, centres, units, k, sure))
     order = Window.partitionBy("query_id", "query_key").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
