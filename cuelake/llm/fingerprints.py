@@ -100,7 +100,14 @@ def _sets(batches: Iterator[pa.RecordBatch], whole: bool) -> Iterator[pa.RecordB
 
 
 def _sketched(docs: DataFrame) -> DataFrame:
-    return stored(docs.select("doc_id", "text").mapInArrow(K.releasing(lambda batches: _sets(batches, False)), "id long, class binary, signature binary"))
+    """(id, class, signature, h) for each row of docs; h is the hash of its text, as rows of one id may have different texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for made in _sets(iter([b]), False):
+                yield pa.RecordBatch.from_arrays([*made.columns, b.column(2)], ["id", "class", "signature", "h"])
+
+    return stored(docs.select("doc_id", "text", F.xxhash64("text").alias("h")).mapInArrow(K.releasing(run), "id long, class binary, signature binary, h long"))
 
 
 def near_pairs(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
@@ -125,19 +132,21 @@ def near_pairs(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
         for ids, links in _cells(batches, threshold):
             yield from (pairs(ids, *link) for link in links)
 
-    return _seated(docs, _sketched(docs), threshold).mapInArrow(K.releasing(run), "a long, b long, jaccard double")
+    return _seated(docs, _sketched(docs), threshold, "id").mapInArrow(K.releasing(run), "a long, b long, jaccard double")
 
 
-def _seated(docs: DataFrame, known: DataFrame, threshold: float) -> DataFrame:
-    """(cell, band, second, id, signature, shingles) in the order of cells: the classes that have one that looks alike, in the cells where they meet it."""
-    found = stored(known.where("class is not null and id is not null").groupBy("class").agg(F.min("id").alias("id"), F.min_by("signature", "id").alias("signature")))
-    seats = stored(_alike(found.select("id", "signature"), threshold))
-    members = seats.select("id").distinct()
-    few = members.count() <= BROADCAST_ROWS
-    own = docs.select(F.col("doc_id").alias("id"), "text").join(F.broadcast(members) if few else members, "id", "left_semi")
+def _seated(docs: DataFrame, known: DataFrame, threshold: float, named: str) -> DataFrame:
+    """(cell, band, second, id, signature, shingles) in the order of cells: the classes that have one that looks alike, in the cells where they meet it. id is the class's smallest doc_id or, with `named` "key", the hash of the class, which differs also where rows of one id have different texts."""
+    found = known.where("class is not null and id is not null").groupBy("class").agg(F.min("id").alias("id"), F.min_by("signature", "id").alias("signature"))
+    found = stored(found.withColumn("key", F.xxhash64("class")))
+    seats = stored(_alike(found.select(F.col("key").alias("id"), "signature"), threshold)).withColumnRenamed("id", "key")
+    members = found.join(seats.select("key").distinct(), "key", "left_semi")
+    ids = members.select("id").distinct()
+    few = ids.count() <= BROADCAST_ROWS
+    own = docs.select(F.col("doc_id").alias("id"), "text").join(F.broadcast(ids) if few else ids, "id", "left_semi")
     own = own.mapInArrow(K.releasing(lambda batches: _sets(batches, True)), "id long, class binary, shingles array<long>")
-    own = own.join(found, ["id", "class"]).dropDuplicates(["id"]).drop("class")
-    return seats.join(own, "id").select("cell", "band", "second", "id", "signature", "shingles").repartition("cell").sortWithinPartitions("cell", "second", "id")
+    own = own.join(members, ["id", "class"]).dropDuplicates(["key"]).drop("class")
+    return seats.join(own, "key").select("cell", "band", "second", F.col(named).alias("id"), "signature", "shingles").repartition("cell").sortWithinPartitions("cell", "second", "id")
 
 
 def _cells(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[tuple[np.ndarray, Iterator[tuple[int, np.ndarray, np.ndarray]]]]:
@@ -183,13 +192,16 @@ def linked_rows(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
             for i, js, _ in links:
                 n[i] += len(js)
                 n[js] += 1
-            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(n)], ["class_id", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(n)], ["key", "n"])
 
     known = _sketched(docs)
-    ends = _seated(docs, known, threshold).mapInArrow(K.releasing(run), "class_id long, n long").groupBy("class_id").agg(F.sum("n").alias("n_links"))
-    own = classes(docs, known).distinct().join(ends, "class_id", "left").groupBy("doc_id").agg(F.min(F.struct("class_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))).alias("_c"))
-    met = docs.select("doc_id").join(own, "doc_id", "left")
-    return met.select("doc_id", F.coalesce("_c.class_id", "doc_id").alias("class_id"), F.coalesce("_c.n_links", F.lit(0)).alias("n_links"))
+    ends = _seated(docs, known, threshold, "key").mapInArrow(K.releasing(run), "key long, n long").groupBy("key").agg(F.sum("n").alias("n_links"))
+    known = known.where("class is not null and id is not null").withColumn("key", F.xxhash64("class"))
+    named = known.groupBy("key").agg(F.min("id").alias("class_id")).join(ends, "key", "left")
+    # by id and text, so that each row of a repeated id has its own class; equal texts have one
+    own = known.select("id", "h", "key").distinct().join(named, "key").select("id", "h", "class_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    met = docs.select("doc_id", F.xxhash64("text").alias("_h")).join(own, (F.col("doc_id") == F.col("id")) & (F.col("_h") == F.col("h")), "left")
+    return met.select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
 
 
 def classes(docs: DataFrame, known: DataFrame | None = None) -> DataFrame:

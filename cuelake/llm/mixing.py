@@ -102,6 +102,8 @@ def multipliers(sizes: DataFrame, sources: DataFrame, cap: int = CAP) -> DataFra
             after += 1
         if after == 2:
             break
+    if not after:
+        raise RuntimeError("rates of a source did not settle")
     return now.select("_src", "l")
 
 
@@ -133,7 +135,7 @@ def _named() -> Column:
     return F.when(F.col("source").isNull(), F.lit("-")).otherwise(F.concat(F.lit("+"), F.col("source")))
 
 
-def _balanced(rows: DataFrame, weights: tuple[int, ...], cap: int) -> DataFrame:
+def _balanced(rows: DataFrame, weights: tuple[int, ...], cap: int, heavy: int = HEAVY) -> DataFrame:
     """Distinct rows (_src, doc_id, size, _tie) with their number n, what their source has, their rate in units of 1 / UNIT, what is rounded of them (_part) and the running sum of that up to the last of them (_upto)."""
     cells = stored(rows.groupBy("_src", "source", "size", "_salt").agg(F.sum("n").alias("_n")))
     sizes = stored(cells.groupBy("_src", "source", "size").agg(F.sum("_n").alias("n")))
@@ -144,7 +146,7 @@ def _balanced(rows: DataFrame, weights: tuple[int, ...], cap: int) -> DataFrame:
     # by size class, too, so that the cells of a hot source are spread
     solved = solved.withColumn("_class", F.explode(F.sequence(F.lit(1), F.lit(64))))
     cells = cells.drop("source").withColumn("_class", F.length(F.bin("size"))).join(solved, ["_src", "_class"])
-    cells = cells.withColumn("rate", F.when(F.col("size") > 0, F.round(rate * UNIT)).otherwise(0).cast("long")).withColumn("_heavy", F.col("size") * HEAVY > F.col("target"))
+    cells = cells.withColumn("rate", F.when(F.col("size") > 0, F.round(rate * UNIT)).otherwise(0).cast("long")).withColumn("_heavy", F.col("size") * heavy > F.col("target"))
     cells = cells.withColumn("_part", F.when(F.col("_heavy"), F.col("size") * F.col("rate") % UNIT).otherwise(F.col("rate") % UNIT)).withColumn("_sum", F.col("_n") * F.col("_part"))
     earlier = Window.partitionBy("_src", "_heavy", "_class").orderBy("size", "_salt").rowsBetween(Window.unboundedPreceding, -1)
     classes = cells.groupBy("_src", "_heavy", "_class").agg(F.sum("_sum").alias("_sum"))
@@ -163,9 +165,9 @@ def _words(times: str, upto: str, part: str) -> Column:
     return F.when(F.col("_heavy"), F.expr(f"{times} * (size * rate div {UNIT}) + {more}")).otherwise(F.expr(f"size * ({times} * (rate div {UNIT}) + {more})")).cast("long")
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP) -> DataFrame:
+def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, heavy: int = HEAVY) -> DataFrame:
     """(doc_id, source, size, source_size, target, rate, taken) for each row of docs; rate in units of 1 / UNIT."""
-    own = _balanced(_rows(docs), weights, cap).withColumn("_k", F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))))
+    own = _balanced(_rows(docs), weights, cap, heavy).withColumn("_k", F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))))
     taken = _words("1", "(_upto - (n - _k) * _part)", "_part")
     return own.select("doc_id", "source", "size", "source_size", "target", "rate", taken.alias("taken"))
 

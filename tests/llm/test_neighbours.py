@@ -3,7 +3,7 @@
 import numpy as np
 import pytest
 
-from cuelake.llm import rabitq
+from cuelake.llm import fingerprints, rabitq
 
 SCHEMA = "vec_id long, embedding array<double>"
 
@@ -57,3 +57,33 @@ def test_lengths_apart(spark):
         own = [i for i in range(101) if len(v[i]) == len(v[q]) and i != q]
         assert [i for _, i in sorted(got[q])] == sorted(own, key=lambda i: (-np.cumsum(v[i] * v[q])[-1], i))[:4]
     assert 100 not in got  # alone of its length
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_links_of_repeated_ids(spark, seed):
+    """Rows of one id with different texts have classes of their own; against brute force."""
+    rng = np.random.default_rng(seed)
+    rows = []
+    for _ in range(12):
+        base = [f"w{rng.integers(500)}" for _ in range(60)]
+        for _ in range(5):
+            w = list(base)
+            for _ in range(int(rng.integers(0, 4))):
+                w[int(rng.integers(60))] = f"x{rng.integers(10**6)}"
+            rows += [(int(rng.integers(25)), " ".join(w))] * int(rng.integers(1, 3))
+    rows += [(0, "a b c d e f"), (1, "a b c d e f"), (1, "g h i j k l"), (5, "g h i j k l"), (1, None), (1, ""), (None, "a b c d e f"), (7, None)]
+
+    def plain(t):
+        w = (t or "").split()
+        return frozenset(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))) if w else None
+
+    least = {}
+    for i, t in rows:
+        if plain(t) and i is not None:
+            least[plain(t)] = min(least.get(plain(t), i), i)
+    links = {s: sum(s != u and 10 * len(s & u) >= 8 * len(s | u) for u in least) for s in least}
+    want = [(i, least[plain(t)], links[plain(t)]) if plain(t) and i is not None else (i, i, 0) for i, t in rows]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [tuple(r) for r in fingerprints.linked_rows(df.repartition(3)).select("doc_id", "class_id", "n_links").collect()]
+    assert sorted(got, key=repr) == sorted(want, key=repr) and max(w[2] for w in want) >= 2
+    assert (1, 1, 0) in got and fingerprints.linked_rows(df.where("false")).count() == 0
