@@ -12,7 +12,7 @@ SHORT words or less are not halved on; words of all of them are compared one per
 
 Words are `[^\\x20\\x09-\\x0D]+`, told apart by 64-bit hashes. Null and empty texts have no
 words and no runs; rows are judged each by itself, so that repeated rows and null ids
-give repeated results. Other columns are not read. A long text takes some 9 bytes for
+give repeated results. Other columns are not read. A long text takes some 11 bytes for
 each of its bytes; its bytes are worked on in pieces.
 """
 
