@@ -66,6 +66,10 @@ def detect(files: DataFrame, column: str = "content") -> DataFrame:
     wide = (F.length("_latin") > 1) & (F.length("_latin") % 2 == 0) & (zeros * 5 >= F.length("_latin"))
     first = F.ascii(F.substring("_latin", 1, 1))
     own = own.withColumn("_wide", F.when(F.col("_latin").startswith("ÿþ"), "UTF-16LE").when(F.col("_latin").startswith("þÿ"), "UTF-16BE").when(wide, F.when(first == 0, "UTF-16BE").otherwise("UTF-16LE")))
+    # halves of pairs that stand alone, or an odd byte, make no UTF-16; such a file is read byte by byte
+    upper = F.regexp_replace("_latin", r"(?s)(.)(.)", F.when(F.col("_wide") == "UTF-16LE", "$2").otherwise("$1"))
+    alone = F.regexp_replace(F.when(F.col("_wide").isNotNull(), upper).otherwise(""), r"[\x{D8}-\x{DB}][\x{DC}-\x{DF}]", "").rlike(r"[\x{D8}-\x{DF}]")
+    own = own.withColumn("_wide", F.when((F.length("_latin") % 2 == 0) & ~alone, F.col("_wide")))
     bytes_only = F.when(F.col("_wide").isNull() & ~F.col("_utf8"), F.col("_latin")).otherwise("")
     for rank, e in enumerate(_CHOICE):
         own = own.withColumn(f"_read{rank}", bytes_only if e == "iso-8859-1" else F.translate(bytes_only, _HIGH, _table(e)))

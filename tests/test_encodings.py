@@ -31,6 +31,9 @@ def cases():
         yield name, whole, "utf-16le", whole.encode("utf-16le")
         if western:
             yield name, whole, "iso-8859-1", whole.encode("latin-1")
+            paired = whole.replace(".", " 🙂.")
+            yield name, paired, "utf-16be", paired.encode("utf-16be")
+            yield name, paired, "utf-16le", b"\xff\xfe" + paired.encode("utf-16le")
             quoted = whole.replace("00:00:01,900\r\n", "00:00:01,900\r\n“Ja” – ")
             yield name, quoted, "windows-1252", quoted.encode("cp1252")
         elif name == "oe":
@@ -49,10 +52,12 @@ def test_languages(spark):
         assert 0 < r["confidence"] <= 1000
 
 
-@pytest.mark.parametrize("raw", [b"", None, b"plain", b"\xff", b"a\x00", b"\xa4\xa4 \x81", "だ".encode("shift_jis")])
+@pytest.mark.parametrize("raw", [b"", None, b"plain", b"\xff", b"a\x00", b"\xa4\xa4 \x81", "だ".encode("shift_jis"), b"\xff\xfe\x00\xd8A\x00", b"\xff\xfeA", b"\xfe\xff\xdc\x00"])
 def test_odd_bytes(spark, raw):
     d = encodings.detect(spark.createDataFrame([(raw,)], "b binary"), "b").first()
     assert d["encoding"] and d["b"] is not None and 0 <= d["confidence"] <= 1000
+    if raw and raw[:2] in (b"\xff\xfe", b"\xfe\xff"):
+        assert d["encoding"] == "iso-8859-1"  # halves of pairs that stand alone, an odd byte
     if raw in (b"", None, b"plain"):
         assert (d["encoding"], d["b"]) == ("utf-8", (raw or b"").decode())
 
