@@ -37,9 +37,9 @@ def segments(smoothed: DataFrame, frame_ms: int = FRAME_MS) -> DataFrame:
     return spoken.select("title_id", number.alias("seg_no"), (F.col("first_frame") * frame_ms).alias("start_ms"), (F.col("end_frame") * frame_ms).alias("end_ms"))
 
 
-def trim(cues: DataFrame, spoken: DataFrame, search_range: int = 2000, buffer: int = 250, min_trim: int = 400, soft: int = NL["cps_soft_ceiling"], hard: int = NL["cps_hard_limit"], min_duration: int = NL["min_duration_ms"], min_gap: int = NL["min_gap_ms"]) -> DataFrame:
-    """(title_id, pos, idx, old_end_ms, action, reason, new_end_ms, trim_ms, method): a cue that lingers after speech ends sooner, as far as reading speed, duration and the gap after it allow."""
-    own = cues.select("title_id", "pos", "idx", "start_ms", "end_ms", T.char_count(F.col("text")).alias("chars"), (following() - min_gap).alias("latest"))
+def trim(cues: DataFrame, spoken: DataFrame, search_range: int = 2000, buffer: int = 250, min_trim: int = 400, soft: int = NL["cps_soft_ceiling"], hard: int = NL["cps_hard_limit"], min_duration: int = NL["min_duration_ms"], min_gap: int = NL["min_gap_ms"], keep: tuple[str, ...] = ()) -> DataFrame:
+    """(title_id, pos, idx, old_end_ms, action, reason, new_end_ms, trim_ms, method): a cue that lingers after speech ends sooner, as far as reading speed, duration and the gap after it allow. `keep` columns of cues come along."""
+    own = cues.select("title_id", "pos", "idx", "start_ms", "end_ms", T.char_count(F.col("text")).alias("chars"), (following() - min_gap).alias("latest"), *(c for c in keep if c != "start_ms"))
     met = asof.nearest(own, spoken.select("title_id", F.col("end_ms").alias("speech_end")), "end_ms", "speech_end", within=search_range)
     start, end, near, latest, chars = (F.col(c) for c in ("start_ms", "end_ms", "nearest_ms", "latest", "chars"))
     wanted = near + buffer
@@ -64,7 +64,7 @@ def trim(cues: DataFrame, spoken: DataFrame, search_range: int = 2000, buffer: i
     new_end = F.when(reason.isNull(), F.when(calm, clamped).otherwise(part))
     out = met.withColumn("reason", reason).withColumn("new_end_ms", new_end).withColumn("method", F.when(reason.isNull(), F.when(calm, "full").otherwise("partial")))
     action = F.when(F.col("method") == "full", "trim").when(F.col("method") == "partial", "partial_trim").otherwise("skip")
-    return out.select("title_id", "pos", "idx", F.col("end_ms").alias("old_end_ms"), action.alias("action"), "reason", "new_end_ms", F.coalesce(end - F.col("new_end_ms"), F.lit(0)).alias("trim_ms"), "method")
+    return out.select("title_id", "pos", "idx", F.col("end_ms").alias("old_end_ms"), action.alias("action"), "reason", "new_end_ms", F.coalesce(end - F.col("new_end_ms"), F.lit(0)).alias("trim_ms"), "method", *keep)
 
 
 def trimmed(cues: DataFrame, decisions: DataFrame) -> DataFrame:

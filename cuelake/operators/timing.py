@@ -85,13 +85,14 @@ def shift(cues: DataFrame, offset_ms: int, first: int | None = None, last: int |
 
 
 def add_credit(cues: DataFrame, credit: str, gap_ms: int = 3000, duration_ms: int = 3000, rate: float | None = None) -> DataFrame:
-    """A last cue with the credit for each title whose last cue doesn't have it."""
-    ends = cues.groupBy("title_id").agg(F.max_by(F.struct("end_ms", "text"), "pos").alias("l"), F.count("*").alias("n"), F.max("pos").alias("p"))
-    ends = ends.where(~F.lower("l.text").contains(credit.lower()))
+    """A last cue with the credit for each title whose last cue doesn't have it; columns beyond those of cues are null in it."""
     length = int(len(credit) / rate * 1000) if rate else duration_ms
-    start = F.col("l.end_ms") + gap_ms
-    added = ends.select("title_id", (F.col("p") + 1).alias("pos"), (F.col("n") + 1).cast("int").alias("idx"), start.alias("start_ms"), (start + length).alias("end_ms"), F.lit(credit).alias("text"))
-    return cues.select("title_id", "pos", "idx", "start_ms", "end_ms", "text").unionByName(added)
+    own = cues.withColumn("_n", F.row_number().over(by_pos())).withColumn("_last", following("pos").isNull())
+    due = F.col("_last") & ~F.lower("text").contains(credit.lower())
+    own = own.withColumn("_added", F.explode(F.when(due, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))))
+    start = F.col("end_ms") + gap_ms
+    new = {"pos": F.col("pos") + 1, "idx": F.col("_n") + 1, "start_ms": start, "end_ms": start + length, "text": F.lit(credit)}
+    return own.select("title_id", *(F.when(F.col("_added"), new.get(c, F.lit(None))).otherwise(F.col(c)).alias(c) for c in cues.columns if c != "title_id"))
 
 
 def fix_srt(cues: DataFrame, min_gap: int = NL["min_gap_ms"]) -> DataFrame:

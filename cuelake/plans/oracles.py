@@ -334,6 +334,26 @@ _REBALANCED = f"""{_TWO_LINES}, {_balance('broken')}, fulls AS (SELECT *, top ||
   FROM (SELECT *, ({_vis('bt')} + {_vis('bb')}) * 1000 > 17 * CASE WHEN end_ms > start_ms THEN end_ms - start_ms ELSE 1000 END AS fast FROM flagged)
 )"""
 
+#: Close small gaps, then give fast cues time.
+_CLOSED = "gc AS (SELECT *, lead(start_ms) OVER (PARTITION BY title_id ORDER BY pos) AS nxt FROM cues), closed AS (SELECT * EXCLUDE (end_ms), CASE WHEN ok THEN nxt - 120 ELSE end_ms END AS end_ms FROM (SELECT *, coalesce(nxt - end_ms > 0 AND nxt - end_ms < 1000 AND nxt - 120 > end_ms AND nxt - 120 - start_ms <= 7000, false) AS ok FROM gc))"
+_EXTENDED = f"(SELECT *, end_ms <= start_ms OR {_chars('text')} * 1000 > 13 * (end_ms - start_ms) AS fast, CASE WHEN nxt IS NULL THEN start_ms + least({_chars('text')} * 10000 // 125, 7000) WHEN nxt - end_ms > 120 THEN least(start_ms + {_chars('text')} * 10000 // 125, nxt - 120, start_ms + 7000) END AS ne FROM closed)"
+
+#: The whole chain, each step from the one before.
+_CHAIN = rf"""{_FIXED.replace(_SWAPPED, r"""swapped AS (
+  SELECT title_id, pos, idx, CASE WHEN pos % 10 = 3 THEN start_ms - 4000 ELSE start_ms END AS start_ms, end_ms,
+         CASE WHEN pos % 29 = 11 THEN '' WHEN pos % 13 = 3 THEN text || '!' WHEN pos % 17 = 5 THEN text || ';' WHEN pos % 23 = 9 THEN text || ' ' || plain || ' ' || plain
+              WHEN pos % 7 = 2 THEN regexp_replace(text, '^((?:\[(?:SC|NM)\] )?[^ ]+) ', '\1' || chr(10)) ELSE text END AS text
+  FROM (SELECT *, regexp_replace(text, '^\[(SC|NM)\] ', '') AS plain FROM marked)
+)""")}, {_renamed(_MERGED, marked="fixed_srt")}, mcues AS (SELECT title_id, idx::BIGINT AS pos, idx, start_ms, end_ms, text, source_count FROM merged), {_SPEECH}, {_renamed(_TRIM, en="mcues")}, tcues AS (
+  SELECT x.title_id, x.pos, x.idx, start_ms, coalesce(new_end_ms, end_ms) AS end_ms, text, source_count, trim_ms FROM mcues x JOIN decisions y ON x.title_id = y.title_id AND x.pos = y.pos
+), {_renamed(_CLOSED, cues="tcues")}, ecues AS (
+  SELECT title_id, pos, idx, start_ms, CASE WHEN coalesce(fast AND ne > end_ms, false) THEN ne ELSE end_ms END AS end_ms, text, source_count, trim_ms, ok AS closed, coalesce(fast AND ne > end_ms, false) AS extended FROM {_EXTENDED}
+), ccues AS (
+  SELECT * FROM ecues UNION ALL SELECT title_id, max(pos) + 1, max(idx) + 1, arg_max(end_ms, pos) + 3000, arg_max(end_ms, pos) + 6000, 'Vertaald met zorg', NULL, NULL, NULL, NULL FROM ecues GROUP BY 1 HAVING NOT contains(lower(arg_max(text, pos)), 'vertaald met zorg')
+), {_REBALANCED.replace(f"{_TWO_LINES}, {_balance('broken')}", _balance("ccues"))}, finished AS (
+  SELECT c.title_id, c.pos, c.idx, start_ms, end_ms, coalesce(b.text, c.text) AS text, source_count, trim_ms, closed, extended, outcome AS balance FROM ccues c LEFT JOIN rebalanced b ON c.title_id = b.title_id AND c.pos = b.pos
+)"""
+
 _GROUPS = f"""nodes AS (
   SELECT title_id, 'e' AS side, pos, idx, start_ms, end_ms, text FROM en UNION ALL SELECT title_id, 'n', pos, idx, start_ms, end_ms, text FROM nl
 ), links AS (
@@ -409,7 +429,7 @@ def sql() -> dict[str, str]:
         return ("WITH RECURSIVE " + ",\n".join(parts) + "\n" if parts else "") + select
 
     clean = f"clean AS (SELECT *, lead(start_ms) OVER w AS nxt, lead(idx) OVER w AS nidx FROM cues WHERE {_strip('text')} <> '' WINDOW w AS (PARTITION BY title_id ORDER BY pos))"
-    gaps_closed = "gc AS (SELECT *, lead(start_ms) OVER (PARTITION BY title_id ORDER BY pos) AS nxt FROM cues), closed AS (SELECT * EXCLUDE (end_ms), CASE WHEN ok THEN nxt - 120 ELSE end_ms END AS end_ms FROM (SELECT *, coalesce(nxt - end_ms > 0 AND nxt - end_ms < 1000 AND nxt - 120 > end_ms AND nxt - 120 - start_ms <= 7000, false) AS ok FROM gc))"
+    gaps_closed = _CLOSED
     ch = _chars("text")
     measured = f"ms AS (SELECT title_id, pos, end_ms - start_ms AS duration_ms, {ch} AS chars, CASE WHEN end_ms > start_ms THEN {ch}::BIGINT * 1000000000 // (end_ms - start_ms) END AS micro_cps, len(string_split(text, chr(10)))::INT AS line_count, list_max(list_transform(string_split(text, chr(10)), lambda q: length(q)))::INT AS max_line_length FROM cues)"
     stats = "SELECT title_id, count(*) AS total_cues, sum(chars)::BIGINT AS total_chars, sum(duration_ms)::BIGINT AS total_duration_ms, max(micro_cps) AS cps_max, min(micro_cps) AS cps_min, (sum(micro_cps) // count(micro_cps))::BIGINT AS cps_avg, count(*) FILTER (WHERE duration_ms > 0 AND chars * 1000 > 17 * duration_ms) AS cps_above_soft, count(*) FILTER (WHERE duration_ms > 0 AND chars * 1000 > 20 * duration_ms) AS cps_above_hard FROM ms GROUP BY 1"
@@ -463,7 +483,7 @@ la AS (SELECT fr.title_id, fr.pos, idx, e, mx, max(CASE WHEN is_speech AND (stop
     o["reorder"] = q(_SWAPPED, "SELECT title_id, row_number() OVER (PARTITION BY title_id ORDER BY start_ms, pos) AS pos, idx, start_ms, pos <> row_number() OVER (PARTITION BY title_id ORDER BY start_ms, pos) AS moved FROM swapped")
     o["fix_overlap"] = q(clean, "SELECT title_id, pos, idx, CASE WHEN nxt - end_ms < 120 THEN nidx END AS fixed_by, coalesce(nxt - end_ms < 120 AND greatest(0, nxt - 120) <= start_ms, false) AS unfixable, CASE WHEN nxt - end_ms < 120 AND greatest(0, nxt - 120) > start_ms THEN greatest(0, nxt - 120) ELSE end_ms END AS new_end_ms FROM clean")
     o["close_gaps"] = q(gaps_closed, "SELECT title_id, pos, end_ms, ok AS closed FROM closed")
-    o["extend_cps"] = q(gaps_closed, f"SELECT title_id, pos, CASE WHEN coalesce(fast AND ne > end_ms, false) THEN ne ELSE end_ms END AS end_ms, coalesce(fast AND ne > end_ms, false) AS extended FROM (SELECT *, end_ms <= start_ms OR {ch} * 1000 > 13 * (end_ms - start_ms) AS fast, CASE WHEN nxt IS NULL THEN start_ms + least({ch} * 10000 // 125, 7000) WHEN nxt - end_ms > 120 THEN least(start_ms + {ch} * 10000 // 125, nxt - 120, start_ms + 7000) END AS ne FROM closed)")
+    o["extend_cps"] = q(gaps_closed, f"SELECT title_id, pos, CASE WHEN coalesce(fast AND ne > end_ms, false) THEN ne ELSE end_ms END AS end_ms, coalesce(fast AND ne > end_ms, false) AS extended FROM {_EXTENDED}")
     o["shift_range"] = q("", "SELECT title_id, pos, start_ms - CASE WHEN idx BETWEEN 20 AND 40 THEN 250 ELSE 0 END AS start_ms, end_ms - CASE WHEN idx BETWEEN 20 AND 40 THEN 250 ELSE 0 END AS end_ms FROM cues")
     o["add_credit"] = q("", "SELECT title_id, n + CASE WHEN has THEN 0 ELSE 1 END AS cues, CASE WHEN has THEN 'VERTAALD MET ZORG.' ELSE 'Vertaald met zorg' END AS last_text, CASE WHEN has THEN s ELSE e + 3000 END AS last_start, CASE WHEN has THEN e ELSE e + 6000 END AS last_end FROM (SELECT title_id, title_id::INT % 3 = 0 AS has, count(*) AS n, arg_max(start_ms, pos) AS s, arg_max(end_ms, pos) AS e FROM cues GROUP BY 1)")
     o["fix_srt"] = q(_FIXED, "SELECT * FROM fixed_srt")
@@ -540,6 +560,13 @@ la AS (SELECT fr.title_id, fr.pos, idx, e, mx, max(CASE WHEN is_speech AND (stop
         "SELECT a.title_id, count(*) AS analyzed, count(w) AS flagged, sum(start_delta_ms)::BIGINT AS start_delta_sum, min(start_delta_ms) AS start_delta_min, max(start_delta_ms) AS start_delta_max, round_even(sum(start_delta_ms) / count(start_delta_ms), 0)::BIGINT AS start_delta_avg, round_even(sum(end_delta_ms) / count(end_delta_ms), 0)::BIGINT AS end_delta_avg, count(*) FILTER (WHERE w = 3) AS high, count(*) FILTER (WHERE w = 2) AS medium, count(*) FILTER (WHERE w = 1) AS low, sum(end_delta_ms)::BIGINT AS end_delta_sum, min(end_delta_ms) AS end_delta_min, max(end_delta_ms) AS end_delta_max, count(*) FILTER (WHERE start_delta_ms BETWEEN 1 AND 200) AS ideal, count(*) FILTER (WHERE start_delta_ms <= 0) AS without, count(*) FILTER (WHERE m) AS missing "
         "FROM an a LEFT JOIN (SELECT title_id, pos, max(CASE severity WHEN 'high' THEN 3 WHEN 'medium' THEN 2 ELSE 1 END) AS w, bool_or(type = 'missing_anticipation') AS m FROM iss GROUP BY 1, 2) i ON a.title_id = i.title_id AND a.pos = i.pos GROUP BY 1",
     )
+    judged = _renamed(_rules().replace(_SWAPPED, "judged AS (SELECT title_id, pos, idx, start_ms, end_ms, text FROM finished)"), swapped="judged").replace("dur > 8000", "dur > 7000")
+    o["finished_cues"] = q(_CHAIN, "SELECT * FROM finished")
+    o["finish_summary"] = q(
+        f"{_CHAIN}, {judged}",
+        "SELECT f.*, coalesce(e, 0) AS error_count, coalesce(w, 0) AS warning_count, coalesce(e, 0) = 0 AS valid FROM (SELECT title_id, count(*) AS total_cues, sum(source_count)::BIGINT AS source_cues, count(source_count) AS output_cues, count(*) FILTER (WHERE source_count > 1) AS merges, count(*) FILTER (WHERE trim_ms > 0) AS trimmed, sum(trim_ms)::BIGINT AS total_trim_ms, count(*) FILTER (WHERE closed) AS closed, count(*) FILTER (WHERE extended) AS extended, count(*) FILTER (WHERE balance IN ('unbroken', 'fixed')) AS rebalanced, round_even(count(source_count) * 1000 / sum(source_count), 0)::BIGINT AS ratio_permille FROM finished GROUP BY 1) f "
+        "LEFT JOIN (SELECT title_id, count(*) FILTER (WHERE severity = 'error') AS e, count(*) FILTER (WHERE severity = 'warning') AS w FROM rules GROUP BY 1) r ON f.title_id = r.title_id",
+    )
     o["line_balance"] = q(_balance("cues"), "SELECT * FROM flaws")
     o["rebalance"] = q(_REBALANCED, "SELECT * FROM rebalanced")
     o["balance_summary"] = q(_REBALANCED, "SELECT title_id, count(*) AS flagged, count(*) FILTER (WHERE is_high) AS high, " + ", ".join(f"count(*) FILTER (WHERE outcome = '{x}') AS {x}" for x in ("unbroken", "fixed", "skipped_cps", "unfixable")) + " FROM rebalanced GROUP BY 1")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from cuelake import schema
 from cuelake.functions import linebreak, spoken
 from cuelake.functions import text as T
-from cuelake.operators import asof, lexicon, match, merge, offset, orderstats, pairs, rules, speech, stats, timing
+from cuelake.operators import asof, finishing, lexicon, match, merge, offset, orderstats, pairs, rules, speech, stats, timing
 from cuelake.plans import adapters, oracles
 from cuelake.sources import encodings, files, shared, srt
 from cuelake.streaming import batches, ingest, merging
@@ -546,6 +546,41 @@ def linger_comparison(s: SparkSession, d: str) -> DataFrame:
     return stats.lingering(speech.issues(_against(nl, en, spoken)), speech.issues(_against(after, en, spoken)))
 
 
+# the whole chain
+
+
+def _draft(s: SparkSession, d: str) -> DataFrame:
+    """Marked cues with faults by position: blank, out of order, wrong marks, too long, broken after the first word."""
+    pos, text = F.col("pos"), F.col("text")
+    plain = F.regexp_replace(text, r"^\[(SC|NM)\] ", "")
+    faulty = (
+        F.when(pos % 29 == 11, "")
+        .when(pos % 13 == 3, F.concat(text, F.lit("!")))
+        .when(pos % 17 == 5, F.concat(text, F.lit(";")))
+        .when(pos % 23 == 9, F.concat_ws(" ", text, plain, plain))
+        .when(pos % 7 == 2, F.regexp_replace(text, r"^((?:\[(?:SC|NM)\] )?[^ ]+) ", "$1\n"))
+        .otherwise(text)
+    )
+    start = F.when(pos % 10 == 3, F.col("start_ms") - 4000).otherwise(F.col("start_ms"))
+    return adapters.marked_cues(s, d).withColumn("text", faulty).withColumn("start_ms", start)
+
+
+def _finished(s: SparkSession, d: str) -> DataFrame:
+    return finishing.finish(_draft(s, d), _spoken(s, d), CREDIT)
+
+
+@query
+def finished_cues(s: SparkSession, d: str) -> DataFrame:
+    return _finished(s, d)
+
+
+@query
+def finish_summary(s: SparkSession, d: str) -> DataFrame:
+    folder = shared.new_folder(s, "finished")
+    _finished(s, d).write.parquet(folder)
+    return finishing.summary(s.read.parquet(folder))
+
+
 # line balance
 
 
