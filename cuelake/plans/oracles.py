@@ -548,6 +548,11 @@ la AS (SELECT fr.title_id, fr.pos, idx, e, mx, max(CASE WHEN is_speech AND (stop
     )
     o["trim_summary"] = q(f"{_SPEECH}, {_TRIM}", "SELECT action, reason, count(*) AS n, sum(trim_ms)::BIGINT AS total_trim_ms, row_number() OVER (ORDER BY count(*) DESC, action, reason NULLS FIRST)::INT AS rank FROM decisions GROUP BY 1, 2")
     o["speech_extension"] = q(ext, "SELECT title_id, pos, idx, e AS old_end_ms, least(se + 100, mx) AS new_end_ms, least(se + 100, mx) - e AS extension_ms FROM la WHERE se > e AND least(se + 100, mx) - e > 50")
+    o["report_objects"] = q(
+        f"{_SPEECH}, {_TRIM}, {ext}, longer AS (SELECT title_id, idx, e AS old_end, least(se + 100, mx) AS new_end, least(se + 100, mx) - e AS ms FROM la WHERE se > e AND least(se + 100, mx) - e > 50), sizes AS (SELECT title_id, count(*) AS total_cues FROM en GROUP BY 1)",
+        "SELECT s.title_id, 'trim' AS kind, total_cues, coalesce(n, 0) AS counted, idx AS cue_num, old_end_ms AS old_end, new_end_ms AS new_end, trim_ms AS ms FROM sizes s LEFT JOIN (SELECT title_id, count(*) AS n FROM decisions WHERE action = 'trim' GROUP BY 1) c ON s.title_id = c.title_id LEFT JOIN (SELECT * FROM decisions WHERE action <> 'skip') d ON s.title_id = d.title_id "
+        "UNION ALL SELECT s.title_id, 'extension', total_cues, coalesce(n, 0), idx, old_end, new_end, ms FROM sizes s LEFT JOIN (SELECT title_id, count(*) AS n FROM longer GROUP BY 1) c ON s.title_id = c.title_id LEFT JOIN longer x ON s.title_id = x.title_id",
+    )
     o["extension_report"] = q(
         ext,
         "SELECT c.title_id, total_cues, coalesce(n, 0) AS extended_cues, coalesce(t, 0)::BIGINT AS total_extension_ms, round_even(t / n, 0)::BIGINT AS avg_extension_ms FROM (SELECT title_id, count(*) AS total_cues FROM en GROUP BY 1) c LEFT JOIN (SELECT title_id, count(*) AS n, sum(least(se + 100, mx) - e) AS t FROM la WHERE se > e AND least(se + 100, mx) - e > 50 GROUP BY 1) x ON c.title_id = x.title_id",

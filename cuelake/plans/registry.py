@@ -12,7 +12,7 @@ from cuelake.functions import linebreak, spoken
 from cuelake.functions import text as T
 from cuelake.operators import asof, finishing, lexicon, match, merge, offset, orderstats, pairs, rules, speech, stats, timing
 from cuelake.plans import adapters, oracles
-from cuelake.sources import encodings, files, shared, srt
+from cuelake.sources import encodings, files, reports, shared, srt
 from cuelake.streaming import batches, ingest, merging
 
 CREDIT = "Vertaald met zorg"
@@ -581,6 +581,17 @@ def finish_summary(s: SparkSession, d: str) -> DataFrame:
     return finishing.summary(s.read.parquet(folder))
 
 
+@query
+def report_objects(s: SparkSession, d: str) -> DataFrame:
+    """Reports of trimming and of extending, written as objects, one a title, and read again: each entry with figures of its title's summary."""
+    folder, own, short = shared.new_folder(s, "reports"), adapters.en_cues(s, d), _shortened(s, d)
+    reports.write(reports.trim(speech.trim(own, _spoken(s, d)), {"fps": 25, "min_trim_ms": 400}), f"{folder}/trim")
+    reports.write(reports.extension(short, speech.extend(short, adapters.speech_frames(s, d))), f"{folder}/extension")
+    found = [(reports.read(s, f"{folder}/{kind}", kind), kind, *rest) for kind, *rest in (("trim", "full_trims", "trim_ms"), ("extension", "extended_cues", "extension_ms"))]
+    entries = [df.select("title_id", F.lit(kind).alias("kind"), "total_cues", F.col(counted).alias("counted"), F.explode_outer(reports.KINDS[kind][0]).alias("e")).select("title_id", "kind", "total_cues", "counted", "e.cue_num", "e.old_end", "e.new_end", F.col(f"e.{ms}").alias("ms")) for df, kind, counted, ms in found]
+    return entries[0].unionByName(entries[1])
+
+
 # line balance
 
 
