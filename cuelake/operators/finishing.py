@@ -20,7 +20,8 @@ def finish(draft: DataFrame, spoken: DataFrame, credit: str, gap_threshold_ms: i
 
     `spoken` is speech as speech.segments has it. source_count is null for the credit, trim_ms 0 for a cue that was not trimmed,
     balance null for one that was not flagged. A title without speech is not trimmed. Limits are those of a language and
-    framerate; gap and duration of merging are the genre's. Blank cues go; a title of nothing else has no rows.
+    framerate; gap and duration of merging are the genre's. Blank cues go; a title of nothing else has no rows. Write the
+    result before filtering on balance (see stats.rebalance).
     """
     longest, min_gap = limits["max_duration_ms"], limits["min_gap_ms"]
     merged = merge.merge_cues(timing.fix_srt(draft, min_gap), gap_threshold_ms, max_duration_ms or longest).withColumn("pos", F.col("idx").cast("bigint"))

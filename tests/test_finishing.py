@@ -69,3 +69,13 @@ def test_report_objects(spark, tmp_path):
     judged = {r["title_id"]: json.loads(r["value"]) for r in reports.validation(own, rules.violations(own)).collect()}
     assert not judged["t"]["summary"]["valid"] and judged["t"]["summary"]["error_count"] == sum(x["severity"] == "error" for x in judged["t"]["findings"])
     assert "semicolon" in [x["code"] for x in judged["t"]["findings"]]
+
+
+def test_timing_report(spark):
+    analyzed = spark.createDataFrame([("t", 1, 7, -900, 100), ("t", 2, 8, 50, None), ("u", 1, 1, None, None)], "title_id string, pos bigint, idx int, end_delta_ms bigint, start_delta_ms bigint")
+    issues = spark.createDataFrame([("t", 1, "lingers_after_speech", "medium"), ("t", 1, "early_start", "low")], "title_id string, pos bigint, type string, severity string")
+    got = {r["title_id"]: json.loads(r["value"]) for r in reports.timing(analyzed, issues, {"threshold_ms": 500}).collect()}
+    s = got["t"]["summary"]
+    assert (s["cues_analyzed"], s["cues_flagged"], s["high"], s["medium"], s["low"], s["anticipation_ideal"], s["end_delta_avg_ms"], s["start_delta_avg_ms"]) == (2, 1, 0, 1, 0, 1, -425, 100)
+    assert got["t"]["flagged"] == [{"cue_num": 7, "issues": [{"type": "early_start", "severity": "low"}, {"type": "lingers_after_speech", "severity": "medium"}], "end_delta_ms": -900, "start_delta_ms": 100}]
+    assert got["u"]["summary"]["cues_analyzed"] == 1 and got["u"]["flagged"] == [] and "end_delta_avg_ms" not in got["u"]["summary"]
