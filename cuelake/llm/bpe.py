@@ -22,6 +22,7 @@ import gc
 import hashlib
 import json
 import struct
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -40,8 +41,12 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 KEPT_WORDS, KEPT_LENGTH = 150_000, 64
 #: Pairs of tokens of which a worker knows whether they stay.
 KEPT_PAIRS = 500_000
-#: Characters whose words are looked up together, and bytes of ids that are decoded together.
+#: Characters whose words are looked up together, and bytes of ids that are decoded together. Longer texts are encoded in portions of as many.
 BATCH_CHARS, DECODED_AT_ONCE = 2 << 20, 1 << 18
+#: Words at the end of a portion that what follows may still change: a contraction needs two ("'", "r" before "e").
+UNSETTLED = 2
+#: Bytes of a word from which on states are kept as 32-bit integers, which is slower and takes less.
+LONG_WORD = 1 << 18
 
 #: A character of each class (letter, number, space, other) that all Unicode versions agree on.
 _STANDS_FOR = {"L": "é", "N": "²", "S": " ", "O": "§"}
@@ -162,12 +167,14 @@ class Encoder:
 
     def encode_words(self, words: Iterable[bytes]) -> Iterator[tuple[bytes, list[int]]]:
         """(word, ids) for distinct words, in sorted order: the walk over their prefix tree."""
-        last, states, widths = [-1], [0], [0]
+        words = sorted(words)
+        long = max(map(len, words), default=0) >= LONG_WORD
+        last, states, widths = (array("i", [x]) if long else [x] for x in (-1, 0, 0))
         before = b""
         steps, ending, known = self._steps, self._ending, self._stays
         if len(known) > KEPT_PAIRS:
             known.clear()
-        for word in sorted(words):
+        for word in words:
             shared = _common(before, word)
             del last[shared + 1 :], states[shared + 1 :], widths[shared + 1 :]
             state = states[shared]
@@ -228,9 +235,46 @@ class Encoder:
             out += [part] if at % 2 else self.split(part)
         return out
 
+    def portions(self, text: str) -> Iterator[list[str]]:
+        """The words of a text, BATCH_CHARS or so of it at a time.
+
+        A portion ends between two words of its characters, the first not of spaces, so that
+        these words don't depend on what follows, and never in an added token.
+        A word that fills a portion makes it twice as long.
+        """
+        at, width = 0, BATCH_CHARS
+        while len(text) - at > width:
+            words = self.pieces(text[at : at + width])
+            k = max(0, len(words) - UNSETTLED)
+            end = at + sum(map(len, words[:k]))
+            while k > 0 and (words[k - 1][-1].isspace() or self._inside_added(text, end)):
+                k -= 1
+                end -= len(words[k])
+            if k > 0:
+                yield words[:k]
+                at, width = end, BATCH_CHARS
+            else:
+                width *= 2
+        yield self.pieces(text[at:])
+
+    def _inside_added(self, text: str, at: int) -> bool:
+        """Whether an added token stands across a place of the text."""
+        return any(text.find(x, max(0, at - len(x) + 1), at + len(x) - 1) >= 0 for x in self._added)
+
+    def encode_long(self, text: str) -> tuple[int, bytes, bytes]:
+        """What `encode_texts` gives for one text, worked out portion by portion."""
+        ids, raw = bytearray(), bytearray()
+        for words in self.portions(text):
+            for _, part, decoded in self._encode_split([words]):
+                ids += part
+                raw += decoded
+        return len(ids) // 4, bytes(ids), bytes(raw)
+
     def encode_texts(self, texts: list[str]) -> Iterator[tuple[int, bytes, bytes]]:
         """(number of ids, ids as little-endian 32-bit integers, decoded bytes) of each text."""
-        split = [self.pieces(t) for t in texts]
+        return self._encode_split([self.pieces(t) for t in texts])
+
+    def _encode_split(self, split: list[list[str]]) -> Iterator[tuple[int, bytes, bytes]]:
         if len(self._known) > KEPT_WORDS:  # words that were met since the last time stay a while longer
             self._older, self._known = self._known, {}
         known, older = self._known, self._older
@@ -317,12 +361,19 @@ def _encoded(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[tuple[pa.
         for batch in batches:
             keys, texts, at = batch.column(0).cast(pa.int64()), batch.column(1), 0
             while at < len(keys):
-                part, size, upto = [], 0, at
-                while upto < len(keys) and (size < BATCH_CHARS or upto == at):
-                    part.append(texts[upto].as_py() or "")
-                    size += len(part[-1])
+                part, size, upto, long = [], 0, at, None
+                while upto < len(keys) and size < BATCH_CHARS and long is None:
+                    text = texts[upto].as_py() or ""
+                    if len(text) > BATCH_CHARS:
+                        long = text
+                    else:
+                        part.append(text)
+                        size += len(text)
                     upto += 1
-                yield keys.slice(at, upto - at), list(own.encode_texts(part))
+                if part:
+                    yield keys.slice(at, len(part)), list(own.encode_texts(part))
+                if long is not None:
+                    yield keys.slice(upto - 1, 1), [own.encode_long(long)]
                 at = upto
     finally:
         encoder.cache_clear()  # so that an idle worker holds nothing; the next task takes half a second to read the vocabulary
