@@ -1,5 +1,6 @@
 """Long texts encoded in portions give what they give whole."""
 
+import functools
 import hashlib
 import random
 import struct
@@ -17,8 +18,13 @@ def path():
     return queries.vocabulary()
 
 
+@functools.cache
+def library_of(path):
+    return Tokenizer.from_file(path)
+
+
 def whole(path, texts):
-    library = Tokenizer.from_file(path)
+    library = library_of(path)
     for text in texts:
         ids = library.encode(text, add_special_tokens=False).ids
         yield len(ids), struct.pack(f"<{len(ids)}I", *ids), library.decode(ids, skip_special_tokens=False)
