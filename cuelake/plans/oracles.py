@@ -201,8 +201,8 @@ _DRAFTS = """near_en AS (
 )"""
 
 _ENHANCED = f"""{_PROX}, {_DRAFTS}, reports AS (
-  SELECT title_id, pos AS entry, start_ms + pos % 40 AS out_start, CASE WHEN nxt IS NULL THEN [] ELSE [{{'s': start_ms, 'e': end_ms}}, {{'s': nxt, 'e': nxt_end}}] END AS tcs
-  FROM (SELECT *, lead(start_ms) OVER w AS nxt, lead(end_ms) OVER w AS nxt_end FROM nl WINDOW w AS (PARTITION BY title_id ORDER BY pos)) WHERE pos % 4 = 0
+  SELECT title_id, pos AS entry, start_ms + pos % 40 AS out_start, CASE WHEN nxt IS NULL OR pos % 4 <> 0 THEN [] ELSE [{{'s': start_ms, 'e': end_ms}}, {{'s': nxt, 'e': nxt_end}}] END AS tcs
+  FROM (SELECT *, lead(start_ms) OVER w AS nxt, lead(end_ms) OVER w AS nxt_end FROM nl WINDOW w AS (PARTITION BY title_id ORDER BY pos))
 ), report_map AS (
   SELECT title_id, out_start, min(entry) AS entry, arg_max(tcs, entry) AS tcs FROM reports GROUP BY 1, 2
 ), draft_map AS (
@@ -396,7 +396,7 @@ _CATS = f"""cats AS (
 )"""
 
 _SEGMENTS = """heard AS (
-  SELECT title_id, pos, idx, i AS word_no, 40 + 25 * i + (pos * 7) % 90 + CASE WHEN pos % 41 = 1 THEN 400 ELSE 0 END AS f FROM (SELECT *, unnest(range(1, n + 1)) AS i FROM (SELECT *, len(string_split(text, ' ')) AS n FROM en WHERE pos % 3 <> 0)) WHERE pos % 5 <> 0 OR i * 3 <= n
+  SELECT title_id, pos, CASE WHEN pos % 3 = 0 OR pos % 5 = 0 AND i * 3 > n THEN -idx ELSE idx END AS idx, i AS word_no, 40 + 25 * i + (pos * 7) % 90 + CASE WHEN pos % 41 = 1 THEN 400 ELSE 0 END AS f FROM (SELECT *, unnest(range(1, n + 1)) AS i FROM (SELECT *, len(string_split(text, ' ')) AS n FROM en))
 ), framed AS (
   SELECT *, greatest(0, start_ms - CASE WHEN p < start_ms THEN least((start_ms - p) // 2, 1500) ELSE 1500 END) AS ws, len(string_split(text, ' ')) AS we FROM (SELECT *, lag(end_ms) OVER (PARTITION BY title_id ORDER BY pos) AS p FROM en)
 ), corr AS (
@@ -493,7 +493,7 @@ la AS (SELECT fr.title_id, fr.pos, idx, e, mx, max(CASE WHEN is_speech AND (stop
     o["alignment_applied"] = q(_SEGMENTS, "SELECT title_id, pos, s AS start_ms, CASE WHEN e2 <= s THEN s + 500 ELSE e2 END AS end_ms, applied FROM (SELECT *, CASE WHEN e > lead(s) OVER (PARTITION BY title_id ORDER BY pos) THEN lead(s) OVER (PARTITION BY title_id ORDER BY pos) - 1 ELSE e END AS e2 FROM (SELECT n.title_id, n.pos, coalesce(aligned_start_ms, start_ms) AS s, coalesce(aligned_end_ms + 200, end_ms) AS e, aligned_start_ms IS NOT NULL AS applied FROM en n LEFT JOIN corr c ON n.title_id = c.title_id AND n.idx = c.idx AND significant))")
     o["validate_rules"] = q(_rules(), "SELECT * FROM rules")
     o["validation_stats"] = q(measured, stats)
-    drift = "dev AS (SELECT n.title_id, n.pos, n.idx, min(abs(e.start_ms - n.start_ms)) AS d FROM nl n JOIN (SELECT * FROM en WHERE pos < 15 OR pos > 24) e ON n.title_id = e.title_id GROUP BY 1, 2, 3 HAVING min(abs(e.start_ms - n.start_ms)) >= 3000), isl AS (SELECT *, idx - row_number() OVER (PARTITION BY title_id ORDER BY pos) AS i FROM dev), drifting AS (SELECT title_id, min(idx) AS first_idx, max(idx) AS last_idx, (max(idx) - min(idx) + 1)::INT AS n_cues, max(d) AS max_deviation_ms, CASE WHEN max(d) >= 5000 AND max(idx) > min(idx) THEN 'error' ELSE 'warning' END AS severity FROM isl GROUP BY title_id, i)"
+    drift = "dev AS (SELECT n.title_id, n.pos, n.idx, min(abs(e.start_ms - n.start_ms)) AS d FROM nl n JOIN (SELECT title_id, start_ms + CASE WHEN pos BETWEEN 15 AND 24 THEN 36000000 ELSE 0 END AS start_ms FROM en) e ON n.title_id = e.title_id GROUP BY 1, 2, 3 HAVING min(abs(e.start_ms - n.start_ms)) >= 3000), isl AS (SELECT *, idx - row_number() OVER (PARTITION BY title_id ORDER BY pos) AS i FROM dev), drifting AS (SELECT title_id, min(idx) AS first_idx, max(idx) AS last_idx, (max(idx) - min(idx) + 1)::INT AS n_cues, max(d) AS max_deviation_ms, CASE WHEN max(d) >= 5000 AND max(idx) > min(idx) THEN 'error' ELSE 'warning' END AS severity FROM isl GROUP BY title_id, i)"
     unread = "unread AS (SELECT title_id, 'error' AS severity FROM en WHERE title_id LIKE '%3' AND (pos % 7 = 0 OR pos % 3 = 0 OR pos % 5 = 0))"
     o["validation_summary"] = q(
         f"{_rules()}, {drift}, {unread}, hits AS (SELECT title_id, severity FROM rules UNION ALL SELECT title_id, severity FROM drifting UNION ALL SELECT * FROM unread)",
