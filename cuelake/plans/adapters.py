@@ -147,7 +147,7 @@ talk AS (
       CASE WHEN pos % 7 = 6 THEN coalesce(lead(end_ms) OVER (PARTITION BY title_id ORDER BY pos), end_ms) ELSE end_ms END AS e,
       CASE WHEN pos % 9 = 4 THEN array_to_string(w[1:2], ' ') WHEN pos % 10 = 3 THEN t || ' als je het weet' WHEN pos % 12 = 5 THEN t || ' zegt u nu' WHEN pos % 15 = 6 THEN 'Toen gaat hij ' || t
            WHEN pos % 16 = 7 THEN t || '...' WHEN pos % 18 = 8 THEN t || chr(10) || '-' || w[1] WHEN pos % 20 = 9 THEN 'een heel ander verhaal' ELSE t END AS text
-    FROM (SELECT * REPLACE (concat_ws(' ', t, CASE WHEN pos % 7 = 6 THEN lead(t) OVER (PARTITION BY title_id ORDER BY pos) END) AS t) FROM base)) WHERE pos % 7 <> 0
+    FROM (SELECT * REPLACE (string_split(t, ' ') AS w) FROM (SELECT * REPLACE (concat_ws(' ', t, CASE WHEN pos % 7 = 6 THEN lead(t) OVER (PARTITION BY title_id ORDER BY pos) END) AS t) FROM base))) WHERE pos % 7 <> 0
 ), nl AS (
   SELECT title_id, row_number() OVER (PARTITION BY title_id ORDER BY start_ms, pos) AS pos, (row_number() OVER (PARTITION BY title_id ORDER BY start_ms, pos))::INT AS idx, start_ms, end_ms, text FROM shifted
 ), frames AS (
