@@ -188,6 +188,19 @@ def test_reports(spark, tmp_path):
         assert sorted(r[0] for r in srt.read_index_list(spark, str(path)).collect()) == [1, 2]
 
 
+def test_runs_of_frames_across_words(spark):
+    values = [True] * 70 + [False] * 3 + [None, None] + [False] + [True] * 130 + [False] * 60
+    rows = [("t", k, v) for k, v in enumerate(values)] + [("t", 500, False), ("t", 620, True), ("u", 59, True), ("u", 60, True), ("u", 61, False), ("u", -1, True)]
+    frames = spark.createDataFrame(rows, "title_id string, frame_idx bigint, is_speech boolean")
+    found = speech.runs(frames)
+    got = [tuple(r)[2:] for r in found.where("title_id = 't'").orderBy("run_no").collect()]
+    assert got == [(True, 0, 70), (False, 70, 73), (None, 73, 74), (None, 74, 75), (False, 75, 76), (True, 76, 206), (False, 206, 501), (True, 620, 621)]
+    assert [tuple(r)[2:] for r in found.where("title_id = 'u'").orderBy("run_no").collect()] == [(True, -1, 61), (False, 61, 62)]
+    # frames are not sorted, what they make is
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Window") < plan.index("bit_or")
+
+
 def test_rebalanced_works_its_text_out_once(spark):
     own = cues(spark, [(0, 9000, "Dit is de\nzaak van de eeuw in het Rode Kruis zegt hij"), (9500, 9900, "Een regel")]).withColumn("text", T.collapse(F.concat("text", F.lit("  "))))
     own = own.withColumn("text", F.regexp_replace("text", "de zaak", "de\nzaak"))
