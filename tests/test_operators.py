@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from cuelake.functions import text as T
 from cuelake.operators import asof, match, merge, pairs, rules, speech, stats, timing
+from cuelake.plans import adapters
 from cuelake.sources import srt
 from cuelake.streaming import ingest
 
@@ -188,6 +189,14 @@ def test_reports(spark, tmp_path):
         assert sorted(r[0] for r in srt.read_index_list(spark, str(path)).collect()) == [1, 2]
 
 
+def test_tasks_grow_with_the_table(spark, tmp_path):
+    assert [adapters.tasks(n, 8) for n in (0, 1, 536, 5012, 125_300, 1_500_000)] == [1, 1, 6, 8, 63, 750]
+    spark.createDataFrame([(k, 1, "a", "een twee") for k in range(12_001)], "conv_id bigint, turn int, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    en = adapters.en_cues(spark, str(tmp_path))
+    # titles are dealt once: a table of cues and what is set against it keep to the same tasks
+    assert en.rdd.getNumPartitions() == match.title_cards(en, en).rdd.getNumPartitions() == 7 and en.count() == 12_001
+
+
 def test_runs_of_frames_across_words(spark):
     values = [True] * 70 + [False] * 3 + [None, None] + [False] + [True] * 130 + [False] * 60
     rows = [("t", k, v) for k, v in enumerate(values)] + [("t", 500, False), ("t", 620, True), ("u", 59, True), ("u", 60, True), ("u", 61, False), ("u", -1, True)]
