@@ -2,89 +2,123 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cuelake.functions import text as T
-from cuelake.operators import asof
 
 CATEGORIES = ("heavy-merge", "merge", "strong-condensation", "condensation", "idiom-candidate", "dual-speaker", "v2-inversion", "register-formal", "register-informal", "continuation", "expansion")
 
 
-def _overlap_edges(en: DataFrame, nl: DataFrame, percent: int) -> DataFrame:
-    met = asof.overlapping(en.select("title_id", "pos", "start_ms", "end_ms"), nl.select("title_id", "pos", "start_ms", "end_ms"))
-    shared = F.least("end_ms", "p_end_ms") - F.greatest("start_ms", "p_start_ms")
-    shorter = F.least(F.col("end_ms") - F.col("start_ms"), F.col("p_end_ms") - F.col("p_start_ms"))
-    return met.where(shared * 100 >= percent * F.when(shorter > 0, shorter).otherwise(1)).select("title_id", F.col("pos").alias("en_pos"), F.col("p_pos").alias("nl_pos"))
+#: Pairs of cues that a task looks at together.
+PAIRS = 1_000_000
 
 
-def _island_components(rows):
-    """Groups of one island's edges: union-find over what overlaps in time."""
-    import pandas as pd
+def _connect(labels: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Labels (of each node the least node of its component) after the edges a-b: roots are hung on smaller roots until both ends of every edge agree."""
+    while len(a):
+        la, lb = labels[a], labels[b]
+        apart = la != lb
+        if not apart.any():
+            break
+        a, b, la, lb = a[apart], b[apart], la[apart], lb[apart]
+        np.minimum.at(labels, np.maximum(la, lb), np.minimum(la, lb))
+        while (labels[labels] != labels).any():
+            labels = labels[labels]
+    return labels
 
-    parent: dict = {}
 
-    def find(x):
-        while parent.setdefault(x, x) != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
+def _overlap_groups(percent: int):
+    """A function of the sides, positions, starts and ends of each island's cues that lists its groups: e and n, the places in the island of a group's cues of both sides by start.
 
-    for e, n in zip(rows.en_pos, rows.nl_pos, strict=True):
-        a, b = find((0, e)), find((1, n))
-        parent[max(a, b)] = min(a, b)
-    nodes = [(*node, find(node)[1]) for node in parent]
-    return pd.DataFrame({"title_id": rows.title_id.iloc[0], "side": [n[0] for n in nodes], "pos": [n[1] for n in nodes], "root": [n[2] for n in nodes]})
+    Cues are sorted by start, so that those which a cue overlaps stand right behind it; these pairs alone are looked at, PAIRS at a time.
+    """
+
+    def solve(side: pa.Array, pos: pa.Array, start: pa.Array, end: pa.Array) -> pa.Array:
+        sizes = np.diff(side.offsets.to_numpy())
+        island, place = np.repeat(np.arange(len(sizes)), sizes), np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        known = start.flatten().is_valid().to_numpy(zero_copy_only=False) & end.flatten().is_valid().to_numpy(zero_copy_only=False)
+        # a cue without times is one without duration: it meets no other
+        side, pos, start, end = (pc.fill_null(x.flatten(), 0).to_numpy(zero_copy_only=False) for x in (side, pos, start, end))
+        end = np.where(known, end, start)
+        order = np.lexsort((pos, side, start, island))
+        island, place, side, pos, start, end = (x[order] for x in (island, place, side, pos, start, end))
+        times, ranks = np.unique(np.concatenate([start, end]), return_inverse=True)
+        first = island * len(times)
+        behind = np.arange(len(start)) + 1
+        met = np.maximum(np.searchsorted(first + ranks[: len(start)], first + ranks[len(start) :]) - behind, 0)
+        upto = np.cumsum(met)
+        labels, at = np.arange(len(start)), 0
+        while at < len(start):
+            done = upto[at - 1] if at else 0
+            to = max(int(np.searchsorted(upto, done + PAIRS, side="right")), at + 1)
+            a = np.repeat(np.arange(at, to), met[at:to])
+            b = behind[a] + np.arange(len(a)) - (upto[a] - met[a] - done)
+            shared, shorter = np.minimum(end[a], end[b]) - start[b], np.minimum(end[a] - start[a], end[b] - start[b])
+            edge = (side[a] != side[b]) & (shared > 0) & (shared * 100 >= percent * shorter)
+            labels, at = _connect(labels, a[edge], b[edge]), to
+        root = np.flatnonzero(labels == np.arange(len(labels)))
+        group = np.searchsorted(root, labels)
+
+        def places(of: int) -> pa.Array:
+            own = np.flatnonzero(side == of)
+            own = own[np.lexsort((pos[own], start[own], group[own]))]
+            return pa.ListArray.from_arrays(_offsets(np.bincount(group[own], minlength=len(root))), pa.array(place[own], pa.int32()))
+
+        return pa.ListArray.from_arrays(_offsets(np.bincount(island[root], minlength=len(sizes))), pa.StructArray.from_arrays([places(0), places(1)], ["e", "n"]))
+
+    return F.arrow_udf(solve, "array<struct<e: array<int>, n: array<int>>>")
+
+
+def _offsets(sizes: np.ndarray) -> pa.Array:
+    return pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32())
 
 
 def _components(edges: DataFrame) -> DataFrame:
-    """(title_id, side, pos, root): what the edges connect.
+    """(title_id, side, pos, root): what edges (title_id, en_pos, nl_pos) that are given as a table connect, title by title."""
 
-    Edges are cut in islands first, which no edge connects: in the order of the English cue a new island begins where every Dutch cue met so far comes before all that are still to come.
-    Islands of one English or one Dutch cue, which are nearly all, are named at once; only the others are solved one by one.
-    """
-    order = Window.partitionBy("title_id").orderBy("en_pos")
-    by_en = edges.groupBy("title_id", "en_pos").agg(F.min("nl_pos").alias("low"), F.max("nl_pos").alias("high"))
-    so_far = F.max("high").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    to_come = F.min("low").over(order.rowsBetween(0, Window.unboundedFollowing))
-    cut = by_en.withColumn("_new", F.coalesce((to_come > so_far).cast("int"), F.lit(1))).withColumn("island", F.sum("_new").over(order))
-    own = edges.join(cut.select("title_id", "en_pos", "island"), ["title_id", "en_pos"])
-    sized = own.groupBy("title_id", "island").agg(F.min("en_pos").alias("root"), F.array_sort(F.collect_set("en_pos")).alias("e"), F.array_sort(F.collect_set("nl_pos")).alias("n"), F.collect_list(F.struct("en_pos", "nl_pos")).alias("edges"))
-    plain = (F.size("e") == 1) | (F.size("n") == 1)
-    named = F.concat(F.transform("e", lambda x: F.struct(F.lit(0).alias("side"), x.alias("pos"))), F.transform("n", lambda x: F.struct(F.lit(1).alias("side"), x.alias("pos"))))
-    easy = sized.where(plain).select("title_id", F.explode(named).alias("m"), "root").select("title_id", "m.side", "m.pos", "root")
-    hard = sized.where(~plain).select("title_id", "island", F.explode("edges").alias("x")).select("title_id", "island", "x.en_pos", "x.nl_pos")
-    return easy.unionByName(hard.groupBy("title_id", "island").applyInPandas(_island_components, "title_id string, side int, pos bigint, root bigint"))
+    def solve(rows: pa.Table) -> pa.Table:
+        (en, a), (nl, b) = (np.unique(rows[c].to_numpy(), return_inverse=True) for c in ("en_pos", "nl_pos"))
+        root = en[_connect(np.arange(len(en) + len(nl)), a, b + len(en))]
+        return pa.table({"title_id": pa.repeat(rows["title_id"][0], len(root)), "side": pa.array(np.repeat([0, 1], [len(en), len(nl)]), pa.int32()), "pos": np.concatenate([en, nl]), "root": root})
+
+    return edges.groupBy("title_id").applyInArrow(solve, "title_id string, side int, pos bigint, root bigint")
 
 
 def align(en: DataFrame, nl: DataFrame, percent: int = 10) -> DataFrame:
     """One row for each group: counts, texts, characters, times, mapping type. Cues that meet no other are groups of their own.
 
-    Edges are found by a bucketed overlap join; what they connect is found island by island.
+    Both versions are sorted together by title and start and cut in islands where every cue so far has ended; groups are found island by island.
+    Versions that are dealt alike by title are not dealt again, and nothing is joined: an island has all that its groups are made of.
     """
-    edges = _overlap_edges(en, nl, percent)
-    linked = _components(edges)
-    columns = ["title_id", "pos", "idx", "start_ms", "end_ms", "text"]
-    both = en.select(*columns).withColumn("side", F.lit(0)).unionByName(nl.select(*columns).withColumn("side", F.lit(1)))
-    met = both.join(linked, ["title_id", "side", "pos"], "left")
-    name = F.coalesce(F.concat(F.lit("g"), F.col("root")), F.concat(F.when(F.col("side") == 0, "e").otherwise("n"), F.col("pos")))
-    met = met.withColumn("group_key", name).withColumn("flat", F.regexp_replace("text", "\n", " ")).withColumn("chars", T.char_count(F.col("text")))
-
-    def texts(side: int):
-        ordered = F.array_sort(F.collect_list(F.when(F.col("side") == side, F.struct("start_ms", "pos", "flat"))))
-        return F.array_join(F.transform(ordered, lambda x: x["flat"]), " ")
-
-    def count(side: int):
-        return F.count_if(F.col("side") == side)
-
-    def chars(side: int):
-        return F.coalesce(F.sum(F.when(F.col("side") == side, F.col("chars"))), F.lit(0)).cast("bigint")
-
-    groups = met.groupBy("title_id", "group_key").agg(
-        count(0).alias("en_count"), count(1).alias("nl_count"), texts(0).alias("en_text"), texts(1).alias("nl_text"), chars(0).alias("en_chars"), chars(1).alias("nl_chars"),
-        F.coalesce(F.min_by(F.when(F.col("side") == 0, F.col("idx")), F.when(F.col("side") == 0, F.struct("start_ms", "pos"))), F.lit(0)).alias("en_first"), F.coalesce(F.min_by(F.when(F.col("side") == 1, F.col("idx")), F.when(F.col("side") == 1, F.struct("start_ms", "pos"))), F.lit(0)).alias("nl_first"),
-        F.coalesce(F.min(F.when(F.col("side") == 0, F.col("start_ms"))), F.min(F.when(F.col("side") == 1, F.col("start_ms")))).alias("at_ms"), (F.max("end_ms") - F.min("start_ms")).alias("span_ms"),
-        F.bool_or((F.col("side") == 1) & T.is_dual_speaker(F.col("text"))).alias("dual"),
+
+    def own(df: DataFrame, side: int) -> DataFrame:
+        text = F.col("text")
+        return df.select("title_id", F.lit(side).alias("side"), "pos", "idx", "start_ms", "end_ms", F.regexp_replace(text, "\n", " ").alias("flat"), T.char_count(text).alias("chars"), (T.is_dual_speaker(text) if side else F.lit(False)).alias("dual"))
+
+    order = Window.partitionBy("title_id").orderBy("start_ms", "side", "pos")
+    both = own(en, 0).unionByName(own(nl, 1)).withColumn("_before", F.max("end_ms").over(order.rowsBetween(Window.unboundedPreceding, -1)))
+    cut = F.coalesce((F.col("start_ms") >= F.col("_before")) | F.col("title_id").isNull(), F.lit(True)).cast("int")
+    both = both.withColumn("_island", F.sum(cut).over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    islands = both.groupBy("title_id", "_island").agg(F.collect_list(F.struct("side", "pos", "idx", "start_ms", "end_ms", "flat", "chars", "dual")).alias("c"))
+    islands = islands.withColumn("_groups", _overlap_groups(percent)("c.side", "c.pos", "c.start_ms", "c.end_ms"))
+    met = islands.select("title_id", F.inline(F.transform("_groups", lambda g: F.struct(*(F.transform(g[k], lambda i: F.get("c", i)).alias(k) for k in ("e", "n"))))))
+    e, n = F.col("e"), F.col("n")
+
+    def chars(side: Column) -> Column:
+        return F.aggregate(side["chars"], F.lit(0).cast("bigint"), lambda a, x: a + F.coalesce(x, F.lit(0)))
+
+    def first(side: Column) -> Column:
+        return F.coalesce(F.get(side["idx"], F.lit(0)), F.lit(0))
+
+    name = F.when(F.size(n) == 0, F.concat(F.lit("e"), F.get("e.pos", F.lit(0)))).when(F.size(e) == 0, F.concat(F.lit("n"), F.get("n.pos", F.lit(0)))).otherwise(F.concat(F.lit("g"), F.array_min("e.pos")))
+    groups = met.select(
+        "title_id", name.alias("group_key"), F.size(e).cast("bigint").alias("en_count"), F.size(n).cast("bigint").alias("nl_count"), F.array_join("e.flat", " ").alias("en_text"), F.array_join("n.flat", " ").alias("nl_text"),
+        chars(e).alias("en_chars"), chars(n).alias("nl_chars"), first(e).alias("en_first"), first(n).alias("nl_first"), F.coalesce(F.array_min("e.start_ms"), F.array_min("n.start_ms")).alias("at_ms"),
+        (F.greatest(F.array_max("e.end_ms"), F.array_max("n.end_ms")) - F.least(F.array_min("e.start_ms"), F.array_min("n.start_ms"))).alias("span_ms"), F.array_max(F.concat("e.dual", "n.dual")).alias("dual"),
     )
     n, m = F.col("en_count"), F.col("nl_count")
     kind = F.when((n == 1) & (m == 1), "1:1").when((n > 1) & (m == 1), F.concat(n, F.lit(":1 merge"))).when((n == 1) & (m > 1), F.concat(F.lit("1:"), m, F.lit(" split"))).otherwise(F.concat(n, F.lit(":"), m, F.lit(" remap")))
@@ -95,6 +129,8 @@ def align(en: DataFrame, nl: DataFrame, percent: int = 10) -> DataFrame:
 
 def categories(groups: DataFrame) -> DataFrame:
     """Groups with `category`, one row for each pattern that a group shows."""
+    # texts and counts are looked at many times
+    groups = T.once(groups, **{c: F.col(c) for c in groups.columns if c != "title_id"}).select(*groups.columns)
     n, m = F.col("en_count"), F.col("nl_count")
     a, b = F.col("en_chars"), F.col("nl_chars")
     whole = F.when(a == 0, F.lit(1)).otherwise(a)

@@ -320,3 +320,49 @@ def test_alignment_outcomes(spark):
     row = stats.alignment(out).first()
     assert (row["total_cues"], row["aligned"], row["skipped_short"], row["skipped_confidence"], row["significant"]) == (5, 1, 3, 1, 1)
     assert timing.significant_corrections(segments, own).count() == 1
+
+
+def test_groups_of_any_overlaps(spark, monkeypatch):
+    import random
+
+    monkeypatch.setattr(pairs, "PAIRS", 7)
+    rng = random.Random(5)
+    own = []
+    for t in (*"abcd", None):
+        for _ in range(2):
+            at = sorted(rng.randrange(0, 20000) for _ in range(30))
+            own.append([(t, k, k, s, None if k == 9 else s + rng.choice([0, 5, 300, 900, 900, 6000 if t == "a" else 900]), f"{t} {k}") for k, s in enumerate(at, 1)])
+    schema = "title_id string, pos bigint, idx int, start_ms bigint, end_ms bigint, text string"
+    sides = [[r for rows in own[side::2] for r in rows] for side in (0, 1)]
+    got = {(r["title_id"], r["group_key"]): (r["en_count"], r["nl_count"], r["en_text"], r["nl_text"], r["at_ms"], r["span_ms"]) for r in pairs.align(*(spark.createDataFrame(rows, schema) for rows in sides)).collect()}
+    cue = {(r[0], side, r[1]): r for side in (0, 1) for r in sides[side]}
+    label = {x: (x[1], x[2]) for x in cue}
+    edges = []
+    for x, a in cue.items():
+        for y, b in cue.items():
+            if x[0] is not None and x[0] == y[0] and x[1] < y[1] and a[4] is not None and b[4] is not None:
+                shared = min(a[4], b[4]) - max(a[3], b[3])
+                if shared > 0 and shared * 100 >= 10 * max(1, min(a[4] - a[3], b[4] - b[3])):
+                    edges.append((x, y))
+    for _ in range(70):
+        for x, y in edges:
+            label[x] = label[y] = min(label[x], label[y])
+    groups = {}
+    for x in cue:
+        groups.setdefault((x[0], label[x]), []).append(x)
+    expected = {}
+    for (t, (side, pos)), members in groups.items():
+        e, n = (sorted((cue[x] for x in members if x[1] == k), key=lambda r: (r[3], r[1])) for k in (0, 1))
+        ends = [r[4] for r in e + n if r[4] is not None]
+        span = max(ends) - min(r[3] for r in e + n) if ends else None
+        key = f"{'g' if e and n else 'en'[side]}{pos}"
+        expected[t, key] = (len(e), len(n), " ".join(r[5] for r in e), " ".join(r[5] for r in n), (e or n)[0][3], span)
+    assert got == expected and max(v[0] for v in got.values()) > 5
+
+
+def test_alignment_deals_titles_once(spark):
+    """Both versions dealt alike: no join, no group in Python, no further shuffle."""
+    rows = [(1000 * k, 1000 * k + 900, "x") for k in range(9)]
+    en, nl = (cues(spark, rows).repartition(3, "title_id") for _ in range(2))
+    plan = pairs.align(en, nl)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "FlatMapGroups" not in plan and plan.count("Exchange") == 2
