@@ -153,9 +153,7 @@ def categories(groups: DataFrame) -> DataFrame:
 
 def exemplars(categorised: DataFrame, most: int = 30) -> DataFrame:
     """The first `most` groups of each category of a title: condensed ones by ratio, expanded ones by falling ratio, others by time; short ones only if they have two speakers."""
-    every = Window.partitionBy("title_id", "group_key")
-    dual = F.max((F.col("category") == "dual-speaker").cast("int")).over(every) == 1
-    own = categorised.withColumn("_d", dual).where((F.col("en_chars") >= 15) | F.col("_d")).where(F.col("category").isin(*CATEGORIES))
+    own = categorised.where((F.col("en_chars") >= 15) | F.col("dual")).where(F.col("category").isin(*CATEGORIES))
     order = F.when(F.col("category").contains("condensation") | F.col("category").contains("merge"), F.col("ratio")).when(F.col("category") == "expansion", -F.col("ratio")).otherwise(0)
     rank = F.row_number().over(Window.partitionBy("title_id", "category").orderBy("_o", "at_ms", "group_key"))
-    return own.withColumn("_o", order).withColumn("rank", rank).where(F.col("rank") <= most).drop("_o", "_d")
+    return own.withColumn("_o", order).withColumn("rank", rank).where(F.col("rank") <= most).drop("_o")

@@ -366,3 +366,10 @@ def test_alignment_deals_titles_once(spark):
     en, nl = (cues(spark, rows).repartition(3, "title_id") for _ in range(2))
     plan = pairs.align(en, nl)._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan and "FlatMapGroups" not in plan and plan.count("Exchange") == 2
+
+
+def test_exemplars_are_dealt_by_category_only(spark):
+    own = pairs.categories(pairs.align(cues(spark, [(0, 900, "one two three")]), cues(spark, [(0, 900, "- Ja?\n- Nee...")])))
+    found = pairs.exemplars(own, 5)
+    assert "hashpartitioning(title_id#" in (plan := found._jdf.queryExecution().executedPlan().toString()) and "group_key" not in "".join(x for x in plan.split("\n") if "hashpartitioning" in x)
+    assert {r["category"] for r in found.collect()} == {"dual-speaker", "idiom-candidate", "continuation"}  # short, but with two speakers
