@@ -127,9 +127,8 @@ def align(en: DataFrame, nl: DataFrame, percent: int = 10) -> DataFrame:
     return groups.withColumn("merge_type", kind).withColumn("ratio", ratio)
 
 
-def categories(groups: DataFrame) -> DataFrame:
-    """Groups with `category`, one row for each pattern that a group shows."""
-    # texts and counts are looked at many times
+def _found(groups: DataFrame) -> tuple[DataFrame, Column]:
+    """Groups whose texts and counts are worked out once, as they are looked at many times, and the categories of each as an array."""
     groups = T.once(groups, **{c: F.col(c) for c in groups.columns if c != "title_id"}).select(*groups.columns)
     n, m = F.col("en_count"), F.col("nl_count")
     a, b = F.col("en_chars"), F.col("nl_chars")
@@ -148,7 +147,23 @@ def categories(groups: DataFrame) -> DataFrame:
         F.when(T.has_inversion(F.col("nl_text")), "v2-inversion"),
         F.when(F.col("nl_text").contains("..."), "continuation"),
     )
-    return groups.withColumn("category", F.explode(F.filter(found, lambda c: c.isNotNull())))
+    return groups, F.filter(found, lambda c: c.isNotNull())
+
+
+def categories(groups: DataFrame) -> DataFrame:
+    """Groups with `category`, one row for each pattern that a group shows."""
+    own, found = _found(groups)
+    return own.withColumn("category", F.explode(found))
+
+
+def kinds(groups: DataFrame) -> DataFrame:
+    """(title_id, kind, name): the mapping type of each group and each category, found in one pass over the groups."""
+    own, found = _found(groups)
+
+    def named(kind: str, name: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), name.alias("name"))
+
+    return own.select("title_id", F.inline(F.concat(F.array(named("mapping", F.col("merge_type"))), F.transform(found, lambda c: named("category", c)))))
 
 
 def exemplars(categorised: DataFrame, most: int = 30) -> DataFrame:

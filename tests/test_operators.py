@@ -368,6 +368,15 @@ def test_alignment_deals_titles_once(spark):
     assert "Join" not in plan and "FlatMapGroups" not in plan and plan.count("Exchange") == 2
 
 
+def test_kinds_take_one_pass(spark):
+    en, nl = cues(spark, [(0, 1000, "one two"), (1000, 2000, "three four"), (5000, 6000, "alone at last")]), cues(spark, [(0, 2000, "een twee drie"), (5000, 5900, "nu...")])
+    groups = pairs.align(en, nl)
+    found = stats.kind_shares(pairs.kinds(groups))
+    assert found._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    told = [sorted(map(tuple, df.collect())) for df in (found, stats.pair_distribution(groups, pairs.categories(groups)))]
+    assert told[0] == told[1] and ("t", "mapping", "2:1 merge", 1, 50, 2) in told[0]
+
+
 def test_exemplars_are_dealt_by_category_only(spark):
     own = pairs.categories(pairs.align(cues(spark, [(0, 900, "one two three")]), cues(spark, [(0, 900, "- Ja?\n- Nee...")])))
     found = pairs.exemplars(own, 5)
