@@ -128,6 +128,18 @@ def range_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.nda
     return mix((prefix[end] - prefix[start]) * powers(_INVERSE, len(prefix))[start] + (end - start).astype(np.uint64))
 
 
+def eights_hash(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hashes of ranges of eight bytes at least, eight bytes at a time; equal contents have equal hashes wherever they lie. For many short ranges."""
+    eight = np.ndarray(max(len(raw) - 7, 0), np.dtype("<u8"), raw, strides=(1,))
+    size = end - start
+    out = size.astype(np.uint64)
+    for k in range(0, int(size.max(initial=0)), 8):  # the last eight bytes of a shorter range come again
+        out ^= eight[start + np.minimum(k, size - 8)]
+        out *= np.uint64(_MULTIPLIER)
+        out ^= out >> np.uint64(29)
+    return mix(out)
+
+
 def word_hashes(raw: np.ndarray, offsets: np.ndarray, lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """(hash of each word, first word of each text)."""
     code = BYTE_CODE[LOWER] if lower else BYTE_CODE
@@ -210,6 +222,12 @@ def _ranges(start: np.ndarray, length: np.ndarray) -> np.ndarray:
 ranges = _ranges
 
 
+def gather(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """The bytes of many short ranges one after the other."""
+    whole = raw.tobytes()
+    return np.frombuffer(b"".join([whole[a:b] for a, b in zip(start.tolist(), end.tolist(), strict=True)]), np.uint8)
+
+
 def segment_min(values: np.ndarray, where: np.ndarray, empty: int) -> np.ndarray:
     """Minimum of values[where[i]:where[i+1]], or `empty`."""
     out = np.full(len(where) - 1, empty, dtype=values.dtype)

@@ -12,8 +12,8 @@ Shared by the two operators on repeated passages, which differ in what an elemen
    that it stands for to the anchor's bucket. Equal contexts in a slice are sent once,
    for the smallest document; the others of the slice are repeats already. A frequent
    anchor (over FREQUENT occurrences) is split: its windows are sent one by one to
-   buckets by their own hash, again once for each slice. So a passage in a third of all
-   documents costs a few rows for each slice.
+   the buckets of their own hashes, again once for each slice, in the rows that go there
+   anyway. So a passage in a third of all documents costs a few windows for each slice.
 4. A bucket is solved: for each window the smallest document that has it.
 5. The windows found go back to their slices, which have the texts.
 
@@ -44,25 +44,53 @@ WINDOW = 50
 SLICE, BUCKET_BYTES = 2 << 20, 4 << 20
 FREQUENT = 4096
 _ODD = K.random_words(31, 3) | np.uint64(1)
+#: Positions that are hashed at once, so that they stay in the cache.
+_PIECE = 1 << 15
+_PLACE = (1 << 40) - 1
+
+
+#: Types of arrays that are packed; whole numbers from 0 on go in the first that holds them.
+_TYPES = [np.dtype(t) for t in ("u1", "u2", "u4", "i8", "i4", "u8", "?")]
+
+
+@functools.cache
+def _compressor() -> zstandard.ZstdCompressor:
+    return zstandard.ZstdCompressor(level=3)
+
+
+@functools.cache
+def _decompressor() -> zstandard.ZstdDecompressor:
+    return zstandard.ZstdDecompressor()
 
 
 def pack(*arrays: np.ndarray) -> bytes:
-    out = io.BytesIO()
+    """The arrays compressed: for each three numbers (type, type as sent, length), then their values, each array filled up to eight bytes."""
+    head, values = [len(arrays)], []
     for a in arrays:
-        np.save(out, a, allow_pickle=False)
-    return zstandard.ZstdCompressor(level=3).compress(out.getvalue())
+        kind = sent = _TYPES.index(a.dtype)
+        if kind == 3 and len(a) and a.min() >= 0:
+            most = int(a.max())
+            sent = 0 if most < 1 << 8 else 1 if most < 1 << 16 else 2 if most < 1 << 32 else 3
+            a = a.astype(_TYPES[sent])
+        head += [kind, sent, len(a)]
+        values += [a.tobytes(), bytes(-a.nbytes % 8)]
+    return _compressor().compress(b"".join([np.array(head, np.int64).tobytes(), *values]))
 
 
 def unpack(blob: bytes) -> list[np.ndarray]:
-    raw = io.BytesIO(zstandard.ZstdDecompressor().decompress(blob))
-    size, out = raw.getbuffer().nbytes, []
-    while raw.tell() < size:
-        out.append(np.load(raw, allow_pickle=False))
+    raw = _decompressor().decompress(blob)
+    n = int(np.frombuffer(raw, np.int64, 1)[0])
+    head = np.frombuffer(raw, np.int64, 3 * n, 8).tolist()
+    out, at = [], 8 + 24 * n
+    for kind, sent, length in zip(head[::3], head[1::3], head[2::3], strict=True):
+        a = np.frombuffer(raw, _TYPES[sent], length, at)
+        at += a.nbytes + -a.nbytes % 8
+        out.append(a if kind == sent else a.astype(_TYPES[kind]))
     return out
 
 
 class Text:
-    """The texts of a slice as elements. `prefix` has the running hash of elements, `first` each text's first element."""
+    """The texts of a slice as elements. `first` has each text's first element, codes() the hash of ranges of GRAM elements at least."""
 
     def __init__(self, ids: np.ndarray, raw: np.ndarray, offsets: np.ndarray):
         self.ids, self.raw, self.offsets = ids, raw, offsets
@@ -76,25 +104,27 @@ class Bytes(Text):
         super().__init__(*args)
         self.first, self.n = self.offsets, len(self.raw)
 
-    @functools.cached_property
-    def prefix(self) -> np.ndarray:
-        return K.byte_prefix(self.raw)
-
     def grams(self) -> np.ndarray:
         """The hash of the GRAM bytes from each position on."""
         eight = np.ndarray(self.n - 7, np.dtype("<u8"), self.raw, strides=(1,))
-        h = eight[:-8] * _ODD[0]
-        h ^= h >> np.uint64(29)
-        h += eight[8:]
-        h *= _ODD[1]
-        h ^= h >> np.uint64(32)
-        h *= _ODD[2]
-        h ^= h >> np.uint64(29)
-        return h
+        out = np.empty(len(eight) - 8, np.uint64)
+        for at in range(0, len(out), _PIECE):
+            h = out[at : at + _PIECE]
+            np.multiply(eight[at : at + len(h)], _ODD[0], out=h)
+            h ^= h >> np.uint64(29)
+            h += eight[at + 8 : at + 8 + len(h)]
+            h *= _ODD[1]
+            h ^= h >> np.uint64(32)
+            h *= _ODD[2]
+            h ^= h >> np.uint64(29)
+        return out
+
+    def codes(self, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+        return K.eights_hash(self.raw, lo, hi)
 
     def contents(self, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(bytes of all ranges one after the other, length of each)."""
-        return self.raw[K.ranges(lo, hi - lo)], hi - lo
+        return K.gather(self.raw, lo, hi), hi - lo
 
 
 class Words(Text):
@@ -104,13 +134,15 @@ class Words(Text):
         super().__init__(*args)
         self.start, self.end, self.first = K.words(self.raw, self.offsets)
         self.n = len(self.start)
-        self.codes = K.range_hash(K.byte_prefix(self.raw), self.start, self.end)
-        self.prefix = K.code_prefix(self.codes)
+        self.prefix = K.code_prefix(K.range_hash(K.byte_prefix(self.raw), self.start, self.end))
 
     def grams(self) -> np.ndarray:
         at = np.arange(self.n - self.GRAM + 1)
         return K.range_hash(self.prefix, at, at + self.GRAM)
 
+    def codes(self, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+        return K.range_hash(self.prefix, lo, hi)
+
     def contents(self, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Words of the ranges, a space after each."""
         number = K.ranges(lo, hi - lo)
@@ -124,11 +156,15 @@ class Words(Text):
 
 
 def _sliding_min(h: np.ndarray, width: int) -> np.ndarray:
-    low, span = h, 1
-    while 2 * span <= width:
-        low = np.minimum(low[:-span], low[span:])
-        span *= 2
-    return np.minimum(low[: len(low) - (width - span)], low[width - span :]) if span < width else low
+    out = np.empty(len(h) - width + 1, h.dtype)
+    for at in range(0, len(out), _PIECE):
+        own = out[at : at + _PIECE]
+        low, span = h[at : at + len(own) + width - 1], 1
+        while 2 * span <= width:
+            low = np.minimum(low[:-span], low[span:])
+            span *= 2
+        np.minimum(low[: len(own)], low[width - span : width - span + len(own)], out=own)
+    return out
 
 
 def anchors(text: Text) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -139,24 +175,17 @@ def anchors(text: Text) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
     width = WINDOW - text.GRAM + 1
     h = text.grams()
     low = _sliding_min(h, width)
-    size = np.diff(text.first)
-    owner = np.repeat(np.arange(len(size), dtype=np.int32), size)[: len(low)]
-    # the last WINDOW - 1 elements of a text start no window
-    fits = np.ones(len(low), np.int8)
-    for back in range(1, WINDOW):
-        at = text.first[1:] - back
-        fits[at[(at >= text.first[:-1]) & (at < len(low))]] = 0
-    # a run ends where the smallest hash changes, or where the window has just left the gram that had it
+    # a run ends where the smallest hash changes, where the window has just left the gram that had it, or with its text
     runs = np.ones(len(low), bool)
-    runs[1:] = (low[1:] != low[:-1]) | (h[: len(low) - 1] == low[:-1]) | (owner[1:] != owner[:-1])
+    runs[1:] = (low[1:] != low[:-1]) | (h[: len(low) - 1] == low[:-1])
+    runs[text.first[:-1][text.first[:-1] < len(low)]] = True
     starts = np.flatnonzero(runs)
-    ends = np.append(starts[1:], len(low))
-    valid = np.zeros(len(fits) + 1, np.int64)
-    np.cumsum(fits, out=valid[1:])
-    ends = starts + (valid[ends] - valid[starts])  # windows that don't fit come last in a text
+    owner = np.searchsorted(text.first, starts, side="right") - 1
+    # the last WINDOW - 1 elements of a text start no window
+    ends = np.minimum(np.append(starts[1:], len(low)), text.first[owner + 1] - WINDOW + 1)
     keep = ends > starts
     starts, ends = starts[keep], ends[keep]
-    return low[starts], owner[starts], starts, ends
+    return low[starts], owner[keep], starts, ends
 
 
 def slices(docs: DataFrame, rest: list[str] = ()) -> DataFrame:
@@ -178,7 +207,7 @@ def slices(docs: DataFrame, rest: list[str] = ()) -> DataFrame:
                     part = b.select(list(rest)).slice(lo, hi - lo)
                     with pa.ipc.new_stream(out, part.schema) as writer:
                         writer.write_batch(part)
-                    others = zstandard.ZstdCompressor(level=3).compress(out.getvalue())
+                    others = _compressor().compress(out.getvalue())
                 yield pa.RecordBatch.from_arrays([pa.array([number]), pa.array([packed], pa.binary()), pa.array([others], pa.binary())], ["slice", "blob", "rest"])
                 number += 1
 
@@ -227,13 +256,20 @@ def _by_bucket(rows: DataFrame, solve: Callable[[list, int], pa.RecordBatch | No
 
 
 def _own_anchors(text: Text, known: np.ndarray, buckets: int) -> tuple[np.ndarray, ...]:
-    """Anchors of documents with an id, and the distinct (bucket, hash) of each document, sorted: what is counted."""
+    """(document number, windows' begin and end, bucket, rest of the hash) of anchors of documents with an id, sorted by bucket, rest and id: what is counted."""
     h, owner, lo, hi = anchors(text)
-    keep = known[owner] if len(owner) else np.zeros(0, bool)
-    h, owner, lo, hi = h[keep], owner[keep], lo[keep], hi[keep]
-    bucket, rest = (h % np.uint64(buckets)).astype(np.int64), (h >> np.uint64(32)).astype(np.uint32)
-    order = np.lexsort((text.ids[owner] if len(owner) else owner, rest, bucket))
-    return h[order], owner[order], lo[order], hi[order], bucket[order], rest[order]
+    if not known.all():
+        keep = known[owner]
+        h, owner, lo, hi = h[keep], owner[keep], lo[keep], hi[keep]
+    key = (h % np.uint64(buckets)) << np.uint64(32) | h >> np.uint64(32)
+    order = np.argsort(key)
+    key = key[order]
+    new = np.ones(len(key) + 1, bool)
+    new[1:-1] = key[1:] != key[:-1]
+    tied = np.flatnonzero(~(new[:-1] & new[1:]))
+    own = order[tied]
+    order[tied] = own[np.lexsort((own, text.ids[owner[own]], key[tied]))]
+    return owner[order], lo[order], hi[order], (key >> np.uint64(32)).astype(np.int64), key.astype(np.uint32)
 
 
 def _distinct_marks(bucket: np.ndarray, rest: np.ndarray, ids: np.ndarray) -> np.ndarray:
@@ -261,8 +297,8 @@ def repeats(docs: DataFrame, kind: type[Text], solver: Solver, rest: list[str] =
         for b in batches:
             for number, blob in zip(b.column("slice").to_pylist(), b.column("blob").to_pylist(), strict=True):
                 text, known = _read(blob, kind)
-                _, owner, _, _, bucket, rest = _own_anchors(text, known, buckets)
-                new = _distinct_marks(bucket, rest, text.ids[owner]) if len(owner) else np.zeros(0, bool)
+                owner, _, _, bucket, rest = _own_anchors(text, known, buckets)
+                new = _distinct_marks(bucket, rest, text.ids[owner])
                 bucket, rest = bucket[new], rest[new]
                 cuts = np.flatnonzero(np.diff(bucket, prepend=-1))
                 parts = np.split(rest, cuts[1:]) if len(cuts) else []
@@ -289,20 +325,17 @@ def repeats(docs: DataFrame, kind: type[Text], solver: Solver, rest: list[str] =
         source = np.repeat(np.arange(len(parts)), [len(e[0]) for e in every])
         order = np.argsort(ids, kind="stable")
         where = np.concatenate([[0], np.cumsum(length)])
-        contents = contents[K.ranges(where[order], length[order])]
+        contents = K.gather(contents, where[order], where[order] + length[order])
         ids, lo, windows, length, source = (x[order] for x in (ids, lo, windows, length, source))
         least = solver(contents, length, windows, ids)
         hit = least < np.repeat(ids, windows)
-        place = K.ranges(lo, windows)[hit]
-        part = np.repeat(source, windows)[hit]
-        if not len(place):
+        # places of all parts are sorted as one, each part's after those of the part before
+        begin, end = runs(np.sort(K.ranges(source << 40 | lo, windows)[hit]))
+        if not len(begin):
             return None
-        rows = []
-        by = np.argsort(part, kind="stable")
-        part, place = part[by], place[by]
+        part, begin, end = begin >> 40, begin & _PLACE, end & _PLACE
         cuts = np.flatnonzero(np.diff(part, prepend=-1))
-        for p, own in zip(part[cuts], np.split(place, cuts[1:]), strict=True):
-            rows.append((parts[p][0], pack(*runs(np.sort(own)))))
+        rows = [(parts[part[a]][0], pack(begin[a:z], end[a:z])) for a, z in zip(cuts, np.append(cuts[1:], len(part)), strict=True)]
         return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows]), pa.array([r[1] for r in rows], pa.binary())], ["slice", "blob"])
 
     return packed, _by_bucket(sent, solve, "slice long, blob binary")
@@ -320,14 +353,15 @@ def runs(places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _contexts(number: int, text: Text, known: np.ndarray, marks: dict[int, bytes], buckets: int) -> Iterator[pa.RecordBatch]:
     """The contexts of shared anchors of a slice by bucket, and what the slice finds in itself under bucket -1."""
-    _, owner, lo, hi, bucket, rest = _own_anchors(text, known, buckets)
+    owner, lo, hi, bucket, rest = _own_anchors(text, known, buckets)
     if not len(owner):
         return
     new = _distinct_marks(bucket, rest, text.ids[owner])
     mark_of = np.cumsum(new) - 1
     first = np.flatnonzero(new)
     per = {int(k): int(n) for k, n in zip(*np.unique(bucket[first], return_counts=True), strict=True)}
-    both = [np.concatenate([np.unpackbits(unpack(marks[k])[j], count=n) if k in marks else np.zeros(n, np.uint8) for k, n in per.items()]).astype(bool) for j in (0, 1)]
+    bits = [unpack(marks[k]) if k in marks else [np.zeros(-(-n // 8), np.uint8)] * 2 for k, n in per.items()]
+    both = [np.concatenate([np.unpackbits(own[j], count=n) for own, n in zip(bits, per.values(), strict=True)]).astype(bool) for j in (0, 1)]
     shared, frequent = both[0][mark_of], both[1][mark_of]
     owner, lo, hi, bucket, frequent = (x[shared] for x in (owner, lo, hi, bucket, frequent))
     if frequent.any():
@@ -335,14 +369,14 @@ def _contexts(number: int, text: Text, known: np.ndarray, marks: dict[int, bytes
         each = K.ranges(lo[often], hi[often] - lo[often])
         whose = np.repeat(owner[often], hi[often] - lo[often])
         rare = np.flatnonzero(~frequent)
-        by_window = K.range_hash(text.prefix, each, each + WINDOW) % np.uint64(buckets)
+        by_window = text.codes(each, each + WINDOW) % np.uint64(buckets)
         lo, hi = np.concatenate([lo[rare], each]), np.concatenate([hi[rare], each + 1])
-        bucket, owner = np.concatenate([bucket[rare], buckets + by_window.astype(np.int64)]), np.concatenate([owner[rare], whose])
+        bucket, owner = np.concatenate([bucket[rare], by_window.astype(np.int64)]), np.concatenate([owner[rare], whose])
     if not len(lo):
         return
     ids = text.ids[owner]
     # of equal contexts the smallest document's first one is sent; in larger documents they are repeats
-    code = K.range_hash(text.prefix, lo, hi + WINDOW - 1)
+    code = text.codes(lo, hi + WINDOW - 1)
     order = np.lexsort((lo, ids, code, bucket))
     ids, lo, hi, bucket, code = (x[order] for x in (ids, lo, hi, bucket, code))
     new = np.ones(len(code), bool)
@@ -357,10 +391,11 @@ def _contexts(number: int, text: Text, known: np.ndarray, marks: dict[int, bytes
     keep = np.flatnonzero(new | again)
     ids, lo, hi, bucket = (x[keep] for x in (ids, lo, hi, bucket))
     cuts = np.flatnonzero(np.diff(bucket, prepend=-1))
+    contents, length = text.contents(lo, hi + WINDOW - 1)
+    where = np.concatenate([[0], np.cumsum(length)])
     out = []
-    for a, b in zip(cuts, np.append(cuts[1:], len(bucket)), strict=True):
-        contents, length = text.contents(lo[a:b], hi[a:b] + WINDOW - 1)
-        out.append((int(bucket[a]), pack(ids[a:b], lo[a:b], hi[a:b] - lo[a:b], length, contents)))
+    for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(bucket)], strict=True):
+        out.append((int(bucket[a]), pack(ids[a:b], lo[a:b], hi[a:b] - lo[a:b], length[a:b], contents[where[a] : where[b]])))
     yield pa.RecordBatch.from_arrays([pa.array([number] * len(out), pa.int64()), pa.array([o[0] for o in out], pa.int32()), pa.array([o[1] for o in out], pa.binary())], ["slice", "bucket", "blob"])
 
 
@@ -383,7 +418,7 @@ def apply(packed: DataFrame, found: DataFrame, kind: type[Text], answer: Callabl
             for blob, rest, what in zip(b.column("blob").to_pylist(), b.column("rest").to_pylist(), b.column("found").to_pylist(), strict=True):
                 text, known = _read(blob, kind)
                 if rest is not None:
-                    text.rest = pa.ipc.open_stream(zstandard.ZstdDecompressor().decompress(rest)).read_next_batch()
+                    text.rest = pa.ipc.open_stream(_decompressor().decompress(rest)).read_next_batch()
                 yield answer(text, known, covered(text.n, what or []))
 
     return packed.join(listed, "slice", "left").select("slice", "blob", "rest", "found").mapInArrow(K.releasing(run), schema)

@@ -116,45 +116,72 @@ def same_prefix(words: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return same
 
 
-def least_documents(contents: np.ndarray, length: np.ndarray, windows: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    """For each window of each context the smallest document with an equal one. Contexts come in the order of ids; equal contexts are sorted once."""
-    where = np.concatenate([[0], np.cumsum(length)])
-    prefix = R.K.byte_prefix(contents)
-    codes = R.K.range_hash(prefix, where[:-1], where[1:])
-    _, lead, same_as = np.unique(codes, return_index=True, return_inverse=True)
+def _stand_ins(contents: np.ndarray, where: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """For each context the first one with the same bytes, as a rule: contexts are told apart by a hash, and those that only have it in common stand for themselves."""
+    _, lead, same_as = np.unique(R.K.eights_hash(contents, where[:-1], where[1:]), return_index=True, return_inverse=True)
+    stands = lead[same_as]
     # two contexts of equal hash are taken as one only if their bytes agree
-    other = np.flatnonzero(lead[same_as] != np.arange(len(codes)))
-    mine, theirs = where[other], where[lead[same_as[other]]]
-    agree = length[other] == length[lead[same_as[other]]]
+    other = np.flatnonzero(stands != np.arange(len(length)))
+    mine, theirs = where[other], where[stands[other]]
+    agree = length[other] == length[stands[other]]
     eight = np.ndarray(max(len(contents) - 7, 0), np.dtype("<u8"), contents, strides=(1,))
     for k in range(0, int(length.max(initial=0)), 8):
         step = np.minimum(k, length[other] - 8)  # a context has WINDOW bytes at least
         agree &= eight[mine + step] == eight[theirs + step]
     odd = other[~agree]
-    alone = np.zeros(len(codes), bool)
-    alone[lead] = True
-    alone[odd] = True
-    chosen = np.flatnonzero(alone)
-    at_chosen = np.full(len(codes), -1)
+    stands[odd] = odd
+    return stands
+
+
+def _lone(contents: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Which contexts, all different, have an anchor that no other has."""
+    where = np.concatenate([[0], np.cumsum(length)])
+    if not len(length):
+        return np.zeros(0, bool)
+    grams = R.Bytes(where, contents, where).grams()
+    # a context ends GRAM - 1 bytes after its last gram
+    edges = np.stack([where[:-1], where[1:] - R.Bytes.GRAM + 1], axis=1).ravel()
+    own = np.minimum.reduceat(np.append(grams, grams[-1]), edges)[::2]
+    _, same_as, count = np.unique(own, return_inverse=True, return_counts=True)
+    return count[same_as] == 1
+
+
+def least_documents(contents: np.ndarray, length: np.ndarray, windows: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """For each window of each context the smallest document with an equal one. Contexts come in the order of ids; all windows of one have the same anchor.
+
+    Equal contexts are sorted once. Equal windows have equal anchors, so a context that then is the
+    only one with its anchor has no window of another; it is not sorted.
+    """
+    where = np.concatenate([[0], np.cumsum(length)])
+    stands = _stand_ins(contents, where, length)
+    least = np.repeat(ids[stands], windows)
+    chosen = np.flatnonzero(stands == np.arange(len(stands)))
+    text = R.K.gather(contents, where[chosen], where[chosen + 1])
+    met = ~_lone(text, length[chosen])
+    text = text[np.repeat(met, length[chosen])]
+    chosen = chosen[met]
+    at_chosen = np.full(len(ids), -1)
     at_chosen[chosen] = np.arange(len(chosen))
-    stands = np.where(alone, at_chosen, at_chosen[lead[same_as]])
-    text = contents[R.K.ranges(where[chosen], length[chosen])]
     words = words_at(text)
     start = np.concatenate([[0], np.cumsum(length[chosen])])
     array = suffix_array(text, words)
     begins = R.K.ranges(start[:-1], windows[chosen])
     number = np.full(len(text), -1, np.int32)
     number[begins] = np.arange(len(begins), dtype=np.int32)
-    array = array[number[array] >= 0]
+    rank = number[array]
+    array, rank = array[rank >= 0], rank[rank >= 0]
     owner = np.repeat(ids[chosen], windows[chosen])
     new = np.ones(len(array), bool)
     new[1:] = ~same_prefix(words, array[1:], array[:-1])
     edges = np.flatnonzero(new)
-    least = np.minimum.reduceat(owner[number[array]], edges) if len(edges) else np.zeros(0, np.int64)
+    smallest = np.minimum.reduceat(owner[rank], edges) if len(edges) else np.zeros(0, np.int64)
     by_window = np.empty(len(begins), np.int64)
-    by_window[number[array]] = np.repeat(least, np.diff(np.append(edges, len(array))))
+    by_window[rank] = np.repeat(smallest, np.diff(np.append(edges, len(array))))
     base = np.concatenate([[0], np.cumsum(windows[chosen])])
-    return by_window[R.K.ranges(base[stands], windows)]
+    sorted_too = at_chosen[stands] >= 0
+    own = at_chosen[stands[sorted_too]]
+    least[np.repeat(sorted_too, windows)] = by_window[R.K.ranges(base[own], windows[sorted_too])]
+    return least
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
@@ -168,9 +195,11 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         edge[heads] = gone[heads]
         removed, spans = (np.concatenate([[0], np.cumsum(x)]) for x in (gone, edge))
         lo, hi = text.offsets[:-1], text.offsets[1:]
-        kept = [text.raw[a:b][~gone[a:b]].tobytes() for a, b in zip(lo.tolist(), hi.tolist(), strict=True)]
+        # a slice has no more bytes than an Arrow batch of binaries can hold
+        ends = np.concatenate([[0], np.cumsum(hi - lo - removed[hi] + removed[lo])]).astype(np.int32)
+        kept = pa.Array.from_buffers(pa.binary(), len(lo), [None, pa.py_buffer(ends), pa.py_buffer(text.raw[~gone])])
         return pa.RecordBatch.from_arrays(
-            [pa.array(text.ids, mask=~known), pa.array(hi - lo), pa.array(removed[hi] - removed[lo]), pa.array(spans[hi] - spans[lo]), pa.array(kept, pa.binary())],
+            [pa.array(text.ids, mask=~known), pa.array(hi - lo), pa.array(removed[hi] - removed[lo]), pa.array(spans[hi] - spans[lo]), kept],
             ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"],
         )
 
