@@ -1,9 +1,15 @@
 """The chain from draft to finished cues, by hand, and report objects."""
 
 import json
+import os
+
+import pytest
 
 from cuelake.operators import finishing, rules, speech
-from cuelake.sources import reports
+from cuelake.plans import registry
+from cuelake.sources import reports, shared
+
+DATA = "/root/testdata/sf0.001"
 
 CUES = "title_id string, pos bigint, idx int, start_ms bigint, end_ms bigint, text string"
 SPOKEN = "title_id string, seg_no bigint, start_ms bigint, end_ms bigint"
@@ -79,3 +85,39 @@ def test_timing_report(spark):
     assert (s["cues_analyzed"], s["cues_flagged"], s["high"], s["medium"], s["low"], s["anticipation_ideal"], s["end_delta_avg_ms"], s["start_delta_avg_ms"]) == (2, 1, 0, 1, 0, 1, -425, 100)
     assert got["t"]["flagged"] == [{"cue_num": 7, "issues": [{"type": "early_start", "severity": "low"}, {"type": "lingers_after_speech", "severity": "medium"}], "end_delta_ms": -900, "start_delta_ms": 100}]
     assert got["u"]["summary"]["cues_analyzed"] == 1 and got["u"]["flagged"] == [] and "end_delta_avg_ms" not in got["u"]["summary"]
+
+
+def test_reports_in_lines(spark, tmp_path):
+    # many titles make as many lines, not files; titles come back as they are
+    titles = [None, "", "}", *(f"{k} a+b/é%20\n\"}}" for k in range(27))]
+    own = spark.createDataFrame([(t, 2, 2, 9000, 9900, "x;") for t in titles] + [(t, 1, 1, 0, 3900, "Rustig.") for t in titles[:20]], CUES)
+    objects = reports.trim(speech.trim(own, spark.createDataFrame([(t, 1, 100, 2000) for t in titles], SPOKEN)), {"fps": 25}).coalesce(2)
+    reports.write_lines(objects, str(tmp_path / "trim"))
+    assert len(list((tmp_path / "trim").rglob("part-*"))) <= 2
+    back = {r["title_id"]: r for r in reports.read_lines(spark, str(tmp_path / "trim"), "trim").collect()}
+    assert set(back) == set(titles) and [len(back[t]["trims"]) for t in titles] == [1] * 20 + [0] * 10
+    assert back[titles[4]]["trims"][0].asDict() == {"cue_num": 1, "old_end": 3900, "new_end": 2250, "action": "trim", "trim_ms": 1650, "method": "full"}
+    assert back[titles[4]]["skip_reasons"] == {"no_transition": 1} and back[titles[29]]["total_cues"] == 1
+    first = json.loads(next((tmp_path / "trim").rglob("part-*")).read_text().split("\n")[0])
+    assert list(first) == ["title_id", "settings", "summary", "trims"]
+    with pytest.raises(Exception, match="exist"):
+        reports.write_lines(objects, str(tmp_path / "trim"))
+
+
+def test_a_report_is_one_pass(spark):
+    # cues that were trimmed, counts and reasons come of the same rows; before, each was worked out from the frames again and joined
+    rows = [("t", 2, 2, 5000, "trim", None, 4000, 1000, "full"), ("t", 1, 1, 3000, "partial_trim", None, 2500, 500, "partial"), ("t", 3, 3, 7000, "skip", "short", None, 0, None), ("t", 4, 4, 9000, "skip", None, None, 0, None), ("u", 1, 1, 900, "trim", None, 400, 500, "full")]
+    decisions = spark.createDataFrame(rows, "title_id string, pos bigint, idx int, old_end_ms bigint, action string, reason string, new_end_ms bigint, trim_ms bigint, method string")
+    made = reports.trim(decisions)
+    assert "Join" not in made._jdf.queryExecution().optimizedPlan().toString()
+    got = {r["title_id"]: json.loads(r["value"]) for r in made.collect()}
+    assert got["t"]["summary"] == {"total_cues": 4, "full_trims": 1, "partial_trims": 1, "skipped": 2, "total_trim_ms": 1500, "skip_reasons": {"short": 1}}
+    assert [x["cue_num"] for x in got["t"]["trims"]] == [1, 2] and "skip_reasons" not in got["u"]["summary"]
+
+
+@pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables")
+def test_files_of_reports_dont_grow_with_titles(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(shared, "new_folder", lambda s, name: str(tmp_path / name))
+    titles = registry.queries()["report_objects"](spark, DATA).select("title_id").distinct().count()
+    for kind in ("trim", "extension"):
+        assert 0 < len(list((tmp_path / "reports" / kind).rglob("part-*"))) < titles
